@@ -123,3 +123,62 @@ ORACLE["profile_merge"] = (
     "CASE WHEN ps.frequency IS NOT NULL AND pn.frequency IS NOT NULL THEN 'both' "
     "WHEN ps.frequency IS NOT NULL THEN 'stored' ELSE 'new' END AS origin "
     "FROM ps FULL OUTER JOIN pn ON ps.user_id = pn.user_id AND ps.category = pn.category AND ps.value = pn.value")
+
+
+# ---------------------------------------------------------------- conversations
+MSG = ("msg AS (SELECT CAST(conv_id AS VARCHAR) AS conversation_id, turn, CAST(conv_id AS VARCHAR) || '-' || "
+       "CAST(turn AS VARCHAR) AS message_id, role AS sender, text AS body FROM conversations)")
+NB = ("nb AS (SELECT m.*, p.sender AS prev_sender, n.sender AS next_sender FROM msg m "
+      "LEFT JOIN msg p ON p.conversation_id = m.conversation_id AND p.turn = m.turn - 1 "
+      "LEFT JOIN msg n ON n.conversation_id = m.conversation_id AND n.turn = m.turn + 1)")
+FIRST = ("f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY conversation_id ORDER BY turn) AS rn "
+         "FROM msg) WHERE rn = 1)")
+
+
+def hash_int_sql(*parts, salt):
+    s = " || '|' || ".join([f"'{salt}'"] + [f"CAST({p} AS VARCHAR)" for p in parts])
+    return f"CAST(('0x' || substr(sha256({s}), 1, 8)) AS BIGINT)"
+
+
+def distinct_sql(l):
+    """Order-preserving distinct (first occurrence kept), like Spark's array_distinct."""
+    return f"list_filter({l}, lambda x, i: list_position({l}, x) = i)"
+
+
+def nonnull_sql(*cols):
+    return f"list_filter([{', '.join(cols)}], lambda x: x IS NOT NULL)"
+
+
+ORACLE["first_message"] = f"WITH {MSG}, {FIRST} SELECT conversation_id, turn, sender, body, 'chat-message' AS type FROM f"
+ORACLE["message_counts"] = (f"WITH {MSG} SELECT conversation_id, arg_min(sender, turn) AS sender, "
+                            "count(body) AS num_messages FROM msg GROUP BY 1")
+ORACLE["replies_only"] = (f"WITH {MSG}, {FIRST} SELECT m.conversation_id, m.turn, m.sender, m.body FROM msg m "
+                          "ANTI JOIN f ON f.conversation_id = m.conversation_id AND f.turn = m.turn")
+ORACLE["nested_replies"] = (
+    f"WITH {MSG}, {FIRST}, r AS (SELECT m.* FROM msg m ANTI JOIN f USING (conversation_id, turn)) "
+    "SELECT f.conversation_id, f.turn AS message_turn, f.sender AS message_sender, "
+    "CAST(count(r.turn) AS BIGINT) AS num_replies, "
+    "coalesce(string_agg(CAST(r.turn AS VARCHAR), ',' ORDER BY r.turn), '') AS reply_turns, "
+    "coalesce(string_agg(r.sender, ',' ORDER BY r.turn), '') AS reply_senders "
+    "FROM f LEFT JOIN r USING (conversation_id) GROUP BY f.conversation_id, f.turn, f.sender")
+_CH = "[" + ", ".join(f"'{c}'" for c in config.CHANNEL_NAMES) + "]"
+ORACLE["channel_assign"] = (
+    f"WITH {MSG}, c AS (SELECT conversation_id, max({_CH}[CAST(({hash_int_sql('conversation_id', 'turn', salt='channel')} % "
+    f"{len(config.CHANNEL_NAMES)}) + 1 AS INTEGER)]) AS channel_name FROM msg GROUP BY 1) "
+    "SELECT conversation_id, channel_name, substr(sha256('channel|' || channel_name), 1, 16) AS channel_id FROM c")
+ORACLE["user_messages"] = (
+    f"WITH {MSG}, {NB}, p AS (SELECT DISTINCT message_id, conversation_id, u AS user_id FROM nb, "
+    "unnest(list_filter([sender, prev_sender], lambda x: x IS NOT NULL)) t(u)) "
+    "SELECT user_id, count(*) AS num_messages, count(DISTINCT conversation_id) AS num_conversations FROM p GROUP BY 1")
+ORACLE["participants_minus_sender"] = (
+    f"WITH {MSG}, {NB}, o AS (SELECT conversation_id, turn, list_filter("
+    f"{nonnull_sql('prev_sender', 'sender', 'next_sender')}, lambda x: NOT coalesce(x = sender, false)) AS l FROM nb) "
+    "SELECT conversation_id, turn, array_to_string(l, ',') AS participants, CAST(len(l) AS BIGINT) AS n_participants FROM o")
+ORACLE["recipients_merge"] = (
+    f"WITH {MSG}, {NB}, o0 AS (SELECT conversation_id, turn, list_concat({nonnull_sql('prev_sender')}, "
+    f"list_filter({nonnull_sql('next_sender', 'sender')}, lambda x: NOT coalesce(contains(sender, x), false))) AS l0 "
+    f"FROM nb), o AS (SELECT conversation_id, turn, {distinct_sql('l0')} AS l FROM o0) SELECT conversation_id, turn, array_to_string(l, ',') AS recipients, CAST(len(l) AS BIGINT) AS n_recipients FROM o")
+ORACLE["mention_suffix"] = (
+    f"WITH {MSG}, {NB} SELECT conversation_id, turn, body || coalesce(array_to_string(list_transform("
+    f"CASE WHEN {hash_int_sql('message_id', salt='mention')} % 2 = 1 THEN {nonnull_sql('prev_sender', 'next_sender')} "
+    "ELSE [] END, lambda x: '@' || x || ' '), ''), '') AS comment FROM nb")

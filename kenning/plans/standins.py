@@ -112,3 +112,94 @@ def q_profile_merge(spark, sf):
     stored = _aged_profile(m.filter(F.col("ts") < F.lit(SPLIT_TS).cast("timestamp")), "v2")
     new = _aged_profile(m.filter(F.col("ts") >= F.lit(SPLIT_TS).cast("timestamp")), "v2")
     return state.merge_profiles(stored, new)
+
+
+# ---------------------------------------------------------------- conversations: records and participants
+
+from kenning.functions.arrays import recipients_merge, without_sender  # noqa: E402
+from kenning.functions.text import append_mentions  # noqa: E402
+from kenning.operators import relational as rel  # noqa: E402
+from kenning.operators import synth  # noqa: E402
+from kenning.plans.tables import messages, messages_with_neighbors  # noqa: E402
+
+
+def _nonnull(*cols):
+    return F.filter(F.array(*cols), lambda x: x.isNotNull())
+
+
+@query("first_message")
+def q_first_message(spark, sf):
+    m = messages(spark, sf)
+    f = rel.first_per_group(m, "conversation_id", "turn", ["turn", "sender", "body"])
+    return f.withColumn("type", F.lit("chat-message"))
+
+
+@query("message_counts")
+def q_message_counts(spark, sf):
+    m = messages(spark, sf)
+    return rel.first_with_count(m, "conversation_id", "turn", "body", ["sender"])
+
+
+@query("replies_only")
+def q_replies_only(spark, sf):
+    return rel.replies(messages(spark, sf), "conversation_id", "turn").select(
+        "conversation_id", "turn", "sender", "body")
+
+
+@query("nested_replies")
+def q_nested_replies(spark, sf):
+    m = messages(spark, sf)
+    first = rel.first_per_group(m, "conversation_id", "turn", ["turn", "sender"])
+    reps = rel.replies(m, "conversation_id", "turn")
+    nested = rel.nest_replies(first, reps, "conversation_id", "turn",
+                              [F.col("turn"), F.col("sender"), F.col("body")])
+    return nested.select(
+        "conversation_id", F.col("turn").alias("message_turn"), F.col("sender").alias("message_sender"),
+        F.size("replies").cast("bigint").alias("num_replies"),
+        F.array_join(F.transform("replies", lambda r: r["turn"].cast("string")), ",").alias("reply_turns"),
+        F.array_join(F.transform("replies", lambda r: r["sender"]), ",").alias("reply_senders"))
+
+
+@query("channel_assign")
+def q_channel_assign(spark, sf):
+    m = messages(spark, sf).withColumn(
+        "channel_name", synth.pick(config.CHANNEL_NAMES, F.col("conversation_id"), F.col("turn"), salt="channel"))
+    per_conv = m.groupBy("conversation_id").agg(F.max("channel_name").alias("channel_name"))
+    return per_conv.withColumn("channel_id", F.substring(F.sha2(F.concat(F.lit("channel|"), F.col("channel_name")),
+                                                                  256), 1, 16))
+
+
+@query("user_messages")
+def q_user_messages(spark, sf):
+    """JN-5: a message belongs to its sender and to the sender of the turn it
+    answers (the recipient)."""
+    m = messages_with_neighbors(spark, sf).withColumn("to", _nonnull(F.col("prev_sender")))
+    p = prof.explode_participants(m, recipients=("to",)).select("message_id", "conversation_id", "user_id")
+    return p.groupBy("user_id").agg(F.count(F.lit(1)).alias("num_messages"),
+                                    F.countDistinct("conversation_id").alias("num_conversations"))
+
+
+@query("participants_minus_sender")
+def q_participants_minus_sender(spark, sf):
+    m = messages_with_neighbors(spark, sf)
+    perms = _nonnull(F.col("prev_sender"), F.col("sender"), F.col("next_sender"))
+    others = without_sender(perms, F.col("sender"))
+    return m.select("conversation_id", "turn", F.array_join(others, ",").alias("participants"),
+                    F.size(others).cast("bigint").alias("n_participants"))
+
+
+@query("recipients_merge")
+def q_recipients_merge(spark, sf):
+    m = messages_with_neighbors(spark, sf)
+    rec = F.array_distinct(recipients_merge(_nonnull(F.col("prev_sender")),
+                                            _nonnull(F.col("next_sender"), F.col("sender")), F.col("sender")))
+    return m.select("conversation_id", "turn", F.array_join(rec, ",").alias("recipients"),
+                    F.size(rec).cast("bigint").alias("n_recipients"))
+
+
+@query("mention_suffix")
+def q_mention_suffix(spark, sf):
+    m = messages_with_neighbors(spark, sf)
+    mentions = F.when(synth.coin(F.col("message_id"), salt="mention"),
+                      _nonnull(F.col("prev_sender"), F.col("next_sender"))).otherwise(F.array().cast("array<string>"))
+    return m.select("conversation_id", "turn", append_mentions(F.col("body"), mentions).alias("comment"))

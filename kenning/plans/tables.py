@@ -18,3 +18,19 @@ def event_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("event_type").alias("category"),
                      F.get_json_object("props", "$.k").alias("value"),
                      "ts")
+
+
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conversations as messages: conversation = conv_id, order = turn, sender = role."""
+    c = table(spark, sf_dir, "conversations")
+    return c.select(F.col("conv_id").cast("string").alias("conversation_id"), "turn",
+                    F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("message_id"),
+                    F.col("role").alias("sender"), F.col("text").alias("body"))
+
+
+def messages_with_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """messages plus the sender of the previous and of the next turn."""
+    from kenning.operators.relational import neighbors
+    m = messages(spark, sf_dir)
+    nb = neighbors(m, "conversation_id", "turn", "sender")
+    return m.join(nb, on=["conversation_id", "turn"], how="inner")
