@@ -182,3 +182,107 @@ ORACLE["mention_suffix"] = (
     f"WITH {MSG}, {NB} SELECT conversation_id, turn, body || coalesce(array_to_string(list_transform("
     f"CASE WHEN {hash_int_sql('message_id', salt='mention')} % 2 = 1 THEN {nonnull_sql('prev_sender', 'next_sender')} "
     "ELSE [] END, lambda x: '@' || x || ' '), ''), '') AS comment FROM nb")
+
+
+# ---------------------------------------------------------------- text
+def _q(s):
+    return "'" + s.replace("'", "''") + "'"
+
+
+STOPS_SQL = "[" + ", ".join(_q(s) for s in config.STOPWORDS) + "]"
+WS = r"[ \t\n\x0B\f\r]"
+TP = r"[\p{L}\p{N}_]+|[^ \t\n\x0B\f\r\p{L}\p{N}_]"
+TWP = r"([ \t\n\x0B\f\r]*)([\p{L}\p{N}_]+|[^ \t\n\x0B\f\r\p{L}\p{N}_])"
+MP = config.MAIL_PATTERN_WIDE
+TEXTS = ("tx AS (SELECT 'doc' AS source, doc_id AS id, text FROM documents UNION ALL "
+         "SELECT 'page' AS source, page_id AS id, html AS text FROM pages)")
+MAILS = (f"mx AS (SELECT DISTINCT source, id, value, 'EMAIL' AS category FROM (SELECT source, id, "
+         f"unnest(regexp_extract_all(text, '{MP}', 0)) AS value FROM tx))")
+
+
+def split_sql(x):
+    return f"list_filter(regexp_split_to_array({x}, '{WS}+'), lambda w: w <> '')"
+
+
+ORACLE["clean_text"] = (
+    f"SELECT doc_id, regexp_replace(array_to_string(list_filter({split_sql(chr(116) + 'ranslate(lower(text), ' + _q('<>') + ', ' + _q('  ') + ')')}, "
+    f"lambda w: NOT list_contains({STOPS_SQL}, lower(w))), ' '), 'http[^ ]+', '', 'g') AS clean FROM documents")
+ORACLE["html_strip_brackets"] = "SELECT page_id, translate(html, '<>', '  ') AS text FROM pages"
+ORACLE["extract_mails"] = f"WITH {TEXTS}, {MAILS} SELECT * FROM mx"
+ORACLE["known_mails"] = (f"WITH {TEXTS}, {MAILS} SELECT id AS doc_id, value FROM mx WHERE source = 'doc' AND "
+                         "value IN (SELECT value FROM mx WHERE source = 'page')")
+ORACLE["name_tokens"] = (
+    f"WITH {TEXTS}, {MAILS}, v AS (SELECT DISTINCT value FROM mx), "
+    f"t AS (SELECT value, {split_sql(chr(114) + 'eplace(split_part(value, ' + _q('@') + ', 1), ' + _q('.') + ', ' + _q(' ') + ')')} AS l FROM v) "
+    "SELECT value, array_to_string(l, ',') AS tokens, CAST(len(l) AS BIGINT) AS n_tokens FROM t")
+
+
+def expand_phrase(phrase):
+    """Expand '{a|b}' alternatives and 'w?' optional words (oracle side)."""
+    out = [[]]
+    for w in phrase.split():
+        opt = w.endswith("?")
+        core = w[:-1] if opt else w
+        alts = core[1:-1].split("|") if core.startswith("{") and core.endswith("}") else [core]
+        if opt:
+            alts = alts + [""]
+        out = [a + ([x] if x else []) for a in out for x in alts]
+    seen, res = set(), []
+    for o in out:
+        k = " ".join(o)
+        if k and k not in seen:
+            seen.add(k)
+            res.append(k)
+    return res
+
+
+def gazetteer_sql(rows):
+    vals = []
+    for cat, phrase, canon, cs, ver, pri in rows:
+        for p in expand_phrase(phrase):
+            c = canon if canon is not None else phrase.lower()
+            vals.append(f"({_q(cat)}, {_q(p)}, {_q(c)}, {str(bool(cs)).upper()}, {str(bool(ver)).upper()}, {pri})")
+    return ("gz(category, phrase, canonical, case_sensitive, versioned, priority) AS (VALUES " + ", ".join(vals) + "), "
+            f"gk AS (SELECT *, array_to_string(regexp_extract_all(phrase, '{TP}', 0), ' ') AS exact, "
+            f"len(regexp_extract_all(phrase, '{TP}', 0)) AS n FROM gz), "
+            "keys AS (SELECT DISTINCT 'x' AS kind, lower(exact) AS key, exact, n, category, canonical, case_sensitive, "
+            "priority FROM gk WHERE n > 0 UNION SELECT DISTINCT 'v', lower(exact), exact, n, category, canonical, FALSE, "
+            "priority FROM gk WHERE versioned AND n = 1)")
+
+
+def matches_sql(rows, max_n=3):
+    grams = ", ".join(f"({i})" for i in range(1, max_n + 1))
+    return (
+        f"{gazetteer_sql(rows)}, "
+        f"d AS (SELECT doc_id, regexp_extract_all(text, '{TWP}', 2) AS t, regexp_extract_all(text, '{TWP}', 1) AS w "
+        "FROM documents), "
+        "p AS (SELECT doc_id, t, w, unnest(generate_series(1, len(t))) AS i FROM d WHERE len(t) > 0), "
+        "g AS (SELECT doc_id, i AS start, n, array_to_string(t[i:i+n-1], ' ') AS exact, "
+        "array_to_string(list_transform(generate_series(i, i+n-1), lambda j: CASE WHEN j > i THEN w[j] ELSE '' END || t[j]), '') AS value, "
+        "CASE WHEN n = 1 THEN nullif(regexp_extract(lower(t[i]), '^(.*[^0-9])[0-9]+$', 1), '') "
+        "WHEN n = 2 AND regexp_matches(t[i+1], '^[0-9]+$') THEN lower(t[i]) END AS vkey "
+        f"FROM p, (VALUES {grams}) nn(n) WHERE i + n - 1 <= len(t)), "
+        "probe AS (SELECT doc_id, start, n, exact, value, 'x' AS kind, lower(exact) AS key FROM g "
+        "UNION ALL SELECT doc_id, start, n, exact, value, 'v', vkey FROM g WHERE vkey IS NOT NULL), "
+        "mt AS (SELECT DISTINCT probe.doc_id, probe.start, probe.n AS n_tokens, keys.category, keys.canonical, "
+        "keys.priority, probe.value FROM probe JOIN keys ON probe.kind = keys.kind AND probe.key = keys.key "
+        "WHERE NOT keys.case_sensitive OR probe.exact = keys.exact)")
+
+
+def _gaz_rows():
+    from kenning.plans.standins import STANDIN_GAZETTEER
+    return STANDIN_GAZETTEER
+
+
+ORACLE["gazetteer_matches"] = f"WITH {matches_sql(_gaz_rows())} SELECT * FROM mt"
+
+ORACLE["self_mention_filter"] = (
+    "WITH r AS (SELECT doc_id, regexp_extract_all(lower(text), '\\p{L}+', 0) AS words, "
+    f"unnest(list_filter(regexp_extract_all(text, '{MP}', 0), lambda x, i: list_position(regexp_extract_all(text, '{MP}', 0), x) = i)) AS mail FROM documents), "
+    f"o AS (SELECT *, list_transform({split_sql(chr(114) + 'eplace(split_part(mail, ' + _q('@') + ', 1), ' + _q('.') + ', ' + _q(' ') + ')')}, "
+    "lambda t: rtrim(lower(t))) AS own FROM r) "
+    "SELECT doc_id, mail, CAST(len(words) AS BIGINT) AS n_words, "
+    "CAST(len(list_filter(words, lambda x: NOT len(list_filter(own, lambda y: starts_with(x, y))) > 0)) AS BIGINT) AS n_kept FROM o")
+
+ORACLE["title_case"] = ("SELECT p_partkey, " + TITLE.format(x="p_name || '-' || p_brand || ' ' || p_type")
+                        + " AS title FROM part")

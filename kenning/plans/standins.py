@@ -203,3 +203,130 @@ def q_mention_suffix(spark, sf):
     mentions = F.when(synth.coin(F.col("message_id"), salt="mention"),
                       _nonnull(F.col("prev_sender"), F.col("next_sender"))).otherwise(F.array().cast("array<string>"))
     return m.select("conversation_id", "turn", append_mentions(F.col("body"), mentions).alias("comment"))
+
+
+# ---------------------------------------------------------------- text: cleaning, addresses, dictionary entities
+
+from kenning.functions.text import clean_content, extract_mails, lower_clean_body, name_tokens, strip_brackets  # noqa: E402,F811
+from kenning.operators import extract as ext  # noqa: E402
+from kenning.operators import gazetteer as gz  # noqa: E402
+
+# Stand-in dictionary over the invented prose of ``documents``: frequent words
+# and word pairs per category, with overlaps (a pair and its words), one
+# phrase in two categories, a case-sensitive rule, alternatives, an optional
+# word, punctuation phrases and a versioned name.
+STANDIN_GAZETTEER = (
+    # category, phrase, canonical, case_sensitive, versioned, priority
+    ("PROG_SCRIPT_LANG", "c++", None, False, False, 1),
+    ("PROG_SCRIPT_LANG", "c#", None, False, False, 1),
+    ("PROG_SCRIPT_LANG", "objective-c", None, False, False, 1),
+    ("PROG_SCRIPT_LANG", "que", None, False, False, 1),
+    ("PROG_SCRIPT_LANG", "{les|el}", None, False, False, 1),
+    ("PROG_SCRIPT_LANG", "the the", None, False, False, 1),
+    ("TOPICS", "orantion", None, False, False, 2),
+    ("TOPICS", "inoran", None, False, False, 2),
+    ("TOPICS", "thatin", None, False, False, 2),
+    ("TOPICS", "ononst", None, False, False, 2),
+    ("TOPICS", "orre", None, False, False, 2),
+    ("TOPICS", "attion", None, False, False, 2),
+    ("TOPICS", "thanedble", None, False, False, 2),
+    ("TOPICS", "eriner thanea", None, False, False, 2),
+    ("PEOPLE", "hehely hehely", None, False, False, 3),
+    ("PEOPLE", "rewh", None, False, False, 3),
+    ("PEOPLE", "Der", "der", True, False, 3),
+    ("PEOPLE", "inoran inoran", None, False, False, 3),
+    ("COMPONENTS", "orre orre", None, False, False, 4),
+    ("COMPONENTS", "orantion orantion", None, False, False, 4),
+    ("COMPONENTS", "{of|in} the", None, False, False, 4),
+    ("COMPONENTS", "and the", None, False, False, 4),
+    ("COMPONENTS", "la de", None, False, False, 4),
+    ("OS", "mail", None, False, True, 5),
+    ("OS", "windows", None, False, True, 5),
+    ("OS", "example.com", None, False, False, 5),
+    ("TEAMS", "der", None, False, False, 6),
+    ("TEAMS", "{die|das|den}", None, False, False, 6),
+    ("TEAMS", "und", None, False, False, 6),
+    ("TEAMS", "von", None, False, False, 6),
+    ("CLOUD_PLATFORMS", "the of", None, False, False, 7),
+    ("CLOUD_PLATFORMS", "de la", None, False, False, 7),
+    ("COMMUNICATION_TECH_PLATFORMS", "attion to?", None, False, False, 8),
+    ("COMMUNICATION_TECH_PLATFORMS", "thanedble the", None, False, False, 8),
+)
+
+
+def standin_gazetteer(spark):
+    return gz.from_rows(spark, STANDIN_GAZETTEER)
+
+
+def _doc_and_page_text(spark, sf):
+    d = table(spark, sf, "documents").select(F.lit("doc").alias("source"), F.col("doc_id").alias("id"), "text")
+    p = table(spark, sf, "pages").select(F.lit("page").alias("source"), F.col("page_id").alias("id"),
+                                          F.col("html").alias("text"))
+    return d.unionByName(p)
+
+
+@query("clean_text")
+def q_clean_text(spark, sf):
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", clean_content(lower_clean_body(F.col("text"))).alias("clean"))
+
+
+@query("html_strip_brackets")
+def q_html_strip(spark, sf):
+    return table(spark, sf, "pages").select("page_id", strip_brackets(F.col("html")).alias("text"))
+
+
+@query("extract_mails")
+def q_extract_mails(spark, sf):
+    return _extract_mails(_doc_and_page_text(spark, sf))
+
+
+def _extract_mails(t):
+    return (t.select("source", "id", F.explode(extract_mails(F.col("text"))).alias("value"))
+            .withColumn("category", F.lit("EMAIL")))
+
+
+@query("known_mails")
+def q_known_mails(spark, sf):
+    """JN-3: addresses found in documents that are known from the pages."""
+    d = table(spark, sf, "documents")
+    known = _extract_mails(_doc_and_page_text(spark, sf).filter(F.col("source") == "page")) \
+        .select(F.col("value").alias("address"))
+    return ext.mail_entities(d, known=known).select("doc_id", "value")
+
+
+@query("name_tokens")
+def q_name_tokens(spark, sf):
+    mails = _extract_mails(_doc_and_page_text(spark, sf)).select("value").distinct()
+    toks = name_tokens(F.col("value"))
+    return mails.select("value", F.array_join(toks, ",").alias("tokens"), F.size(toks).cast("bigint").alias("n_tokens"))
+
+
+@query("gazetteer_matches")
+def q_gazetteer_matches(spark, sf):
+    return ext.match(table(spark, sf, "documents"), standin_gazetteer(spark))
+
+
+@query("longest_spans")
+def q_longest_spans(spark, sf):
+    return ext.entities(table(spark, sf, "documents"), standin_gazetteer(spark))
+
+
+@query("self_mention_filter")
+def q_self_mention_filter(spark, sf):
+    """NER-9: users = addresses found in a document, mentions = its words; a
+    mention is dropped when it starts with one of the user's own name words."""
+    d = table(spark, sf, "documents")
+    words = F.regexp_extract_all(F.lower(F.col("text")), F.lit(r"\p{L}+"), 0)
+    rows = d.select("doc_id", words.alias("words"), F.explode(extract_mails(F.col("text"))).alias("mail"))
+    own = F.transform(name_tokens(F.col("mail")), lambda t: F.rtrim(F.lower(t)))
+    kept = F.filter(F.col("words"), lambda w: ~F.exists(own, lambda o: F.startswith(w, o)))
+    return rows.select("doc_id", "mail", F.size("words").cast("bigint").alias("n_words"),
+                       F.size(kept).cast("bigint").alias("n_kept"))
+
+
+@query("title_case")
+def q_title_case(spark, sf):
+    p = table(spark, sf, "part")
+    return p.select("p_partkey", title_case(F.concat(F.col("p_name"), F.lit("-"), F.col("p_brand"), F.lit(" "),
+                                                     F.col("p_type"))).alias("title"))
