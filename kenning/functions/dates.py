@@ -51,8 +51,9 @@ def shift_after(comment_ts, received_ts) -> Column:
 
     ``comment + (floor(days(received - comment)) + 1) days``; null when either is null.
     """
-    diff_days = F.floor((F.unix_micros(_c(received_ts)) - F.unix_micros(_c(comment_ts))) / F.lit(86400000000.0))
-    return F.timestamp_add("DAY", (diff_days + 1).cast("int"), _c(comment_ts))
+    r, c = _c(received_ts).cast("timestamp"), _c(comment_ts).cast("timestamp")
+    diff_days = F.floor((F.unix_micros(r) - F.unix_micros(c)) / F.lit(86400000000.0))
+    return F.timestamp_add("DAY", (diff_days + 1).cast("int"), c)
 
 
 def days_since(day, as_of: _dt.date) -> Column:

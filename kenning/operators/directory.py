@@ -167,3 +167,25 @@ def resolve_mails(mails: DataFrame, directory: DataFrame, known_addresses: DataF
         F.when(long_enough & F.col("_id").isNotNull(), F.col("_id")).otherwise(F.col(mail)).alias("mail_id"),
         F.when(long_enough & F.col("_id").isNotNull(), title_case(F.col("_nm")))
          .when(F.col("_known"), title_case(F.array_join(name_tokens(F.col(mail)), " "))).alias("mail_display"))
+
+
+def list_with_directory(df: DataFrame, key, list_col, directory: DataFrame, email="email", out="entries") -> DataFrame:
+    """ARR-4/ARR-5 support: look every element of a list up in a directory
+    (email, user_id, display) and give back, per ``key``, the list as an array of
+    structs (email, user_id, display) in the original order.
+
+    The list is exploded with its positions, joined to the directory by
+    equality (shuffle or runtime broadcast, chosen by the planner) and put back
+    together per key; one key's work is bounded by its own list."""
+    e = df.select(key, F.posexplode(F.col(list_col)).alias("_pos", email))
+    d = directory.select(email, "user_id", "display")
+    j = e.join(d, on=email, how="left")
+    back = (j.groupBy(key)
+            .agg(F.array_sort(F.collect_list(F.struct("_pos", email, "user_id", "display"))).alias("_l")))
+    return back.select(key, F.transform("_l", lambda s: s.dropFields("_pos")).alias(out))
+
+
+def insert_ids(entries) -> "F.Column":
+    """ARR-4: after each known address its id (unknown addresses stay alone)."""
+    return F.flatten(F.transform(entries, lambda s: F.when(s["user_id"].isNull(), F.array(s["email"]))
+                                 .otherwise(F.array(s["email"], s["user_id"]))))

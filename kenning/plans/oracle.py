@@ -286,3 +286,135 @@ ORACLE["self_mention_filter"] = (
 
 ORACLE["title_case"] = ("SELECT p_partkey, " + TITLE.format(x="p_name || '-' || p_brand || ' ' || p_type")
                         + " AS title FROM part")
+
+
+# ---------------------------------------------------------------- directory, names and addresses
+def words_sql(x):
+    return f"list_filter(regexp_split_to_array({x}, '{WS}+'), lambda w: w <> '')"
+
+
+ORACLE["name_completion"] = (
+    "WITH pool AS (SELECT DISTINCT p_brand, p_name AS value FROM part UNION SELECT DISTINCT p_brand, "
+    "split_part(p_name, ' ', 1) FROM part), "
+    "m AS (SELECT DISTINCT a.p_brand, a.value, b.value AS y FROM pool a JOIN pool b ON a.p_brand = b.p_brand AND "
+    f"(starts_with(b.value, a.value) OR (len({words_sql('a.value')}) = 1 AND ends_with(b.value, a.value)))), "
+    "mx AS (SELECT p_brand, value, max(length(y)) AS l FROM m GROUP BY ALL) "
+    "SELECT m.p_brand, m.value, array_to_string(list_sort(list_distinct(list(y))), ' ') AS completed "
+    "FROM m JOIN mx USING (p_brand, value) WHERE length(y) = mx.l GROUP BY m.p_brand, m.value")
+
+
+def _aliases_sql():
+    from kenning.plans.standins import STANDIN_ALIASES
+    return ", ".join(f"({_q(a)}, {_q(c)}, {o})" for a, c, o in STANDIN_ALIASES)
+
+
+ORACLE["alias_map"] = (
+    f"WITH a(alias, canonical, ord) AS (VALUES {_aliases_sql()}), "
+    "d AS (SELECT alias, arg_max(canonical, ord) AS canonical FROM a GROUP BY 1) "
+    "SELECT p_partkey, p_name, coalesce(d.canonical, p_name) AS value FROM part LEFT JOIN d ON part.p_name = d.alias")
+
+NAMES = (
+    "names AS (SELECT DISTINCT value FROM (SELECT p_name AS value FROM part UNION ALL SELECT split_part(p_name, ' ', 1) "
+    "FROM part UNION ALL SELECT split_part(p_name, ' ', 2) FROM part UNION ALL SELECT lower(c_mktsegment) FROM customer) "
+    "WHERE value IS NOT NULL), "
+    "dir AS (SELECT 'SUB' || CAST(p_partkey AS VARCHAR) AS sub_id, p_type || ' ' || p_brand AS user_name, p_partkey AS ord "
+    "FROM part), "
+    "known AS (SELECT DISTINCT replace(p_name, ' ', '.') || '@' || lower(replace(p_brand, '#', '')) || '.example.com' "
+    "AS address FROM part), "
+    f"kp AS (SELECT address, list_distinct(list_transform({words_sql(chr(114) + 'eplace(split_part(address, ' + _q('@') + ', 1), ' + _q('.') + ', ' + _q(' ') + ')')}, lambda t: lower(t))) AS parts FROM known), "
+    f"n0 AS (SELECT value, replace(split_part(value, '@', 1), '.', ' ') AS plain FROM names), "
+    f"n AS (SELECT value, plain, lower({words_sql('plain')}[1]) AS w1, lower({words_sql('plain')}[2]) AS w2 FROM n0), "
+    "t1 AS (SELECT n.value, min(dir.ord) AS ord FROM n JOIN dir ON contains(lower(dir.user_name), n.w1) AND "
+    "(n.w2 IS NULL OR contains(lower(dir.user_name), n.w2)) GROUP BY 1), "
+    "t1n AS (SELECT t1.value, dir.sub_id, dir.user_name FROM t1 JOIN dir USING (ord)), "
+    "t2 AS (SELECT n.value, min(kp.address) AS address FROM n JOIN kp ON list_contains(kp.parts, n.w1) AND "
+    "(n.w2 IS NULL OR list_contains(kp.parts, n.w2)) GROUP BY 1), "
+    "res AS (SELECT n.value, coalesce(t1n.sub_id, t2.address, n.plain) AS name_id, "
+    f"CASE WHEN t1n.sub_id IS NOT NULL THEN {TITLE.format(x='t1n.user_name')} "
+    f"WHEN t2.address IS NOT NULL THEN {TITLE.format(x='array_to_string(' + words_sql(chr(114) + 'eplace(split_part(t2.address, ' + _q('@') + ', 1), ' + _q('.') + ', ' + _q(' ') + ')') + ', ' + _q(' ') + ')')} END AS name_display "
+    "FROM n LEFT JOIN t1n USING (value) LEFT JOIN t2 USING (value))")
+ORACLE["name_to_id"] = f"WITH {NAMES} SELECT value, name_id FROM res"
+ORACLE["name_to_display"] = f"WITH {NAMES} SELECT value, name_display FROM res"
+
+MAILRES = (
+    f"{TEXTS}, {MAILS}, mails AS (SELECT DISTINCT value FROM mx), "
+    f"dir0 AS (SELECT unnest({distinct_sql(chr(114) + 'egexp_extract_all(html, ' + _q(MP) + ', 0)')}) AS email_id, "
+    "'PAGE' || CAST(page_id AS VARCHAR) AS sub_id, regexp_extract(url, '://([^/:?#]+)', 1) AS user_name, page_id AS ord "
+    "FROM pages), "
+    "dir AS (SELECT email_id, arg_min(sub_id, ord) AS sub_id, arg_min(user_name, ord) AS user_name FROM dir0 GROUP BY 1), "
+    "known AS (SELECT DISTINCT value AS address FROM mx WHERE source = 'doc'), "
+    "res AS (SELECT m.value, CASE WHEN length(m.value) > 3 AND d.sub_id IS NOT NULL THEN d.sub_id ELSE m.value END AS mail_id, "
+    f"CASE WHEN length(m.value) > 3 AND d.sub_id IS NOT NULL THEN {TITLE.format(x='d.user_name')} "
+    f"WHEN k.address IS NOT NULL THEN {TITLE.format(x='array_to_string(' + words_sql(chr(114) + 'eplace(split_part(m.value, ' + _q('@') + ', 1), ' + _q('.') + ', ' + _q(' ') + ')') + ', ' + _q(' ') + ')')} END AS mail_display "
+    "FROM mails m LEFT JOIN dir d ON d.email_id = m.value LEFT JOIN known k ON k.address = m.value)")
+ORACLE["mail_to_id"] = f"WITH {MAILRES} SELECT value, mail_id FROM res"
+ORACLE["mail_to_name"] = f"WITH {MAILRES} SELECT value, mail_display FROM res"
+
+ORACLE["directory_left_join"] = (
+    f"WITH {MENTIONS}, {COUNTS}, d AS (SELECT CAST(c_custkey AS VARCHAR) AS email_id, 'C' || CAST(c_custkey AS VARCHAR) "
+    "AS sub_id, c_name AS user_name FROM customer WHERE c_acctbal >= 0) "
+    "SELECT c.user_id AS email_id, c.category, c.value, c.frequency, "
+    "'USER_' || coalesce(d.sub_id, c.user_id) AS sub_id, "
+    f"{TITLE.format(x='d.user_name')} AS userName, "
+    "CASE WHEN d.sub_id IS NULL THEN 'EMAIL' ELSE 'COGNITO_SUB' END AS id_type FROM c LEFT JOIN d ON d.email_id = c.user_id")
+
+ORDER_ENTRIES = (
+    "dir AS (SELECT 'customer.' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') || '@example.com' AS email, "
+    "'USER_' || CAST(c_custkey AS VARCHAR) AS user_id, c_name AS display FROM customer WHERE c_acctbal >= 0), "
+    "p0 AS (SELECT o_orderkey, ['customer.' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') || '@example.com', "
+    "'customer.' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') || '@example.com', "
+    "'status.' || lower(o_orderstatus) || '@example.com'] AS l0 FROM orders), "
+    f"p AS (SELECT o_orderkey, {distinct_sql('l0')} AS l FROM p0), "
+    "e AS (SELECT o_orderkey, unnest(l) AS email, unnest(generate_series(1, len(l))) AS pos FROM p), "
+    "j AS (SELECT e.*, dir.user_id, dir.display FROM e LEFT JOIN dir USING (email))")
+ORACLE["permissions_expand"] = (
+    f"WITH {ORDER_ENTRIES} SELECT o_orderkey, string_agg(CASE WHEN user_id IS NULL THEN email ELSE email || ',' || user_id "
+    "END, ',' ORDER BY pos) AS permissions FROM j GROUP BY 1")
+ORACLE["user_structs"] = (
+    f"WITH {ORDER_ENTRIES} SELECT o_orderkey, string_agg(coalesce(user_id, '') || '|' || coalesce(display, '') || '|' || "
+    "email, ';' ORDER BY pos) AS users, CAST(count(*) FILTER (WHERE user_id IS NULL) AS BIGINT) AS n_unknown FROM j GROUP BY 1")
+
+# ---------------------------------------------------------------- dates, nulls, counts, dictionaries, pseudonyms
+ORACLE["date_clean"] = (
+    "WITH raw AS (SELECT 'orders' AS source, o_orderkey AS k1, 0 AS k2, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS raw "
+    "FROM orders UNION ALL SELECT 'lineitem', l_orderkey, l_linenumber, strftime(l_shipdate, '%d %b %Y') FROM lineitem "
+    "UNION ALL SELECT 'priority', o_orderkey, 0, o_orderpriority FROM orders) "
+    "SELECT source, k1, k2, raw, strftime(try_strptime(raw, ['%Y-%m-%d %H:%M:%S', '%d %b %Y']), '%Y-%m-%dT%H:%M:%SZ') "
+    "AS clean FROM raw")
+ORACLE["date_shift"] = (
+    "WITH f AS (SELECT user_id, min(ts) AS received FROM events GROUP BY 1) "
+    "SELECT e.event_id, strftime(e.ts + to_days(CAST(floor((epoch_us(f.received) - epoch_us(e.ts)) / 86400000000.0) "
+    "AS INTEGER) + 1), '%Y-%m-%dT%H:%M:%SZ') AS shifted FROM events e JOIN f USING (user_id)")
+ORACLE["iso_valid"] = (
+    "WITH raw AS (SELECT o_orderkey, 'plain' AS form, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS raw FROM orders "
+    "UNION ALL SELECT o_orderkey, 'zulu', strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') FROM orders "
+    "UNION ALL SELECT o_orderkey, 'broken', strftime(o_orderdate, '%Y-%m-%dT:%H:%M:%S') FROM orders) "
+    f"SELECT *, coalesce(regexp_matches(raw, {_q(config.ISO8601_PATTERN)}), false) AS valid FROM raw")
+DL = "dl AS (SELECT d.*, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id))"
+ORACLE["null_profile"] = (
+    f"WITH {DL} SELECT count(*) AS n_rows, count(*) FILTER (WHERE quality IS NULL) AS null_quality, "
+    "count(*) FILTER (WHERE toxic IS NULL) AS null_toxic, count(*) FILTER (WHERE lang IS NULL) AS null_lang, "
+    "count(*) FILTER (WHERE source IS NULL) AS null_source FROM dl")
+ORACLE["fill_from_column"] = (
+    f"WITH {DL} SELECT doc_id, coalesce(quality, 0) AS quality, coalesce(toxic, quality, 0) AS toxic FROM dl")
+ORACLE["value_counts"] = (
+    "SELECT lang AS value, count(*) AS n, 'lang' AS \"column\" FROM documents GROUP BY 1 UNION ALL "
+    "SELECT o_orderpriority, count(*), 'o_orderpriority' FROM orders GROUP BY 1")
+ORACLE["distinct_values"] = (
+    "SELECT count(DISTINCT lang) AS n_distinct, 'lang' AS \"column\" FROM documents UNION ALL "
+    "SELECT count(DISTINCT source), 'source' FROM documents UNION ALL SELECT count(DISTINCT o_custkey), 'o_custkey' FROM orders")
+ORACLE["minmax_scale"] = (
+    "WITH s AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders) "
+    f"SELECT o_orderkey, round({_mm('o_totalprice', 'lo', 'hi')}, 6) AS scaled01, "
+    f"round({_mm('o_totalprice', 'lo', 'hi', 0.1)}, 6) AS scaled0110 FROM orders, s")
+ORACLE["dict_overlay"] = (
+    "WITH o AS (SELECT c_nationkey AS nationkey, arg_max(c_name, c_custkey) AS name FROM customer GROUP BY 1), "
+    "n AS (SELECT s_nationkey AS nationkey, arg_max(s_name, s_suppkey) AS name FROM supplier GROUP BY 1) "
+    "SELECT coalesce(o.nationkey, n.nationkey) AS nationkey, coalesce(n.name, o.name) AS name, "
+    "CASE WHEN n.name IS NOT NULL THEN 'new' ELSE 'old' END AS origin FROM o FULL OUTER JOIN n USING (nationkey)")
+_TEAMS = "[" + ", ".join(_q(t) for t in config.TEAM_NAMES) + "]"
+ORACLE["pseudo_ids"] = (
+    f"WITH seg AS (SELECT c_mktsegment, {_TEAMS}[CAST(dense_rank() OVER (ORDER BY c_mktsegment) AS INTEGER)] AS team_name "
+    "FROM (SELECT DISTINCT c_mktsegment FROM customer WHERE c_mktsegment IS NOT NULL)) "
+    "SELECT c_custkey, CAST(c_custkey AS VARCHAR) || substr(sha256('id|' || CAST(c_custkey AS VARCHAR)), 1, 8) AS pseudo_id, "
+    "c_mktsegment, team_name, substr(sha256('team|' || team_name), 1, 12) AS team_id FROM customer LEFT JOIN seg USING (c_mktsegment)")

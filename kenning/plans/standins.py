@@ -330,3 +330,225 @@ def q_title_case(spark, sf):
     p = table(spark, sf, "part")
     return p.select("p_partkey", title_case(F.concat(F.col("p_name"), F.lit("-"), F.col("p_brand"), F.lit(" "),
                                                      F.col("p_type"))).alias("title"))
+
+
+# ---------------------------------------------------------------- directory, names and addresses
+
+from kenning.functions.dates import date_clean, format_out, shift_after  # noqa: E402
+from kenning.functions.text import is_iso8601  # noqa: E402
+from kenning.operators import directory as dirops  # noqa: E402
+
+# Alias dictionary for part names (alias, canonical, file order); the repeated
+# key shows that the later entry wins, as in a Python dict.
+STANDIN_ALIASES = (
+    ("small ring", "ring", 1),
+    ("red widget", "widget", 2),
+    ("blue bolt", "bolt", 3),
+    ("red widget", "gadget", 4),
+    ("old anvil", "anvil", 5),
+)
+
+
+@query("name_completion")
+def q_name_completion(spark, sf):
+    """ARR-10 per brand over the part names and their first words."""
+    p = table(spark, sf, "part")
+    pool = (p.select("p_brand", F.col("p_name").alias("value"))
+            .unionByName(p.select("p_brand", F.split_part(F.col("p_name"), F.lit(" "), F.lit(1)).alias("value"))))
+    return dirops.complete_names(pool, ["p_brand"], "value", out="completed")
+
+
+@query("alias_map")
+def q_alias_map(spark, sf):
+    a = spark.createDataFrame(list(STANDIN_ALIASES), "alias string, canonical string, ord int")
+    d = rel.dictionary(a, "alias", "canonical", "ord")
+    p = table(spark, sf, "part").select("p_partkey", "p_name", F.col("p_name").alias("value"))
+    return dirops.apply_aliases(p, F.broadcast(d), value="value")
+
+
+def _names_and_directory(spark, sf):
+    p = table(spark, sf, "part")
+    names = (p.select(F.col("p_name").alias("value"))
+             .unionByName(p.select(F.split_part("p_name", F.lit(" "), F.lit(1)).alias("value")))
+             .unionByName(p.select(F.split_part("p_name", F.lit(" "), F.lit(2)).alias("value")))
+             .unionByName(table(spark, sf, "customer").select(F.lower("c_mktsegment").alias("value"))))
+    directory = p.select(F.concat(F.lit("SUB"), F.col("p_partkey").cast("string")).alias("sub_id"),
+                         F.concat_ws(" ", "p_type", "p_brand").alias("user_name"), F.col("p_partkey").alias("ord"))
+    known = p.select(F.concat(F.replace("p_name", F.lit(" "), F.lit(".")), F.lit("@"),
+                              F.lower(F.replace("p_brand", F.lit("#"), F.lit(""))), F.lit(".example.com"))
+                     .alias("address")).distinct()
+    return dirops.resolve_names(names, directory, known)
+
+
+@query("name_to_id")
+def q_name_to_id(spark, sf):
+    return _names_and_directory(spark, sf).select("value", "name_id")
+
+
+@query("name_to_display")
+def q_name_to_display(spark, sf):
+    return _names_and_directory(spark, sf).select("value", "name_display")
+
+
+def _mails_resolved(spark, sf):
+    t = _doc_and_page_text(spark, sf)
+    mails = _extract_mails(t)
+    pages = table(spark, sf, "pages")
+    directory = (pages.select(F.explode(extract_mails(F.col("html"))).alias("email_id"),
+                              F.concat(F.lit("PAGE"), F.col("page_id").cast("string")).alias("sub_id"),
+                              F.regexp_extract("url", r"://([^/:?#]+)", 1).alias("user_name"),
+                              F.col("page_id").alias("ord")))
+    known = mails.filter(F.col("source") == "doc").select(F.col("value").alias("address"))
+    return dirops.resolve_mails(mails.select("value"), directory, known)
+
+
+@query("mail_to_id")
+def q_mail_to_id(spark, sf):
+    return _mails_resolved(spark, sf).select("value", "mail_id")
+
+
+@query("mail_to_name")
+def q_mail_to_name(spark, sf):
+    return _mails_resolved(spark, sf).select("value", "mail_display")
+
+
+def _customer_directory(spark, sf):
+    c = table(spark, sf, "customer").filter(F.col("c_acctbal") >= 0)
+    return c
+
+
+@query("directory_left_join")
+def q_directory_left_join(spark, sf):
+    prof_rows = prof.mention_counts(event_mentions(spark, sf)).withColumnRenamed("user_id", "email_id")
+    c = _customer_directory(spark, sf)
+    d = c.select(F.col("c_custkey").cast("string").alias("email_id"),
+                 F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("sub_id"),
+                 F.col("c_name").alias("user_name"), F.col("c_custkey").alias("ord"))
+    return dirops.directory_join(prof_rows, d)
+
+
+def _customer_address(k):
+    return F.concat(F.lit("customer."), F.lpad(k.cast("string"), 9, "0"), F.lit("@example.com"))
+
+
+def _order_entries(spark, sf):
+    o = table(spark, sf, "orders")
+    a = _customer_address(F.col("o_custkey"))
+    perms = F.array_distinct(F.array(a, a, F.concat(F.lit("status."), F.lower("o_orderstatus"), F.lit("@example.com"))))
+    c = _customer_directory(spark, sf)
+    d = c.select(_customer_address(F.col("c_custkey")).alias("email"),
+                 F.concat(F.lit("USER_"), F.col("c_custkey").cast("string")).alias("user_id"),
+                 F.col("c_name").alias("display"))
+    return dirops.list_with_directory(o.select("o_orderkey", perms.alias("perms")), "o_orderkey", "perms", d)
+
+
+@query("permissions_expand")
+def q_permissions_expand(spark, sf):
+    e = _order_entries(spark, sf)
+    return e.select("o_orderkey", F.array_join(dirops.insert_ids(F.col("entries")), ",").alias("permissions"))
+
+
+@query("user_structs")
+def q_user_structs(spark, sf):
+    e = _order_entries(spark, sf)
+    txt = F.transform("entries", lambda s: F.concat_ws("|", F.coalesce(s["user_id"], F.lit("")),
+                                                          F.coalesce(s["display"], F.lit("")), s["email"]))
+    return e.select("o_orderkey", F.array_join(txt, ";").alias("users"),
+                    F.size(F.filter("entries", lambda s: s["user_id"].isNull())).cast("bigint").alias("n_unknown"))
+
+
+# ---------------------------------------------------------------- dates, nulls, counts, dictionaries, pseudonyms
+
+@query("date_clean")
+def q_date_clean(spark, sf):
+    o = table(spark, sf, "orders")
+    li = table(spark, sf, "lineitem")
+    raw = (o.select(F.lit("orders").alias("source"), F.col("o_orderkey").alias("k1"), F.lit(0).cast("int").alias("k2"),
+                    F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("raw"))
+           .unionByName(li.select(F.lit("lineitem").alias("source"), F.col("l_orderkey").alias("k1"),
+                                  F.col("l_linenumber").alias("k2"),
+                                  F.date_format("l_shipdate", "dd MMM yyyy").alias("raw")))
+           .unionByName(o.select(F.lit("priority").alias("source"), F.col("o_orderkey").alias("k1"),
+                                 F.lit(0).cast("int").alias("k2"), F.col("o_orderpriority").alias("raw"))))
+    return raw.withColumn("clean", date_clean(F.col("raw")))
+
+
+@query("date_shift")
+def q_date_shift(spark, sf):
+    """DT-2 on events: each event (the comment) is moved to fall within a day
+    after the user's first event (the mail)."""
+    ev = table(spark, sf, "events")
+    first = ev.groupBy("user_id").agg(F.min("ts").alias("received"))
+    j = ev.select("event_id", "user_id", "ts").join(first, on="user_id")
+    return j.select("event_id", format_out(shift_after(F.col("ts"), F.col("received"))).alias("shifted"))
+
+
+@query("iso_valid")
+def q_iso_valid(spark, sf):
+    o = table(spark, sf, "orders")
+    forms = {"plain": "yyyy-MM-dd'T'HH:mm:ss", "zulu": "yyyy-MM-dd'T'HH:mm:ss'Z'", "broken": "yyyy-MM-dd'T':HH:mm:ss"}
+    parts = [o.select("o_orderkey", F.lit(k).alias("form"), F.date_format("o_orderdate", f).alias("raw"))
+             for k, f in forms.items()]
+    raw = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return raw.withColumn("valid", is_iso8601(F.col("raw")))
+
+
+def _docs_labels(spark, sf):
+    return table(spark, sf, "documents").join(table(spark, sf, "labels"), on="doc_id", how="left")
+
+
+@query("null_profile")
+def q_null_profile(spark, sf):
+    return rel.null_counts(_docs_labels(spark, sf), ["quality", "toxic", "lang", "source"])
+
+
+@query("fill_from_column")
+def q_fill_from_column(spark, sf):
+    d = _docs_labels(spark, sf).select("doc_id", "quality", "toxic")
+    return (d.withColumn("toxic", F.coalesce(F.col("toxic"), F.col("quality")))
+            .fillna(0, subset=["quality", "toxic"]))
+
+
+@query("value_counts")
+def q_value_counts(spark, sf):
+    d = rel.value_counts(table(spark, sf, "documents").select(F.col("lang").alias("value")), "value")
+    o = rel.value_counts(table(spark, sf, "orders").select(F.col("o_orderpriority").alias("value")), "value")
+    return d.withColumn("column", F.lit("lang")).unionByName(o.withColumn("column", F.lit("o_orderpriority")))
+
+
+@query("distinct_values")
+def q_distinct_values(spark, sf):
+    d = table(spark, sf, "documents")
+    o = table(spark, sf, "orders")
+    parts = [d.agg(F.countDistinct("lang").alias("n_distinct")).withColumn("column", F.lit("lang")),
+             d.agg(F.countDistinct("source").alias("n_distinct")).withColumn("column", F.lit("source")),
+             o.agg(F.countDistinct("o_custkey").alias("n_distinct")).withColumn("column", F.lit("o_custkey"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("minmax_scale")
+def q_minmax_scale(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    s = scoring.minmax_scale(scoring.minmax_scale(o, "o_totalprice", "scaled01"), "o_totalprice", "scaled0110", 0.1)
+    return s.select("o_orderkey", F.round("scaled01", 6).alias("scaled01"), F.round("scaled0110", 6).alias("scaled0110"))
+
+
+@query("dict_overlay")
+def q_dict_overlay(spark, sf):
+    old = rel.dictionary(table(spark, sf, "customer").select(F.col("c_nationkey").alias("nationkey"),
+                                                            F.col("c_name").alias("name"), F.col("c_custkey").alias("ord")),
+                         "nationkey", "name", "ord")
+    new = rel.dictionary(table(spark, sf, "supplier").select(F.col("s_nationkey").alias("nationkey"),
+                                                            F.col("s_name").alias("name"), F.col("s_suppkey").alias("ord")),
+                         "nationkey", "name", "ord")
+    return rel.overlay(old, new, "nationkey", "name")
+
+
+@query("pseudo_ids")
+def q_pseudo_ids(spark, sf):
+    c = table(spark, sf, "customer")
+    teams = synth.pseudonym_map(c, "c_mktsegment", config.TEAM_NAMES, out="team_name")
+    return (c.join(teams, on="c_mktsegment", how="left")
+            .select("c_custkey", synth.keyed_id(F.col("c_custkey"), 8, "id").alias("pseudo_id"), "c_mktsegment",
+                    "team_name",
+                    F.substring(F.sha2(F.concat(F.lit("team|"), F.col("team_name")), 256), 1, 12).alias("team_id")))
