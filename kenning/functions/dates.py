@@ -12,18 +12,20 @@ from kenning import config
 __all__ = ["DATE_FORMATS", "parse_any_date", "format_out", "shift_after", "days_since", "date_clean"]
 
 # Formats tried in order by parse_any_date (DT-1); the original used a
-# free-form parser, this is the listed set that replaces it.
+# free-form parser, this is the listed set that replaces it. Each format comes
+# with a cheap shape test, so a value is only handed to the parsers whose
+# shape it has (a failed parse is far more expensive than a regex test).
 DATE_FORMATS = (
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX",
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]'Z'",
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd",
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy",
-    "dd MMM yyyy",
-    "MMM d, yyyy",
-    "yyyy/MM/dd",
+    (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?[+-]\d{2}:\d{2}$", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"),
+    (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?Z$", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]'Z'"),
+    (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?$", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"),
+    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?$", "yyyy-MM-dd HH:mm:ss[.SSSSSS]"),
+    (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
+    (r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}:\d{2}$", "MM/dd/yyyy HH:mm:ss"),
+    (r"^\d{2}/\d{2}/\d{4}$", "MM/dd/yyyy"),
+    (r"^\d{2} [A-Za-z]{3} \d{4}$", "dd MMM yyyy"),
+    (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
+    (r"^\d{4}/\d{2}/\d{2}$", "yyyy/MM/dd"),
 )
 
 
@@ -33,7 +35,7 @@ def _c(c) -> Column:
 
 def parse_any_date(c, formats=DATE_FORMATS) -> Column:
     """First format that parses; null when none does (the tolerant form)."""
-    return F.coalesce(*[F.try_to_timestamp(_c(c), F.lit(f)) for f in formats])
+    return F.coalesce(*[F.when(_c(c).rlike(shape), F.try_to_timestamp(_c(c), F.lit(f))) for shape, f in formats])
 
 
 def format_out(ts) -> Column:

@@ -16,8 +16,11 @@ __all__ = [
 
 # ASCII white space, written out so Java and other regex engines agree.
 WS_CLASS = r"[ \t\n\x0B\f\r]"
-# Token rule: runs of letters, digits and '_', or one other non-blank character.
-TOKEN_PATTERN = r"[\p{L}\p{N}_]+|[^ \t\n\x0B\f\r\p{L}\p{N}_]"
+# Token rule: a mail address or a web address as one token; else runs of
+# letters, digits and '_', or one other non-blank character.
+TOKEN_CORE = (r"[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]+|https?://[^ \t\n\x0B\f\r]+"
+              r"|[\p{L}\p{N}_]+|[^ \t\n\x0B\f\r\p{L}\p{N}_]")
+TOKEN_PATTERN = TOKEN_CORE
 
 
 def _c(c) -> Column:

@@ -58,16 +58,19 @@ def apply_aliases(df: DataFrame, aliases: DataFrame, value="value", category=Non
                   alias_col="alias", canonical_col="canonical") -> DataFrame:
     """ARR-11: whole-value alias -> canonical term; values without alias stay.
 
-    ``aliases`` must hold one row per key (see ``dictionary``). With ``category``
-    the alias table is keyed by (category, alias)."""
-    keys = [alias_col] + ([category] if category else [])
-    a = aliases.select(*keys, F.col(canonical_col).alias("_canon"))
-    cond = [F.col(value) == F.col("_a." + alias_col)]
+    With ``category`` the alias table is keyed by (category, alias). When the
+    table repeats a key, the later entry (largest ``ord``, if present) wins, as
+    in a Python dict."""
+    keys = ([category] if category else []) + [alias_col]
+    a = aliases
+    if "ord" in a.columns:
+        a = a.groupBy(*keys).agg(F.max_by(canonical_col, "ord").alias(canonical_col))
+    a = a.select(*[F.col(k).alias("_ak_" + k) for k in keys], F.col(canonical_col).alias("_canon"))
+    cond = [F.col(value) == F.col("_ak_" + alias_col)]
     if category:
-        cond.append(F.col(category) == F.col("_a." + category))
-    j = df.join(a.alias("_a"), cond, "left")
-    return j.withColumn(value, F.coalesce(F.col("_canon"), F.col(value))).drop("_canon", *[
-        F.col("_a." + k) for k in keys])
+        cond.append(F.col(category) == F.col("_ak_" + category))
+    j = df.join(a, cond, "left")
+    return j.withColumn(value, F.coalesce(F.col("_canon"), F.col(value))).drop("_canon", *["_ak_" + k for k in keys])
 
 
 def dedupe_directory(directory: DataFrame, key="email_id", order="ord") -> DataFrame:
@@ -169,20 +172,43 @@ def resolve_mails(mails: DataFrame, directory: DataFrame, known_addresses: DataF
          .when(F.col("_known"), title_case(F.array_join(name_tokens(F.col(mail)), " "))).alias("mail_display"))
 
 
-def list_with_directory(df: DataFrame, key, list_col, directory: DataFrame, email="email", out="entries") -> DataFrame:
-    """ARR-4/ARR-5 support: look every element of a list up in a directory
-    (email, user_id, display) and give back, per ``key``, the list as an array of
-    structs (email, user_id, display) in the original order.
-
-    The list is exploded with its positions, joined to the directory by
-    equality (shuffle or runtime broadcast, chosen by the planner) and put back
-    together per key; one key's work is bounded by its own list."""
-    e = df.select(key, F.posexplode(F.col(list_col)).alias("_pos", email))
+def lists_with_directory(df: DataFrame, key, lists: dict, directory: DataFrame, email="email") -> DataFrame:
+    """ARR-4/ARR-5/ARR-6 support: look every element of several list columns up in
+    a directory (email, user_id, display) and give back, per ``key``, each list
+    as an array of structs (email, user_id, display) in its original order.
+
+    All lists are exploded together with their name and position, joined once
+    to the directory by equality (shuffle, or broadcast when the planner
+    measures the directory small) and put back together per key; a key's work
+    is bounded by its own lists. Unknown addresses keep null fields."""
+    keys = [key] if isinstance(key, str) else list(key)
+    parts = [df.select(*keys, F.lit(name).alias("_list"), F.posexplode(col if not isinstance(col, str) else F.col(col))
+                       .alias("_pos", email))
+             for name, col in lists.items()]
+    e = parts[0]
+    for p in parts[1:]:
+        e = e.unionByName(p)
     d = directory.select(email, "user_id", "display")
     j = e.join(d, on=email, how="left")
-    back = (j.groupBy(key)
-            .agg(F.array_sort(F.collect_list(F.struct("_pos", email, "user_id", "display"))).alias("_l")))
-    return back.select(key, F.transform("_l", lambda s: s.dropFields("_pos")).alias(out))
+    aggs = [F.array_sort(F.collect_list(F.when(F.col("_list") == name, F.struct("_pos", email, "user_id", "display"))))
+            .alias("_" + name) for name in lists]
+    back = j.groupBy(*keys).agg(*aggs)
+    return back.select(*keys, *[F.transform("_" + name, lambda s: s.dropFields("_pos")).alias(name) for name in lists])
+
+
+def list_with_directory(df: DataFrame, key, list_col, directory: DataFrame, email="email", out="entries") -> DataFrame:
+    """One list column: see ``lists_with_directory``."""
+    return lists_with_directory(df, key, {out: list_col}, directory, email)
+
+
+def user_structs(entries, with_email: bool = True):
+    """ARR-5: entries -> array of (user_id, user_display_name[, email])."""
+    def one(s):
+        fields = [s["user_id"].alias("user_id"), s["display"].alias("user_display_name")]
+        if with_email:
+            fields.append(s["email"].alias("email"))
+        return F.struct(*fields)
+    return F.transform(entries, one)
 
 
 def insert_ids(entries) -> "F.Column":

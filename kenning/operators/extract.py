@@ -12,12 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kenning.functions.arrays import label_mails
-from kenning.functions.text import extract_mails
+from kenning.functions.arrays import complete_names_in_row, label_mails
+from kenning.functions.text import TOKEN_CORE, extract_mails
 from kenning.operators.gazetteer import expand, match_keys
 from kenning.operators.joins import sized_broadcast, spread
 
-TOKEN_WS_PATTERN = r"([ \t\n\x0B\f\r]*)([\p{L}\p{N}_]+|[^ \t\n\x0B\f\r\p{L}\p{N}_])"
+TOKEN_WS_PATTERN = r"([ \t\n\x0B\f\r]*)(" + TOKEN_CORE + ")"
 VERSION_SUFFIX = r"^(.*[^0-9])[0-9]+$"
 
 
@@ -83,7 +83,7 @@ def match(docs: DataFrame, gazetteer: DataFrame, id_col="doc_id", text_col="text
                                "value").distinct()
 
 
-def longest_spans(matches: DataFrame, id_col="doc_id") -> DataFrame:
+def longest_spans(matches: DataFrame, id_col="doc_id", complete_in_row: bool = False) -> DataFrame:
     """NER-6: keep the longest matches that do not overlap, the earliest on a
     tie; one span found under two categories keeps the lower ``priority``.
 
@@ -100,13 +100,18 @@ def longest_spans(matches: DataFrame, id_col="doc_id") -> DataFrame:
         return F.when(hit, acc).otherwise(F.concat(acc, F.array(x)))
 
     kept = F.aggregate(F.col("_s"), empty, step)
+    if complete_in_row:
+        # ARR-10 inside the message, over the kept spans of all categories
+        done = complete_names_in_row(F.transform(kept, lambda k: k["value"]))
+        kept = F.transform(kept, lambda k, i: k.withField("value", F.element_at(done, i + 1)))
     return (g.select(id_col, F.explode(kept).alias("k"))
             .select(id_col, "k.start", "k.n_tokens", "k.category", "k.priority", "k.canonical", "k.value"))
 
 
-def entities(docs: DataFrame, gazetteer: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
+def entities(docs: DataFrame, gazetteer: DataFrame, id_col="doc_id", text_col="text",
+             complete_in_row: bool = False) -> DataFrame:
     """Dictionary entities of each document: longest non-overlapping spans."""
-    return longest_spans(match(docs, gazetteer, id_col, text_col), id_col)
+    return longest_spans(match(docs, gazetteer, id_col, text_col), id_col, complete_in_row)
 
 
 def mail_entities(docs: DataFrame, id_col="doc_id", text_col="text", pattern=None, known: DataFrame | None = None,

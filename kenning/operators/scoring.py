@@ -40,7 +40,7 @@ def minmax_scale(df: DataFrame, col: str, out: str, low: float = 0.0) -> DataFra
 
 def interest_weights(profile: DataFrame, people_category: str = config.PEOPLE,
                      categories=config.WEIGHT_CATEGORIES, key="entityName", user_name="userName",
-                     digits: int = config.WEIGHT_DIGITS) -> DataFrame:
+                     digits: int = config.WEIGHT_DIGITS, materialize: bool = True) -> DataFrame:
     """P-4 weight step.
 
     Over rows of the kept categories, with f the frequency:
@@ -49,6 +49,12 @@ def interest_weights(profile: DataFrame, people_category: str = config.PEOPLE,
     name is not an entity); t = sqrt(lookup + own); s = ln f;
     weight = minmax01(1.2 * minmax(0.1..1)(s) + minmax(0.1..1)(t)), rounded.
     ``d_weight`` is the same over aged counts.
+
+    The scaling needs whole-table minima and maxima of values that depend on
+    the joins, and then of the combined score: with ``materialize`` the joined
+    rows are checkpointed to the shared checkpoint folder once, so the range
+    aggregates re-read that table instead of re-running the joins (and an
+    executor loss re-reads it instead of recomputing the lineage).
     """
     rows = profile.filter(F.col("category").isin(list(categories))) if categories else profile
     pop = popularity(rows, key)
@@ -66,6 +72,8 @@ def interest_weights(profile: DataFrame, people_category: str = config.PEOPLE,
             .withColumn("_dt", F.sqrt((F.col("lookup_decay_freq") + own_df).cast("double")))
             .withColumn("_ds", F.ln(F.col("decay_frequency").cast("double")))
             .drop("_own_key", "_own_f", "_own_df"))
+    if materialize:
+        base = base.checkpoint(eager=True)
     r1 = with_column_range(base, ["_s", "_t", "_ds", "_dt"])
     raw = (r1.withColumn("_w", F.lit(config.OWN_WEIGHT) * minmax("_s", "_s_min", "_s_max", config.SCALE_LOW)
                          + minmax("_t", "_t_min", "_t_max", config.SCALE_LOW))

@@ -191,8 +191,9 @@ def _q(s):
 
 STOPS_SQL = "[" + ", ".join(_q(s) for s in config.STOPWORDS) + "]"
 WS = r"[ \t\n\x0B\f\r]"
-TP = r"[\p{L}\p{N}_]+|[^ \t\n\x0B\f\r\p{L}\p{N}_]"
-TWP = r"([ \t\n\x0B\f\r]*)([\p{L}\p{N}_]+|[^ \t\n\x0B\f\r\p{L}\p{N}_])"
+TP = (r"[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]+|https?://[^ \t\n\x0B\f\r]+"
+      r"|[\p{L}\p{N}_]+|[^ \t\n\x0B\f\r\p{L}\p{N}_]")
+TWP = r"([ \t\n\x0B\f\r]*)(" + TP + ")"
 MP = config.MAIL_PATTERN_WIDE
 TEXTS = ("tx AS (SELECT 'doc' AS source, doc_id AS id, text FROM documents UNION ALL "
          "SELECT 'page' AS source, page_id AS id, html AS text FROM pages)")

@@ -18,7 +18,7 @@ from kenning import config
 from kenning.functions.text import title_case, user_tag
 from kenning.operators import profile as prof
 from kenning.operators import scoring, state
-from kenning.plans.tables import event_mentions, table
+from kenning.plans.tables import event_mentions, table, text_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -259,21 +259,21 @@ def standin_gazetteer(spark):
 
 
 def _doc_and_page_text(spark, sf):
-    d = table(spark, sf, "documents").select(F.lit("doc").alias("source"), F.col("doc_id").alias("id"), "text")
-    p = table(spark, sf, "pages").select(F.lit("page").alias("source"), F.col("page_id").alias("id"),
+    d = text_table(spark, sf, "documents").select(F.lit("doc").alias("source"), F.col("doc_id").alias("id"), "text")
+    p = text_table(spark, sf, "pages").select(F.lit("page").alias("source"), F.col("page_id").alias("id"),
                                           F.col("html").alias("text"))
     return d.unionByName(p)
 
 
 @query("clean_text")
 def q_clean_text(spark, sf):
-    d = table(spark, sf, "documents")
+    d = text_table(spark, sf, "documents")
     return d.select("doc_id", clean_content(lower_clean_body(F.col("text"))).alias("clean"))
 
 
 @query("html_strip_brackets")
 def q_html_strip(spark, sf):
-    return table(spark, sf, "pages").select("page_id", strip_brackets(F.col("html")).alias("text"))
+    return text_table(spark, sf, "pages").select("page_id", strip_brackets(F.col("html")).alias("text"))
 
 
 @query("extract_mails")
@@ -289,7 +289,7 @@ def _extract_mails(t):
 @query("known_mails")
 def q_known_mails(spark, sf):
     """JN-3: addresses found in documents that are known from the pages."""
-    d = table(spark, sf, "documents")
+    d = text_table(spark, sf, "documents")
     known = _extract_mails(_doc_and_page_text(spark, sf).filter(F.col("source") == "page")) \
         .select(F.col("value").alias("address"))
     return ext.mail_entities(d, known=known).select("doc_id", "value")
@@ -304,19 +304,19 @@ def q_name_tokens(spark, sf):
 
 @query("gazetteer_matches")
 def q_gazetteer_matches(spark, sf):
-    return ext.match(table(spark, sf, "documents"), standin_gazetteer(spark))
+    return ext.match(text_table(spark, sf, "documents"), standin_gazetteer(spark))
 
 
 @query("longest_spans")
 def q_longest_spans(spark, sf):
-    return ext.entities(table(spark, sf, "documents"), standin_gazetteer(spark))
+    return ext.entities(text_table(spark, sf, "documents"), standin_gazetteer(spark))
 
 
 @query("self_mention_filter")
 def q_self_mention_filter(spark, sf):
     """NER-9: users = addresses found in a document, mentions = its words; a
     mention is dropped when it starts with one of the user's own name words."""
-    d = table(spark, sf, "documents")
+    d = text_table(spark, sf, "documents")
     words = F.regexp_extract_all(F.lower(F.col("text")), F.lit(r"\p{L}+"), 0)
     rows = d.select("doc_id", words.alias("words"), F.explode(extract_mails(F.col("text"))).alias("mail"))
     own = F.transform(name_tokens(F.col("mail")), lambda t: F.rtrim(F.lower(t)))
@@ -393,7 +393,7 @@ def q_name_to_display(spark, sf):
 def _mails_resolved(spark, sf):
     t = _doc_and_page_text(spark, sf)
     mails = _extract_mails(t)
-    pages = table(spark, sf, "pages")
+    pages = text_table(spark, sf, "pages")
     directory = (pages.select(F.explode(extract_mails(F.col("html"))).alias("email_id"),
                               F.concat(F.lit("PAGE"), F.col("page_id").cast("string")).alias("sub_id"),
                               F.regexp_extract("url", r"://([^/:?#]+)", 1).alias("user_name"),
@@ -494,7 +494,7 @@ def q_iso_valid(spark, sf):
 
 
 def _docs_labels(spark, sf):
-    return table(spark, sf, "documents").join(table(spark, sf, "labels"), on="doc_id", how="left")
+    return text_table(spark, sf, "documents").join(table(spark, sf, "labels"), on="doc_id", how="left")
 
 
 @query("null_profile")
@@ -511,14 +511,14 @@ def q_fill_from_column(spark, sf):
 
 @query("value_counts")
 def q_value_counts(spark, sf):
-    d = rel.value_counts(table(spark, sf, "documents").select(F.col("lang").alias("value")), "value")
+    d = rel.value_counts(text_table(spark, sf, "documents").select(F.col("lang").alias("value")), "value")
     o = rel.value_counts(table(spark, sf, "orders").select(F.col("o_orderpriority").alias("value")), "value")
     return d.withColumn("column", F.lit("lang")).unionByName(o.withColumn("column", F.lit("o_orderpriority")))
 
 
 @query("distinct_values")
 def q_distinct_values(spark, sf):
-    d = table(spark, sf, "documents")
+    d = text_table(spark, sf, "documents")
     o = table(spark, sf, "orders")
     parts = [d.agg(F.countDistinct("lang").alias("n_distinct")).withColumn("column", F.lit("lang")),
              d.agg(F.countDistinct("source").alias("n_distinct")).withColumn("column", F.lit("source")),

@@ -34,3 +34,9 @@ def messages_with_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = messages(spark, sf_dir)
     nb = neighbors(m, "conversation_id", "turn", "sender")
     return m.join(nb, on=["conversation_id", "turn"], how="inner")
+
+
+def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A text-heavy table, spread over the cluster when it arrives in few splits."""
+    from kenning.operators.joins import spread
+    return spread(table(spark, sf_dir, name))
