@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from kenning import schemas
 
 __all__ = ["read_csv_renamed", "read_message_table", "read_companion", "align_rows", "read_user_ids",
-           "read_json_dict", "read_conversations_a", "read_conversations_b", "read_directory", "read_profile_state",
+           "read_json_dict", "read_conversations_a", "read_conversations_b", "parse_conversations_a",
+           "parse_conversations_b", "read_directory", "read_profile_state",
            "nested_profile_to_rows", "people_directory"]
 
 
@@ -63,11 +64,9 @@ def _with_batch(df: DataFrame) -> DataFrame:
     return df.withColumn("batch_id", F.col("_metadata.file_name"))
 
 
-def read_conversations_a(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-5/SRC-7: JSON lines, each line ``{conversation: [message, ...]}``; every
-    line of every file is read (Q7). Missing subject -> 'NA'."""
-    t = _with_batch(spark.read.text(path))
-    m = t.select("batch_id", F.explode(F.from_json("value", schemas.CONVERSATIONS_A)).alias("_conv", "_msgs"))
+def parse_conversations_a(text: DataFrame) -> DataFrame:
+    """Shape A lines (column ``value``, plus ``batch_id``) to message rows."""
+    m = text.select("batch_id", F.explode(F.from_json("value", schemas.CONVERSATIONS_A)).alias("_conv", "_msgs"))
     r = m.select("batch_id", F.inline("_msgs"))
     return r.select(
         F.col("conversation_id"), F.col("id").alias("message_id"), F.coalesce("subject", F.lit("NA")).alias("subject"),
@@ -75,11 +74,15 @@ def read_conversations_a(spark: SparkSession, path: str) -> DataFrame:
         "batch_id")
 
 
-def read_conversations_b(spark: SparkSession, path: str, lower_addresses: bool = True) -> DataFrame:
-    """SRC-6: JSON lines, each line an array of messages with a sender object and
-    recipient objects; addresses are taken from them (and lower-cased, tenant B)."""
-    t = _with_batch(spark.read.text(path))
-    r = t.select("batch_id", F.inline(F.from_json("value", schemas.CONVERSATIONS_B)))
+def read_conversations_a(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-5/SRC-7: JSON lines, each line ``{conversation: [message, ...]}``; every
+    line of every file is read (Q7). Missing subject -> 'NA'."""
+    return parse_conversations_a(_with_batch(spark.read.text(path)))
+
+
+def parse_conversations_b(text: DataFrame, lower_addresses: bool = True) -> DataFrame:
+    """Shape B lines (column ``value``, plus ``batch_id``) to message rows."""
+    r = text.select("batch_id", F.inline(F.from_json("value", schemas.CONVERSATIONS_B)))
     low = (lambda c: F.lower(c)) if lower_addresses else (lambda c: c)
     return r.select(
         "conversation_id", F.col("id").alias("message_id"), F.coalesce("subject", F.lit("NA")).alias("subject"),
@@ -88,6 +91,12 @@ def read_conversations_b(spark: SparkSession, path: str, lower_addresses: bool =
         F.array().cast("array<string>").alias("cc"), "batch_id")
 
 
+def read_conversations_b(spark: SparkSession, path: str, lower_addresses: bool = True) -> DataFrame:
+    """SRC-6: JSON lines, each line an array of messages with a sender object and
+    recipient objects; addresses are taken from them (and lower-cased, tenant B)."""
+    return parse_conversations_b(_with_batch(spark.read.text(path)), lower_addresses)
+
+
 def read_directory(spark: SparkSession, path: str) -> DataFrame:
     """SRC-8: the user directory: (sub_id, email_id, user_name, ord); ``ord`` keeps
     file order for "first row wins" rules."""
