@@ -47,11 +47,14 @@ def word_count(c) -> Column:
 def complete_names_in_row(names) -> Column:
     """ARR-10 inside one row: each name becomes the longest names of the same list
     that start with it (one-word names: or end with it); ties joined by a blank
-    in sorted order. Work is bounded by the list of one row."""
+    in sorted order. Quadratic in the list length: meant for short lists (a
+    mail's mentions); long texts use ``directory.complete_names`` grouped by
+    message, which is an equi-join on prefix and suffix keys."""
     n = _c(names)
 
     def complete(x):
-        ms = F.filter(n, lambda y: F.startswith(y, x) | ((word_count(x) == 1) & F.endswith(y, x)))
+        ms = F.when(word_count(x) == 1, F.filter(n, lambda y: F.startswith(y, x) | F.endswith(y, x))) \
+            .otherwise(F.filter(n, lambda y: F.startswith(y, x)))
         top = F.array_max(F.transform(ms, lambda y: F.length(y)))
         return F.array_join(F.array_sort(F.array_distinct(F.filter(ms, lambda y: F.length(y) == top))), " ")
 

@@ -53,8 +53,8 @@ def shift_after(comment_ts, received_ts) -> Column:
 
     ``comment + (floor(days(received - comment)) + 1) days``; null when either is null.
     """
-    r, c = _c(received_ts).cast("timestamp"), _c(comment_ts).cast("timestamp")
-    diff_days = F.floor((F.unix_micros(r) - F.unix_micros(c)) / F.lit(86400000000.0))
+    r, c = _c(received_ts), _c(comment_ts)
+    diff_days = F.floor(F.timestamp_diff("MICROSECOND", c, r) / F.lit(86400000000.0))
     return F.timestamp_add("DAY", (diff_days + 1).cast("int"), c)
 
 

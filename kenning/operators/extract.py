@@ -12,10 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kenning.functions.arrays import complete_names_in_row, label_mails
+from kenning.functions.arrays import label_mails
 from kenning.functions.text import TOKEN_CORE, extract_mails
 from kenning.operators.gazetteer import expand, match_keys
+from kenning.operators.directory import complete_names
 from kenning.operators.joins import sized_broadcast, spread
+from kenning.session import ensure_checkpoint_dir
 
 TOKEN_WS_PATTERN = r"([ \t\n\x0B\f\r]*)(" + TOKEN_CORE + ")"
 VERSION_SUFFIX = r"^(.*[^0-9])[0-9]+$"
@@ -100,12 +102,20 @@ def longest_spans(matches: DataFrame, id_col="doc_id", complete_in_row: bool = F
         return F.when(hit, acc).otherwise(F.concat(acc, F.array(x)))
 
     kept = F.aggregate(F.col("_s"), empty, step)
+    spans = (g.select(id_col, F.explode(kept).alias("k"))
+             .select(id_col, "k.start", "k.n_tokens", "k.category", "k.priority", "k.canonical", "k.value"))
     if complete_in_row:
-        # ARR-10 inside the message, over the kept spans of all categories
-        done = complete_names_in_row(F.transform(kept, lambda k: k["value"]))
-        kept = F.transform(kept, lambda k, i: k.withField("value", F.element_at(done, i + 1)))
-    return (g.select(id_col, F.explode(kept).alias("k"))
-            .select(id_col, "k.start", "k.n_tokens", "k.category", "k.priority", "k.canonical", "k.value"))
+        # ARR-10 within each message over the kept spans of all categories: the
+        # prefix/suffix-key equi-join grouped by message (linear in the text,
+        # where comparing every span with every other would be quadratic).
+        # The kept spans are read three times below, so they are materialized
+        # once in the shared checkpoint folder instead of re-matching the text.
+        ensure_checkpoint_dir(spans.sparkSession)
+        spans = spans.checkpoint(eager=True)
+        done = complete_names(spans.select(id_col, "value"), [id_col], "value", out="_done")
+        spans = (spans.join(done, on=[id_col, "value"], how="left")
+                 .withColumn("value", F.coalesce("_done", "value")).drop("_done"))
+    return spans
 
 
 def entities(docs: DataFrame, gazetteer: DataFrame, id_col="doc_id", text_col="text",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kenning import config
 from kenning.functions.mathx import minmax
+from kenning.session import ensure_checkpoint_dir
 
 
 def popularity(rows: DataFrame, key="entityName", freq="frequency", dfreq="decay_frequency") -> DataFrame:
@@ -73,6 +74,7 @@ def interest_weights(profile: DataFrame, people_category: str = config.PEOPLE,
             .withColumn("_ds", F.ln(F.col("decay_frequency").cast("double")))
             .drop("_own_key", "_own_f", "_own_df"))
     if materialize:
+        ensure_checkpoint_dir(base.sparkSession)
         base = base.checkpoint(eager=True)
     r1 = with_column_range(base, ["_s", "_t", "_ds", "_dt"])
     raw = (r1.withColumn("_w", F.lit(config.OWN_WEIGHT) * minmax("_s", "_s_min", "_s_max", config.SCALE_LOW)

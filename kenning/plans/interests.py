@@ -23,6 +23,7 @@ from kenning.functions.text import build_content, clean_content, lower_clean_bod
 from kenning.operators import extract, profile as prof, scoring, state
 from kenning.operators.directory import apply_aliases, complete_names, directory_join, resolve_mails, resolve_names
 from kenning.operators.joins import spread
+from kenning.session import ensure_checkpoint_dir
 
 
 def prepare_messages(messages: DataFrame, cfg: config.TenantConfig) -> DataFrame:
@@ -53,12 +54,13 @@ def new_profile(messages: DataFrame, gazetteer: DataFrame, directory: DataFrame,
                 aliases: DataFrame | None = None) -> dict:
     """Counts and aged counts of one batch, plus the annotated messages."""
     m = prepare_messages(messages, cfg)
-    ents = extract.entities(spread(m.select("message_id", "content")), gazetteer, id_col="message_id",
+    text = spread(m.select("message_id", "content"))     # one spread text base for both extractions
+    ents = extract.entities(text, gazetteer, id_col="message_id",
                             text_col="content", complete_in_row=True).select("message_id", "value", "category")
     parts = prof.explode_participants(m.select("message_id", "from_email", "to", "cc", "date"),
                                       msg="message_id", sender="from_email", recipients=("to", "cc"))
     known = parts.select(F.col("user_id").alias("address")).distinct()
-    mails = extract.mail_entities(m.select("message_id", "content"), id_col="message_id", text_col="content",
+    mails = extract.mail_entities(text, id_col="message_id", text_col="content",
                                   pattern=cfg.mail_pattern, known=known)
     all_ents = ents.unionByName(mails.select("message_id", "value", "category"))
     users = profile_users(parts.select("message_id", "user_id", "date").distinct(), directory, cfg)
@@ -118,6 +120,7 @@ def run(spark: SparkSession, messages: DataFrame, gazetteer: DataFrame, director
     # The merged profile is the new state: materialize it once (shared
     # checkpoint folder), so resolution and weights read it instead of
     # re-deriving entities in every branch, and a lost executor re-reads it.
+    ensure_checkpoint_dir(spark)
     merged = merged.checkpoint(eager=True)
     known = batch["known"].checkpoint(eager=True)
     enriched = enrich(merged.drop("origin"), directory, known)

@@ -552,3 +552,23 @@ def q_pseudo_ids(spark, sf):
             .select("c_custkey", synth.keyed_id(F.col("c_custkey"), 8, "id").alias("pseudo_id"), "c_mktsegment",
                     "team_name",
                     F.substring(F.sha2(F.concat(F.lit("team|"), F.col("team_name")), 256), 1, 12).alias("team_id")))
+
+
+# ---------------------------------------------------------------- the whole interest job on documents
+
+@query("document_interests")
+def q_document_interests(spark, sf):
+    """P-4 end to end: each document is a mail from its source (``<source>@docs.example``)
+    to the addresses found in its text; no dates, so counts stay unaged (tenant-B rule).
+    Rows-only check: greedy span choice and in-row completion have no SQL form."""
+    from kenning.plans import interests
+    d = text_table(spark, sf, "documents")
+    msgs = d.select(F.col("source").alias("conversation_id"), F.col("doc_id").cast("string").alias("message_id"),
+                    F.col("lang").alias("subject"), F.col("text").alias("body"),
+                    F.lit(None).cast("string").alias("date"),
+                    F.concat(F.col("source"), F.lit("@docs.example")).alias("from_email"),
+                    extract_mails(F.col("text")).alias("to"), F.array().cast("array<string>").alias("cc"))
+    directory = spark.createDataFrame([], "sub_id string, email_id string, user_name string, ord long")
+    cfg = config.TenantConfig(domains=("@docs.example",), decay="v3", null_day_keeps_count=True,
+                              weight_categories=("TOPICS", "PEOPLE", "TEAMS", "PROG_SCRIPT_LANG"))
+    return interests.run(spark, msgs, standin_gazetteer(spark), directory, cfg)["weights"]

@@ -63,3 +63,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Make a session handed in from outside fit the library: UTC session time
+    zone (dates are compared as days and written with a literal Z) and a
+    checkpoint folder (from ``spark.checkpoint.dir``; a scratch one only when unset)."""
+    if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ensure_checkpoint_dir(spark)
+    return spark
