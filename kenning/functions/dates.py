@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kenning import config
 
-__all__ = ["DATE_FORMATS", "parse_any_date", "format_out", "shift_after", "days_since", "date_clean"]
+__all__ = ["DATE_FORMATS", "parse_any_date", "format_out", "shift_after", "days_since", "date_clean", "now_string"]
 
 # Formats tried in order by parse_any_date (DT-1); the original used a
 # free-form parser, this is the listed set that replaces it. Each format comes
@@ -61,3 +61,9 @@ def shift_after(comment_ts, received_ts) -> Column:
 def days_since(day, as_of: _dt.date) -> Column:
     """DT-4: whole days from ``day`` to ``as_of`` (a parameter, never the clock)."""
     return F.datediff(F.lit(as_of), _c(day))
+
+
+def now_string() -> Column:
+    """DT-5: the current time in the output format (the query start time, the
+    same for every row)."""
+    return format_out(F.current_timestamp())

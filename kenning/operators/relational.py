@@ -69,6 +69,19 @@ def value_counts(df: DataFrame, col, out="n") -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias(out))
 
 
+def distinct_count(df: DataFrame, col, approx: bool = False, rsd: float = 0.01) -> DataFrame:
+    """AG-5: number of distinct values; ``approx`` uses HyperLogLog++ (fixed
+    memory per partial aggregate, mergeable) for very large inputs."""
+    agg = F.approx_count_distinct(col, rsd) if approx else F.countDistinct(col)
+    return df.agg(agg.alias("n_distinct"))
+
+
+def first_rows(df: DataFrame, n: int, *order) -> DataFrame:
+    """SO-2: the first n rows by ``order`` (a distributed top-k: each partition
+    keeps its n best, the driver merges at most n per partition)."""
+    return df.orderBy(*order).limit(n)
+
+
 def null_counts(df: DataFrame, cols) -> DataFrame:
     """FLT-3: nulls per column, one row."""
     return df.agg(F.count(F.lit(1)).alias("n_rows"),
