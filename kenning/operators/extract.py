@@ -16,14 +16,14 @@ from kenning.functions.arrays import label_mails
 from kenning.functions.text import TOKEN_CORE, extract_mails
 from kenning.operators.gazetteer import expand, match_keys
 from kenning.operators.directory import complete_names
-from kenning.operators.joins import sized_broadcast, spread
+from kenning.operators.joins import spread
 from kenning.session import ensure_checkpoint_dir
 
 TOKEN_WS_PATTERN = r"([ \t\n\x0B\f\r]*)(" + TOKEN_CORE + ")"
 VERSION_SUFFIX = r"^(.*[^0-9])[0-9]+$"
 
 
-def ngrams(docs: DataFrame, id_col: str, text_col: str, max_n: int) -> DataFrame:
+def ngrams(docs: DataFrame, id_col: str, text_col: str, max_n: int, firsts: DataFrame | None = None) -> DataFrame:
     """(id, start, n, exact, key, vkey, value) for every token n-gram, n <= max_n.
 
     ``key`` is the lower-cased tokens joined by blanks, ``value`` the text as
@@ -42,12 +42,22 @@ def ngrams(docs: DataFrame, id_col: str, text_col: str, max_n: int) -> DataFrame
         tk = F.col("_t") if k == 1 else F.slice("_t", k, size)
         wk = F.col("_w") if k == 1 else F.slice("_w", k, size)
         shifted += [tk.alias(f"t{k}"), wk.alias(f"w{k}")]
-    z = d.select(id_col, F.posexplode(F.arrays_zip(*shifted)).alias("_pos", "_z"))
+    z = (d.select(id_col, F.posexplode(F.arrays_zip(*shifted)).alias("_pos", "_z"))
+         .select(id_col, "_pos", *[F.col(f"_z.{c}").alias(f"_{c}") for k in range(1, max_n + 1)
+                                   for c in (f"t{k}", f"w{k}")]))
+    if firsts is not None:
+        # keep only positions whose token (or its version-stripped name) can
+        # start a phrase: a map-side semi join with the dictionary's first tokens
+        f = F.lower(F.col("_t1"))
+        fv = F.nullif(F.regexp_extract(f, VERSION_SUFFIX, 1), F.lit(""))
+        keys = F.when(fv.isNull() | (fv == f), F.array(f)).otherwise(F.array(f, fv))
+        z = (z.select("*", F.explode(keys).alias("_pk"))
+             .join(firsts.select(F.col("first").alias("_pk")), on="_pk", how="left_semi").drop("_pk"))
     grams = []
     for n in range(1, max_n + 1):
-        toks = [F.col(f"_z.t{k}") for k in range(1, n + 1)]
+        toks = [F.col(f"_t{k}") for k in range(1, n + 1)]
         exact = F.concat_ws(" ", *toks)
-        value = F.concat(*[toks[0]] + [F.concat(F.col(f"_z.w{k}"), F.col(f"_z.t{k}")) for k in range(2, n + 1)])
+        value = F.concat(*[toks[0]] + [F.concat(F.col(f"_w{k}"), F.col(f"_t{k}")) for k in range(2, n + 1)])
         first = F.lower(toks[0])
         if n == 1:
             vkey = F.nullif(F.regexp_extract(first, VERSION_SUFFIX, 1), F.lit(""))
@@ -70,9 +80,16 @@ def match(docs: DataFrame, gazetteer: DataFrame, id_col="doc_id", text_col="text
     (else it is joined by shuffle); the n-gram stream is never shuffled for
     the match itself."""
     gx = expand(gazetteer)
-    max_n = gx.agg(F.max("n_tokens")).first()[0] or 1
-    keys = sized_broadcast(match_keys(gx), broadcast_rows)
-    g = ngrams(docs, id_col, text_col, max_n)
+    # one small job on the dictionary: the longest phrase and the row count
+    # that bounds both join sides below (keys <= 2 rows per phrase, firsts <= 1)
+    stats = gx.agg(F.max("n_tokens").alias("n"), F.count(F.lit(1)).alias("rows")).first()
+    max_n = stats["n"] or 1
+    small = 2 * stats["rows"] <= broadcast_rows
+    keys = match_keys(gx)
+    firsts = gx.select(F.lower(F.element_at("tokens", 1)).alias("first")).distinct()
+    if small:
+        keys, firsts = F.broadcast(keys), F.broadcast(firsts)
+    g = ngrams(docs, id_col, text_col, max_n, firsts)
     plain = F.struct(F.lit("x").alias("kind"), F.col("key").alias("key"))
     ver = F.struct(F.lit("v").alias("kind"), F.col("vkey").alias("key"))
     probes = g.select(id_col, "start", "n", "exact", "value",
