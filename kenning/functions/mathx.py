@@ -28,7 +28,8 @@ def _step_exponent(step: config.DecayStep, d: Column) -> Column:
 
 def decay_exponent(days, schedule) -> Column:
     """Exponent of the aging factor for whole ``days`` (clamped to >= 1)."""
-    d = F.greatest(_c(days), F.lit(1)).cast("double")
+    # clamp to >= 1 (day 0 or a future day); a missing day stays missing
+    d = F.when(_c(days).isNotNull(), F.greatest(_c(days), F.lit(1))).cast("double")
     expr = None
     for step in schedule:
         e = _step_exponent(step, d)
