@@ -34,8 +34,8 @@ def ws_split(c) -> Column:
 
 def clean_content(c, stopwords=config.STOPWORDS, strip_punct: bool = False) -> Column:
     """STR-1: drop stopwords (compared in lower case), collapse blanks, drop ``http...`` words."""
-    stops = F.array(*[F.lit(s) for s in stopwords])
-    kept = F.filter(ws_split(c), lambda w: ~F.array_contains(stops, F.lower(w)))
+    # ``isin`` over literals is planned as a hash-set test (InSet), not a scan of the list
+    kept = F.filter(ws_split(c), lambda w: ~F.lower(w).isin(*stopwords))
     out = F.regexp_replace(F.array_join(kept, " "), r"http[^ ]+", "")
     if strip_punct:
         out = F.lower(F.translate(out, config.PUNCTUATION_STRIP, ""))

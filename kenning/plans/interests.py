@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from kenning import config
 from kenning.functions.dates import parse_any_date
-from kenning.functions.text import build_content, clean_content, lower_clean_body, slash_paren, title_case, user_tag
+from kenning.functions.text import (build_content, clean_content, extract_mails, lower_clean_body, slash_paren,
+                                   title_case, user_tag)
 from kenning.operators import extract, profile as prof, scoring, state
 from kenning.operators.directory import apply_aliases, complete_names, directory_join, resolve_mails, resolve_names
 from kenning.operators.joins import spread
@@ -54,14 +55,23 @@ def new_profile(messages: DataFrame, gazetteer: DataFrame, directory: DataFrame,
                 aliases: DataFrame | None = None) -> dict:
     """Counts and aged counts of one batch, plus the annotated messages."""
     m = prepare_messages(messages, cfg)
-    text = spread(m.select("message_id", "content"))     # one spread text base for both extractions
+    text = spread(m.select("message_id", "content"))
     ents = extract.entities(text, gazetteer, id_col="message_id",
                             text_col="content", complete_in_row=True).select("message_id", "value", "category")
-    parts = prof.explode_participants(m.select("message_id", "from_email", "to", "cc", "date"),
+    # Per-message metadata without the text (senders, recipients, date, address
+    # candidates found in the content), materialized once: participants, known
+    # addresses, mail entities and modal days all read it instead of re-scanning
+    # and re-cleaning the text in each branch.
+    slim = m.select("message_id", "from_email", "to", "cc", "date",
+                    extract_mails(F.col("content"), cfg.mail_pattern).alias("_mails"))
+    ensure_checkpoint_dir(slim.sparkSession)
+    slim = slim.checkpoint(eager=True)
+    parts = prof.explode_participants(slim.select("message_id", "from_email", "to", "cc", "date"),
                                       msg="message_id", sender="from_email", recipients=("to", "cc"))
     known = parts.select(F.col("user_id").alias("address")).distinct()
-    mails = extract.mail_entities(text, id_col="message_id", text_col="content",
-                                  pattern=cfg.mail_pattern, known=known)
+    mails = (slim.select("message_id", F.explode("_mails").alias("value"))
+             .join(known.select(F.col("address").alias("value")), on="value", how="left_semi")
+             .withColumn("category", F.lit(config.EMAIL)))
     all_ents = ents.unionByName(mails.select("message_id", "value", "category"))
     users = profile_users(parts.select("message_id", "user_id", "date").distinct(), directory, cfg)
     mentions = prof.drop_self_mentions(users.select("message_id", "user_id").join(all_ents, on="message_id"))
