@@ -20,15 +20,16 @@ def popularity(rows: DataFrame, key="entityName", freq="frequency", dfreq="decay
 def with_column_range(df: DataFrame, cols, suffix=("_min", "_max")) -> DataFrame:
     """WN-3: attach the whole-table minimum and maximum of ``cols``.
 
-    Written as scalar subqueries over a one-row aggregate: the aggregate runs
-    distributed with partial results, and no unpartitioned window moves all
-    rows into one task."""
-    stats = df.agg(*[F.min(c).alias(c + suffix[0]) for c in cols],
-                   *[F.max(c).alias(c + suffix[1]) for c in cols])
+    One aggregate computes all ranges with partial results per task and ends
+    in a single row; that row (2 numbers per column) is read on the driver and
+    attached as literals. No unpartitioned window moves rows into one task, no
+    join is needed, and the following plan carries plain constants."""
+    aggs = [F.min(c).alias(c + suffix[0]) for c in cols] + [F.max(c).alias(c + suffix[1]) for c in cols]
+    row = df.agg(*aggs).first()
     out = df
     for c in cols:
-        out = (out.withColumn(c + suffix[0], stats.select(c + suffix[0]).scalar())
-               .withColumn(c + suffix[1], stats.select(c + suffix[1]).scalar()))
+        out = (out.withColumn(c + suffix[0], F.lit(row[c + suffix[0]]).cast("double"))
+               .withColumn(c + suffix[1], F.lit(row[c + suffix[1]]).cast("double")))
     return out
 
 
