@@ -45,17 +45,47 @@ def age_counts(counts: DataFrame, days: DataFrame, schedule, as_of: _dt.date, us
                         aged_count(F.col(freq), F.col("days"), schedule, null_day_keeps_count)))
 
 
+def rank_within(df: DataFrame, keys, order, out: str = "rank", partitions: int | None = None) -> DataFrame:
+    """Exact ``row_number()`` within ``keys`` by ``order`` (a total order) that
+    does not put a hot group into one task.
+
+    Rows are range-partitioned on (keys, order), so a group holding a third of
+    all rows spans many contiguous partitions. Each row is numbered inside its
+    (partition, group) chunk; a small table with one count per chunk gives each
+    chunk the number of rows of the same group in earlier partitions. The
+    partition id is materialized (checkpoint in the shared folder) so every
+    branch sees the same assignment, also after a lost executor."""
+    from kenning.session import ensure_checkpoint_dir
+    spark = df.sparkSession
+    keys = list(keys)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(spark)
+    s = (df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
+         .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    local = s.withColumn("_lr", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(*order)))
+    chunks = s.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = chunks.select("_pid", *keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (local.join(offsets, on=["_pid", *keys])
+            .withColumn(out, (F.col("_lr") + F.col("_off")).cast("bigint"))
+            .drop("_pid", "_lr", "_off"))
+
+
 def rank_values(profile: DataFrame, user="user_id", category="category", value="value",
-                freq="frequency") -> DataFrame:
+                freq="frequency", skew_safe: bool = True) -> DataFrame:
     """WN-1 + STR-14: rank of each value within (user, category) by count, value
     ascending on ties, and the ``TAG_<category>_<rank>`` key.
 
-    The window runs on the aggregated profile, where a group holds one row per
-    distinct value of one user and category: its size is bounded by the
-    dictionary and address vocabulary, not by the number of messages."""
-    w = Window.partitionBy(user, category).orderBy(F.col(freq).desc(), F.col(value).asc())
-    return (profile.withColumn("rank", F.row_number().over(w).cast("bigint"))
-            .withColumn("sk", rank_key(F.col(category), F.col("rank"))))
+    ``skew_safe`` (default) ranks with ``rank_within`` so a user with a huge
+    number of distinct values (say, every address of a mailing-list mailbox) is
+    spread over many tasks; otherwise a window per (user, category)."""
+    order = [F.col(freq).desc(), F.col(value).asc()]
+    if skew_safe:
+        ranked = rank_within(profile, [user, category], order)
+    else:
+        w = Window.partitionBy(user, category).orderBy(*order)
+        ranked = profile.withColumn("rank", F.row_number().over(w).cast("bigint"))
+    return ranked.withColumn("sk", rank_key(F.col(category), F.col("rank")))
 
 
 def top_k(profile: DataFrame, k: int, **kw) -> DataFrame:

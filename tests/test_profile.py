@@ -102,3 +102,16 @@ def test_repartitioning_changes_nothing(spark):
     a = sorted(tuple(r) for r in prof.mention_counts(m).collect())
     b = sorted(tuple(r) for r in prof.mention_counts(m.repartition(13)).collect())
     assert a == b and sum(r[3] for r in a) == 200
+
+
+def test_rank_within_hot_group_matches_window(spark):
+    from pyspark.sql import Window
+    rows = [("hot", "T", "v%05d" % i, (i * 7919) % 13) for i in range(3000)] + \
+           [("u%d" % j, "T", "w%d" % k, k % 3) for j in range(20) for k in range(5)]
+    df = spark.createDataFrame(rows, "user_id string, category string, value string, frequency long")
+    order = [F.col("frequency").desc(), F.col("value").asc()]
+    got = {(r.user_id, r.value): r.rank for r in prof.rank_within(df, ["user_id", "category"], order,
+                                                                  partitions=16).collect()}
+    w = Window.partitionBy("user_id", "category").orderBy(*order)
+    exp = {(r.user_id, r.value): r.rank for r in df.withColumn("rank", F.row_number().over(w)).collect()}
+    assert got == exp
