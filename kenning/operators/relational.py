@@ -32,17 +32,31 @@ def replies(df: DataFrame, key, order) -> DataFrame:
     return df.join(firsts, on=[key, order], how="left_anti")
 
 
-def nest_replies(first: DataFrame, reply_rows: DataFrame, key, order, fields, out="replies") -> DataFrame:
+def nest_replies(first: DataFrame, reply_rows: DataFrame, key, order, fields, out="replies",
+                 page_size: int | None = None) -> DataFrame:
     """AG-10 + PRJ-7: replies as an array of structs sorted by ``order`` under
     their conversation; conversations without replies get an empty array.
 
-    The nested record is the output shape itself, so one conversation's replies
-    are one value; they are collected with partial aggregation."""
-    packed = (reply_rows.groupBy(key)
+    By default one record per conversation, as the original writes it. With
+    ``page_size`` a conversation's replies are cut into consecutive pages of at
+    most that many (exact order from a skew-safe rank), one record per
+    (conversation, ``page``): every reply is kept and no record, nor the task
+    building it, grows with the size of a hot conversation."""
+    r = reply_rows
+    gkeys = [key]
+    if page_size:
+        from kenning.operators.profile import rank_within
+        r = rank_within(r, [key], [F.col(order).asc()], out="_rk").withColumn(
+            "page", ((F.col("_rk") - 1) / F.lit(page_size)).cast("bigint")).drop("_rk")
+        gkeys = [key, "page"]
+    packed = (r.groupBy(*gkeys)
               .agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("_o"), *fields))).alias("_r")))
-    j = first.join(packed, on=key, how="left")
+    if page_size:
+        first = first.join(packed.select(key, "page"), on=key, how="left") \
+            .withColumn("page", F.coalesce(F.col("page"), F.lit(0).cast("bigint")))
+    j = first.join(packed, on=gkeys, how="left")
     empty = F.array().cast(packed.schema["_r"].dataType)
-    return (j.withColumn(out, F.transform(F.coalesce(F.col("_r"), empty), lambda r: r.dropFields("_o")))
+    return (j.withColumn(out, F.transform(F.coalesce(F.col("_r"), empty), lambda x: x.dropFields("_o")))
             .drop("_r"))
 
 

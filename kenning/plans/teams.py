@@ -29,7 +29,9 @@ def _mentions(names, *row):
 
 
 def team_conversations(msgs: DataFrame, companion: DataFrame, people: DataFrame,
-                       team_names=config.TEAM_NAMES, channel_names=config.CHANNEL_NAMES) -> DataFrame:
+                       team_names=config.TEAM_NAMES, channel_names=config.CHANNEL_NAMES,
+                       page_size: int | None = None) -> DataFrame:
+    """``page_size``: split very long reply lists into pages (see ``nest_replies``)."""
     m = shifted_comment_dates(align_rows(msgs, companion))
     m = m.withColumn("component", F.coalesce(F.col("component"), F.lit("nan")))
     teams = synth.pseudonym_map(m, "component", team_names, out="team_name")            # RND-4, ARR-12
@@ -68,4 +70,5 @@ def team_conversations(msgs: DataFrame, companion: DataFrame, people: DataFrame,
              F.col("channel_id"), F.col("channel_name"), F.col("comment").alias("body"),
              person(F.col("by")).alias("from"), F.col("commentDate").alias("date"), F.col("mentions"),
              F.lit("REPLY").alias("message_type")]
-    return nest_replies(head, replies.withColumnRenamed("row_seq", "_seq"), "conversation_id", "_seq", reply)
+    return nest_replies(head, replies.withColumnRenamed("row_seq", "_seq"), "conversation_id", "_seq", reply,
+                        page_size=page_size)

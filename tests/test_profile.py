@@ -115,3 +115,13 @@ def test_rank_within_hot_group_matches_window(spark):
     w = Window.partitionBy("user_id", "category").orderBy(*order)
     exp = {(r.user_id, r.value): r.rank for r in df.withColumn("rank", F.row_number().over(w)).collect()}
     assert got == exp
+
+
+def test_nest_replies_pages_keep_every_reply(spark):
+    m = spark.createDataFrame([("c1", i, "r%d" % i) for i in range(1, 8)] + [("c2", 1, "z")],
+                              "conv string, seq int, txt string")
+    first = rel.first_per_group(m, "conv", "seq", ["seq", "txt"])
+    reps = rel.replies(m, "conv", "seq")
+    paged = rel.nest_replies(first, reps, "conv", "seq", [F.col("txt")], page_size=2)
+    got = sorted((r.conv, r.page, [x.txt for x in r.replies]) for r in paged.collect())
+    assert got == [("c1", 0, ["r2", "r3"]), ("c1", 1, ["r4", "r5"]), ("c1", 2, ["r6", "r7"]), ("c2", 0, [])]
