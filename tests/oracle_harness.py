@@ -8,6 +8,7 @@ import datetime as _dt
 import decimal
 import hashlib
 import math
+import os
 import sys
 import time
 
@@ -30,7 +31,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return repr(round(v, 6))
+        return repr(v) if os.environ.get("ORACLE_STRICT") else repr(round(v, 6))
     if isinstance(v, decimal.Decimal):
         return repr(round(float(v), 6))
     if isinstance(v, bool):
