@@ -142,3 +142,17 @@ def test_decay_null_day(spark):
 def test_minmax_equal_values(spark):
     got = one(spark, M.minmax(F.col("x"), F.lit(2.0), F.lit(2.0), 0.1), [(2.0,)], "x double")
     assert got == [0.1]
+
+
+def test_rtrim_list_and_build_content(spark):
+    got = one(spark, T.rtrim_list(F.col("l")), [(["a@x ", "b@x  "],)], "l array<string>")
+    assert got == ["a@x, b@x"]
+    got = one(spark, T.build_content(F.col("s"), F.col("b"), F.col("to"), F.col("cc")),
+              [("Hi", None, ["a@x"], ["b@x", "c@x"])], "s string, b string, to array<string>, cc array<string>")
+    assert got == ["Hi a@x b@x c@x"]
+
+
+def test_now_string_and_sigmoid(spark):
+    import re
+    got = spark.range(1).select(D.now_string().alias("n"), M.sigmoid(F.lit(0.0)).alias("s")).first()
+    assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", got.n) and got.s == 0.5
