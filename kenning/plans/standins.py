@@ -15,10 +15,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kenning import config
-from kenning.functions.text import title_case, user_tag
+from kenning.functions.arrays import recipients_merge, without_sender
+from kenning.functions.dates import date_clean, format_out, shift_after
+from kenning.functions.text import (append_mentions, clean_content, extract_mails, is_iso8601, lower_clean_body,
+                                    name_tokens, strip_brackets, title_case, user_tag)
+from kenning.operators import directory as dirops
+from kenning.operators import extract as ext
+from kenning.operators import gazetteer as gz
 from kenning.operators import profile as prof
-from kenning.operators import scoring, state
-from kenning.plans.tables import event_mentions, table, text_table
+from kenning.operators import relational as rel
+from kenning.operators import scoring, state, synth
+from kenning.plans.tables import event_mentions, messages, messages_with_neighbors, table, text_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -116,11 +123,6 @@ def q_profile_merge(spark, sf):
 
 # ---------------------------------------------------------------- conversations: records and participants
 
-from kenning.functions.arrays import recipients_merge, without_sender  # noqa: E402
-from kenning.functions.text import append_mentions  # noqa: E402
-from kenning.operators import relational as rel  # noqa: E402
-from kenning.operators import synth  # noqa: E402
-from kenning.plans.tables import messages, messages_with_neighbors  # noqa: E402
 
 
 def _nonnull(*cols):
@@ -207,9 +209,6 @@ def q_mention_suffix(spark, sf):
 
 # ---------------------------------------------------------------- text: cleaning, addresses, dictionary entities
 
-from kenning.functions.text import clean_content, extract_mails, lower_clean_body, name_tokens, strip_brackets  # noqa: E402,F811
-from kenning.operators import extract as ext  # noqa: E402
-from kenning.operators import gazetteer as gz  # noqa: E402
 
 # Stand-in dictionary over the invented prose of ``documents``: frequent words
 # and word pairs per category, with overlaps (a pair and its words), one
@@ -334,9 +333,6 @@ def q_title_case(spark, sf):
 
 # ---------------------------------------------------------------- directory, names and addresses
 
-from kenning.functions.dates import date_clean, format_out, shift_after  # noqa: E402
-from kenning.functions.text import is_iso8601  # noqa: E402
-from kenning.operators import directory as dirops  # noqa: E402
 
 # Alias dictionary for part names (alias, canonical, file order); the repeated
 # key shows that the later entry wins, as in a Python dict.
