@@ -60,22 +60,29 @@ def nest_replies(first: DataFrame, reply_rows: DataFrame, key, order, fields, ou
             .drop("_r"))
 
 
-def neighbors(df: DataFrame, key, order, value) -> DataFrame:
+def neighbors(df: DataFrame, key, order, value, carry=None) -> DataFrame:
     """``value`` of the previous and next row (order - 1, order + 1) of the same group.
 
     One shuffle on (key, order): every row is sent as itself, as the previous
     row of order + 1 and as the next row of order - 1. No window over the whole
-    group, so a long conversation is not one task."""
+    group, so a long conversation is not one task. ``carry`` columns of the row
+    itself ride along in the same shuffle, so no join back is needed."""
+    carry = [c for c in (carry or []) if c not in (key, order)]
     kinds = F.array(
         F.struct(F.lit(0).alias("k"), F.col(order).alias("o")),
         F.struct(F.lit(1).alias("k"), (F.col(order) + 1).alias("o")),
         F.struct(F.lit(2).alias("k"), (F.col(order) - 1).alias("o")))
-    e = df.select(key, F.col(value).alias("_v"), F.explode(kinds).alias("_e"))
+    own = F.struct(*[F.col(c) for c in carry]) if carry else F.lit(True)
+    e = df.select(key, F.col(value).alias("_v"), own.alias("_own"), F.explode(kinds).alias("_e"))
     g = (e.groupBy(key, F.col("_e.o").alias(order))
-         .agg(F.max(F.when(F.col("_e.k") == 0, F.lit(True))).alias("_self"),
+         .agg(F.first(F.when(F.col("_e.k") == 0, F.col("_own")), ignorenulls=True).alias("_self"),
               F.max(F.when(F.col("_e.k") == 1, F.col("_v"))).alias("prev_" + value),
               F.max(F.when(F.col("_e.k") == 2, F.col("_v"))).alias("next_" + value)))
-    return g.filter(F.col("_self")).drop("_self")
+    g = g.filter(F.col("_self").isNotNull())
+    if carry:
+        return g.select(key, order, *[F.col("_self." + c).alias(c) for c in carry],
+                        "prev_" + value, "next_" + value)
+    return g.drop("_self")
 
 
 def value_counts(df: DataFrame, col, out="n") -> DataFrame:

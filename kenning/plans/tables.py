@@ -32,8 +32,7 @@ def messages_with_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """messages plus the sender of the previous and of the next turn."""
     from kenning.operators.relational import neighbors
     m = messages(spark, sf_dir)
-    nb = neighbors(m, "conversation_id", "turn", "sender")
-    return m.join(nb, on=["conversation_id", "turn"], how="inner")
+    return neighbors(m, "conversation_id", "turn", "sender", carry=m.columns)
 
 
 def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
