@@ -124,3 +124,25 @@ def test_stream_two_batches_equal_one_and_replay(spark, fx_paths):
                 for r in spark.read.parquet(current_state_path(spark, kw["state_root"])).collect()}
     one = {(r.user_id, r.category, r.value): r.frequency for r in _run_a(spark, fx_paths)["profile"].collect()}
     assert streamed == one
+
+
+def test_job_entry_points(spark, fx_paths):
+    import csv
+    from kenning import jobs
+    root = tempfile.mkdtemp(prefix="kenning-jobs-", dir="/tmp")
+    gpath = os.path.join(root, "gaz.csv")
+    with open(gpath, "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(["category", "phrase", "canonical", "case_sensitive", "versioned", "priority"])
+        for r in FX.GAZETTEER:
+            w.writerow(["" if v is None else v for v in r])
+    args = ["interests", "--conversations", fx_paths["conv_a"], "--directory", fx_paths["directory"],
+            "--gazetteer", gpath, "--state", os.path.join(root, "state"), "--out", os.path.join(root, "out"),
+            "--domain", "@acme.test", "--as-of", "2024-02-01"]
+    jobs.main(args, spark=spark)
+    w = spark.read.json(os.path.join(root, "out", "weights"))
+    assert w.count() > 0 and {"weight", "d_weight", "entityName"} <= set(w.columns)
+    jobs.main(["teams", "--messages", fx_paths["messages"], "--companion", fx_paths["companion"],
+               "--names", fx_paths["names"], "--ids", fx_paths["ids"], "--out", os.path.join(root, "teams")],
+              spark=spark)
+    assert spark.read.json(os.path.join(root, "teams")).count() == 3
