@@ -68,7 +68,7 @@ def ngrams(docs: DataFrame, id_col: str, text_col: str, max_n: int, firsts: Data
         grams.append(F.when(toks[-1].isNotNull(), F.struct(
             F.lit(n).alias("n"), exact.alias("exact"), F.lower(exact).alias("key"), vkey.alias("vkey"),
             value.alias("value"))))
-    return (z.select(id_col, (F.col("_pos") + 1).alias("start"), F.explode(F.array(*grams)).alias("g"))
+    return (z.select(id_col, (F.col("_pos") + 1).cast("bigint").alias("start"), F.explode(F.array(*grams)).alias("g"))
             .filter(F.col("g").isNotNull()).select(id_col, "start", "g.*"))
 
 
