@@ -28,3 +28,16 @@ def test_every_query_has_oracle_or_is_rows_only():
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and "weight" in df.columns
+
+
+DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean",
+              "DATE": "date"}
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_column_types_match_oracle(spark, con, name):
+    sdf = E.queries()[name](spark, SF)
+    spark_types = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    rel = con.sql(E.oracle_sql()[name])
+    duck_types = {c: DUCK_TYPES.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert spark_types == duck_types
