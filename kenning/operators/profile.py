@@ -45,7 +45,13 @@ def age_counts(counts: DataFrame, days: DataFrame, schedule, as_of: _dt.date, us
                         aged_count(F.col(freq), F.col("days"), schedule, null_day_keeps_count)))
 
 
-def rank_within(df: DataFrame, keys, order, out: str = "rank", partitions: int | None = None) -> DataFrame:
+# Largest group ranked by one task with a plain window; larger groups take the
+# range-partitioned path. Both give the same exact row numbers.
+HOT_GROUP_ROWS = 1_000_000
+
+
+def rank_within(df: DataFrame, keys, order, out: str = "rank", partitions: int | None = None,
+                hot_rows: int | None = HOT_GROUP_ROWS) -> DataFrame:
     """Exact ``row_number()`` within ``keys`` by ``order`` (a total order) that
     does not put a hot group into one task.
 
@@ -54,10 +60,18 @@ def rank_within(df: DataFrame, keys, order, out: str = "rank", partitions: int |
     (partition, group) chunk; a small table with one count per chunk gives each
     chunk the number of rows of the same group in earlier partitions. The
     partition id is materialized (checkpoint in the shared folder) so every
-    branch sees the same assignment, also after a lost executor."""
+    branch sees the same assignment, also after a lost executor.
+
+    With ``hot_rows`` the largest group is measured first (one aggregate with
+    partial counts); when no group exceeds it, a window per group is used."""
     from kenning.session import ensure_checkpoint_dir
     spark = df.sparkSession
     keys = list(keys)
+    if hot_rows is not None:
+        largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        if largest <= hot_rows:
+            w = Window.partitionBy(*keys).orderBy(*order)
+            return df.withColumn(out, F.row_number().over(w).cast("bigint"))
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ensure_checkpoint_dir(spark)
     s = (df.repartitionByRange(n, *[F.col(k) for k in keys], *order)

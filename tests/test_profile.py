@@ -111,10 +111,11 @@ def test_rank_within_hot_group_matches_window(spark):
     df = spark.createDataFrame(rows, "user_id string, category string, value string, frequency long")
     order = [F.col("frequency").desc(), F.col("value").asc()]
     got = {(r.user_id, r.value): r.rank for r in prof.rank_within(df, ["user_id", "category"], order,
-                                                                  partitions=16).collect()}
+                                                                  partitions=16, hot_rows=1000).collect()}
+    small = {(r.user_id, r.value): r.rank for r in prof.rank_within(df, ["user_id", "category"], order).collect()}
     w = Window.partitionBy("user_id", "category").orderBy(*order)
     exp = {(r.user_id, r.value): r.rank for r in df.withColumn("rank", F.row_number().over(w)).collect()}
-    assert got == exp
+    assert got == exp and small == exp
 
 
 def test_nest_replies_pages_keep_every_reply(spark):
