@@ -79,8 +79,8 @@ def user_tag(c) -> Column:
 
 
 def id_type(sub_id) -> Column:
-    """STR-8: ``EMAIL`` when no directory id, else ``COGNITO_SUB``."""
-    return F.when(_c(sub_id).isNull(), F.lit("EMAIL")).otherwise(F.lit("COGNITO_SUB"))
+    """STR-8: the id kind: no directory id vs directory id (fixed labels in ``config``)."""
+    return F.when(_c(sub_id).isNull(), F.lit(config.ID_TYPE_EMAIL)).otherwise(F.lit(config.ID_TYPE_DIRECTORY))
 
 
 def slash_paren(c) -> Column:

@@ -357,7 +357,8 @@ ORACLE["directory_left_join"] = (
     "SELECT c.user_id AS email_id, c.category, c.value, c.frequency, "
     "'USER_' || coalesce(d.sub_id, c.user_id) AS sub_id, "
     f"{TITLE.format(x='d.user_name')} AS userName, "
-    "CASE WHEN d.sub_id IS NULL THEN 'EMAIL' ELSE 'COGNITO_SUB' END AS id_type FROM c LEFT JOIN d ON d.email_id = c.user_id")
+    f"CASE WHEN d.sub_id IS NULL THEN '{config.ID_TYPE_EMAIL}' ELSE '{config.ID_TYPE_DIRECTORY}' END AS id_type "
+    "FROM c LEFT JOIN d ON d.email_id = c.user_id")
 
 ORDER_ENTRIES = (
     "dir AS (SELECT 'customer.' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') || '@example.com' AS email, "
