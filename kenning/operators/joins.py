@@ -21,12 +21,14 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> Da
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over at least ``min_partitions`` tasks (default: the
-    cluster's parallelism) when the input arrives in fewer partitions.
+def spread(df: DataFrame, min_partitions: int | None = None, per_core: int = 4) -> DataFrame:
+    """Round-robin the rows over at least ``min_partitions`` tasks (default:
+    ``per_core`` tasks per core of the cluster) when the input arrives in fewer
+    partitions.
 
     Text work is per row and CPU-bound: a small file stored as one row group
-    would otherwise be tokenized by one task. Large inputs already arrive in
-    many splits and pass through without a shuffle."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    would otherwise be tokenized by one task, and texts of very different
+    lengths need a few tasks per core to even out. Large inputs already arrive
+    in many splits and pass through without a shuffle."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism * per_core
     return df.repartition(want) if df.rdd.getNumPartitions() < want else df
