@@ -73,7 +73,7 @@ def ngrams(docs: DataFrame, id_col: str, text_col: str, max_n: int, firsts: Data
 
 
 def match(docs: DataFrame, gazetteer: DataFrame, id_col="doc_id", text_col="text",
-          broadcast_rows: int = 500_000) -> DataFrame:
+          broadcast_rows: int = 500_000, distinct: bool = True) -> DataFrame:
     """NER-5 + NER-7: every dictionary match (overlaps included).
 
     The expanded dictionary is broadcast when its row count is proven small
@@ -98,8 +98,11 @@ def match(docs: DataFrame, gazetteer: DataFrame, id_col="doc_id", text_col="text
     j = probes.join(keys.withColumnRenamed("exact", "g_exact").withColumnRenamed("n_tokens", "g_n"),
                     (F.col("p.kind") == F.col("kind")) & (F.col("p.key") == F.col("key")))
     ok = (~F.col("case_sensitive")) | (F.col("exact") == F.col("g_exact"))
-    return j.filter(ok).select(id_col, "start", F.col("n").alias("n_tokens"), "category", "canonical", "priority",
-                               "value").distinct()
+    out = j.filter(ok).select(id_col, "start", F.col("n").alias("n_tokens"), "category", "canonical", "priority",
+                              "value")
+    # the same match can be found twice (a token and its version-stripped name
+    # both start phrases); span selection drops such twins by itself
+    return out.distinct() if distinct else out
 
 
 def longest_spans(matches: DataFrame, id_col="doc_id", complete_in_row: bool = False) -> DataFrame:
@@ -138,7 +141,7 @@ def longest_spans(matches: DataFrame, id_col="doc_id", complete_in_row: bool = F
 def entities(docs: DataFrame, gazetteer: DataFrame, id_col="doc_id", text_col="text",
              complete_in_row: bool = False) -> DataFrame:
     """Dictionary entities of each document: longest non-overlapping spans."""
-    return longest_spans(match(docs, gazetteer, id_col, text_col), id_col, complete_in_row)
+    return longest_spans(match(docs, gazetteer, id_col, text_col, distinct=False), id_col, complete_in_row)
 
 
 def mail_entities(docs: DataFrame, id_col="doc_id", text_col="text", pattern=None, known: DataFrame | None = None,
