@@ -95,3 +95,10 @@ def test_mail_entities_known_only(spark):
     known = spark.createDataFrame([("ana.lima@acme.test",)], "address string")
     got = rows(ext.mail_entities(docs, known=known), "value", "category")
     assert got == [("ana.lima@acme.test", "EMAIL")]
+
+
+def test_optional_punctuation_rule(spark):
+    g = gz.from_rows(spark, [("PROG_SCRIPT_LANG", "objective -? c", "objective-c", False, False, 1)])
+    docs = spark.createDataFrame([(1, "objective-c and Objective C and objective - c")], "doc_id long, text string")
+    got = rows(ext.entities(docs, g), "value", "canonical")
+    assert got == [("Objective C", "objective-c"), ("objective - c", "objective-c"), ("objective-c", "objective-c")]
