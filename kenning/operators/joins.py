@@ -30,5 +30,9 @@ def spread(df: DataFrame, min_partitions: int | None = None, per_core: int = 4)
     would otherwise be tokenized by one task, and texts of very different
     lengths need a few tasks per core to even out. Large inputs already arrive
     in many splits and pass through without a shuffle."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism * per_core
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism * per_core
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access: leave the input as it is
+        return df
+    return df.repartition(want) if have < want else df
