@@ -90,6 +90,7 @@ def new_profile(messages: DataFrame, gazetteer: DataFrame, directory: DataFrame,
     annotated = m.join(all_ents.groupBy("message_id").agg(
         F.collect_list(F.struct("value", "category")).alias("entities")), on="message_id", how="left")
     return {"profile": aged.select("user_id", "category", "value", "frequency", "decay_frequency"),
+            "by_day": aged.select("user_id", "category", "value", "modal_day", "frequency"),
             "known": known, "annotated": annotated}
 
 
@@ -117,12 +118,22 @@ def enrich(profile: DataFrame, directory: DataFrame, known: DataFrame) -> DataFr
 
 def run(spark: SparkSession, messages: DataFrame, gazetteer: DataFrame, directory: DataFrame,
         cfg: config.TenantConfig = config.TENANT_A, aliases: DataFrame | None = None,
-        stored: DataFrame | None = None) -> dict:
+        stored: DataFrame | None = None, stored_by_day: DataFrame | None = None) -> dict:
     """The whole job for one batch. Returns the new state (``profile``), the
-    enriched profile, the weight table and the annotated messages."""
+    enriched profile, the weight table and the annotated messages.
+
+    With ``cfg.re_age`` the state is kept per mail day (``by_day``; pass the
+    stored one as ``stored_by_day``) and all counts are aged again at
+    ``cfg.as_of``; otherwise stored aged counts are added as they are."""
     batch = new_profile(messages, gazetteer, directory, cfg, aliases)
     prof_new = batch["profile"]
-    if stored is not None:
+    by_day = None
+    if cfg.re_age:
+        by_day = batch["by_day"] if stored_by_day is None else state.merge_by_day(stored_by_day, batch["by_day"])
+        ensure_checkpoint_dir(spark)
+        by_day = by_day.checkpoint(eager=True)
+        merged = state.reage(by_day, cfg.decay, cfg.as_of, cfg.null_day_keeps_count).withColumn("origin", F.lit("re-aged"))
+    elif stored is not None:
         merged = state.merge_profiles(stored, prof_new, complete_people=cfg.complete_people,
                                       people_category=config.PEOPLE)
     else:
@@ -135,4 +146,5 @@ def run(spark: SparkSession, messages: DataFrame, gazetteer: DataFrame, director
     known = batch["known"].checkpoint(eager=True)
     enriched = enrich(merged.drop("origin"), directory, known)
     weights = scoring.interest_weights(enriched, people_category=config.PEOPLE, categories=cfg.weight_categories)
-    return {"profile": merged, "enriched": enriched, "weights": weights, "annotated": batch["annotated"]}
+    return {"profile": merged, "by_day": by_day, "enriched": enriched, "weights": weights,
+            "annotated": batch["annotated"]}

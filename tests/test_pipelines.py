@@ -146,3 +146,29 @@ def test_job_entry_points(spark, fx_paths):
                "--names", fx_paths["names"], "--ids", fx_paths["ids"], "--out", os.path.join(root, "teams")],
               spark=spark)
     assert spark.read.json(os.path.join(root, "teams")).count() == 3
+
+
+def test_interests_re_age_two_batches(spark, fx_paths):
+    import dataclasses
+    import json
+    root = tempfile.mkdtemp(prefix="kenning-reage-", dir="/tmp")
+    p1, p2 = os.path.join(root, "b1.jsonl"), os.path.join(root, "b2.jsonl")
+    with open(p1, "w") as f:
+        f.write(json.dumps(FX.CONV_A) + "\n")
+    with open(p2, "w") as f:
+        f.write(json.dumps(FX.CONV_A_LINE2) + "\n")
+    g = gz.from_rows(spark, FX.GAZETTEER)
+    d = R.read_directory(spark, fx_paths["directory"])
+    cfg = dataclasses.replace(CFG_A, re_age=True)
+    first = interests.run(spark, R.read_conversations_a(spark, p1), g, d, cfg)
+    later = dataclasses.replace(cfg, as_of=cfg.as_of.replace(month=4))
+    second = interests.run(spark, R.read_conversations_a(spark, p2), g, d, later, stored_by_day=first["by_day"])
+    one = interests.run(spark, R.read_conversations_a(spark, [p1, p2]), g, d, later)
+    key = lambda df: {(r.user_id, r.category, r.value): (r.frequency, r.decay_frequency)
+                      for r in df.collect()}
+    # same totals; aged counts of the first batch are re-aged at the later date
+    assert {k: v[0] for k, v in key(second["profile"]).items()} == {k: v[0] for k, v in key(one["profile"]).items()}
+    # ana's python: 1 mention on 2024-01-30 aged 62 days -> ceil(1.117) = 2, plus 2 mentions on 2023-12-01
+    # aged 122 days -> ceil(2.083) = 3 (schedule V2 at as-of 2024-04-01)
+    assert key(first["profile"])[("ana.lima@acme.test", "PROG_SCRIPT_LANG", "python")] == (1, 2)
+    assert key(second["profile"])[("ana.lima@acme.test", "PROG_SCRIPT_LANG", "python")] == (3, 5)

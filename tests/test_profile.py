@@ -126,3 +126,24 @@ def test_nest_replies_pages_keep_every_reply(spark):
     paged = rel.nest_replies(first, reps, "conv", "seq", [F.col("txt")], page_size=2)
     got = sorted((r.conv, r.page, [x.txt for x in r.replies]) for r in paged.collect())
     assert got == [("c1", 0, ["r2", "r3"]), ("c1", 1, ["r4", "r5"]), ("c1", 2, ["r6", "r7"]), ("c2", 0, [])]
+
+
+def test_reage_by_day(spark):
+    from kenning.functions.mathx import aged_count  # noqa: F401
+    a = spark.createDataFrame([("u", "T", "gpu", dt.date(2024, 1, 10), 3)],
+                              "user_id string, category string, value string, modal_day date, frequency long")
+    b = spark.createDataFrame([("u", "T", "gpu", dt.date(2024, 1, 30), 2), ("u", "T", "gpu", dt.date(2024, 1, 10), 1)],
+                              a.schema)
+    by_day = state.merge_by_day(a, b)
+    assert sorted((str(r.modal_day), r.frequency) for r in by_day.collect()) == [("2024-01-10", 4), ("2024-01-30", 2)]
+    later = state.reage(by_day, "v3", dt.date(2024, 3, 1)).first()
+    # each day aged separately at the new as-of date, then added
+    one = prof.age_counts(spark.createDataFrame([("u", "T", "gpu", 4)], "user_id string, category string, "
+                                                "value string, frequency long"),
+                          spark.createDataFrame([("u", dt.date(2024, 1, 10))], "user_id string, modal_day date"),
+                          "v3", dt.date(2024, 3, 1)).first().decay_frequency
+    two = prof.age_counts(spark.createDataFrame([("u", "T", "gpu", 2)], "user_id string, category string, "
+                                                "value string, frequency long"),
+                          spark.createDataFrame([("u", dt.date(2024, 1, 30))], "user_id string, modal_day date"),
+                          "v3", dt.date(2024, 3, 1)).first().decay_frequency
+    assert later.frequency == 6 and later.decay_frequency == one + two
