@@ -48,13 +48,18 @@ def run_interests(spark: SparkSession, a) -> None:
     if a.aliases:
         aliases = R.read_csv_renamed(spark, a.aliases, {"category": "category", "alias": "alias",
                                                         "canonical": "canonical", "ord": "ord"}, longs=("ord",))
+    cfg = dataclasses.replace(cfg, re_age=a.re_age)
     cur = W.current_state_path(spark, a.state)
-    stored = spark.read.parquet(cur).select("user_id", "category", "value", "frequency", "decay_frequency") \
-        if cur else None
+    stored = stored_by_day = None
+    if cur and a.re_age:
+        stored_by_day = spark.read.parquet(cur).select("user_id", "category", "value", "modal_day", "frequency")
+    elif cur:
+        stored = spark.read.parquet(cur).select("user_id", "category", "value", "frequency", "decay_frequency")
     out = interests.run(spark, msgs, _gazetteer(spark, a.gazetteer), R.read_directory(spark, a.directory), cfg,
-                        aliases=aliases, stored=stored)
-    version = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S")
-    W.write_state(spark, out["profile"].drop("origin").withColumn("batch_id", F.lit(version)), a.state, version)
+                        aliases=aliases, stored=stored, stored_by_day=stored_by_day)
+    version = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
+    new_state = out["by_day"] if a.re_age else out["profile"].drop("origin")
+    W.write_state(spark, new_state.withColumn("batch_id", F.lit(version)), a.state, version)
     W.write_json(out["annotated"].drop("content"), f"{a.out}/annotated")
     W.write_json(out["weights"], f"{a.out}/weights", a.max_records)
     W.write_json(out["enriched"], f"{a.out}/enriched", a.max_records)
@@ -89,6 +94,7 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--domain", action="append", help="own mail domain, e.g. @example.com (repeatable)")
     i.add_argument("--as-of", dest="as_of", help="YYYY-MM-DD; default: today")
     i.add_argument("--max-records", dest="max_records", type=int)
+    i.add_argument("--re-age", dest="re_age", action="store_true", help="keep state per mail day and re-age it")
     for name in ("mail", "chat", "teams"):
         r = sub.add_parser(name)
         r.add_argument("--messages", required=True)

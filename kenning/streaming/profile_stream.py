@@ -19,6 +19,7 @@ from kenning.sinks.writers import current_state_path, write_state
 from kenning.sources.readers import parse_conversations_a, parse_conversations_b
 
 STATE_COLUMNS = ("user_id", "category", "value", "frequency", "decay_frequency")
+BY_DAY_COLUMNS = ("user_id", "category", "value", "modal_day", "frequency")
 
 
 def _applied_version(spark: SparkSession, state_root: str) -> int:
@@ -35,9 +36,15 @@ def merge_batch(spark: SparkSession, text: DataFrame, epoch: int, gazetteer: Dat
         return                                           # already applied: replay is harmless
     msgs = parse_conversations_a(text) if shape == "a" else parse_conversations_b(text, cfg.lower_addresses)
     cur = current_state_path(spark, state_root)
+    version = f"{epoch:08d}"
+    if cfg.re_age:                                       # state kept per mail day (Q21 option)
+        stored_by_day = spark.read.parquet(cur).select(*BY_DAY_COLUMNS) if cur else None
+        out = interests.run(spark, msgs, gazetteer, directory, cfg, aliases=aliases, stored_by_day=stored_by_day)
+        write_state(spark, out["by_day"].select(*BY_DAY_COLUMNS).withColumn("batch_id", F.lit(version)),
+                    state_root, version)
+        return
     stored = spark.read.parquet(cur).select(*STATE_COLUMNS) if cur else None
     out = interests.run(spark, msgs, gazetteer, directory, cfg, aliases=aliases, stored=stored)
-    version = f"{epoch:08d}"
     write_state(spark, out["profile"].select(*STATE_COLUMNS).withColumn("batch_id", F.lit(version)),
                 state_root, version)
 

@@ -172,3 +172,34 @@ def test_interests_re_age_two_batches(spark, fx_paths):
     # aged 122 days -> ceil(2.083) = 3 (schedule V2 at as-of 2024-04-01)
     assert key(first["profile"])[("ana.lima@acme.test", "PROG_SCRIPT_LANG", "python")] == (1, 2)
     assert key(second["profile"])[("ana.lima@acme.test", "PROG_SCRIPT_LANG", "python")] == (3, 5)
+
+
+def test_job_re_age_state_round_trip(spark, fx_paths):
+    import csv
+    import json
+    from kenning import jobs
+    from kenning.sinks.writers import current_state_path
+    root = tempfile.mkdtemp(prefix="kenning-jobs-reage-", dir="/tmp")
+    gpath = os.path.join(root, "gaz.csv")
+    with open(gpath, "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(["category", "phrase", "canonical", "case_sensitive", "versioned", "priority"])
+        for r in FX.GAZETTEER:
+            w.writerow(["" if v is None else v for v in r])
+    inputs = []
+    for i, conv in enumerate((FX.CONV_A, FX.CONV_A_LINE2)):
+        p = os.path.join(root, f"in{i}")
+        os.makedirs(p)
+        with open(os.path.join(p, "b.jsonl"), "w") as f:
+            f.write(json.dumps(conv) + "\n")
+        inputs.append(p)
+    state_root = os.path.join(root, "state")
+    for i, (p, as_of) in enumerate(zip(inputs, ("2024-02-01", "2024-04-01"))):
+        jobs.main(["interests", "--conversations", p, "--directory", fx_paths["directory"], "--gazetteer", gpath,
+                   "--state", state_root, "--out", os.path.join(root, f"out{i}"), "--domain", "@acme.test",
+                   "--as-of", as_of, "--re-age"], spark=spark)
+    st = spark.read.parquet(current_state_path(spark, state_root))
+    assert "modal_day" in st.columns
+    rows = {(r.user_id, r.value, str(r.modal_day)): r.frequency for r in st.collect()}
+    assert rows[("ana.lima@acme.test", "python", "2024-01-30")] == 1
+    assert rows[("ana.lima@acme.test", "python", "2023-12-01")] == 2
