@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from kenning.functions.arrays import word_count
 from kenning.functions.text import id_type, name_tokens, title_case, user_tag, ws_split
+from kenning.operators.joins import sized_broadcast
 
 
 def _prefixes(c):
@@ -65,7 +66,7 @@ def apply_aliases(df: DataFrame, aliases: DataFrame, value="value", category=Non
     a = aliases
     if "ord" in a.columns:
         a = a.groupBy(*keys).agg(F.max_by(canonical_col, "ord").alias(canonical_col))
-    a = a.select(*[F.col(k).alias("_ak_" + k) for k in keys], F.col(canonical_col).alias("_canon"))
+    a = sized_broadcast(a.select(*[F.col(k).alias("_ak_" + k) for k in keys], F.col(canonical_col).alias("_canon")))
     cond = [F.col(value) == F.col("_ak_" + alias_col)]
     if category:
         cond.append(F.col(category) == F.col("_ak_" + category))

@@ -359,7 +359,7 @@ def q_alias_map(spark, sf):
     a = spark.createDataFrame(list(STANDIN_ALIASES), "alias string, canonical string, ord int")
     d = rel.dictionary(a, "alias", "canonical", "ord")
     p = table(spark, sf, "part").select("p_partkey", "p_name", F.col("p_name").alias("value"))
-    return dirops.apply_aliases(p, F.broadcast(d), value="value")
+    return dirops.apply_aliases(p, d, value="value")
 
 
 def _names_and_directory(spark, sf):
