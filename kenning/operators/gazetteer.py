@@ -32,7 +32,7 @@ def from_rows(spark: SparkSession, rows) -> DataFrame:
 
 def _alternatives(word):
     """``{a|b}`` -> [a, b]; ``w?`` -> [w, '']; ``w`` -> [w]."""
-    opt = word.endswith(F.lit("?"))
+    opt = word.endswith(F.lit("?")) & (F.length(word) > 1)      # a lone "?" is a literal token
     core = F.when(opt, F.substring(word, F.lit(1), F.length(word) - 1)).otherwise(word)
     alts = F.when(core.startswith("{") & core.endswith("}"),
                   F.split(F.substring(core, F.lit(2), F.length(core) - 2), r"\|")).otherwise(F.array(core))

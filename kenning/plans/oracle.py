@@ -222,7 +222,7 @@ def expand_phrase(phrase):
     """Expand '{a|b}' alternatives and 'w?' optional words (oracle side)."""
     out = [[]]
     for w in phrase.split():
-        opt = w.endswith("?")
+        opt = w.endswith("?") and len(w) > 1
         core = w[:-1] if opt else w
         alts = core[1:-1].split("|") if core.startswith("{") and core.endswith("}") else [core]
         if opt:

@@ -102,3 +102,8 @@ def test_optional_punctuation_rule(spark):
     docs = spark.createDataFrame([(1, "objective-c and Objective C and objective - c")], "doc_id long, text string")
     got = rows(ext.entities(docs, g), "value", "canonical")
     assert got == [("Objective C", "objective-c"), ("objective - c", "objective-c"), ("objective-c", "objective-c")]
+
+
+def test_lone_question_mark_is_literal(spark):
+    keys = sorted(r.key for r in gz.expand(gz.from_rows(spark, [("TOPICS", "why ?", None, False, False, 1)])).collect())
+    assert keys == ["why ?"]
