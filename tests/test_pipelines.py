@@ -203,3 +203,28 @@ def test_job_re_age_state_round_trip(spark, fx_paths):
     rows = {(r.user_id, r.value, str(r.modal_day)): r.frequency for r in st.collect()}
     assert rows[("ana.lima@acme.test", "python", "2024-01-30")] == 1
     assert rows[("ana.lima@acme.test", "python", "2023-12-01")] == 2
+
+
+def test_stream_batch_merge_re_age_and_replay(spark, fx_paths):
+    import dataclasses
+    import json
+    from pyspark.sql import functions as F
+    from kenning.sinks.writers import current_state_path
+    from kenning.streaming.profile_stream import merge_batch
+    root = tempfile.mkdtemp(prefix="kenning-mb-", dir="/tmp")
+    state_root = os.path.join(root, "state")
+    g = gz.from_rows(spark, FX.GAZETTEER)
+    d = R.read_directory(spark, fx_paths["directory"])
+    cfg = dataclasses.replace(CFG_A, re_age=True)
+
+    def text(conv):
+        return spark.createDataFrame([(json.dumps(conv),)], "value string").withColumn("batch_id", F.lit("x"))
+
+    merge_batch(spark, text(FX.CONV_A), 0, g, d, cfg, "a", state_root)
+    merge_batch(spark, text(FX.CONV_A_LINE2), 1, g, d, cfg, "a", state_root)
+    path1 = current_state_path(spark, state_root)
+    merge_batch(spark, text(FX.CONV_A_LINE2), 1, g, d, cfg, "a", state_root)     # replayed batch: skipped
+    assert current_state_path(spark, state_root) == path1
+    rows = {(r.user_id, r.value, str(r.modal_day)): r.frequency for r in spark.read.parquet(path1).collect()}
+    assert rows[("ana.lima@acme.test", "python", "2023-12-01")] == 2
+    assert rows[("ana.lima@acme.test", "python", "2024-01-30")] == 1
