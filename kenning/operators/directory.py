@@ -147,7 +147,14 @@ def resolve_names(names: DataFrame, directory: DataFrame, known_addresses: DataF
     both2 = c2.join(parts.withColumnRenamed("_p", "_w2"), on=["address", "_w2"], how="left_semi")
     t2 = (both2.filter(F.col("_w2").isNotNull()).unionByName(c2.filter(F.col("_w2").isNull()))
           .groupBy(name).agg(F.min("address").alias("_t2_addr")))
-    r = n.join(t1, on=name, how="left").join(t2, on=name, how="left")
+    # each tier has at most one row per name: combine by one aggregation on the
+    # name instead of two joins
+    none = F.lit(None).cast("string")
+    r = (n.select(name, "_plain", none.alias("_t1_id"), none.alias("_t1_name"), none.alias("_t2_addr"))
+         .unionByName(t1.select(name, none.alias("_plain"), "_t1_id", "_t1_name", none.alias("_t2_addr")))
+         .unionByName(t2.select(name, none.alias("_plain"), none.alias("_t1_id"), none.alias("_t1_name"), "_t2_addr"))
+         .groupBy(name)
+         .agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("_plain", "_t1_id", "_t1_name", "_t2_addr")]))
     t2_name = title_case(F.array_join(name_tokens(F.col("_t2_addr")), " "))
     return r.select(
         name,
