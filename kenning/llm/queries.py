@@ -89,7 +89,7 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
  row_number() OVER w = 1 AS kept, sha256(t) AS text_sha256
 FROM n WINDOW w AS (PARTITION BY t ORDER BY cp DESC, doc_id)""",
     "op6_substring_dedup": r"""
-WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS ws FROM documents),
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
 win AS (SELECT doc_id, p, md5(array_to_string(ws[p:p + 49], ' ')) AS k FROM
  (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS p FROM w WHERE len(ws) >= 50)),
 low AS (SELECT k, min(doc_id) AS low FROM win GROUP BY k HAVING min(doc_id) < max(doc_id)),
