@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kenning import config
 
-__all__ = ["DATE_FORMATS", "parse_any_date", "format_out", "shift_after", "days_since", "date_clean", "now_string"]
+__all__ = ["DATE_FORMATS", "parse_any_date", "parse_date_strict", "format_out", "shift_after", "days_since", "date_clean", "now_string"]
 
 # Formats tried in order by parse_any_date (DT-1); the original used a
 # free-form parser, this is the listed set that replaces it. Each format comes
@@ -23,19 +23,39 @@ DATE_FORMATS = (
     (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
     (r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}:\d{2}$", "MM/dd/yyyy HH:mm:ss"),
     (r"^\d{2}/\d{2}/\d{4}$", "MM/dd/yyyy"),
-    (r"^\d{2} [A-Za-z]{3} \d{4}$", "dd MMM yyyy"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
+    (r"^\d{1,2} [A-Za-z]{4,9} \d{4}$", "d MMMM yyyy"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4} \d{2}:\d{2}:\d{2} [+-]\d{4}$", "d MMM yyyy HH:mm:ss xx"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4} \d{2}:\d{2}:\d{2}$", "d MMM yyyy HH:mm:ss"),
+    (r"^[A-Za-z]{4,9} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
+    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}$", "yyyy-MM-dd HH:mm"),
+    (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?[+-]\d{4}$", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]xx"),
     (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
     (r"^\d{4}/\d{2}/\d{2}$", "yyyy/MM/dd"),
 )
 
+WEEKDAY = r"^(Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*,?\s+"
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def parse_any_date(c, formats=DATE_FORMATS) -> Column:
-    """First format that parses; null when none does (the tolerant form)."""
-    return F.coalesce(*[F.when(_c(c).rlike(shape), F.try_to_timestamp(_c(c), F.lit(f))) for shape, f in formats])
+    """First format that parses; null when none does (the tolerant form).
+
+    A weekday in front (mail headers) is dropped and a zone name GMT or UTC at
+    the end read as +0000, before the formats are tried."""
+    v = F.regexp_replace(F.trim(_c(c)), WEEKDAY, "")
+    v = F.regexp_replace(v, r"\s*(GMT|UTC)$", " +0000")
+    return F.coalesce(*[F.when(v.rlike(shape), F.try_to_timestamp(v, F.lit(f))) for shape, f in formats])
+
+
+def parse_date_strict(c, formats=DATE_FORMATS) -> Column:
+    """The strict form: a value that no format reads is an error; null stays null."""
+    parsed = parse_any_date(c, formats)
+    return F.when(_c(c).isNotNull() & parsed.isNull(),
+                  F.raise_error(F.concat(F.lit("no date format reads: "), _c(c))).cast("timestamp")).otherwise(parsed)
 
 
 def format_out(ts) -> Column:

@@ -14,8 +14,9 @@ __all__ = [
     "starts_with_any", "tokenize",
 ]
 
-# ASCII white space, written out so Java and other regex engines agree.
-WS_CLASS = r"[ \t\n\x0B\f\r]"
+# The blanks of Python's str.split(), written out: ASCII, the separators
+# \x1C-\x1F and the Unicode blanks (no-break space in HTML mail).
+WS_CLASS = (r"[ \t\n\x0B\f\r\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
 # Token rule: a mail address or a web address as one token; else runs of
 # letters, digits and '_', or one other non-blank character.
 TOKEN_CORE = (r"[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]+|https?://[^ \t\n\x0B\f\r]+"

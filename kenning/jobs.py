@@ -41,7 +41,7 @@ def run_interests(spark: SparkSession, a) -> None:
     from kenning.plans import interests
     cfg = config.TENANT_A if a.tenant == "a" else config.TENANT_B
     cfg = dataclasses.replace(cfg, domains=tuple(a.domain or ()),
-                              as_of=_dt.date.fromisoformat(a.as_of) if a.as_of else _dt.date.today())
+                              as_of=_dt.date.fromisoformat(a.as_of))
     msgs = (R.read_conversations_a(spark, a.conversations) if a.shape == "a"
             else R.read_conversations_b(spark, a.conversations, cfg.lower_addresses))
     aliases = None
@@ -92,7 +92,7 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--out", required=True)
     i.add_argument("--tenant", choices=["a", "b"], default="a")
     i.add_argument("--domain", action="append", help="own mail domain, e.g. @example.com (repeatable)")
-    i.add_argument("--as-of", dest="as_of", help="YYYY-MM-DD; default: today")
+    i.add_argument("--as-of", dest="as_of", required=True, help="YYYY-MM-DD")
     i.add_argument("--max-records", dest="max_records", type=int)
     i.add_argument("--re-age", dest="re_age", action="store_true", help="keep state per mail day and re-age it")
     for name in ("mail", "chat", "teams"):

@@ -185,23 +185,31 @@ def lists_with_directory(df: DataFrame, key, lists: dict, directory: DataFrame,
     a directory (email, user_id, display) and give back, per ``key``, each list
     as an array of structs (email, user_id, display) in its original order.
 
-    All lists are exploded together with their name and position, joined once
-    to the directory by equality (shuffle, or broadcast when the planner
-    measures the directory small) and put back together per key; a key's work
-    is bounded by its own lists. Unknown addresses keep null fields."""
+    All lists are put into one array of (list, position, entry), exploded once (one
+    read of the input), joined to the directory by equality (shuffle, or broadcast
+    when the planner measures the directory small) and put back together per key; a
+    key's work is bounded by its own lists. Unknown addresses keep null fields. A row
+    whose lists are all null or empty stays: an empty list comes back empty, a null
+    list (or one that could not be parsed) null."""
     keys = [key] if isinstance(key, str) else list(key)
-    parts = [df.select(*keys, F.lit(name).alias("_list"), F.posexplode(col if not isinstance(col, str) else F.col(col))
-                       .alias("_pos", email))
-             for name, col in lists.items()]
-    e = parts[0]
-    for p in parts[1:]:
-        e = e.unionByName(p)
+    cols = {name: F.col(c) if isinstance(c, str) else c for name, c in lists.items()}
+
+    def listed(name, c):
+        return F.transform(F.coalesce(c, F.array().cast("array<string>")),
+                           lambda x, i: F.struct(F.lit(name).alias("_list"), i.alias("_pos"), x.alias(email)))
+
+    entries = [listed(name, c) for name, c in cols.items()]
+    e = (df.select(*keys, *[c.isNull().alias("_no_" + name) for name, c in cols.items()],
+                   F.explode_outer(F.concat(*entries)).alias("_e"))
+         .select(*keys, *["_no_" + name for name in cols], "_e.*"))
     d = directory.select(email, "user_id", "display")
     j = e.join(d, on=email, how="left")
     aggs = [F.array_sort(F.collect_list(F.when(F.col("_list") == name, F.struct("_pos", email, "user_id", "display"))))
             .alias("_" + name) for name in lists]
-    back = j.groupBy(*keys).agg(*aggs)
-    return back.select(*keys, *[F.transform("_" + name, lambda s: s.dropFields("_pos")).alias(name) for name in lists])
+    gone = [F.bool_or("_no_" + name).alias("_no_" + name) for name in lists]
+    back = j.groupBy(*keys).agg(*aggs, *gone)
+    return back.select(*keys, *[F.when(~F.col("_no_" + name), F.transform("_" + name, lambda s: s.dropFields("_pos"))).alias(name)
+                                for name in lists])
 
 
 def list_with_directory(df: DataFrame, key, list_col, directory: DataFrame, email="email", out="entries") -> DataFrame:

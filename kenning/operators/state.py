@@ -23,8 +23,12 @@ def merge_profiles(stored: DataFrame, new: DataFrame, complete_people: bool = Fa
     s = stored.select(*KEY, F.col("frequency").alias("_sf"), F.col("decay_frequency").alias("_sd"))
     n = new.select(*KEY, F.col("frequency").alias("_nf"), F.col("decay_frequency").alias("_nd"))
     if complete_people:
-        s = _complete_people(s, ["_sf", "_sd"], people_category, other=n)
-        n = _complete_people(n, ["_nf", "_nd"], people_category, other=s)
+        # both sides are completed once, over the names both had before the merge
+        names = (stored.select(*KEY).unionByName(new.select(*KEY))
+                 .filter(F.col("category") == people_category).select("user_id", "value").distinct())
+        done = complete_names(names, ["user_id"], "value", out="_completed")
+        s = _complete_people(s, ["_sf", "_sd"], people_category, done)
+        n = _complete_people(n, ["_nf", "_nd"], people_category, done)
     m = s.join(n, on=list(KEY), how="full_outer")
     return m.select(
         *KEY,
@@ -34,13 +38,9 @@ def merge_profiles(stored: DataFrame, new: DataFrame, complete_people: bool = Fa
          .when(F.col("_sf").isNotNull(), "stored").otherwise("new").alias("origin"))
 
 
-def _complete_people(side: DataFrame, measures, people_category, other: DataFrame) -> DataFrame:
-    """Complete people names of ``side`` against the names of both sides of the same user."""
+def _complete_people(side: DataFrame, measures, people_category, done: DataFrame) -> DataFrame:
+    """Put the completed names into ``side`` and add up those that became equal."""
     people = side.filter(F.col("category") == people_category)
-    pool = (people.select("user_id", "value")
-            .unionByName(other.filter(F.col("category") == people_category).select("user_id", "value"))
-            .distinct())
-    done = complete_names(pool, ["user_id"], "value", out="_completed")
     completed = (people.join(done, on=["user_id", "value"], how="left")
                  .withColumn("value", F.coalesce("_completed", "value")).drop("_completed")
                  .groupBy(*KEY).agg(*[F.sum(m).alias(m) for m in measures]))

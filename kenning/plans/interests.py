@@ -54,27 +54,29 @@ def profile_users(parts: DataFrame, directory: DataFrame, cfg: config.TenantConf
 def new_profile(messages: DataFrame, gazetteer: DataFrame, directory: DataFrame, cfg: config.TenantConfig,
                 aliases: DataFrame | None = None) -> dict:
     """Counts and aged counts of one batch, plus the annotated messages."""
-    m = prepare_messages(messages, cfg)
-    text = spread(m.select("message_id", "content"))
-    ents = extract.entities(text, gazetteer, id_col="message_id",
-                            text_col="content", complete_in_row=True).select("message_id", "value", "category")
+    # A key per row: message ids repeat across conversations and may be null. The
+    # cleaned messages are materialized with it once, so every branch sees the same
+    # keys (also after a lost executor) and none cleans the text again.
+    ensure_checkpoint_dir(messages.sparkSession)
+    m = spread(prepare_messages(messages, cfg)).withColumn("_row", F.monotonically_increasing_id()).checkpoint(eager=True)
+    ents = extract.entities(m.select("_row", "content"), gazetteer, id_col="_row",
+                            text_col="content", complete_in_row=True).select("_row", "value", "category")
     # Per-message metadata without the text (senders, recipients, date, address
     # candidates found in the content), materialized once: participants, known
     # addresses, mail entities and modal days all read it instead of re-scanning
     # and re-cleaning the text in each branch.
-    slim = m.select("message_id", "from_email", "to", "cc", "date",
+    slim = m.select("_row", "from_email", "to", "cc", "date",
                     extract_mails(F.col("content"), cfg.mail_pattern).alias("_mails"))
-    ensure_checkpoint_dir(slim.sparkSession)
     slim = slim.checkpoint(eager=True)
-    parts = prof.explode_participants(slim.select("message_id", "from_email", "to", "cc", "date"),
-                                      msg="message_id", sender="from_email", recipients=("to", "cc"))
+    parts = prof.explode_participants(slim.select("_row", "from_email", "to", "cc", "date"),
+                                      msg="_row", sender="from_email", recipients=("to", "cc"))
     known = parts.select(F.col("user_id").alias("address")).distinct()
-    mails = (slim.select("message_id", F.explode("_mails").alias("value"))
+    mails = (slim.select("_row", F.explode("_mails").alias("value"))
              .join(known.select(F.col("address").alias("value")), on="value", how="left_semi")
              .withColumn("category", F.lit(config.EMAIL)))
-    all_ents = ents.unionByName(mails.select("message_id", "value", "category"))
-    users = profile_users(parts.select("message_id", "user_id", "date").distinct(), directory, cfg)
-    mentions = prof.drop_self_mentions(users.select("message_id", "user_id").join(all_ents, on="message_id"))
+    all_ents = ents.unionByName(mails.select("_row", "value", "category"))
+    users = profile_users(parts.select("_row", "user_id", "date").distinct(), directory, cfg)
+    mentions = prof.drop_self_mentions(users.select("_row", "user_id").join(all_ents, on="_row"))
     if aliases is not None:
         a = aliases.filter(F.col("category").isin(list(cfg.alias_categories)))
         mentions = apply_aliases(mentions, a, value="value", category="category")
@@ -87,8 +89,8 @@ def new_profile(messages: DataFrame, gazetteer: DataFrame, directory: DataFrame,
     counts = prof.mention_counts(mentions)
     days = prof.modal_day(users.withColumn("ts", parse_any_date(F.col("date"))).select("user_id", "ts"))
     aged = prof.age_counts(counts, days, cfg.decay, cfg.as_of, null_day_keeps_count=cfg.null_day_keeps_count)
-    annotated = m.join(all_ents.groupBy("message_id").agg(
-        F.collect_list(F.struct("value", "category")).alias("entities")), on="message_id", how="left")
+    annotated = m.join(all_ents.groupBy("_row").agg(
+        F.collect_list(F.struct("value", "category")).alias("entities")), on="_row", how="left").drop("_row")
     return {"profile": aged.select("user_id", "category", "value", "frequency", "decay_frequency"),
             "by_day": aged.select("user_id", "category", "value", "modal_day", "frequency"),
             "known": known, "annotated": annotated}

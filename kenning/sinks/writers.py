@@ -3,10 +3,11 @@ the executors; nothing is assembled on the driver."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-__all__ = ["write_json", "write_csv", "write_state", "current_state_path"]
+__all__ = ["write_json", "write_csv", "write_state", "current_state_path", "applied"]
 
 
 def write_json(df: DataFrame, path: str, max_records_per_file: int | None = None) -> None:
@@ -27,22 +28,45 @@ def write_csv(df: DataFrame, path: str, max_records_per_file: int | None = None)
     w.csv(path)
 
 
-def write_state(spark: SparkSession, df: DataFrame, root: str, version: str) -> str:
-    """SNK-3: write the profile to a new version folder, then move the pointer.
+POINTER_SCHEMA = "seq bigint, version string, path string, source string"
 
-    The folder being read is never overwritten; the previous version stays as
-    the backup copy. Returns the new folder."""
+
+def _pointers(spark: SparkSession, root: str) -> DataFrame | None:
+    """All pointer rows, or None if there is no pointer folder. Anything else that
+    goes wrong (a damaged file, no access) is an error: an unreadable pointer must
+    not look like an empty state."""
+    try:
+        rows = spark.read.schema(POINTER_SCHEMA).option("mode", "FAILFAST").json(f"{root}/_pointer")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return rows.withColumn("seq", F.coalesce("seq", F.lit(0)))
+
+
+def write_state(spark: SparkSession, df: DataFrame, root: str, version: str, source: str | None = None) -> str:
+    """SNK-3: write the profile to a new version folder, then add a pointer row.
+
+    Nothing is overwritten: the version folders stay as backups, and each version
+    appends its own pointer file, so a crash leaves the previous state in force.
+    ``source`` names what was merged (see ``applied``). Returns the new folder."""
     path = f"{root}/version={version}"
     df.write.mode("overwrite").parquet(path)
-    spark.createDataFrame([(version, path)], "version string, path string") \
-        .coalesce(1).write.mode("overwrite").json(f"{root}/_pointer")
+    known = _pointers(spark, root)
+    last = known.agg(F.max("seq")).first()[0] if known is not None else None
+    spark.createDataFrame([((last or 0) + 1, version, path, source)], POINTER_SCHEMA) \
+        .coalesce(1).write.mode("append").json(f"{root}/_pointer")
     return path
 
 
 def current_state_path(spark: SparkSession, root: str) -> str | None:
-    """The folder the pointer names, or None before the first write."""
-    try:
-        row = spark.read.schema("version string, path string").json(f"{root}/_pointer").first()
-    except Exception:  # noqa: BLE001 - no pointer yet
-        return None
+    """The folder the newest pointer names, or None before the first write."""
+    known = _pointers(spark, root)
+    row = known.orderBy(F.desc("seq")).first() if known is not None else None
     return row["path"] if row else None
+
+
+def applied(spark: SparkSession, root: str, source: str) -> bool:
+    """Was this source (a stream's batch) merged into the state already?"""
+    known = _pointers(spark, root)
+    return known is not None and not known.where(F.col("source") == source).isEmpty()

@@ -2,9 +2,9 @@
 
 ``readStream`` on a folder of JSON-lines files, ``foreachBatch`` runs the batch
 job on each micro-batch and writes the merged profile as a new state version.
-The stream checkpoint records which files were taken; the state pointer records
-the last applied batch, so a re-run of a batch after a failure (or a replay)
-is skipped instead of being counted twice. No custom state store is needed:
+The stream checkpoint records which files were taken; the state's pointers record
+which batches of which stream were applied, so a re-run of a batch after a failure
+(or a replay) is skipped instead of being counted twice. No custom state store is needed:
 the state is an ordinary Parquet table.
 """
 
@@ -15,38 +15,36 @@ from pyspark.sql import functions as F
 
 from kenning import config
 from kenning.plans import interests
-from kenning.sinks.writers import current_state_path, write_state
+from kenning.sinks.writers import applied, current_state_path, write_state
 from kenning.sources.readers import parse_conversations_a, parse_conversations_b
 
 STATE_COLUMNS = ("user_id", "category", "value", "frequency", "decay_frequency")
 BY_DAY_COLUMNS = ("user_id", "category", "value", "modal_day", "frequency")
 
 
-def _applied_version(spark: SparkSession, state_root: str) -> int:
-    cur = current_state_path(spark, state_root)
-    if not cur:
-        return -1
-    return int(cur.rsplit("version=", 1)[1])
-
-
 def merge_batch(spark: SparkSession, text: DataFrame, epoch: int, gazetteer: DataFrame, directory: DataFrame,
-                cfg: config.TenantConfig, shape: str, state_root: str, aliases: DataFrame | None = None) -> None:
-    """One micro-batch: parse, run the job against the stored state, write the next version."""
-    if epoch <= _applied_version(spark, state_root):
+                cfg: config.TenantConfig, shape: str, state_root: str, aliases: DataFrame | None = None,
+                stream: str = "") -> None:
+    """One micro-batch: parse, run the job against the stored state, write the next version.
+
+    ``stream`` is the id of the stream's checkpoint: (stream, epoch) tells a replayed
+    batch from a new one, also on a state the batch job or another stream wrote."""
+    source = f"{stream}:{epoch}"
+    if applied(spark, state_root, source):
         return                                           # already applied: replay is harmless
     msgs = parse_conversations_a(text) if shape == "a" else parse_conversations_b(text, cfg.lower_addresses)
     cur = current_state_path(spark, state_root)
-    version = f"{epoch:08d}"
+    version = f"{stream or 'batch'}-{epoch:08d}"
     if cfg.re_age:                                       # state kept per mail day (Q21 option)
         stored_by_day = spark.read.parquet(cur).select(*BY_DAY_COLUMNS) if cur else None
         out = interests.run(spark, msgs, gazetteer, directory, cfg, aliases=aliases, stored_by_day=stored_by_day)
         write_state(spark, out["by_day"].select(*BY_DAY_COLUMNS).withColumn("batch_id", F.lit(version)),
-                    state_root, version)
+                    state_root, version, source)
         return
     stored = spark.read.parquet(cur).select(*STATE_COLUMNS) if cur else None
     out = interests.run(spark, msgs, gazetteer, directory, cfg, aliases=aliases, stored=stored)
     write_state(spark, out["profile"].select(*STATE_COLUMNS).withColumn("batch_id", F.lit(version)),
-                state_root, version)
+                state_root, version, source)
 
 
 def run_available(spark: SparkSession, inbox: str, gazetteer: DataFrame, directory: DataFrame,
@@ -57,7 +55,9 @@ def run_available(spark: SparkSession, inbox: str, gazetteer: DataFrame, directo
            .select("value", F.col("_metadata.file_name").alias("batch_id")))
 
     def each(df: DataFrame, epoch: int) -> None:
-        merge_batch(df.sparkSession, df, epoch, gazetteer, directory, cfg, shape, state_root, aliases)
+        session = df.sparkSession
+        stream = session.read.json(f"{checkpoint}/metadata").first()["id"]     # unique per checkpoint
+        merge_batch(session, df, epoch, gazetteer, directory, cfg, shape, state_root, aliases, stream)
 
     q = (src.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
