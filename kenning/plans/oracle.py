@@ -277,6 +277,16 @@ def _gaz_rows():
 
 ORACLE["gazetteer_matches"] = f"WITH {matches_sql(_gaz_rows())} SELECT * FROM mt"
 
+# spans in order of choice, folded left to right: one is kept if it overlaps none kept so far
+ORACLE["longest_spans"] = (
+    f"WITH {matches_sql(_gaz_rows())}, "
+    "s AS (SELECT doc_id, list([{start: start, n_tokens: n_tokens, category: category, priority: priority, "
+    "canonical: canonical, value: value}] ORDER BY n_tokens DESC, start, priority, category, canonical, value) AS spans "
+    "FROM mt GROUP BY doc_id), "
+    "k AS (SELECT doc_id, unnest(list_reduce(spans, lambda kept, x: CASE WHEN len(list_filter(kept, lambda a: "
+    "a.start < x[1].start + x[1].n_tokens AND x[1].start < a.start + a.n_tokens)) > 0 THEN kept ELSE kept || x END)) AS k FROM s) "
+    "SELECT doc_id, k.start, k.n_tokens, k.category, k.priority, k.canonical, k.value FROM k")
+
 ORACLE["self_mention_filter"] = (
     "WITH r AS (SELECT doc_id, regexp_extract_all(lower(text), '\\p{L}+', 0) AS words, "
     f"unnest(list_filter(regexp_extract_all(text, '{MP}', 0), lambda x, i: list_position(regexp_extract_all(text, '{MP}', 0), x) = i)) AS mail FROM documents), "

@@ -22,7 +22,7 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_has_oracle_or_is_rows_only():
     rows_only = set(E.queries()) - set(E.oracle_sql()) - set(E._llm()[0])
-    assert rows_only == {"longest_spans", "document_interests"}
+    assert rows_only == {"document_interests"}
 
 
 def test_entry_smoke(spark):
