@@ -10,9 +10,11 @@ The windows are not shuffled one by one. Within a window the smallest hash of it
 position form a run (about one run per twenty words). Equal windows have equal
 anchors at the same offset, so they always lie in runs with the same anchor.
 
-1. One scan gives a row per run: anchor, Rabin-Karp hash of the whole span of
-   the run, document, position. Spark aggregates them: a run whose span also
-   occurs in a smaller document is removable as a whole.
+1. One scan gives a row per different run of a document: anchor, Rabin-Karp hash of
+   the whole span of the run, document, position. A text that says the same thing
+   over and over has one row for all its equal runs, with their further positions.
+   Spark aggregates the rows: a run whose span also occurs in a smaller document
+   is removable as a whole.
 2. Only anchors with several different spans can hide partly equal runs. For
    these, and only for the first document of each span (the others are covered by
    it), a second scan emits the hash of every window, and Spark takes the smallest
@@ -107,6 +109,17 @@ class _Runs:
         self.h1, self.h2 = self.roll.spans(first, end), self.roll2.spans(first, end)
 
 
+    def equal(self) -> tuple[np.ndarray, list[list[int] | None]]:
+        """The first run of each different span, and where its further ones start (None: nowhere)."""
+        order = np.lexsort((self.h2, self.h1))  # stable: equal runs stay in text order
+        a, b = self.h1[order], self.h2[order]
+        new = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+        if new.all():
+            return np.arange(len(order)), [None] * len(order)
+        groups = np.split(order, np.flatnonzero(new)[1:])
+        return order[new], [self.first[g[1:]].tolist() if len(g) > 1 else None for g in groups]
+
+
 def _src(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NULL_ID)).alias("id"), F.col(text_col).alias("t"))
 
@@ -115,21 +128,25 @@ def _runs(src: DataFrame, window: int, gram: int) -> DataFrame:
     def run(batches):
         import pyarrow as pa
         import xxhash
-        names = ["id", "th", "anchor", "h1", "h2", "first", "last"]
+        names = ["id", "th", "anchor", "h1", "h2", "first", "last", "more"]
         for b in batches:
-            ids, parts = b.column(0).to_pylist(), []
+            ids, parts, more = b.column(0).to_pylist(), [], []
             for i, t in zip(ids, text_bytes(b.column(1))):
                 words = t.split()
                 if len(words) >= window:
                     r = _Runs(words, window, gram)
                     th = signed(xxhash.xxh64_intdigest(t, SEED))
-                    m = len(r.first)
-                    parts.append((np.full(m, i, np.int64), np.full(m, th, np.int64), r.anchor.view(np.int64),
-                                  r.h1.view(np.int64), r.h2.view(np.int64), r.first.astype(np.int32), r.last.astype(np.int32)))
+                    at, further = r.equal()
+                    m = len(at)
+                    parts.append((np.full(m, i, np.int64), np.full(m, th, np.int64), r.anchor[at].view(np.int64),
+                                  r.h1[at].view(np.int64), r.h2[at].view(np.int64),
+                                  r.first[at].astype(np.int32), r.last[at].astype(np.int32)))
+                    more += further
             if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)]
+                                                 + [pa.array(more, pa.list_(pa.int32()))], names)
 
-    return src.mapInArrow(run, "id bigint, th bigint, anchor bigint, h1 bigint, h2 bigint, first int, last int")
+    return src.mapInArrow(run, "id bigint, th bigint, anchor bigint, h1 bigint, h2 bigint, first int, last int, more array<int>")
 
 
 def _windows(src: DataFrame, bits: np.ndarray, window: int, gram: int) -> DataFrame:
@@ -176,30 +193,34 @@ def _run_keys(df: DataFrame) -> DataFrame:
 
 def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                     gram: int = GRAM) -> DataFrame:
-    """(id, th, first, last): ranges of window starts that are removable, per row text
-    (``th`` is the XXH64 of the text; a null id is the largest bigint)."""
+    """(id, th, first, last, more): ranges of window starts that are removable, per row
+    text (``th`` is the XXH64 of the text; a null id is the largest bigint). ``more``
+    holds the first starts of further ranges of the same length (null: none)."""
     if not 1 <= gram <= window:
         raise ValueError("gram must be between 1 and window")
     src = _src(df, id_col, text_col)
     runs = scratch(_runs(src, window, gram), "runs")
     spans = scratch(runs.groupBy("anchor", "h1", "h2").agg(F.min("id").alias("id"), F.max("id").alias("top")), "spans")
     whole = (runs.join(spans.where("id < top").select("anchor", "h1", "h2", F.col("id").alias("low")), ["anchor", "h1", "h2"])
-             .where("low < id").select("id", "th", "first", "last"))
+             .where("low < id").select("id", "th", "first", "last", "more"))
     several = spans.groupBy("anchor").agg(F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("n > 1 and lo < hi")
     firsts = spans.join(several, "anchor", "left_semi").select("h1", "id")
     bits = bitmap_array(bitmap(_run_keys(firsts), "key"))
     wins = scratch(_windows(src, bits, window, gram), "windows")
     low = wins.groupBy("w1", "w2").agg(F.min("id").alias("low"), F.max("id").alias("top")).where("low < top").drop("top")
     partly = (wins.join(low, ["w1", "w2"]).where("low < id")
-              .select("id", "th", F.col("pos").alias("first"), F.col("pos").alias("last")))
+              .select("id", "th", F.col("pos").alias("first"), F.col("pos").alias("last"),
+                      F.lit(None).cast("array<int>").alias("more")))
     return whole.unionByName(partly)
 
 
 def _cut(words: list[bytes], ranges, window: int) -> tuple[list[bytes], list[tuple[int, int]]]:
     """Words left, and the maximal removed intervals (start, end)."""
     edge = np.zeros(len(words) + 1, np.int64)
-    np.add.at(edge, [r["first"] for r in ranges], 1)
-    np.add.at(edge, [r["last"] + window for r in ranges], -1)
+    starts = [(s, r["last"] - r["first"]) for r in ranges for s in (r["first"], *(r["more"] or ()))]
+    first, size = np.array(starts, np.int64).T
+    np.add.at(edge, first, 1)
+    np.add.at(edge, first + size + window, -1)
     gone = np.concatenate(([0], np.cumsum(edge[:-1]) > 0, [0])).astype(np.int8)
     step = np.diff(gone)
     spans = list(zip(np.flatnonzero(step == 1).tolist(), np.flatnonzero(step == -1).tolist()))
@@ -213,7 +234,7 @@ def _cut(words: list[bytes], ranges, window: int) -> tuple[list[bytes], list[tup
 def _with_ranges(df: DataFrame, id_col: str, text_col: str, window: int, gram: int) -> DataFrame:
     """``df`` as struct ``r`` with the removable ranges of its text (null: none)."""
     ranges = repeated_ranges(df, id_col, text_col, window, gram)
-    per_text = scratch(ranges.distinct().groupBy("id", "th").agg(F.collect_list(F.struct("first", "last")).alias("ranges")), "ranges")
+    per_text = scratch(ranges.distinct().groupBy("id", "th").agg(F.collect_list(F.struct("first", "last", "more")).alias("ranges")), "ranges")
     key = F.coalesce(F.col(id_col).cast("bigint"), F.lit(NULL_ID))
     th = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("r"), key.alias("id"), th.alias("th"))
