@@ -9,20 +9,51 @@ as small structs; the token array itself is never copied per row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kenning.functions.arrays import label_mails
 from kenning.functions.text import TOKEN_CORE, extract_mails
 from kenning.operators.gazetteer import expand, match_keys
 from kenning.operators.directory import complete_names
-from kenning.operators.joins import spread
 from kenning.session import ensure_checkpoint_dir
 
 TOKEN_WS_PATTERN = r"([ \t\n\x0B\f\r]*)(" + TOKEN_CORE + ")"
 VERSION_SUFFIX = r"^(.*[^0-9])[0-9]+$"
 
 
+def _unversioned(token):
+    """``name123`` -> ``name``; null when there is no version to strip."""
+    return F.nullif(F.regexp_extract(token, VERSION_SUFFIX, 1), F.lit(""))
+
+
+def _first_tokens(gx: DataFrame) -> DataFrame:
+    """(first, versions): the tokens a phrase can start with; ``versions`` are those
+    among them that become ``first`` when their version is stripped."""
+    firsts = gx.select(F.lower(F.element_at("tokens", 1)).alias("first")).distinct()
+    versions = (firsts.select(_unversioned(F.col("first")).alias("_name"), F.col("first").alias("_full"))
+                .filter(F.col("_name").isNotNull() & (F.col("_name") != F.col("_full")))
+                .groupBy(F.col("_name").alias("first")).agg(F.collect_set("_full").alias("versions")))
+    return (firsts.join(versions, on="first", how="left")
+            .select("first", F.coalesce("versions", F.array().cast("array<string>")).alias("versions")))
+
+
+def _one_row_per_hit(keys: DataFrame) -> DataFrame:
+    """Dictionary keys such that a text position meets each (category, canonical,
+    priority) once, so the matches need no ``distinct``: spellings of one key share a
+    row, and a plain key goes when the version key of the same term finds it anyway."""
+    same = ["category", "canonical", "priority"]
+    rows = (keys.groupBy("kind", "key", *same)
+            .agg(F.bool_and("case_sensitive").alias("case_sensitive"), F.collect_set("exact").alias("exacts")))
+    words = F.split("key", " ")
+    name = (F.when(F.size(words) == 1, _unversioned(F.col("key")))
+            .when((F.size(words) == 2) & F.try_element_at(words, F.lit(2)).rlike("^[0-9]+$"), words[0]))
+    v = rows.filter("kind = 'v'")
+    found = v.select(F.col("key").alias("_name"), *same)
+    plain = rows.filter("kind = 'x'").withColumn("_name", name).join(found, on=["_name", *same], how="left_anti")
+    return v.unionByName(plain.drop("_name"))
+
+
 def ngrams(docs: DataFrame, id_col: str, text_col: str, max_n: int, firsts: DataFrame | None = None) -> DataFrame:
     """(id, start, n, exact, key, vkey, value) for every token n-gram, n <= max_n.
 
@@ -35,7 +66,7 @@ def ngrams(docs: DataFrame, id_col: str, text_col: str, max_n: int, firsts: Data
     functions), so the whole stage stays in generated code."""
     t = F.regexp_extract_all(F.col(text_col), F.lit(TOKEN_WS_PATTERN), 2)
     w = F.regexp_extract_all(F.col(text_col), F.lit(TOKEN_WS_PATTERN), 1)
-    d = spread(docs.select(id_col, text_col)).select(F.col(id_col), t.alias("_t"), w.alias("_w"))
+    d = docs.select(F.col(id_col), t.alias("_t"), w.alias("_w"))
     size = F.size("_t")
     shifted = []
     for k in range(1, max_n + 1):
@@ -49,10 +80,11 @@ def ngrams(docs: DataFrame, id_col: str, text_col: str, max_n: int, firsts: Data
         # keep only positions whose token (or its version-stripped name) can
         # start a phrase: a map-side semi join with the dictionary's first tokens
         f = F.lower(F.col("_t1"))
-        fv = F.nullif(F.regexp_extract(f, VERSION_SUFFIX, 1), F.lit(""))
+        fv = _unversioned(f)
         keys = F.when(fv.isNull() | (fv == f), F.array(f)).otherwise(F.array(f, fv))
-        z = (z.select("*", F.explode(keys).alias("_pk"))
-             .join(firsts.select(F.col("first").alias("_pk")), on="_pk", how="left_semi").drop("_pk"))
+        z = (z.select("*", F.explode(keys).alias("first")).join(firsts, on="first")
+             # a position that its full token lets in is not let in again by the stripped name
+             .filter((F.col("first") == f) | ~F.array_contains("versions", f)).drop("first", "versions"))
     grams = []
     for n in range(1, max_n + 1):
         toks = [F.col(f"_t{k}") for k in range(1, n + 1)]
@@ -60,7 +92,7 @@ def ngrams(docs: DataFrame, id_col: str, text_col: str, max_n: int, firsts: Data
         value = F.concat(*[toks[0]] + [F.concat(F.col(f"_w{k}"), F.col(f"_t{k}")) for k in range(2, n + 1)])
         first = F.lower(toks[0])
         if n == 1:
-            vkey = F.nullif(F.regexp_extract(first, VERSION_SUFFIX, 1), F.lit(""))
+            vkey = _unversioned(first)
         elif n == 2:
             vkey = F.when(toks[1].rlike("^[0-9]+$"), first)
         else:
@@ -73,8 +105,8 @@ def ngrams(docs: DataFrame, id_col: str, text_col: str, max_n: int, firsts: Data
 
 
 def match(docs: DataFrame, gazetteer: DataFrame, id_col="doc_id", text_col="text",
-          broadcast_rows: int = 500_000, distinct: bool = True) -> DataFrame:
-    """NER-5 + NER-7: every dictionary match (overlaps included).
+          broadcast_rows: int = 500_000) -> DataFrame:
+    """NER-5 + NER-7: every dictionary match (overlaps included), each once.
 
     The expanded dictionary is broadcast when its row count is proven small
     (else it is joined by shuffle); the n-gram stream is never shuffled for
@@ -85,8 +117,7 @@ def match(docs: DataFrame, gazetteer: DataFrame, id_col="doc_id", text_col="text
     stats = gx.agg(F.max("n_tokens").alias("n"), F.count(F.lit(1)).alias("rows")).first()
     max_n = stats["n"] or 1
     small = 2 * stats["rows"] <= broadcast_rows
-    keys = match_keys(gx)
-    firsts = gx.select(F.lower(F.element_at("tokens", 1)).alias("first")).distinct()
+    keys, firsts = _one_row_per_hit(match_keys(gx)), _first_tokens(gx)
     if small:
         keys, firsts = F.broadcast(keys), F.broadcast(firsts)
     g = ngrams(docs, id_col, text_col, max_n, firsts)
@@ -95,25 +126,30 @@ def match(docs: DataFrame, gazetteer: DataFrame, id_col="doc_id", text_col="text
     probes = g.select(id_col, "start", "n", "exact", "value",
                       F.explode(F.when(F.col("vkey").isNull(), F.array(plain)).otherwise(F.array(plain, ver)))
                       .alias("p"))
-    j = probes.join(keys.withColumnRenamed("exact", "g_exact").withColumnRenamed("n_tokens", "g_n"),
-                    (F.col("p.kind") == F.col("kind")) & (F.col("p.key") == F.col("key")))
-    ok = (~F.col("case_sensitive")) | (F.col("exact") == F.col("g_exact"))
-    out = j.filter(ok).select(id_col, "start", F.col("n").alias("n_tokens"), "category", "canonical", "priority",
-                              "value")
-    # the same match can be found twice (a token and its version-stripped name
-    # both start phrases); span selection drops such twins by itself
-    return out.distinct() if distinct else out
+    j = probes.join(keys, (F.col("p.kind") == F.col("kind")) & (F.col("p.key") == F.col("key")))
+    ok = (~F.col("case_sensitive")) | F.array_contains("exacts", F.col("exact"))
+    return j.filter(ok).select(id_col, "start", F.col("n").alias("n_tokens"), "category", "canonical", "priority",
+                               "value")
 
 
 def longest_spans(matches: DataFrame, id_col="doc_id", complete_in_row: bool = False) -> DataFrame:
     """NER-6: keep the longest matches that do not overlap, the earliest on a
     tie; one span found under two categories keeps the lower ``priority``.
 
-    Per document: spans sorted by (-length, start, priority, category), then a
-    left-to-right ``aggregate`` keeps a span if it overlaps none kept so far."""
+    A document's matches are first cut into clusters where no span reaches over (a
+    running maximum of span ends), so choices in one cluster do not touch another.
+    Per cluster: spans sorted by (-length, start, priority, category), then a
+    left-to-right ``aggregate`` keeps a span if it overlaps none kept so far. The
+    work grows with the document and the square of its clusters, not of the document;
+    the clusters need no shuffle beyond the one by document."""
+    by_start = Window.partitionBy(id_col).orderBy("start")
+    end = F.col("start") + F.col("n_tokens")
+    reach = F.max(end).over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    m = matches.withColumn("_new", F.coalesce(F.col("start") >= reach, F.lit(True)).cast("bigint"))
+    m = m.withColumn("_cluster", F.sum("_new").over(by_start.rowsBetween(Window.unboundedPreceding, 0)))
     s = F.struct((-F.col("n_tokens")).alias("neg_len"), "start", "priority", "category", "n_tokens",
                  "canonical", "value")
-    g = matches.groupBy(id_col).agg(F.array_sort(F.collect_list(s)).alias("_s"))
+    g = m.groupBy(id_col, "_cluster").agg(F.array_sort(F.collect_list(s)).alias("_s"))
     empty = F.filter(F.col("_s"), lambda x: F.lit(False))
 
     def step(acc, x):
@@ -141,7 +177,7 @@ def longest_spans(matches: DataFrame, id_col="doc_id", complete_in_row: bool = F
 def entities(docs: DataFrame, gazetteer: DataFrame, id_col="doc_id", text_col="text",
              complete_in_row: bool = False) -> DataFrame:
     """Dictionary entities of each document: longest non-overlapping spans."""
-    return longest_spans(match(docs, gazetteer, id_col, text_col, distinct=False), id_col, complete_in_row)
+    return longest_spans(match(docs, gazetteer, id_col, text_col), id_col, complete_in_row)
 
 
 def mail_entities(docs: DataFrame, id_col="doc_id", text_col="text", pattern=None, known: DataFrame | None = None,
