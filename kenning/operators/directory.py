@@ -43,15 +43,12 @@ def complete_names(names: DataFrame, group_cols, name="value", out="completed")
     cond = [F.col("m." + g) == F.col("k." + g) for g in group_cols] + [
         F.col("m._x") == F.col("k._key"),
         (F.col("k._kind") == "p") | (word_count(F.col("m._x")) == 1)]
-    matches = (base.alias("m").join(keys.alias("k"), cond, "inner")
-               .select(*[F.col("m." + g).alias(g) for g in group_cols], F.col("m._x").alias("_x"),
-                       F.col("k._y").alias("_y"))
-               .distinct())
-    best = matches.groupBy(*group_cols, "_x").agg(F.max(F.length("_y")).alias("_len"))
-    top = (matches.join(best, on=[*group_cols, "_x"])
-           .filter(F.length("_y") == F.col("_len"))
-           .groupBy(*group_cols, "_x")
-           .agg(F.array_join(F.array_sort(F.collect_set("_y")), " ").alias(out)))
+    hits = (base.alias("m").join(keys.alias("k"), cond, "inner")
+            .select(*[F.col("m." + g).alias(g) for g in group_cols], F.col("m._x").alias("_x"),
+                    F.col("k._y").alias("_y"), F.length("k._y").alias("_len")))
+    # the join already brought a name's hits together, so neither grouping shuffles
+    top = (hits.groupBy(*group_cols, "_x", "_len").agg(F.collect_set("_y").alias("_ys"))
+           .groupBy(*group_cols, "_x").agg(F.array_join(F.array_sort(F.max_by("_ys", "_len")), " ").alias(out)))
     return top.withColumnRenamed("_x", name)
 
 
@@ -101,7 +98,8 @@ def _name_words(name_col):
 
 
 def _substring_index(directory: DataFrame) -> DataFrame:
-    """(ord, s): every substring of every lower-cased word of the display name.
+    """(s, r): every substring of every lower-cased word of the display name, with the
+    row (ord, sub_id, user_name).
 
     A word never contains a blank, so "w is a substring of the display name"
     equals "w is a substring of one of its words"; each word of length L gives
@@ -113,7 +111,24 @@ def _substring_index(directory: DataFrame) -> DataFrame:
                                      lambda i: F.transform(F.sequence(F.lit(1), F.length(w) - i + 1),
                                                            lambda n: F.substring(w, i, n))))
 
-    return (directory.select("ord", F.explode(F.array_distinct(F.flatten(F.transform(words, subs)))).alias("s")))
+    return (directory.filter(F.col("ord").isNotNull())
+            .select(F.struct("ord", "sub_id", "user_name").alias("r"),
+                    F.explode(F.array_distinct(F.flatten(F.transform(words, subs)))).alias("s")))
+
+
+def _first_hits(names: DataFrame, index: DataFrame, name: str, holds) -> DataFrame:
+    """(name, r): smallest index rows per name, to be reduced once more by the caller.
+    One-word names meet the smallest row of each key, found before the join, so a short
+    word held by most of the directory is one row; two-word names probe with their
+    longer word and ``holds(r, other)`` tests the other one on the row."""
+    one = (names.filter(F.col("_w2").isNull()).select(name, F.col("_w1").alias("s"))
+           .join(index.groupBy("s").agg(F.min("r").alias("r")), on="s"))
+    first_longer = F.length("_w1") >= F.length("_w2")
+    two = (names.filter(F.col("_w2").isNotNull())
+           .select(name, F.when(first_longer, F.col("_w1")).otherwise(F.col("_w2")).alias("s"),
+                   F.when(first_longer, F.col("_w2")).otherwise(F.col("_w1")).alias("_other"))
+           .join(index, on="s").filter(holds(F.col("r"), F.col("_other"))))
+    return one.select(name, "r").unionByName(two.select(name, "r"))
 
 
 def resolve_names(names: DataFrame, directory: DataFrame, known_addresses: DataFrame, name="value") -> DataFrame:
@@ -130,31 +145,21 @@ def resolve_names(names: DataFrame, directory: DataFrame, known_addresses: DataF
          .select(name, plain.alias("_plain"),
                  F.lower(F.try_element_at(words, F.lit(1))).alias("_w1"),
                  F.lower(F.try_element_at(words, F.lit(2))).alias("_w2")))
-    idx = _substring_index(directory)
-    # tier 1
-    c1 = n.join(idx.withColumnRenamed("s", "_w1"), on="_w1")
-    both = c1.join(idx.withColumnRenamed("s", "_w2"), on=["ord", "_w2"], how="left_semi")
-    hit_two = both.filter(F.col("_w2").isNotNull())
-    hit_one = c1.filter(F.col("_w2").isNull())
-    t1 = (hit_two.unionByName(hit_one).groupBy(name).agg(F.min("ord").alias("ord"))
-          .join(directory.select("ord", F.col("sub_id").alias("_t1_id"), F.col("user_name").alias("_t1_name")),
-                on="ord", how="left").drop("ord"))
-    # tier 2
-    parts = known_addresses.select(F.col("address"),
-                                   F.explode(F.array_distinct(F.transform(name_tokens(F.col("address")),
-                                                                          lambda t: F.lower(t)))).alias("_p"))
-    c2 = n.join(parts.withColumnRenamed("_p", "_w1"), on="_w1")
-    both2 = c2.join(parts.withColumnRenamed("_p", "_w2"), on=["address", "_w2"], how="left_semi")
-    t2 = (both2.filter(F.col("_w2").isNotNull()).unionByName(c2.filter(F.col("_w2").isNull()))
-          .groupBy(name).agg(F.min("address").alias("_t2_addr")))
-    # each tier has at most one row per name: combine by one aggregation on the
-    # name instead of two joins
-    none = F.lit(None).cast("string")
-    r = (n.select(name, "_plain", none.alias("_t1_id"), none.alias("_t1_name"), none.alias("_t2_addr"))
-         .unionByName(t1.select(name, none.alias("_plain"), "_t1_id", "_t1_name", none.alias("_t2_addr")))
-         .unionByName(t2.select(name, none.alias("_plain"), none.alias("_t1_id"), none.alias("_t1_name"), "_t2_addr"))
-         .groupBy(name)
-         .agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("_plain", "_t1_id", "_t1_name", "_t2_addr")]))
+    t1 = _first_hits(n, _substring_index(directory), name, lambda r, w: F.contains(F.lower(r["user_name"]), w))
+    tokens = F.array_distinct(F.transform(name_tokens(F.col("address")), lambda t: F.lower(t)))
+    parts = (known_addresses.filter(F.col("address").isNotNull())
+             .select(F.struct("address", tokens.alias("tokens")).alias("r"), F.explode(tokens).alias("s")))
+    t2 = _first_hits(n, parts, name, lambda r, w: F.array_contains(r["tokens"], w))
+    # the smallest hit of both tiers by one aggregation on the name
+    row, none = "struct<ord:{},sub_id:string,user_name:string>", F.lit(None)
+    row = row.format(directory.schema["ord"].dataType.simpleString())
+    r = (n.select(name, "_plain", none.cast(row).alias("_t1"), none.cast("string").alias("_t2_addr"))
+         .unionByName(t1.select(name, none.cast("string").alias("_plain"), F.col("r").cast(row).alias("_t1"),
+                                none.cast("string").alias("_t2_addr")))
+         .unionByName(t2.select(name, none.cast("string").alias("_plain"), none.cast(row).alias("_t1"),
+                                F.col("r.address").alias("_t2_addr")))
+         .groupBy(name).agg(F.max("_plain").alias("_plain"), F.min("_t1").alias("_t1"), F.min("_t2_addr").alias("_t2_addr"))
+         .select(name, "_plain", F.col("_t1.sub_id").alias("_t1_id"), F.col("_t1.user_name").alias("_t1_name"), "_t2_addr"))
     t2_name = title_case(F.array_join(name_tokens(F.col("_t2_addr")), " "))
     return r.select(
         name,
