@@ -14,13 +14,19 @@ __all__ = ["read_csv_renamed", "read_message_table", "read_companion", "align_ro
            "nested_profile_to_rows", "people_directory"]
 
 
-def read_csv_renamed(spark: SparkSession, path: str, columns: dict, longs=()) -> DataFrame:
+def read_csv_renamed(spark: SparkSession, path: str, columns: dict, longs=(), order: str | None = None) -> DataFrame:
     """CSV with a header, all columns read as strings (no inference), names trimmed
-    and mapped by ``columns`` (original trimmed name -> new name)."""
+    and mapped by ``columns`` (original trimmed name -> new name); ``order`` names a
+    column for the place of a row: file, block, row."""
     raw = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
            .option("inferSchema", False).csv(path))
-    out = raw.select(*[F.col(f"`{c}`").alias(c.strip()) for c in raw.columns])
-    out = out.select(*[F.col(f"`{k}`").alias(v) for k, v in columns.items() if k in out.columns])
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+             F.monotonically_increasing_id().alias("_row")] if order else []
+    out = raw.select(*[F.col(f"`{c}`").alias(c.strip()) for c in raw.columns], *place)
+    kept = [F.col(f"`{k}`").alias(v) for k, v in columns.items() if k in out.columns]
+    if order:
+        kept.append(F.struct("_file", "_block", "_row").alias(order))
+    out = out.select(*kept)
     for c in longs:
         if c in out.columns:
             out = out.withColumn(c, F.col(c).cast("bigint"))
@@ -99,9 +105,9 @@ def read_conversations_b(spark: SparkSession, path: str, lower_addresses: bool =
 
 def read_directory(spark: SparkSession, path: str) -> DataFrame:
     """SRC-8: the user directory: (sub_id, email_id, user_name, ord); ``ord`` keeps
-    file order for "first row wins" rules."""
-    d = read_csv_renamed(spark, path, schemas.DIRECTORY_COLUMNS)
-    return d.withColumn("ord", F.monotonically_increasing_id())
+    file order for "first row wins" rules: (file, block of the file, row of the task),
+    whatever order the files are read in."""
+    return read_csv_renamed(spark, path, schemas.DIRECTORY_COLUMNS, order="ord")
 
 
 def read_profile_state(spark: SparkSession, path: str | None) -> DataFrame:
