@@ -96,6 +96,19 @@ def new_profile(messages: DataFrame, gazetteer: DataFrame, directory: DataFrame,
             "known": known, "annotated": annotated}
 
 
+def label_entities(df: DataFrame, labels: dict) -> DataFrame:
+    """NER-11: ``entityLabel`` by category; null for the others."""
+    label = F.lit(None).cast("string")
+    for category, text in labels.items():
+        label = F.when(F.col("category") == category, F.lit(text)).otherwise(label)
+    return df.withColumn("entityLabel", label)
+
+
+def fold_categories(df: DataFrame, fold: dict) -> DataFrame:
+    """NER-12: categories written under another category's name."""
+    return df.replace(fold, subset=["category"])
+
+
 def enrich(profile: DataFrame, directory: DataFrame, known: DataFrame) -> DataFrame:
     """WN-1 ranks, STR-9, JN-6..9 resolution, NER-11 labels, JN-2 directory join,
     STR-7/8/10, NER-12 folds."""
@@ -108,14 +121,13 @@ def enrich(profile: DataFrame, directory: DataFrame, known: DataFrame) -> DataFr
              .select("value", F.lit(config.EMAIL).alias("category"), F.col("mail_id").alias("_alt"),
                      F.col("mail_display").alias("_avatar")))
     r = ranked.join(names.unionByName(mails), on=["value", "category"], how="left")
-    label = (F.when(F.col("category") == config.PEOPLE, F.lit(config.ENTITY_LABELS["PEOPLE"]))
-             .when(F.col("category") == config.EMAIL, F.lit(config.ENTITY_LABELS["EMAIL"])))
-    r = (r.withColumn("entityLabel", label)
+    labels = {config.PEOPLE: config.ENTITY_LABELS["PEOPLE"], config.EMAIL: config.ENTITY_LABELS["EMAIL"]}
+    r = (label_entities(r, labels)
          .withColumn("nameToId", user_tag(F.col("_alt")))
          .withColumn("entityName", F.coalesce(F.col("_avatar"), title_case(F.col("value"))))
          .drop("_alt", "_avatar"))
     e = directory_join(r.withColumnRenamed("user_id", "email_id"), directory)
-    return e.replace(dict(config.CATEGORY_FOLD), subset=["category"])
+    return fold_categories(e, dict(config.CATEGORY_FOLD))
 
 
 def run(spark: SparkSession, messages: DataFrame, gazetteer: DataFrame, directory: DataFrame,

@@ -125,6 +125,27 @@ ORACLE["profile_merge"] = (
     "FROM ps FULL OUTER JOIN pn ON ps.user_id = pn.user_id AND ps.category = pn.category AND ps.value = pn.value")
 
 
+def _completed_side(src):
+    return (f"c{src} AS (SELECT p.user_id, category, coalesce(CASE WHEN category = 'signup' THEN done END, p.value) AS value, "
+            f"sum(frequency) AS frequency, sum(decay_frequency) AS decay_frequency FROM {src} p LEFT JOIN done USING (user_id, value) GROUP BY 1, 2, 3)")
+
+
+ORACLE["profile_merge_completed"] = (
+    f"WITH {MENTIONS}, ms AS (SELECT * FROM m WHERE ts < TIMESTAMP '2024-01-16 00:00:00'), "
+    "mn AS (SELECT * FROM m WHERE ts >= TIMESTAMP '2024-01-16 00:00:00'), "
+    f"{aged('v2', 'ms', 'ps')}, {aged('v2', 'mn', 'pn')}, "
+    "names AS (SELECT user_id, value FROM ps WHERE category = 'signup' UNION SELECT user_id, value FROM pn WHERE category = 'signup'), "
+    "done AS (SELECT user_id, value, string_agg(y, ' ' ORDER BY y) AS done FROM (SELECT a.user_id, a.value, b.value AS y "
+    "FROM names a JOIN names b ON a.user_id = b.user_id AND (starts_with(b.value, a.value) OR (NOT contains(a.value, ' ') AND "
+    "ends_with(b.value, a.value))) QUALIFY length(b.value) = max(length(b.value)) OVER (PARTITION BY a.user_id, a.value)) GROUP BY 1, 2), "
+    f"{_completed_side('ps')}, {_completed_side('pn')} "
+    "SELECT coalesce(s.user_id, n.user_id) AS user_id, coalesce(s.category, n.category) AS category, coalesce(s.value, n.value) AS value, "
+    "CAST(coalesce(s.frequency, 0) + coalesce(n.frequency, 0) AS BIGINT) AS frequency, "
+    "CAST(coalesce(s.decay_frequency, 0) + coalesce(n.decay_frequency, 0) AS BIGINT) AS decay_frequency, "
+    "CASE WHEN s.frequency IS NOT NULL AND n.frequency IS NOT NULL THEN 'both' WHEN s.frequency IS NOT NULL THEN 'stored' ELSE 'new' END AS origin "
+    "FROM cps s FULL OUTER JOIN cpn n ON s.user_id = n.user_id AND s.category = n.category AND s.value = n.value")
+
+
 # ---------------------------------------------------------------- conversations
 MSG = ("msg AS (SELECT CAST(conv_id AS VARCHAR) AS conversation_id, turn, CAST(conv_id AS VARCHAR) || '-' || "
        "CAST(turn AS VARCHAR) AS message_id, role AS sender, text AS body FROM conversations)")
@@ -363,16 +384,17 @@ ORACLE["mail_to_name"] = f"WITH {MAILRES} SELECT value, mail_display FROM res"
 
 ORACLE["directory_left_join"] = (
     f"WITH {MENTIONS}, {COUNTS}, d AS (SELECT CAST(c_custkey AS VARCHAR) AS email_id, 'C' || CAST(c_custkey AS VARCHAR) "
-    "AS sub_id, c_name AS user_name FROM customer WHERE c_acctbal >= 0) "
-    "SELECT c.user_id AS email_id, c.category, c.value, c.frequency, "
-    "'USER_' || coalesce(d.sub_id, c.user_id) AS sub_id, "
+    "AS sub_id, c_name AS user_name FROM customer) "
+    "SELECT c.email_id, c.category, c.value, c.frequency, "
+    "'USER_' || coalesce(d.sub_id, c.email_id) AS sub_id, "
     f"{TITLE.format(x='d.user_name')} AS userName, "
     f"CASE WHEN d.sub_id IS NULL THEN '{config.ID_TYPE_EMAIL}' ELSE '{config.ID_TYPE_DIRECTORY}' END AS id_type "
-    "FROM c LEFT JOIN d ON d.email_id = c.user_id")
+    "FROM (SELECT *, CASE WHEN category = 'error' THEN 'guest.' || user_id ELSE user_id END AS email_id FROM c) c "
+    "LEFT JOIN d ON d.email_id = c.email_id")
 
 ORDER_ENTRIES = (
     "dir AS (SELECT 'customer.' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') || '@example.com' AS email, "
-    "'USER_' || CAST(c_custkey AS VARCHAR) AS user_id, c_name AS display FROM customer WHERE c_acctbal >= 0), "
+    "'USER_' || CAST(c_custkey AS VARCHAR) AS user_id, c_name AS display FROM customer), "
     "p0 AS (SELECT o_orderkey, ['customer.' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') || '@example.com', "
     "'customer.' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') || '@example.com', "
     "'status.' || lower(o_orderstatus) || '@example.com'] AS l0 FROM orders), "
@@ -386,6 +408,102 @@ ORACLE["user_structs"] = (
     f"WITH {ORDER_ENTRIES} SELECT o_orderkey, string_agg(coalesce(user_id, '') || '|' || coalesce(display, '') || '|' || "
     "email, ';' ORDER BY pos) AS users, CAST(count(*) FILTER (WHERE user_id IS NULL) AS BIGINT) AS n_unknown FROM j GROUP BY 1")
 
+
+
+# ---------------------------------------------------------------- the message pipelines on orders
+def _address_sql(k):
+    return f"'customer.' || lpad(CAST({k} AS VARCHAR), 9, '0') || '@example.com'"
+
+
+# lists already parsed: a malformed cell is a null list
+MESSAGE_ROWS = (
+    "dir AS (SELECT " + _address_sql("c_custkey") + " AS email, 'USER_' || CAST(c_custkey AS VARCHAR) AS user_id, c_name AS display FROM customer), "
+    "o AS (SELECT *, o_orderkey AS k, " + _address_sql("o_custkey") + " AS own, " + _address_sql("o_orderkey") + " AS other, "
+    "'status.' || lower(o_orderstatus) || '@example.com' AS status FROM orders), "
+    "msg AS (SELECT k AS seq, o_custkey AS conv, o_orderpriority AS subject, 'order ' || CAST(k AS VARCHAR) AS body, own, other, "
+    "CASE WHEN k % 13 <> 0 THEN CAST(o_orderdate AS TIMESTAMP) END AS received, "
+    "CASE WHEN k % 17 <> 0 THEN CAST(DATE '2001-01-01' + CAST(k % 700 AS INTEGER) AS TIMESTAMP) END AS said, "
+    "CASE WHEN k % 19 <> 0 THEN o_orderpriority ELSE 'nan' END AS component, "
+    "CASE WHEN o_orderstatus = 'F' THEN []::VARCHAR[] ELSE [status] END AS l_to, "
+    "CASE WHEN o_orderstatus = 'F' THEN []::VARCHAR[] ELSE [own, other] END AS l_cc, "
+    "'paid ' || CAST(CAST(trunc(o_totalprice) AS BIGINT) AS VARCHAR) AS comment, "
+    "CASE WHEN k % 97 = 0 THEN NULL WHEN o_orderstatus = 'F' AND k % 2 = 0 THEN []::VARCHAR[] ELSE [own, own, other, status] END AS perms FROM o)")
+_OUT_TS = "'%Y-%m-%dT%H:%M:%SZ'"
+_SHIFTED = (f"strftime(CASE WHEN received IS NULL OR said IS NULL THEN said ELSE said + to_days(CAST(floor((epoch_us(received) - "
+            f"epoch_us(said)) / 86400000000.0) AS INTEGER) + 1) END, {_OUT_TS})")
+
+
+def looked_up_sql(src, key, cols):
+    """CTEs t_<col>: a list column of ``src`` looked up in ``dir``, as text with ids and as users."""
+    out = []
+    for c in cols:
+        out.append(
+            f"t_{c} AS (SELECT e.{key}, string_agg(e.email || coalesce(',' || dir.user_id, ''), ',' ORDER BY pos) AS ids, "
+            "string_agg(coalesce(dir.user_id, '') || '|' || coalesce(dir.display, '') || '|' || e.email, ';' ORDER BY pos) AS users, "
+            f"list(dir.display ORDER BY pos) AS names FROM (SELECT {key}, unnest({c}) AS email, "
+            f"unnest(generate_series(1, len({c}))) AS pos FROM {src}) e LEFT JOIN dir USING (email) GROUP BY 1)")
+    return ", ".join(out)
+
+
+def _text_or_empty(l, t):
+    return f"CASE WHEN {l} IS NOT NULL THEN coalesce({t}, '') END"
+
+
+ORACLE["mail_conversations"] = (
+    f"WITH {MESSAGE_ROWS}, f AS (SELECT *, count(*) OVER (PARTITION BY conv) AS n, {distinct_sql('perms')} AS p, [own] AS frm, "
+    "list_concat(l_to, list_filter(l_cc, lambda x: NOT contains(own, x))) AS rec FROM msg WHERE received IS NOT NULL "
+    "QUALIFY row_number() OVER (PARTITION BY conv ORDER BY seq) = 1), "
+    f"{looked_up_sql('f', 'seq', ['p', 'rec', 'frm'])} "
+    "SELECT CAST(conv AS VARCHAR) AS conversation_id, CASE subject WHEN '5-LOW' THEN '5-NONE' ELSE subject END AS subject, body, "
+    f"strftime(received, {_OUT_TS}) AS date, CAST(conv AS VARCHAR) AS id, {_text_or_empty('p', 't_p.ids')} AS permissions, "
+    f"{_text_or_empty('rec', 't_rec.users')} AS recipients, 'email-message' AS type, t_frm.users AS sender, n AS num_messages "
+    "FROM f LEFT JOIN t_p USING (seq) LEFT JOIN t_rec USING (seq) LEFT JOIN t_frm USING (seq)")
+
+ORACLE["chat_messages"] = (
+    f"WITH {MESSAGE_ROWS}, f AS (SELECT *, {_SHIFTED} AS date, [other] AS frm, list_filter(perms, lambda x: x <> other) AS rec "
+    "FROM msg WHERE perms IS NOT NULL AND said IS NOT NULL), "
+    f"{looked_up_sql('f', 'seq', ['perms', 'rec', 'frm'])} "
+    "SELECT CAST(conv AS VARCHAR) AS conversation_id, CAST(seq AS VARCHAR) AS message_id, subject, comment AS body, date, "
+    "CAST(seq AS VARCHAR) AS id, coalesce(t_perms.ids, '') AS permissions, coalesce(t_rec.users, '') AS recipients, 'email' AS type, "
+    "t_frm.users AS sender FROM f LEFT JOIN t_perms USING (seq) LEFT JOIN t_rec USING (seq) LEFT JOIN t_frm USING (seq)")
+
+
+def _team_sql():
+    teams = "[" + ", ".join(_q(t) for t in config.TEAM_NAMES) + "]"
+    n_ch = len(config.CHANNEL_NAMES)
+    coin, many, which = (hash_int_sql("seq", salt="mention-coin"), hash_int_sql("seq", salt="mention-k"),
+                         hash_int_sql("seq", "i", salt="mention"))
+    tail = "coalesce(team_id, '-') || '|' || coalesce(team_name, '-') || '|' || channel_id || '|' || channel_name || '|' || "
+    return (
+        f"WITH {MESSAGE_ROWS}, tm AS (SELECT component, {teams}[CAST(dense_rank() OVER (ORDER BY component) AS INTEGER)] AS team_name "
+        "FROM (SELECT DISTINCT component FROM msg)), "
+        f"f AS (SELECT *, substr(sha256('team|' || team_name), 1, 36) AS team_id, {_CH}[CAST(({hash_int_sql('conv', 'seq', salt='channel')} % {n_ch}) + 1 "
+        "AS INTEGER)] AS ch FROM msg JOIN tm USING (component)), "
+        f"{looked_up_sql('f', 'seq', ['perms'])}, "
+        "g0 AS (SELECT f.*, t_perms.ids, coalesce(t_perms.names, []) AS names, max(ch) OVER (PARTITION BY conv) AS channel_name, "
+        "row_number() OVER (PARTITION BY conv ORDER BY seq) AS place FROM f LEFT JOIN t_perms USING (seq)), "
+        f"pick AS (SELECT seq, i, names[CAST({which} % len(names) + 1 AS INTEGER)] AS name FROM (SELECT seq, names, "
+        "unnest(generate_series(1, CAST("
+        f"{many} % greatest(len(list_distinct(names)) + CAST(len(list_filter(names, lambda x: x IS NULL)) > 0 AS INTEGER), 1) + 1 AS BIGINT))) AS i "
+        f"FROM g0 WHERE len(names) > 0 AND {coin} % 2 = 1)), "
+        "mention AS (SELECT seq, string_agg(name, ',' ORDER BY i) AS listed, string_agg('@' || name || ' ', '' ORDER BY i) AS said_to "
+        "FROM pick GROUP BY 1), "
+        "g AS (SELECT g0.*, coalesce(listed, '') AS listed, comment || coalesce(said_to, '') AS text, "
+        "substr(sha256('channel|' || channel_name), 1, 45) AS channel_id, who.user_id AS by_id, who.display AS by_name, "
+        "snd.user_id AS snd_id, snd.display AS snd_name FROM g0 LEFT JOIN mention USING (seq) LEFT JOIN dir who ON who.email = g0.other "
+        "LEFT JOIN dir snd ON snd.email = g0.own), "
+        "r AS (SELECT conv, count(*) AS n, string_agg(CAST(seq AS VARCHAR) || '|' || " + tail +
+        "text || '|' || coalesce(by_id, '-') || '|' || coalesce(by_name, '-') || '|' || "
+        f"coalesce({_SHIFTED}, '-') || '|' || listed || '|REPLY', ';' ORDER BY seq) AS replies FROM g WHERE place > 1 GROUP BY 1) "
+        f"SELECT CAST(conv AS VARCHAR) AS conversation_id, CAST(conv AS VARCHAR) AS id, strftime(received, {_OUT_TS}) AS date, "
+        f"{_text_or_empty('perms', 'ids')} AS permissions, CAST(conv AS VARCHAR) || '|' || " + tail +
+        "body || '|' || coalesce(snd_id, '-') || '|' || coalesce(snd_name, '-') || '|' || "
+        f"coalesce(strftime(received, {_OUT_TS}), '-') || '|MESSAGE' AS message, coalesce(r.replies, '') AS replies, "
+        "CAST(coalesce(r.n, 0) AS BIGINT) AS n_replies FROM g LEFT JOIN r USING (conv) WHERE place = 1")
+
+
+ORACLE["team_conversations"] = _team_sql()
+
 # ---------------------------------------------------------------- dates, nulls, counts, dictionaries, pseudonyms
 ORACLE["date_clean"] = (
     "WITH raw AS (SELECT 'orders' AS source, o_orderkey AS k1, 0 AS k2, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS raw "

@@ -98,12 +98,9 @@ def q_interest_weights(spark, sf):
 def q_category_fold(spark, sf):
     """NER-11 labels, then NER-12 folds, then FLT-8 keeps the listed categories.
     Stand-in roles: signup = PEOPLE, purchase = EMAIL, click = COMPONENTS, view = TOPICS."""
-    c = prof.mention_counts(event_mentions(spark, sf))
-    label = (F.when(F.col("category") == "signup", "Mention")
-             .when(F.col("category") == "purchase", "Mail"))
-    fold = {"click": "view", "purchase": "signup"}
-    return (c.withColumn("entityLabel", label)
-            .replace(fold, subset=["category"])
+    from kenning.plans.interests import fold_categories, label_entities
+    c = label_entities(prof.mention_counts(event_mentions(spark, sf)), {"signup": "Mention", "purchase": "Mail"})
+    return (fold_categories(c, {"click": "view", "purchase": "signup"})
             .filter(F.col("category").isin("view", "signup", "error")))
 
 
@@ -121,6 +118,16 @@ def q_profile_merge(spark, sf):
     return state.merge_profiles(stored, new)
 
 
+@query("profile_merge_completed")
+def q_profile_merge_completed(spark, sf):
+    """JN-11 with the people names of both sides completed first (signup = PEOPLE;
+    the values are numbers, so a one-digit one is often part of a longer one)."""
+    m = event_mentions(spark, sf)
+    stored = _aged_profile(m.filter(F.col("ts") < F.lit(SPLIT_TS).cast("timestamp")), "v2")
+    new = _aged_profile(m.filter(F.col("ts") >= F.lit(SPLIT_TS).cast("timestamp")), "v2")
+    return state.merge_profiles(stored, new, complete_people=True, people_category=EVENT_PEOPLE)
+
+
 # ---------------------------------------------------------------- conversations: records and participants
 
 
@@ -318,10 +325,11 @@ def q_self_mention_filter(spark, sf):
     d = text_table(spark, sf, "documents")
     words = F.regexp_extract_all(F.lower(F.col("text")), F.lit(r"\p{L}+"), 0)
     rows = d.select("doc_id", words.alias("words"), F.explode(extract_mails(F.col("text"))).alias("mail"))
-    own = F.transform(name_tokens(F.col("mail")), lambda t: F.rtrim(F.lower(t)))
-    kept = F.filter(F.col("words"), lambda w: ~F.exists(own, lambda o: F.startswith(w, o)))
-    return rows.select("doc_id", "mail", F.size("words").cast("bigint").alias("n_words"),
-                       F.size(kept).cast("bigint").alias("n_kept"))
+    said = rows.select("doc_id", F.col("mail").alias("user_id"), F.explode("words").alias("value"))
+    kept = (prof.drop_self_mentions(said).groupBy("doc_id", F.col("user_id").alias("mail"))
+            .agg(F.count(F.lit(1)).alias("n_kept")))
+    return (rows.select("doc_id", "mail", F.size("words").cast("bigint").alias("n_words"))
+            .join(kept, on=["doc_id", "mail"], how="left").fillna(0, subset=["n_kept"]))
 
 
 @query("title_case")
@@ -408,15 +416,12 @@ def q_mail_to_name(spark, sf):
     return _mails_resolved(spark, sf).select("value", "mail_display")
 
 
-def _customer_directory(spark, sf):
-    c = table(spark, sf, "customer").filter(F.col("c_acctbal") >= 0)
-    return c
-
-
 @query("directory_left_join")
 def q_directory_left_join(spark, sf):
-    prof_rows = prof.mention_counts(event_mentions(spark, sf)).withColumnRenamed("user_id", "email_id")
-    c = _customer_directory(spark, sf)
+    # users of error events stand for people the directory does not know
+    who = F.when(F.col("category") == "error", F.concat(F.lit("guest."), "user_id")).otherwise(F.col("user_id"))
+    prof_rows = prof.mention_counts(event_mentions(spark, sf)).withColumn("email_id", who).drop("user_id")
+    c = table(spark, sf, "customer")
     d = c.select(F.col("c_custkey").cast("string").alias("email_id"),
                  F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("sub_id"),
                  F.col("c_name").alias("user_name"), F.col("c_custkey").alias("ord"))
@@ -427,14 +432,17 @@ def _customer_address(k):
     return F.concat(F.lit("customer."), F.lpad(k.cast("string"), 9, "0"), F.lit("@example.com"))
 
 
+def _people(spark, sf):
+    return table(spark, sf, "customer").select(
+        _customer_address(F.col("c_custkey")).alias("email"),
+        F.concat(F.lit("USER_"), F.col("c_custkey").cast("string")).alias("user_id"), F.col("c_name").alias("display"))
+
+
 def _order_entries(spark, sf):
     o = table(spark, sf, "orders")
     a = _customer_address(F.col("o_custkey"))
     perms = F.array_distinct(F.array(a, a, F.concat(F.lit("status."), F.lower("o_orderstatus"), F.lit("@example.com"))))
-    c = _customer_directory(spark, sf)
-    d = c.select(_customer_address(F.col("c_custkey")).alias("email"),
-                 F.concat(F.lit("USER_"), F.col("c_custkey").cast("string")).alias("user_id"),
-                 F.col("c_name").alias("display"))
+    d = _people(spark, sf)
     return dirops.list_with_directory(o.select("o_orderkey", perms.alias("perms")), "o_orderkey", "perms", d)
 
 
@@ -447,12 +455,93 @@ def q_permissions_expand(spark, sf):
 @query("user_structs")
 def q_user_structs(spark, sf):
     e = _order_entries(spark, sf)
-    txt = F.transform("entries", lambda s: F.concat_ws("|", F.coalesce(s["user_id"], F.lit("")),
-                                                          F.coalesce(s["display"], F.lit("")), s["email"]))
-    return e.select("o_orderkey", F.array_join(txt, ";").alias("users"),
+    return e.select("o_orderkey", _users_text(dirops.user_structs(F.col("entries"))).alias("users"),
                     F.size(F.filter("entries", lambda s: s["user_id"].isNull())).cast("bigint").alias("n_unknown"))
 
 
+def _users_text(users):
+    """User structs as text: fields joined by '|', users by ';'."""
+    return F.array_join(F.transform(users, lambda s: F.concat_ws("|", F.coalesce(s["user_id"], F.lit("")),
+                                                                 F.coalesce(s["user_display_name"], F.lit("")), s["email"])), ";")
+
+
+# ---------------------------------------------------------------- the message pipelines on orders
+
+def _message_table(spark, sf):
+    """orders as the message table: conversation = customer, row = order, the customer
+    writes to the order's status address and to the customer of the same number as the
+    order (unknown beyond the directory). List cells are Python literals; finished
+    orders have empty recipient lists, every 97th a malformed permission cell, every
+    13th a mail date that no format reads."""
+    k, own = F.col("o_orderkey"), _customer_address(F.col("o_custkey"))
+    status = F.concat(F.lit("status."), F.lower("o_orderstatus"), F.lit("@example.com"))
+    other = _customer_address(k)
+    received = F.when(k % 13 == 0, F.lit("some day")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+
+    def cell(*items):
+        return F.concat(F.lit("['"), F.concat_ws("', '", *items), F.lit("']"))
+
+    done = F.col("o_orderstatus") == "F"
+    return table(spark, sf, "orders").select(
+        k.alias("row_seq"), F.col("o_custkey").alias("conversationId"), k.cast("string").alias("id"),
+        F.col("o_orderpriority").alias("subject"), F.concat(F.lit("order "), k.cast("string")).alias("body_content"),
+        received.alias("receivedDateTime"), cell(own).alias("fromEmailAddress"),
+        F.when(done, "[]").otherwise(cell(status)).alias("toRecipients"),
+        F.when(done, "[]").otherwise(cell(own, other)).alias("ccRecipients"),
+        F.concat(F.lit("paid "), F.col("o_totalprice").cast("bigint").cast("string")).alias("comment"),
+        cell(other).alias("commentBy"),
+        F.when(k % 97 == 0, "['broken").when(done & (k % 2 == 0), "[]").otherwise(cell(own, own, other, status)).alias("_allow_permissions"))
+
+
+def _companion(spark, sf):
+    """The companion columns of the same rows: comment date (a day of 2001 on, none for
+    every 17th row) and component (the priority; none for every 19th)."""
+    k = F.col("o_orderkey")
+    day = F.date_format(F.date_add(F.lit("2001-01-01").cast("date"), (k % 700).cast("int")), "dd MMM yyyy")
+    return table(spark, sf, "orders").select(
+        k.alias("row_seq"), F.when(k % 17 != 0, day).alias("commentDate"), F.when(k % 19 != 0, F.col("o_orderpriority")).alias("component"))
+
+
+@query("mail_conversations")
+def q_mail_conversations(spark, sf):
+    """P-1 end to end."""
+    from kenning.plans.mail import mail_conversations
+    c = mail_conversations(_message_table(spark, sf), _people(spark, sf), replace={"subject": {"5-LOW": "5-NONE"}})
+    return c.select("conversation_id", "subject", "body", "date", "id", F.array_join("_allow_permissions", ",").alias("permissions"),
+                    _users_text(F.col("recipients")).alias("recipients"), "type", _users_text(F.col("from")).alias("sender"),
+                    "num_messages")
+
+
+@query("chat_messages")
+def q_chat_messages(spark, sf):
+    """P-2 end to end."""
+    from kenning.plans.chat import chat_messages
+    c = chat_messages(_message_table(spark, sf), _companion(spark, sf), _people(spark, sf))
+    return c.select("conversation_id", "message_id", "subject", "body", "date", "id",
+                    F.array_join("_allow_permissions", ",").alias("permissions"),
+                    _users_text(F.col("recipients")).alias("recipients"), "type", _users_text(F.col("from")).alias("sender"))
+
+
+@query("team_conversations")
+def q_team_conversations(spark, sf):
+    """P-3 end to end: first message and replies of each conversation, one text per reply."""
+    from kenning.plans.teams import team_conversations
+    c = team_conversations(_message_table(spark, sf), _companion(spark, sf), _people(spark, sf))
+
+    def text(*parts):
+        return F.concat_ws("|", *[F.coalesce(p, F.lit("-")) for p in parts])
+
+    reply = F.transform("replies", lambda r: text(
+        r["id"], r["team_id"], r["team_name"], r["channel_id"], r["channel_name"], r["body"], r["from"]["user_id"],
+        r["from"]["user_display_name"], r["date"], F.array_join(r["mentions"], ","), r["message_type"]))
+    m = F.col("message")
+    head = text(m["message_id"], m["team_id"], m["team_name"], m["channel_id"], m["channel_name"], m["body"],
+                m["from"]["user_id"], m["from"]["user_display_name"], m["date"], m["message_type"])
+    return c.select("conversation_id", "id", "date", F.array_join("_allow_permissions", ",").alias("permissions"),
+                    head.alias("message"), F.array_join(reply, ";").alias("replies"),
+                    F.size("replies").cast("bigint").alias("n_replies"))
+
+
 # ---------------------------------------------------------------- dates, nulls, counts, dictionaries, pseudonyms
 
 @query("date_clean")
@@ -516,9 +605,7 @@ def q_value_counts(spark, sf):
 def q_distinct_values(spark, sf):
     d = table(spark, sf, "documents")
     o = table(spark, sf, "orders")
-    parts = [d.agg(F.countDistinct("lang").alias("n_distinct")).withColumn("column", F.lit("lang")),
-             d.agg(F.countDistinct("source").alias("n_distinct")).withColumn("column", F.lit("source")),
-             o.agg(F.countDistinct("o_custkey").alias("n_distinct")).withColumn("column", F.lit("o_custkey"))]
+    parts = [rel.distinct_count(t, c).withColumn("column", F.lit(c)) for t, c in ((d, "lang"), (d, "source"), (o, "o_custkey"))]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
