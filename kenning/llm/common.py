@@ -102,12 +102,12 @@ def without(df: DataFrame, dropped: DataFrame, keys: dict[str, Column], flag_key
     Rows the bounded bitmap clears stay where they are; only the others, with
     their texts, are shuffled to the exact anti join. ``flag_key`` is a bigint
     over ``df``; ``dropped`` carries the same value as ``flag_key``."""
-    names = df.columns
-    bits = bitmap(dropped, "flag_key")
-    marked = flag_by_bitmap(df, flag_key, bits, "bm_maybe")
-    clear = marked.where(~F.col("bm_maybe")).select(*[F.col(f"`{c}`") for c in names])
-    rest = marked.where("bm_maybe").select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("r"),
-                                           *[e.alias(f"k_{k}") for k, e in keys.items()])
+    # the row is one struct, so none of its columns can clash with a helper's
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("r"), flag_key.alias("flag_key"),
+                     *[e.alias(f"k_{k}") for k, e in keys.items()])
+    marked = flag_by_bitmap(rows, F.col("flag_key"), bitmap(dropped, "flag_key"), "bm_maybe")
+    clear = marked.where(~F.col("bm_maybe")).select("r.*")
+    rest = marked.where("bm_maybe")
     cond = None
     for k in keys:
         c = F.col(f"k_{k}").eqNullSafe(F.col(f"d_{k}"))

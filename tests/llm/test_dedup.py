@@ -101,6 +101,7 @@ def test_drop_near_duplicates_keeps_one_of_each_component(docs):
     assert out.columns == docs.columns
     fps = [simhash_brute(t) for _, t in rows_of(out)]
     assert len(set(brute_components(fps))) == len(fps)
+    assert {r[c] for r in out.collect() for c in docs.columns[3:]} == {"clash"}
 
 
 def test_components_of_a_path_and_a_star(lspark):
