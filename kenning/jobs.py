@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from kenning import config
 from kenning.session import build_session, prepare
+from kenning.functions.text import rtrim_list
 from kenning.sinks import writers as W
 from kenning.sources import readers as R
 
@@ -60,7 +61,8 @@ def run_interests(spark: SparkSession, a) -> None:
     version = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
     new_state = out["by_day"] if a.re_age else out["profile"].drop("origin")
     W.write_state(spark, new_state.withColumn("batch_id", F.lit(version)), a.state, version)
-    W.write_json(out["annotated"].drop("content"), f"{a.out}/annotated")
+    dump = out["annotated"].withColumns({c: rtrim_list(F.col(c)) for c in ("to", "cc")})
+    W.write_json(dump, f"{a.out}/annotated")
     W.write_json(out["weights"], f"{a.out}/weights", a.max_records)
     W.write_json(out["enriched"], f"{a.out}/enriched", a.max_records)
     W.write_csv(out["enriched"], f"{a.out}/enriched_csv", a.max_records)

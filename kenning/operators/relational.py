@@ -73,9 +73,11 @@ def neighbors(df: DataFrame, key, order, value, carry=None) -> DataFrame:
         F.struct(F.lit(1).alias("k"), (F.col(order) + 1).alias("o")),
         F.struct(F.lit(2).alias("k"), (F.col(order) - 1).alias("o")))
     own = F.struct(*[F.col(c) for c in carry]) if carry else F.lit(True)
-    e = df.select(key, F.col(value).alias("_v"), own.alias("_own"), F.explode(kinds).alias("_e"))
+    # only the row itself carries its columns; the copies for its neighbours hold the value alone
+    e = (df.select("*", F.explode(kinds).alias("_e"))
+         .select(key, F.col(value).alias("_v"), F.when(F.col("_e.k") == 0, own).alias("_own"), "_e"))
     g = (e.groupBy(key, F.col("_e.o").alias(order))
-         .agg(F.first(F.when(F.col("_e.k") == 0, F.col("_own")), ignorenulls=True).alias("_self"),
+         .agg(F.first("_own", ignorenulls=True).alias("_self"),
               F.max(F.when(F.col("_e.k") == 1, F.col("_v"))).alias("prev_" + value),
               F.max(F.when(F.col("_e.k") == 2, F.col("_v"))).alias("next_" + value)))
     g = g.filter(F.col("_self").isNotNull())

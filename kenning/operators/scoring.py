@@ -20,23 +20,21 @@ def popularity(rows: DataFrame, key="entityName", freq="frequency", dfreq="decay
 def with_column_range(df: DataFrame, cols, suffix=("_min", "_max")) -> DataFrame:
     """WN-3: attach the whole-table minimum and maximum of ``cols``.
 
-    One aggregate computes all ranges with partial results per task and ends
-    in a single row; that row (2 numbers per column) is read on the driver and
-    attached as literals. No unpartitioned window moves rows into one task, no
-    join is needed, and the following plan carries plain constants."""
-    aggs = [F.min(c).alias(c + suffix[0]) for c in cols] + [F.max(c).alias(c + suffix[1]) for c in cols]
-    row = df.agg(*aggs).first()
-    out = df
-    for c in cols:
-        out = (out.withColumn(c + suffix[0], F.lit(row[c + suffix[0]]).cast("double"))
-               .withColumn(c + suffix[1], F.lit(row[c + suffix[1]]).cast("double")))
-    return out
+    One aggregate computes all ranges with partial results per task and ends in a
+    single row, read as a scalar subquery when the query runs: building the plan
+    starts no job, no row moves into one task and no join is needed."""
+    ends = F.struct(*[F.min(c).cast("double").alias(c + suffix[0]) for c in cols],
+                    *[F.max(c).cast("double").alias(c + suffix[1]) for c in cols])
+    row = df.agg(ends.alias("_ends")).scalar()
+    return df.withColumn("_ends", row).withColumns(
+        {c + s: F.col("_ends." + c + s) for c in cols for s in suffix}).drop("_ends")
 
 
-def minmax_scale(df: DataFrame, col: str, out: str, low: float = 0.0) -> DataFrame:
-    """MA-6 over a whole table."""
+def minmax_scale(df: DataFrame, col: str, outs: dict[str, float]) -> DataFrame:
+    """MA-6 over a whole table: ``outs`` maps a new column to the low end of its scale."""
     ranged = with_column_range(df, [col])
-    return (ranged.withColumn(out, minmax(F.col(col), F.col(col + "_min"), F.col(col + "_max"), low))
+    return (ranged.withColumns({out: minmax(F.col(col), F.col(col + "_min"), F.col(col + "_max"), low)
+                                for out, low in outs.items()})
             .drop(col + "_min", col + "_max"))
 
 
@@ -62,10 +60,13 @@ def interest_weights(profile: DataFrame, people_category: str = config.PEOPLE,
     pop = popularity(rows, key)
     own = pop.select(F.col(key).alias("_own_key"), F.col("lookup_freq").alias("_own_f"),
                      F.col("lookup_decay_freq").alias("_own_df"))
+    people_named = F.coalesce((F.col("category") == F.lit(people_category)) & F.col(user_name).isNotNull(), F.lit(False))
+    # rows without an own name match nothing; their key is spread so that they do not meet in one task
+    spread_key = F.pmod(F.xxhash64(key, "category", "frequency"), F.lit(4096)).cast("string")
     j = (rows.join(pop, on=key, how="left")
-         .join(own, (F.col("category") == F.lit(people_category)) & (F.col(user_name) == F.col("_own_key")),
-               "left"))
-    people_named = (F.col("category") == F.lit(people_category)) & F.col(user_name).isNotNull()
+         .withColumn("_own", people_named)
+         .withColumn("_probe", F.when(people_named, F.col(user_name)).otherwise(spread_key))
+         .join(own.withColumn("_is", F.lit(True)), (F.col("_own") == F.col("_is")) & (F.col("_probe") == F.col("_own_key")), "left"))
     own_f = F.when(people_named, F.coalesce(F.col("_own_f"), F.col("frequency"))).otherwise(F.col("frequency"))
     own_df = F.when(people_named, F.coalesce(F.col("_own_df"), F.col("decay_frequency"))) \
         .otherwise(F.col("decay_frequency"))
@@ -73,7 +74,7 @@ def interest_weights(profile: DataFrame, people_category: str = config.PEOPLE,
             .withColumn("_s", F.ln(F.col("frequency").cast("double")))
             .withColumn("_dt", F.sqrt((F.col("lookup_decay_freq") + own_df).cast("double")))
             .withColumn("_ds", F.ln(F.col("decay_frequency").cast("double")))
-            .drop("_own_key", "_own_f", "_own_df"))
+            .drop("_own", "_probe", "_is", "_own_key", "_own_f", "_own_df"))
     if materialize:
         ensure_checkpoint_dir(base.sparkSession)
         base = base.checkpoint(eager=True)

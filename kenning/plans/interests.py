@@ -36,6 +36,8 @@ def prepare_messages(messages: DataFrame, cfg: config.TenantConfig) -> DataFrame
              .withColumn("cc", F.transform("cc", lambda x: F.lower(x))))
     if not cfg.use_cc:
         m = m.withColumn("cc", F.array().cast("array<string>"))
+    m = m.withColumns({c: F.transform(c, lambda x: F.rtrim(x)) for c in ("to", "cc")})   # STR-4
+    m = m.withColumn("from_email", F.rtrim("from_email"))
     body = lower_clean_body(F.col("body")) if cfg.clean_body else F.col("body")
     content = build_content(F.col("subject"), body, F.col("to"), F.col("cc") if cfg.use_cc else None)
     return m.withColumn("content", clean_content(content, strip_punct=cfg.strip_punct))
@@ -58,16 +60,15 @@ def new_profile(messages: DataFrame, gazetteer: DataFrame, directory: DataFrame,
     # cleaned messages are materialized with it once, so every branch sees the same
     # keys (also after a lost executor) and none cleans the text again.
     ensure_checkpoint_dir(messages.sparkSession)
-    m = spread(prepare_messages(messages, cfg)).withColumn("_row", F.monotonically_increasing_id()).checkpoint(eager=True)
+    m = (spread(prepare_messages(messages, cfg))
+         .withColumn("mails_ext", extract_mails(F.col("content"), cfg.mail_pattern))
+         .withColumn("_row", F.monotonically_increasing_id()).checkpoint(eager=True))
     ents = extract.entities(m.select("_row", "content"), gazetteer, id_col="_row",
                             text_col="content", complete_in_row=True).select("_row", "value", "category")
     # Per-message metadata without the text (senders, recipients, date, address
-    # candidates found in the content), materialized once: participants, known
-    # addresses, mail entities and modal days all read it instead of re-scanning
-    # and re-cleaning the text in each branch.
-    slim = m.select("_row", "from_email", "to", "cc", "date",
-                    extract_mails(F.col("content"), cfg.mail_pattern).alias("_mails"))
-    slim = slim.checkpoint(eager=True)
+    # candidates found in the content): participants, known addresses, mail entities
+    # and modal days read these columns of the materialized messages only.
+    slim = m.select("_row", "from_email", "to", "cc", "date", F.col("mails_ext").alias("_mails"))
     parts = prof.explode_participants(slim.select("_row", "from_email", "to", "cc", "date"),
                                       msg="_row", sender="from_email", recipients=("to", "cc"))
     known = parts.select(F.col("user_id").alias("address")).distinct()

@@ -505,10 +505,18 @@ def _team_sql():
 ORACLE["team_conversations"] = _team_sql()
 
 # ---------------------------------------------------------------- dates, nulls, counts, dictionaries, pseudonyms
+# forms written from the date itself, so what they must read as is known
+_DATE_FORMS_SQL = " ".join(
+    f"SELECT '{name}' AS source, o_orderkey AS k1, 0 AS k2, strftime(o_orderdate, '{form}') AS raw, "
+    f"strftime(date_trunc('{unit}', o_orderdate), '%Y-%m-%dT%H:%M:%SZ') AS clean FROM orders UNION ALL"
+    for name, form, unit in (("header", "%a, %d %b %Y %H:%M:%S +0000", "second"), ("long", "%-d %B %Y", "day"),
+                             ("american", "%B %-d, %Y", "day"), ("minutes", "%Y-%m-%d %H:%M", "minute"),
+                             ("offset", "%Y-%m-%dT%H:%M:%S+0000", "second"))) + " "
 ORACLE["date_clean"] = (
     "WITH raw AS (SELECT 'orders' AS source, o_orderkey AS k1, 0 AS k2, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS raw "
     "FROM orders UNION ALL SELECT 'lineitem', l_orderkey, l_linenumber, strftime(l_shipdate, '%d %b %Y') FROM lineitem "
     "UNION ALL SELECT 'priority', o_orderkey, 0, o_orderpriority FROM orders) "
+    + _DATE_FORMS_SQL +
     "SELECT source, k1, k2, raw, strftime(try_strptime(raw, ['%Y-%m-%d %H:%M:%S', '%d %b %Y']), '%Y-%m-%dT%H:%M:%SZ') "
     "AS clean FROM raw")
 ORACLE["date_shift"] = (

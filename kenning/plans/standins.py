@@ -182,7 +182,7 @@ def q_channel_assign(spark, sf):
 def q_user_messages(spark, sf):
     """JN-5: a message belongs to its sender and to the sender of the turn it
     answers (the recipient)."""
-    m = messages_with_neighbors(spark, sf).withColumn("to", _nonnull(F.col("prev_sender")))
+    m = messages_with_neighbors(spark, sf, "message_id").withColumn("to", _nonnull(F.col("prev_sender")))
     p = prof.explode_participants(m, recipients=("to",)).select("message_id", "conversation_id", "user_id")
     return p.groupBy("user_id").agg(F.count(F.lit(1)).alias("num_messages"),
                                     F.countDistinct("conversation_id").alias("num_conversations"))
@@ -208,7 +208,7 @@ def q_recipients_merge(spark, sf):
 
 @query("mention_suffix")
 def q_mention_suffix(spark, sf):
-    m = messages_with_neighbors(spark, sf)
+    m = messages_with_neighbors(spark, sf, "message_id", "body")
     mentions = F.when(synth.coin(F.col("message_id"), salt="mention"),
                       _nonnull(F.col("prev_sender"), F.col("next_sender"))).otherwise(F.array().cast("array<string>"))
     return m.select("conversation_id", "turn", append_mentions(F.col("body"), mentions).alias("comment"))
@@ -555,6 +555,11 @@ def q_date_clean(spark, sf):
                                   F.date_format("l_shipdate", "dd MMM yyyy").alias("raw")))
            .unionByName(o.select(F.lit("priority").alias("source"), F.col("o_orderkey").alias("k1"),
                                  F.lit(0).cast("int").alias("k2"), F.col("o_orderpriority").alias("raw"))))
+    forms = {"header": "EEE, dd MMM yyyy HH:mm:ss '+0000'", "long": "d MMMM yyyy", "american": "MMMM d, yyyy", "minutes": "yyyy-MM-dd HH:mm",
+             "offset": "yyyy-MM-dd'T'HH:mm:ss'+0000'"}
+    for name, form in forms.items():
+        raw = raw.unionByName(o.select(F.lit(name).alias("source"), F.col("o_orderkey").alias("k1"), F.lit(0).cast("int").alias("k2"),
+                                       F.date_format("o_orderdate", form).alias("raw")))
     return raw.withColumn("clean", date_clean(F.col("raw")))
 
 
@@ -612,7 +617,7 @@ def q_distinct_values(spark, sf):
 @query("minmax_scale")
 def q_minmax_scale(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    s = scoring.minmax_scale(scoring.minmax_scale(o, "o_totalprice", "scaled01"), "o_totalprice", "scaled0110", 0.1)
+    s = scoring.minmax_scale(o, "o_totalprice", {"scaled01": 0.0, "scaled0110": 0.1})
     return s.select("o_orderkey", F.round("scaled01", 6).alias("scaled01"), F.round("scaled0110", 6).alias("scaled0110"))
 
 

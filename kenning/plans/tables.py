@@ -28,11 +28,12 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("role").alias("sender"), F.col("text").alias("body"))
 
 
-def messages_with_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """messages plus the sender of the previous and of the next turn."""
+def messages_with_neighbors(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The sender and ``columns`` of every message, with the sender of the previous and
+    of the next turn."""
     from kenning.operators.relational import neighbors
-    m = messages(spark, sf_dir)
-    return neighbors(m, "conversation_id", "turn", "sender", carry=m.columns)
+    m = messages(spark, sf_dir).select("conversation_id", "turn", "sender", *columns)
+    return neighbors(m, "conversation_id", "turn", "sender", carry=["sender", *columns])
 
 
 def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
