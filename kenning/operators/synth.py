@@ -39,8 +39,13 @@ def pseudonym_map(values: DataFrame, col: str, names, out: str = "pseudonym") ->
     with a distributed top-k and ranked on that bounded row set; the rest of the
     distinct values is joined back with a null name."""
     d = values.select(col).filter(F.col(col).isNotNull()).distinct()
+    return d.join(F.broadcast(pseudonym_head(d, col, names, out)), on=col, how="left")
+
+
+def pseudonym_head(values: DataFrame, col: str, names, out: str = "pseudonym") -> DataFrame:
+    """The values of ``pseudonym_map`` that get a name: at most len(names) rows."""
+    d = values.select(col).filter(F.col(col).isNotNull()).distinct()
     arr = F.array(*[F.lit(x) for x in names])
-    head = (d.orderBy(col).limit(len(names))
+    return (d.orderBy(col).limit(len(names))
             .withColumn("_r", F.row_number().over(Window.orderBy(col)))
             .withColumn(out, F.try_element_at(arr, F.col("_r"))).drop("_r"))
-    return d.join(F.broadcast(head), on=col, how="left")

@@ -34,8 +34,9 @@ def team_conversations(msgs: DataFrame, companion: DataFrame, people: DataFrame,
     """``page_size``: split very long reply lists into pages (see ``nest_replies``)."""
     m = shifted_comment_dates(align_rows(msgs, companion))
     m = m.withColumn("component", F.coalesce(F.col("component"), F.lit("nan")))
-    teams = synth.pseudonym_map(m, "component", team_names, out="team_name")            # RND-4, ARR-12
-    m = m.join(teams, on="component", how="left")
+    # RND-4, ARR-12: at most as many rows as there are names
+    teams = synth.pseudonym_head(m, "component", team_names, out="team_name")
+    m = m.join(F.broadcast(teams), on="component", how="left")
     m = m.withColumn("team_id", F.when(F.col("team_name").isNotNull(),
                                        F.substring(F.sha2(F.concat(F.lit("team|"), F.col("team_name")), 256), 1, 36)))
     m = m.dropna(subset=["comment"])                                                    # FLT-2
@@ -48,18 +49,18 @@ def team_conversations(msgs: DataFrame, companion: DataFrame, people: DataFrame,
     names = F.transform("perms", lambda s: s["display"])
     m = (m.withColumn("mentions", _mentions(names, F.col("row_seq")))
          .withColumn("comment", append_mentions(F.col("comment"), F.col("mentions"))))       # STR-15
-    # RND-2 + AG-2 + JN-1: a channel per row, the greatest per conversation
-    m = m.withColumn("_ch", synth.pick(channel_names, F.col("conversationId"), F.col("row_seq"), salt="channel"))
-    ch = m.groupBy("conversationId").agg(F.max("_ch").alias("channel_name"))
-    m = (m.join(ch, on="conversationId")
+    # RND-2 + AG-2 + JN-1: a channel per row, the greatest per conversation; with it the
+    # first row of the conversation, from the message table alone
+    channel = synth.pick(channel_names, F.col("conversationId"), F.col("row_seq"), salt="channel")
+    conversations = (msgs.dropna(subset=["comment"]).groupBy("conversationId")
+                     .agg(F.max(channel).alias("channel_name"), F.min("row_seq").alias("_first")))
+    m = (m.join(conversations, on="conversationId")
          .withColumn("channel_id", F.substring(F.sha2(F.concat(F.lit("channel|"), F.col("channel_name")), 256), 1, 45)))
     person = (lambda c: F.struct(F.element_at(c, 1)["user_id"].alias("user_id"),
                                  F.element_at(c, 1)["display"].alias("user_display_name")))
     conv = F.col("conversationId").cast("string")
     m = m.withColumn("conversation_id", conv)
-    first_row = m.groupBy("conversation_id").agg(F.min("row_seq").alias("row_seq"))
-    first = m.join(first_row, on=["conversation_id", "row_seq"], how="left_semi")
-    replies = m.join(first_row, on=["conversation_id", "row_seq"], how="left_anti")
+    first, replies = m.filter("row_seq = _first"), m.filter("row_seq <> _first")
     message = F.struct(
         F.col("conversation_id"), F.col("conversation_id").alias("message_id"), "team_id", "team_name", "channel_id",
         "channel_name", F.col("body_content").alias("body"), person(F.col("snd")).alias("from"),
