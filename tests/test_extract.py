@@ -107,3 +107,23 @@ def test_optional_punctuation_rule(spark):
 def test_lone_question_mark_is_literal(spark):
     keys = sorted(r.key for r in gz.expand(gz.from_rows(spark, [("TOPICS", "why ?", None, False, False, 1)])).collect())
     assert keys == ["why ?"]
+
+
+def test_term_met_by_token_and_by_stripped_name_is_one_match(spark):
+    from kenning.operators import extract, gazetteer
+    rows = [("OS", "mail", "mail", False, True, 1), ("OS", "mail5", "mail", False, False, 1), ("OS", "Mail5", "mail", True, False, 1),
+            ("OS", "mail 5", "mail", False, False, 1), ("TOPICS", "mail5", None, False, False, 2)]
+    docs = spark.createDataFrame([(1, "mail5 MAIL5 mail 5 mail")], "doc_id int, text string")
+    got = sorted((r.start, r.n_tokens, r.category, r.canonical, r.value)
+                 for r in extract.match(docs, gazetteer.from_rows(spark, rows)).collect())
+    assert got == [(1, 1, "OS", "mail", "mail5"), (1, 1, "TOPICS", "mail5", "mail5"), (2, 1, "OS", "mail", "MAIL5"),
+                   (2, 1, "TOPICS", "mail5", "MAIL5"), (3, 1, "OS", "mail", "mail"), (3, 2, "OS", "mail", "mail 5"),
+                   (5, 1, "OS", "mail", "mail")]
+
+
+def test_spans_of_one_very_long_document(spark):
+    from kenning.operators import extract, gazetteer
+    rows = [("A", "red green", None, False, False, 1), ("B", "green blue", None, False, False, 2), ("C", "blue", None, False, False, 3)]
+    docs = spark.createDataFrame([(1, "red green blue grey " * 30000)], "doc_id int, text string")
+    spans = extract.entities(docs, gazetteer.from_rows(spark, rows))
+    assert {(r.category, r["count"]) for r in spans.groupBy("category").count().collect()} == {("A", 30000), ("C", 30000)}

@@ -65,3 +65,13 @@ def test_distinct_count_and_first_rows(spark):
     assert rel.distinct_count(df, "k").first()[0] == 37
     assert abs(rel.distinct_count(df, "k", approx=True).first()[0] - 37) <= 2
     assert [r.id for r in rel.first_rows(df, 3, F.col("id").desc()).collect()] == [999, 998, 997]
+
+
+def test_directory_order_is_file_order(spark, tmp_path):
+    from kenning.operators.directory import dedupe_directory
+    from kenning.sources.readers import read_directory
+    head = "cognitoSubjectId (S),email (S),displayName (S)\n"
+    (tmp_path / "a.csv").write_text(head + "s1,x@y.test,First\ns2,x@y.test,Second\n")
+    (tmp_path / "b.csv").write_text(head + "s3,x@y.test,Third\n" + "".join(f"t{i},u{i}@y.test,U\n" for i in range(500)))
+    got = dedupe_directory(read_directory(spark, str(tmp_path))).filter("email_id = 'x@y.test'").collect()
+    assert [(r.sub_id, r.user_name) for r in got] == [("s1", "First")]
