@@ -1,7 +1,7 @@
 """Embedding groups against all pairs in double precision; recall at the threshold."""
 
 import numpy as np
-from kenning.llm.embedding import block_edges, cells, embedding_groups, probe_sets
+from kenning.llm.embedding import block_edges, cells, embedding_groups, links, probe_sets
 
 
 def brute(rows, threshold=0.9):
@@ -81,3 +81,22 @@ def test_probe_sets_are_distinct_and_start_at_home():
 def test_empty(lspark):
     df = lspark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert embedding_groups(df).count() == 0
+
+
+def test_no_link_is_lost_in_any_dimension(lspark):
+    """Pairs just above and just below cosine 0.9, in one tile and across many."""
+    rng = np.random.default_rng(5)
+    rows, want, node = [], set(), 0
+    for dim in (64, 128, 256, 384):
+        for k in range(60):
+            x, z = rng.standard_normal((2, dim))
+            x /= np.linalg.norm(x)
+            z -= (z @ x) * x
+            cos = 0.9 + (1e-6 if k % 4 else -1e-6)
+            rows += [(node, x.tolist()), (node + 1, (cos * x + np.sqrt(1 - cos * cos) * z / np.linalg.norm(z)).tolist())]
+            want |= {(node, node + 1)} if k % 4 else set()
+            node += 2
+    df = lspark.createDataFrame(rows, "node bigint, vec array<double>")
+    for tile_rows in (4096, 100):
+        found = [tuple(r) for r in links(df, 0.9, tile_rows=tile_rows).collect()]
+        assert len(found) == len(want) and set(found) == want
