@@ -6,10 +6,11 @@ index maps each kept hash to its places in the templates. The index is bounded b
 the templates and travels with the task. A text is winnowed the same way in the one
 pass that reads it: a run of words shared with a template, at least
 ``GRAM + WINNOW - 1`` long, always shares a kept hash. Hits on neighbouring diagonals
-of one template form an occurrence; the template is aligned with the words around
-it within a band of ``BAND`` diagonals (match +1, mismatch, insertion and deletion
+of one template form a region; the template is aligned with the words around it and
+``BAND`` more on both sides (match +1, mismatch, insertion and deletion
 -1), and the matched share of the template and the span in the text are reported if
-at least ``LEAST`` of the template's words match.
+at least ``LEAST`` of the template's words match; the words before, between and after
+the spans found are aligned again, so notices that follow each other are each found.
 
 Words are runs of letters, digits and inner dots or hyphens, in lower case (ASCII).
 Where several templates match one span, all are reported; of overlapping spans of
@@ -112,8 +113,9 @@ class Index:
             for p in winnow(h, width).tolist():
                 self.places[int(h[p])].append((t, p))
 
-    def candidates(self, codes: np.ndarray):
-        """(template, first diagonal, last diagonal, first position) of groups of hits."""
+    def regions(self, codes: np.ndarray):
+        """(template, start, end) of the parts of the text, apart from each other, that
+        hold all occurrences with a kept hash."""
         h = _grams(codes, self.gram)
         known = np.flatnonzero(h != np.uint64((1 << 64) - 1))
         if not len(known):
@@ -122,39 +124,80 @@ class Index:
         hits = defaultdict(list)
         for p in kept[h[kept] != np.uint64((1 << 64) - 1)].tolist():
             for t, q in self.places.get(int(h[p]), ()):
-                hits[t].append((p - q, p))
+                hits[t].append(p - q)
         for t, found in hits.items():
             found.sort()
-            group = [found[0]]
-            for d, p in found[1:]:
-                if d - group[-1][0] > BAND:
-                    yield t, group[0][0], group[-1][0]
-                    group = []
-                group.append((d, p))
-            yield t, group[0][0], group[-1][0]
+            size = len(self.codes[t]) + BAND
+            low = high = found[0]
+            for d in found[1:]:
+                if d - BAND > high + size:
+                    yield t, max(0, low - BAND), min(len(codes), high + size)
+                    low = d
+                high = d
+            yield t, max(0, low - BAND), min(len(codes), high + size)
 
     def scan(self, text: bytes) -> list[tuple[int, int, int, int]]:
-        """(template, first word, end word, matched words), best first per template,
-        overlapping ones removed."""
+        """(template, first word, end word, matched words) of every occurrence."""
         words = words_of(text)
         get = self.code.get
         codes = np.fromiter((get(w, 0) for w in words), np.uint64, len(words))
-        found = []
-        for t, low, high in self.candidates(codes):
-            template = self.codes[t].tolist()
-            start = max(0, low - BAND)
-            end = min(len(codes), high + len(template) + BAND)
-            got = align(template, codes[start:end].tolist(), low - BAND - start, high + BAND - start)
-            if got and got[0] >= LEAST * len(template):
-                found.append((t, start + got[1], start + got[2], got[0]))
-        found.sort(key=lambda x: (x[0], -x[3], x[1]))
         out = []
-        for x in found:
-            if not any(y[0] == x[0] and y[1] < x[2] and x[1] < y[2] for y in out):
-                out.append(x)
+        for t, start, end in self.regions(codes):
+            out += [(t, start + s, start + e, m) for s, e, m in occurrences(self.codes[t], codes[start:end])]
         return sorted(out, key=lambda x: (x[1], x[0]))
 
 
+# An alignment as one number: score, matched words, and the fewer words of the text the larger.
+_SCORE, _MATCH, _FRESH = 1 << 32, 1 << 17, (1 << 17) - 1
+
+
+def best_ends(template: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Per word of the text the best alignment (as one number) of a part of the template
+    with a part of the text that ends there in a match: match +1, anything else -1,
+    never below zero."""
+    n = len(text)
+    best = np.zeros(n, np.int64)
+    slope = np.arange(n, dtype=np.int64) * (_SCORE + 1)
+    above = np.full(n + 1, _FRESH, np.int64)  # at j + 1: ends at word j
+    for a in template:
+        same = text == a
+        row = above[:-1] + np.where(same, _SCORE + _MATCH - 1, -_SCORE - 1)
+        np.maximum(best, row, out=best, where=same)
+        np.maximum(row, above[1:] - _SCORE, out=row)
+        row = np.maximum.accumulate(row + slope) - slope  # words of the text that are inserted
+        above[1:] = np.where(row < _SCORE, _FRESH, row)
+    return best
+
+
+def occurrences(template: np.ndarray, text: np.ndarray) -> list[tuple[int, int, int]]:
+    """(start, end, matched words) of the spans with at least ``LEAST`` of the template's
+    words matched, best first, none overlapping: what lies before, between and after
+    the spans found is aligned again until nothing more is found. A span must score
+    better than any part of it; words that only make up for a gap do not belong to it."""
+    least = LEAST * len(template)
+    out, parts = [], [(0, len(text))]
+    while parts:
+        low, high = parts.pop()
+        if high - low < least:
+            continue
+        best = best_ends(template, text[low:high])
+        matched = best % _SCORE // _MATCH
+        at = np.flatnonzero((matched >= least) & (matched > 0))
+        free, found = np.ones(high - low, bool), []
+        for j in at[np.argsort(-best[at], kind="stable")].tolist():
+            start = j + 1 - (_FRESH - int(best[j]) % _MATCH)
+            inner = best[start:j]
+            inner = inner[np.arange(start + 1, j + 1) - (_FRESH - inner % _MATCH) >= start]
+            if free[start:j + 1].all() and not (inner // _SCORE >= best[j] // _SCORE).any():
+                free[start:j + 1] = False
+                found.append((low + start, low + j + 1, int(matched[j])))
+        if found:
+            found.sort()
+            out += found
+            parts += zip([low, *[e for _, e, _ in found]], [*[s for s, _, _ in found], high])
+    return sorted(out)
+
+
 def align(template: list[int], text: list[int], low: int, high: int) -> tuple[int, int, int] | None:
     """(matched words, start, end in ``text``) of the best alignment of a part of the
     template with a part of the text whose diagonals (text minus template position)

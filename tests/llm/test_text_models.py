@@ -203,6 +203,35 @@ def test_license_scan_against_full_alignment(lspark):
                 assert not best or best[0] < len(template) or k in got
 
 
+def all_spans(template, codes):
+    """Spans by full alignment of the whole text, again before and after each."""
+    best = license_scan.align(template, codes, -len(template), len(codes))
+    if not best or best[0] < license_scan.LEAST * len(template):
+        return []
+    m, s, e = best
+    after = [(x + e, y + e, k) for x, y, k in all_spans(template, codes[e:])]
+    return all_spans(template, codes[:s]) + [(s, e, m)] + after
+
+
+@pytest.mark.parametrize("between", ["", "and", "see also", "one two three", "a b c d e f g h"])
+@pytest.mark.parametrize("name", ["mit", "cc-by-4.0", "cc-by-nc-4.0", "cc-by-sa-4.0", "cc0-1.0", "gpl-3.0"])
+def test_license_scan_counts_adjacent_notices(name, between):
+    index = license_scan.Index(license_scan.TEMPLATES)
+    k = index.names.index(name)
+    for times in (1, 2, 3, 40):
+        text = f" {between} ".join([license_scan.TEMPLATES[name]] * times).encode()
+        codes = [index.code.get(w, 0) for w in license_scan.words_of(text)]
+        want = all_spans(index.codes[k].tolist(), codes)
+        assert len(want) == times
+        assert [x[1:] for x in index.scan(text) if x[0] == k] == want
+
+
+def test_license_scan_repeated_line():
+    index = license_scan.Index(license_scan.TEMPLATES)
+    got = index.scan(b"Released under the MIT License.\n" * 1000)
+    assert [x[1:] for x in got if index.names[x[0]] == "mit"] == [(5 * k, 5 * k + 5, 5) for k in range(1000)]
+
+
 # HTML -----------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="<p>no</p>";</script></head><body>
