@@ -4,8 +4,10 @@ A page is parsed into a tree. Elements that are never content (scripts, forms,
 navigation, footers, and those whose class, id or role says advert, menu, comment,
 notice ...) are left out. Every remaining block with text of its own passes points
 for its length and commas to its ancestors, in full to the parent and less to those
-above; a candidate's points are discounted by its link density. The best container
-is kept together with its siblings that score well enough; their blocks are the text.
+above; a candidate's points are discounted by its link density. The article the best
+container is part of is kept whole; around it, or around the best container, headings,
+loose text and everything that is not full of links are kept, whatever their length
+(beside an article in the body itself, what scores well); their blocks are the text.
 
 Defined results: a null or empty page, or one without any content, has an empty
 text; markup that is never closed ends with the page; rows that repeat are each
@@ -43,6 +45,9 @@ UNLIKELY = frozenset("sidebar aside header masthead banner widget widgets relate
                      "modal overlay alert tags meta rail search skip hidden".split())
 CONTENT = frozenset("article content main body post entry story text page container wrapper".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# From this share of linked text on, an element beside the content is not part of it.
+LINKED = 0.25
 TAG_POINTS = {"article": 25, "main": 20, "section": 3, "div": 5, "td": 3, "blockquote": 3, "pre": 3, "form": -3, "ul": -3, "ol": -3,
               "body": 0}
 
@@ -174,7 +179,8 @@ def _density(node: Node) -> float:
     return node.linked / node.text if node.text else 0.0
 
 
-def _blocks(tops: list[Node]) -> list[str]:
+def _blocks(tops: list) -> list[str]:
+    """``tops``: nodes and strings; None ends a block."""
     out, words = [], []
 
     def flush():
@@ -199,7 +205,63 @@ def _blocks(tops: list[Node]) -> list[str]:
                 flush()
                 stack.append(None)
                 stack += reversed(c.children)
-        flush()
+    flush()
+    return out
+
+
+def _kept(children: list, inner: Node, tops: list, low) -> list:
+    """``tops``, the text of ``inner``, with what is kept of its siblings, in order;
+    ``low``: whether an element is. Text and inline elements in a row are judged together."""
+    out, run = [], []
+
+    def end():
+        text = sum(len(c.strip()) if isinstance(c, str) else c.text for c in run)
+        if text and sum(c.linked for c in run if not isinstance(c, str)) < LINKED * text:
+            out.extend([None, *run, None])
+        run.clear()
+
+    for c in children:
+        if isinstance(c, str) or c.tag in INLINE:
+            run.append(c)
+            continue
+        end()
+        if c is inner:
+            out += tops
+        elif c.text and (c.tag in HEADINGS or low(c)):
+            out.append(c)
+    end()
+    return out
+
+
+def _around(best: Node, most: float) -> list:
+    """What is kept of the page. Where the best container is part of an article, the
+    whole article; around it, up to the main element (without an article, up to
+    the highest element that is not full of links), all siblings that are not full of
+    links, however short. Beside an article or main element in the body itself, only
+    what scores well."""
+    up = [best]
+    while up[-1].parent is not None and up[-1].parent.tag not in ("body", "html", "#root"):
+        up.append(up[-1].parent)
+    marked = [k for k, node in enumerate(up) if node.tag in ("article", "main")]
+    articles = [k for k in marked if up[k].tag == "article"]
+    at = articles[-1] if articles else 0
+    last = marked[-1] if marked else at
+    while not marked and last + 1 < len(up) and _density(up[last + 1]) < LINKED:
+        last += 1
+    tops = [up[at]]
+    for node in up[at:last]:
+        tops = _kept(node.parent.children, node, tops, lambda c: _density(c) < LINKED)
+    top = up[last]
+    if not marked or top.parent.tag not in ("body", "html", "#root"):
+        return _kept(top.parent.children, top, tops, lambda c: _density(c) < LINKED)
+    out = []
+    for c in top.parent.children:
+        if c is top:
+            out += tops
+        elif not isinstance(c, str) and c.text and _density(c) < LINKED and (
+                c.tag == "h1" or (c.points + TAG_POINTS.get(c.tag, 0)) * (1 - _density(c)) >= max(10, 0.2 * most)
+                or c.tag == "p" and c.text > 80):
+            out += [None, c, None]
     return out
 
 
@@ -216,14 +278,7 @@ def main_text(page: str) -> str:
             best, most = node, total
     if best is None:
         return "\n".join(_blocks([root]))
-    tops = []
-    for c in best.parent.children:
-        if c is best:
-            tops.append(c)
-        elif not isinstance(c, str) and c.text and _density(c) < 0.25 and (
-                c.tag == "h1" or (c.points + TAG_POINTS.get(c.tag, 0)) * (1 - _density(c)) >= max(10, 0.2 * most)
-                or c.tag == "p" and c.text > 80):
-            tops.append(c)
+    tops = _around(best, most)
     return "\n".join(_blocks(tops))
 
 

@@ -261,3 +261,20 @@ def test_extract_rows(lspark):
     got = extract_main_text(df).collect()
     assert sorted((r.page_id or 0, len(r.text)) for r in got) == [(0, 0), (1, len(main_text(PAGE))), (2, 0), (2, 0)]
     assert extract_main_text(df.limit(0)).count() == 0
+
+
+LONG = "A long paragraph, with commas, words, more words, and still more words, so that it scores well. " * 4
+
+
+@pytest.mark.parametrize("n", [1, 12, 40])
+@pytest.mark.parametrize("head, tail", [("<article>", "</article>"), ("<main>", "</main>"), ("<main><div><article>", "</article></div></main>"),
+                                        ("<div class=post>", "</div>"), ("<div><div>", "</div></div>"), ("", "")])
+def test_one_long_section_does_not_drop_the_rest(n, head, tail):
+    parts = [f"<section>{f'<p>{LONG}</p>' * n}</section>", "<h2>Heading</h2>", "<section><p>Short one.</p></section>",
+             "Loose <b>bold</b> text.", "<p>Lead.</p>", "<section><h3>Sub</h3><p>Last words.</p></section>"]
+    menu = "<div><a href=/a>One link</a> <a href=/b>Other link</a></div>"
+    want = ["Heading", "Short one.", "Loose bold text.", "Lead.", "Sub", "Last words."]
+    for k in range(len(parts)):  # the long section at every place
+        order = parts[1:k + 1] + parts[:1] + parts[k + 1:]
+        got = main_text(f"<body>{menu}{head}{''.join(order)}{tail}{menu}</body>").split("\n")
+        assert [x for x in got if x != LONG.strip()] == want and got.count(LONG.strip()) == n
