@@ -1,16 +1,15 @@
-"""License scan: winnowed fingerprints, an inverted index, banded alignment.
-
-The templates (a small table, a parameter) are cut into overlapping word triples;
-winnowing keeps the smallest hash of every ``WINNOW`` neighbours, and an inverted
-index maps each kept hash to its places in the templates. The index is bounded by
-the templates and travels with the task. A text is winnowed the same way in the one
-pass that reads it: a run of words shared with a template, at least
-``GRAM + WINNOW - 1`` long, always shares a kept hash. Hits on neighbouring diagonals
-of one template form a region; the template is aligned with the words around it and
-``BAND`` more on both sides (match +1, mismatch, insertion and deletion
--1), and the matched share of the template and the span in the text are reported if
-at least ``LEAST`` of the template's words match; the words before, between and after
-the spans found are aligned again, so notices that follow each other are each found.
+"""License scan: an inverted index of the templates' words, windows, local alignment.
+
+The templates (a small table, a parameter) are indexed by word; the index is bounded by
+the templates and travels with the task. An occurrence needs at least ``LEAST`` of a
+template's words, so it can lack only few of its distinct words, and a local alignment
+never spans twice the template's words. A text is scanned in the one pass that reads
+it: a template is tried where a window of the text of four times its length (in steps of
+twice) holds enough of its distinct words; no place with an occurrence fails that. There
+it is aligned with the whole window (match +1, mismatch, insertion and deletion -1), and
+the matched share of the template and the span in the text are reported if at least
+``LEAST`` of the template's words match; the words before, between and after the spans
+found are aligned again, so notices that follow each other are each found.
 
 Words are runs of letters, digits and inner dots or hyphens, in lower case (ASCII).
 Where several templates match one span, all are reported; of overlapping spans of
@@ -32,9 +31,6 @@ from pyspark.sql import functions as F
 
 from kenning.llm.common import text_bytes
 
-GRAM = 3
-WINNOW = 2
-BAND = 6
 LEAST = 0.8
 MAX_TEMPLATE_WORDS = 20_000
 _WORD = re.compile(rb"[a-z0-9\x80-\xff]+(?:[.-][a-z0-9\x80-\xff]+)*")
@@ -71,70 +67,48 @@ def words_of(text: bytes) -> list[bytes]:
     return _WORD.findall(text.lower())
 
 
-def _grams(codes: np.ndarray, gram: int) -> np.ndarray:
-    """Hash of every ``gram`` neighbouring word codes; the largest value where a word
-    is unknown (code 0), so that it is never chosen over a known one."""
-    n = len(codes) - gram + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    h, known = np.zeros(n, np.uint64), np.ones(n, bool)
-    for k in range(gram):
-        part = codes[k:k + n]
-        h = h * np.uint64(0x9E3779B97F4A7C15) + part * np.uint64(0xC2B2AE3D27D4EB4F)
-        h ^= h >> np.uint64(29)
-        known &= part > 0
-    return np.where(known, h >> np.uint64(1), np.uint64((1 << 64) - 1))
-
-
-def winnow(h: np.ndarray, width: int) -> np.ndarray:
-    """Positions of the smallest hash of every ``width`` neighbours (of ties the last);
-    all are one window if there are fewer."""
-    if not len(h):
-        return np.zeros(0, np.int64)
-    width = min(width, len(h))
-    win = np.lib.stride_tricks.sliding_window_view(h, width)[:, ::-1]
-    return np.unique(np.arange(len(win)) + width - 1 - win.argmin(axis=1))
-
-
 class Index:
-    """Word codes, template words and the inverted index of their fingerprints."""
+    """Word codes, template words and the inverted index of their words."""
 
-    def __init__(self, templates: dict[str, str], gram: int = GRAM, width: int = WINNOW):
-        self.gram, self.width = gram, width
+    def __init__(self, templates: dict[str, str]):
         self.names = list(templates)
         words = [words_of(t.encode()) for t in templates.values()]
         if sum(map(len, words)) > MAX_TEMPLATE_WORDS:
             raise ValueError(f"the templates have over {MAX_TEMPLATE_WORDS} words; they must fit every task")
         self.code = {w: i for i, w in enumerate(dict.fromkeys(w for ws in words for w in ws), 1)}
         self.codes = [np.array([self.code[w] for w in ws], np.uint64) for ws in words]
-        self.places = defaultdict(list)
+        self.places = [[] for _ in range(len(self.code) + 1)]  # per code the templates with that word
+        self.need = []  # distinct words that an occurrence of each template has at least
         for t, codes in enumerate(self.codes):
-            h = _grams(codes, gram)
-            for p in winnow(h, width).tolist():
-                self.places[int(h[p])].append((t, p))
+            own = sorted(set(codes.tolist()))
+            for c in own:
+                self.places[c].append(t)
+            self.need.append(len(own) - sum(1 for k in range(len(codes)) if k >= LEAST * len(codes)))
 
     def regions(self, codes: np.ndarray):
         """(template, start, end) of the parts of the text, apart from each other, that
-        hold all occurrences with a kept hash."""
-        h = _grams(codes, self.gram)
-        known = np.flatnonzero(h != np.uint64((1 << 64) - 1))
-        if not len(known):
-            return
-        kept = winnow(h, self.width)
-        hits = defaultdict(list)
-        for p in kept[h[kept] != np.uint64((1 << 64) - 1)].tolist():
-            for t, q in self.places.get(int(h[p]), ()):
-                hits[t].append(p - q)
-        for t, found in hits.items():
-            found.sort()
-            size = len(self.codes[t]) + BAND
-            low = high = found[0]
-            for d in found[1:]:
-                if d - BAND > high + size:
-                    yield t, max(0, low - BAND), min(len(codes), high + size)
-                    low = d
-                high = d
-            yield t, max(0, low - BAND), min(len(codes), high + size)
+        hold all occurrences."""
+        seen: dict[int, int] = defaultdict(int)
+        for c in np.unique(codes).tolist():
+            for t in self.places[c]:
+                seen[t] += 1
+        for t, n in seen.items():
+            if n < self.need[t]:
+                continue
+            step = 2 * len(self.codes[t])
+            at = np.flatnonzero(np.isin(codes, self.codes[t]))
+            block, word = at // step, codes[at].astype(np.int64)
+            # window k is the blocks k - 1 and k
+            found = np.unique(np.concatenate([block, block + 1]) * len(self.places) + np.concatenate([word, word]))
+            window, n = np.unique(found // len(self.places), return_counts=True)
+            spans: list[list[int]] = []
+            for k in window[n >= self.need[t]].tolist():
+                if spans and (k - 1) * step <= spans[-1][1]:
+                    spans[-1][1] = (k + 1) * step
+                else:
+                    spans.append([max(0, k - 1) * step, (k + 1) * step])
+            for start, end in spans:
+                yield t, start, min(len(codes), end)
 
     def scan(self, text: bytes) -> list[tuple[int, int, int, int]]:
         """(template, first word, end word, matched words) of every occurrence."""

@@ -232,6 +232,36 @@ def test_license_scan_repeated_line():
     assert [x[1:] for x in got if index.names[x[0]] == "mit"] == [(5 * k, 5 * k + 5, 5) for k in range(1000)]
 
 
+def test_license_scan_finds_what_full_alignment_finds():
+    """Words replaced, inserted or left out at every place of every template: at LEAST of
+    the words, the scan has each span that a full alignment has."""
+    index = license_scan.Index(license_scan.TEMPLATES)
+    rng, lost, seen = np.random.default_rng(3), [], 0
+    other = [b"zz", b"the", b"license", b"under"]
+    for k, name in enumerate(index.names):
+        words = license_scan.words_of(license_scan.TEMPLATES[name].encode())
+        texts = [words[:i] + [w] + words[i:] for i in range(len(words) + 1) for w in other]
+        texts += [words[:i] + [w] + words[i + 1:] for i in range(len(words)) for w in other]
+        texts += [words[:i] + words[i + 1:] for i in range(len(words))]
+        for _ in range(30):  # many insertions and replacements
+            texts.append([x for w in words for x in ([w] if rng.random() > 0.15 else [b"zz"]) + [b"zz"] * int(rng.random() < 0.25)])
+        for text in texts:
+            codes = [index.code.get(w, 0) for w in text]
+            want = license_scan.align(index.codes[k].tolist(), codes, -len(words), len(codes))
+            if want[0] >= license_scan.LEAST * len(words):
+                seen += 1
+                got = [x for x in index.scan(b"x y " * 7 + b" ".join(text) + b" x y") if x[0] == k]
+                if not any(x[3] >= want[0] for x in got):
+                    lost.append((name, text))
+    assert seen > 1000 and lost == []
+
+
+@pytest.mark.parametrize("text, name", [("Licensed under a CC BY 4.0", "cc-by-4.0"), ("Licensed under the Apach License, Version 2.0", "apache-2.0")])
+def test_license_scan_one_wrong_word(text, name):
+    index = license_scan.Index(license_scan.TEMPLATES)
+    assert name in [index.names[x[0]] for x in index.scan(text.encode())]
+
+
 # HTML -----------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="<p>no</p>";</script></head><body>
