@@ -3,7 +3,7 @@
 Texts become ids (byte-level BPE, the file is a parameter) followed by id 0. The
 documents of a block (one Arrow batch, in table order) form a stream; dynamic
 programming chooses where to cut it. Candidate cuts are document ends, sentence
-ends (one in ``STRETCH`` tokens) and, inside long sentences, every ``FORCED``-th token; a window costs its
+ends and, inside long sentences, every ``FORCED``-th token; a window costs its
 padding, a cut costs nothing at a document end, little at a sentence end and more
 inside a sentence (truncation). With p the prefix length, the cost of a window
 from j to i is dp[j] + width - (p[i] - p[j]), so the best j is the minimum of
@@ -33,8 +33,6 @@ WIDTH = 1024
 SENTENCE_CUT = 2
 FORCED_CUT = 24
 FORCED = 48
-# Of the sentence ends that fall into one stretch of so many tokens the first is a candidate.
-STRETCH = 16
 
 
 class ByteTokenizer:
@@ -112,8 +110,7 @@ def windows(lengths: np.ndarray, is_end: np.ndarray, width: int = WIDTH) -> list
     if total == 0:
         return []
     cost = np.full(total + 1, -1, np.int32)
-    ends = np.flatnonzero(is_end) + 1
-    cost[ends[np.diff(ends // STRETCH, prepend=-1) > 0]] = SENTENCE_CUT
+    cost[np.flatnonzero(is_end) + 1] = SENTENCE_CUT
     cost[np.cumsum(lengths)] = 0
     cost[0] = 0
     at = np.flatnonzero(cost >= 0)

@@ -107,6 +107,30 @@ def test_windows_cover_everything():
     assert packing.windows(np.zeros(0, np.int64), np.zeros(0, bool)) == []
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_every_sentence_end_is_a_candidate(seed, monkeypatch):
+    """The cuts of a text of short sentences are the minimum over all their ends."""
+    rng = np.random.default_rng(seed)
+    sizes = rng.integers(2, 9, 1200)
+    is_end = np.zeros(sizes.sum(), bool)
+    is_end[np.cumsum(sizes) - 1] = True
+    cost = {int(e): packing.SENTENCE_CUT for e in np.cumsum(sizes)} | {700: 0, len(is_end): 0}
+    least = {0: 0}
+    for e in sorted(cost):
+        least[e] = min(least[j] + 1024 - (e - j) + cost[e] for j in least if 0 < e - j <= 1024)
+    chosen, choose = [], packing.choose_cuts  # before windows are split into powers of two
+    monkeypatch.setattr(packing, "choose_cuts", lambda *a: chosen.extend(choose(*a)) or chosen)
+    packing.windows(np.array([700, len(is_end) - 700]), is_end)
+    assert sum(1024 - (e - s) + cost[e] for s, e in zip([0, *chosen], chosen)) == least[len(is_end)]
+
+
+def test_second_sentence_end_of_a_stretch():
+    """Only a cut at 1,020 makes two windows of 2,044 tokens."""
+    is_end = np.zeros(2044, bool)
+    is_end[[1008, 1019, 2042]] = True
+    assert packing.windows(np.array([2044]), is_end) == [1020, 2044]
+
+
 def test_packing_empty(empty):
     assert packing.pack(empty, tokenizer_path("byte_bpe_50k.json")).count() == 0
 
