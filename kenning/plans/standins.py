@@ -155,13 +155,17 @@ def q_replies_only(spark, sf):
         "conversation_id", "turn", "sender", "body")
 
 
+# Replies in one record: a longer conversation has one record for each page of so many.
+REPLY_PAGE = 10_000
+
+
 @query("nested_replies")
 def q_nested_replies(spark, sf):
     m = messages(spark, sf)
     first = rel.first_per_group(m, "conversation_id", "turn", ["turn", "sender"])
     reps = rel.replies(m, "conversation_id", "turn")
     nested = rel.nest_replies(first, reps, "conversation_id", "turn",
-                              [F.col("turn"), F.col("sender"), F.col("body")])
+                              [F.col("turn"), F.col("sender"), F.col("body")], page_size=REPLY_PAGE)
     return nested.select(
         "conversation_id", F.col("turn").alias("message_turn"), F.col("sender").alias("message_sender"),
         F.size("replies").cast("bigint").alias("num_replies"),
@@ -526,7 +530,7 @@ def q_chat_messages(spark, sf):
 def q_team_conversations(spark, sf):
     """P-3 end to end: first message and replies of each conversation, one text per reply."""
     from kenning.plans.teams import team_conversations
-    c = team_conversations(_message_table(spark, sf), _companion(spark, sf), _people(spark, sf))
+    c = team_conversations(_message_table(spark, sf), _companion(spark, sf), _people(spark, sf), page_size=REPLY_PAGE)
 
     def text(*parts):
         return F.concat_ws("|", *[F.coalesce(p, F.lit("-")) for p in parts])

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from kenning.operators import directory as dirops
@@ -147,3 +148,21 @@ def test_reage_by_day(spark):
                           spark.createDataFrame([("u", dt.date(2024, 1, 30))], "user_id string, modal_day date"),
                           "v3", dt.date(2024, 3, 1)).first().decay_frequency
     assert later.frequency == 6 and later.decay_frequency == one + two
+
+
+@pytest.mark.parametrize("name", ["nested_replies", "team_conversations"])
+def test_registered_queries_page_their_replies(spark, monkeypatch, name):
+    """No record holds more than a page of replies, and the pages hold them all."""
+    from kenning.plans import standins
+    sf = "/root/testdata/sf0.001"
+    col = {"nested_replies": ("num_replies", "reply_turns", ","), "team_conversations": ("n_replies", "replies", ";")}[name]
+
+    def replies():
+        rows = standins.QUERIES[name](spark, sf).select("conversation_id", *col[:2]).collect()
+        each = sorted((r[0], x) for r in rows if r[1] for x in r[2].split(col[2]))
+        return max(r[1] for r in rows), sum(r[1] for r in rows), {r[0] for r in rows}, each
+
+    whole = replies()
+    monkeypatch.setattr(standins, "REPLY_PAGE", 2, raising=False)
+    paged = replies()
+    assert whole[0] > 2 and paged[0] == 2 and paged[1:] == whole[1:]
