@@ -31,7 +31,8 @@ def complete_names(names: DataFrame, group_cols, name="value", out="completed")
 
     Every candidate emits its prefixes (and suffixes) as join keys, so a name
     meets exactly the candidates it is a prefix (suffix) of: the work is the
-    total length of the names plus the matches, never group size squared."""
+    total length of the names plus the matches, never group size squared. Of a short
+    name's matches only the longest are held together."""
     group_cols = list(group_cols)
     base = names.select(*group_cols, F.col(name).alias("_x")).filter(F.col("_x").isNotNull()).distinct()
     keys = (base.select(*group_cols, F.col("_x").alias("_y"),
@@ -46,9 +47,10 @@ def complete_names(names: DataFrame, group_cols, name="value", out="completed")
     hits = (base.alias("m").join(keys.alias("k"), cond, "inner")
             .select(*[F.col("m." + g).alias(g) for g in group_cols], F.col("m._x").alias("_x"),
                     F.col("k._y").alias("_y"), F.length("k._y").alias("_len")))
-    # the join already brought a name's hits together, so neither grouping shuffles
-    top = (hits.groupBy(*group_cols, "_x", "_len").agg(F.collect_set("_y").alias("_ys"))
-           .groupBy(*group_cols, "_x").agg(F.array_join(F.array_sort(F.max_by("_ys", "_len")), " ").alias(out)))
+    # the greatest length first, so that only names of that length are ever collected
+    most = hits.groupBy(*group_cols, "_x").agg(F.max("_len").alias("_most"))
+    top = (hits.join(most, on=[*group_cols, "_x"]).filter(F.col("_len") == F.col("_most"))
+           .groupBy(*group_cols, "_x").agg(F.array_join(F.array_sort(F.collect_set("_y")), " ").alias(out)))
     return top.withColumnRenamed("_x", name)
 
 

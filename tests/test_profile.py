@@ -166,3 +166,16 @@ def test_registered_queries_page_their_replies(spark, monkeypatch, name):
     monkeypatch.setattr(standins, "REPLY_PAGE", 2, raising=False)
     paged = replies()
     assert whole[0] > 2 and paged[0] == 2 and paged[1:] == whole[1:]
+
+
+def test_completion_collects_only_the_longest(spark):
+    """A short name that begins and ends many others gathers those of the greatest length alone."""
+    many = ["al" + f"{i:04d}" for i in range(3000)] + [f"{i:04d}al" for i in range(3000)]
+    names = spark.createDataFrame([("g", n) for n in ["al", "al longest b", "al longest a", *many]], "grp string, value string")
+    got = dirops.complete_names(names, ["grp"], "value")
+    assert {r.value: r.completed for r in got.collect()} == {
+        n: n for n in many} | {n: n for n in ("al longest a", "al longest b")} | {"al": "al longest a al longest b"}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    collect = next(x for x in plan.splitlines() if "collect_set(" in x)
+    assert "_len" not in collect and "_len" in plan and "max_by" not in plan
+    assert any("_len" in x and "_most" in x for x in plan.splitlines() if "Join" in x or "Filter" in x)
