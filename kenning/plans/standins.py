@@ -25,6 +25,7 @@ from kenning.operators import gazetteer as gz
 from kenning.operators import profile as prof
 from kenning.operators import relational as rel
 from kenning.operators import scoring, state, synth
+from kenning.operators.joins import sized_broadcast
 from kenning.plans.tables import event_mentions, messages, messages_with_neighbors, table, text_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -648,19 +649,48 @@ def q_pseudo_ids(spark, sf):
 
 # ---------------------------------------------------------------- the whole interest job on documents
 
+def _document_dates(spark, sf, d):
+    """documents with a ``date``: the last order of the customer numbered as the source,
+    every third document up to 400 days before; none for one source in four or without an
+    order, and for every 13th document one that no format reads."""
+    last = table(spark, sf, "orders").groupBy("o_custkey").agg(F.max("o_orderdate").alias("_last"))
+    earlier = F.when(F.col("doc_id") % 3 == 0, F.col("doc_id") % 400).otherwise(0).cast("int")
+    date = F.date_format(F.date_sub(F.col("_last").cast("date"), earlier), "yyyy-MM-dd HH:mm:ss")
+    number = F.regexp_extract("source", r"(\d+)$", 1).try_cast("bigint") + 1
+    by_source = (d.select("source").distinct().withColumn("o_custkey", number)
+                 .filter(F.pmod(F.crc32("source"), F.lit(4)) != 1).join(last, on="o_custkey").select("source", "_last"))
+    date = F.when(F.col("_last").isNotNull(), F.when(F.col("doc_id") % 13 == 0, "some day").otherwise(date))
+    return d.join(sized_broadcast(by_source), on="source", how="left").withColumn("date", date).drop("_last")
+
+
+def _document_directory(spark, sf, d):
+    """Customers of one segment as the directory: the address is the first in the document of
+    the customer's number, or else its source's (of three sources in four), the display
+    name that document's first three words."""
+    c = table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("doc_id"))
+    listed = F.when(F.pmod(F.crc32("source"), F.lit(4)) != 0, F.concat(F.col("source"), F.lit("@docs.example")))
+    return (d.join(c, on="doc_id")
+            .select(F.col("doc_id").cast("string").alias("sub_id"),
+                    F.coalesce(F.try_element_at(extract_mails(F.col("text")), F.lit(1)), listed).alias("email_id"),
+                    F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0)), 1, 3), " ").alias("user_name"),
+                    F.col("doc_id").alias("ord"))
+            .filter(F.col("email_id").isNotNull()))
+
+
 @query("document_interests")
 def q_document_interests(spark, sf):
     """P-4 end to end: each document is a mail from its source (``<source>@docs.example``)
-    to the addresses found in its text; no dates, so counts stay unaged (tenant-B rule).
+    to the addresses found in its text, dated by orders; customers are the directory.
+    Without a readable date counts stay unaged (tenant-B rule).
     Rows-only check: greedy span choice and in-row completion have no SQL form."""
     from kenning.plans import interests
     d = text_table(spark, sf, "documents")
-    msgs = d.select(F.col("source").alias("conversation_id"), F.col("doc_id").cast("string").alias("message_id"),
-                    F.col("lang").alias("subject"), F.col("text").alias("body"),
-                    F.lit(None).cast("string").alias("date"),
-                    F.concat(F.col("source"), F.lit("@docs.example")).alias("from_email"),
-                    extract_mails(F.col("text")).alias("to"), F.array().cast("array<string>").alias("cc"))
-    directory = spark.createDataFrame([], "sub_id string, email_id string, user_name string, ord long")
-    cfg = config.TenantConfig(domains=("@docs.example",), decay="v3", null_day_keeps_count=True,
+    msgs = _document_dates(spark, sf, d).select(
+        F.col("source").alias("conversation_id"), F.col("doc_id").cast("string").alias("message_id"),
+        F.col("lang").alias("subject"), F.col("text").alias("body"), "date",
+        F.concat(F.col("source"), F.lit("@docs.example")).alias("from_email"),
+        extract_mails(F.col("text")).alias("to"), F.array().cast("array<string>").alias("cc"))
+    directory = _document_directory(spark, sf, d)
+    cfg = config.TenantConfig(domains=("@docs.example",), decay="v3", null_day_keeps_count=True, as_of=_dt.date(2001, 8, 3),
                               weight_categories=("TOPICS", "PEOPLE", "TEAMS", "PROG_SCRIPT_LANG"))
     return interests.run(spark, msgs, standin_gazetteer(spark), directory, cfg)["weights"]

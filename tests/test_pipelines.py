@@ -228,3 +228,18 @@ def test_stream_batch_merge_re_age_and_replay(spark, fx_paths):
     rows = {(r.user_id, r.value, str(r.modal_day)): r.frequency for r in spark.read.parquet(path1).collect()}
     assert rows[("ana.lima@acme.test", "python", "2023-12-01")] == 2
     assert rows[("ana.lima@acme.test", "python", "2024-01-30")] == 1
+
+
+def test_document_interests_acts_on_dates_and_directory(spark, monkeypatch):
+    """Ageing, the directory and the name lookup each meet real rows, and rows they leave alone."""
+    from kenning.plans import interests, standins
+    seen, run = {}, interests.run
+    monkeypatch.setattr(interests, "run", lambda *a, **k: seen.update(run(*a, **k)) or seen)
+    n = standins.QUERIES["document_interests"](spark, "/root/testdata/sf0.01").count()
+    aged = {r.frequency != r.decay_frequency for r in seen["profile"].select("frequency", "decay_frequency").collect()}
+    rows = seen["enriched"].select("id_type", "userName", "category", "value", "nameToId").collect()
+    users = {(r.id_type == "EMAIL", r.userName is None) for r in rows}
+    found = {r.nameToId[len("USER_"):].isdigit() for r in rows if r.category in ("PEOPLE", "PERSON") and r.nameToId}
+    assert n > 0 and aged == {True, False}
+    assert users == {(True, True), (False, False)}
+    assert True in found
