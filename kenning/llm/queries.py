@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kenning.llm import bpe, embedding, exact_dedup, html_extract, license_scan, packing, quality, sharding, simhash, substring
+from kenning.llm import (alignment, bpe, embedding, exact_dedup, html_extract, license_scan, packing, periodic_runs, quality, sharding,
+                         simhash, substring, url_filter)
 from kenning.llm.common import ready, table
 
 SHARD_BYTES = 1 << 20
@@ -67,12 +68,37 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars")))
 
 
+# Fixed by the query's contract: verdict, host, start of the path.
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (url_filter.judge_urls(table(ready(spark), sf_dir, "pages"), URL_RULES)
+            .select("page_id", "host", "path", "rule", "verdict"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(ready(spark), sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                                     tokenizer_path("piece_bpe_32k.model"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest_columns(periodic_runs.periodic_runs(table(ready(spark), sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_exact_dedup, op3_license_scan, op4_quality, op5_packing, op6_substring_dedup,
-                                   op7_simhash, op8_embedding_dedup, op9_bpe, op10_html_extract)}
+                                   op7_simhash, op8_embedding_dedup, op9_bpe, op10_html_extract, op11_url_filter, op12_alignment,
+                                   op13_periodic_runs)}
 
 _BITS = """string_agg(list_extract(['0000','0001','0010','0011','0100','0101','0110','0111',
  '1000','1001','1010','1011','1100','1101','1110','1111'], instr('0123456789abcdef', substr({h}, i, 1))), '' ORDER BY i)"""
 
+_BARE = url_filter.HIDDEN.replace("'", "''")
+_TAG = url_filter.LINK_TAG.replace("++", "+").replace("*+", "*").replace("'", "''")
+_HOST = url_filter.LINK_HOST.replace("'", "''")
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 ORACLE = {
     # every prefix of every row's hash with its size; a row's bucket is the shortest one that fits
     "op1_sharding": f"""
@@ -98,4 +124,25 @@ word AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM
 kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
 SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)""",
+    # the same pushes along the edges, each step the sum of what the last one sent
+    "op11_url_filter": rf"""
+WITH RECURSIVE rules(verdict, rhost, rpath) AS (VALUES {", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)}),
+page AS (SELECT row_number() OVER () AS r, page_id, html,
+ coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}'), '') AS host,
+ coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+fit AS (SELECT r, max((length(rhost || rpath), rhost || rpath, verdict)) AS m FROM page JOIN rules
+ ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY r),
+judged AS (SELECT page.*, m[2] AS rule, m[3] AS verdict FROM page LEFT JOIN fit USING (r)),
+tag AS (SELECT host AS src, unnest(regexp_extract_all(regexp_replace(coalesce(html, ''), '{_BARE}', ' ', 'g'), '{_TAG}')) AS tag FROM page),
+link AS (SELECT src, translate(regexp_extract(tag, '{_HOST}', 1), '{_UPPER}', '{_LOWER}') AS dst, count(*) AS n FROM tag GROUP BY ALL),
+both_ways AS (SELECT 'allow' AS kind, src AS host, dst AS target, n FROM link WHERE src <> '' AND dst <> '' AND src <> dst
+ UNION ALL SELECT 'block', dst, src, n FROM link WHERE src <> '' AND dst <> '' AND src <> dst),
+edge AS (SELECT kind, host, target, n / sum(n) OVER (PARTITION BY kind, host) AS share FROM both_ways),
+mass AS (SELECT 0 AS step, verdict AS kind, host, count(*) / sum(count(*)) OVER (PARTITION BY verdict) AS mass
+ FROM judged WHERE verdict IS NOT NULL GROUP BY verdict, host
+ UNION ALL SELECT step + 1, kind, target, sum(mass * share) * {url_filter.DAMPING}
+ FROM mass JOIN edge USING (kind, host) WHERE step < {url_filter.STEPS} GROUP BY step, kind, target),
+standing AS (SELECT host, coalesce(sum(mass) FILTER (kind = 'block'), 0) AS bad, sum(mass) AS whole FROM mass GROUP BY host)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN bad / whole > {url_filter.BLOCK_SHARE} THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged LEFT JOIN standing USING (host)""",
 }
