@@ -74,20 +74,22 @@ class Tokenizers:
                         for i in range(self.b.get_piece_size()) for p in (self.b.id_to_piece(i),)]
         if len(self.bytes_a) > 1 << 16 or len(self.bytes_b) > 1 << 16:
             raise ValueError("ids of both tokenizers must be below 65536")
+        if not all(bytes((x,)) in ranks for x in range(256)):
+            raise ValueError("the byte-level tokenizer must know every byte")
         self.len_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.len_b = np.array([len(x) for x in self.bytes_b], np.int64)
         a, b = range(len(self.bytes_a)), range(len(self.bytes_b))
         self.told = [f"{i}," for i in a] + [f"{i}|" for i in a] + [f"{i}," for i in b] + [f"{i};" for i in b]
 
     def encode(self, text: str) -> tuple[list[int], list[int]]:
-        """Ids of both sides, none if either side's bytes are not the space and the text."""
+        """Ids of both sides, none if either side's bytes are not the space and the text.
+        A's always are: it knows every byte and joins neighbours only."""
         if not text:
             return [], []
-        a, b = self.a.encode_ordinary(" " + text), self.b.encode(text)
-        want = b" " + text.encode()
-        if b"".join(map(self.bytes_a.__getitem__, a)) != want or b"".join(map(self.bytes_b.__getitem__, b)) != want:
+        b = self.b.encode(text)
+        if b"".join(map(self.bytes_b.__getitem__, b)) != b" " + text.encode():
             return [], []
-        return a, b
+        return self.a.encode_ordinary(" " + text), b
 
     def align(self, texts: list[str]):
         """Counts per text (columns ``COUNTS``), each text's groups spelt out, and the
@@ -98,23 +100,24 @@ class Tokenizers:
         a = np.array([i for x, _ in pairs for i in x], np.int64)
         b = np.array([i for _, x in pairs for i in x], np.int64)
         end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
-        both = np.intersect1d(end_a, end_b, assume_unique=True)
-        ends = np.union1d(end_a, end_b)
+        ends = np.sort(np.concatenate([end_a, end_b]), kind="stable")  # two ascending stretches: a merge
+        ends = ends[np.concatenate(([True], ends[1:] != ends[:-1]))] if len(ends) else ends
+        at_a, at_b = np.searchsorted(ends, end_a), np.searchsorted(ends, end_b)
+        is_a, is_b = np.zeros(len(ends), np.int64), np.zeros(len(ends), np.int64)
+        is_a[at_a] = is_b[at_b] = 1
+        both = is_a & is_b
+        group = np.cumsum(both) - both  # ends of both before this one
         # number of the text in which a byte offset ends, texts without tokens skipped
         live = np.flatnonzero(n_a)
-        text_end = end_a[np.cumsum(n_a)[live] - 1]
-        doc = live[np.searchsorted(text_end, ends)]
-        in_group = live[np.searchsorted(text_end, both)]
+        doc = np.repeat(live, np.diff(at_a[np.cumsum(n_a)[live] - 1], prepend=-1))
         # spelt groups: A tokens, then B tokens of each group, with what follows each
-        last_a, last_b = np.isin(end_a, both, assume_unique=True), np.isin(end_b, both, assume_unique=True)
         size_a, size_b = len(self.bytes_a), len(self.bytes_b)
-        code = np.concatenate([a + size_a * last_a, 2 * size_a + b + size_b * last_b])
-        key = np.concatenate([2 * np.searchsorted(both, end_a), 2 * np.searchsorted(both, end_b) + 1])
-        code = code[np.argsort(key, kind="stable")]
+        code = np.concatenate([a + size_a * both[at_a], 2 * size_a + b + size_b * both[at_b]])
+        code = code[np.argsort(np.concatenate([2 * group[at_a], 2 * group[at_b] + 1]), kind="stable")]
         cut = np.concatenate(([0], np.cumsum(n_a + n_b)))
         groups = ["".join(map(self.told.__getitem__, code[s:e].tolist()))[:-1] for s, e in zip(cut[:-1], cut[1:])]
-        counts = [n_a, n_b, np.bincount(in_group, minlength=len(texts)), np.bincount(doc, minlength=len(texts))]
-        return counts, groups, (doc, a[np.searchsorted(end_a, ends)], b[np.searchsorted(end_b, ends)])
+        counts = [n_a, n_b, np.bincount(doc[both > 0], minlength=len(texts)), np.bincount(doc, minlength=len(texts))]
+        return counts, groups, (doc, a[np.cumsum(is_a) - is_a], b[np.cumsum(is_b) - is_b])
 
 
 def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
