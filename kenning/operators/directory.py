@@ -8,12 +8,16 @@ string, not by the size of the group or the directory.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kenning.functions.arrays import word_count
 from kenning.functions.text import id_type, name_tokens, title_case, user_tag, ws_split
 from kenning.operators.joins import sized_broadcast
+from kenning.session import ensure_checkpoint_dir
+
+# Rows of a word's posting that one task meets.
+POSTING_SLOT = 20_000
 
 
 def _prefixes(c):
@@ -29,10 +33,11 @@ def complete_names(names: DataFrame, group_cols, name="value", out="completed")
     group that start with it (one-word names: or end with it); ties are joined
     by a blank in sorted order.
 
-    Every candidate emits its prefixes (and suffixes) as join keys, so a name
-    meets exactly the candidates it is a prefix (suffix) of: the work is the
-    total length of the names plus the matches, never group size squared. Of a short
-    name's matches only the longest are held together."""
+    Every candidate emits its prefixes (and suffixes) as keys; of the candidates of one
+    key only the longest stay, cut in each task before the shuffle (a ranking window
+    with a limit). A name then meets the longest candidates of its own two keys, so the
+    work is the total length of the names plus the longest matches, and a short name
+    that begins a third of a group's names is cheap."""
     group_cols = list(group_cols)
     base = names.select(*group_cols, F.col(name).alias("_x")).filter(F.col("_x").isNotNull()).distinct()
     keys = (base.select(*group_cols, F.col("_x").alias("_y"),
@@ -41,17 +46,17 @@ def complete_names(names: DataFrame, group_cols, name="value", out="completed")
                             F.struct(F.lit("s").alias("kind"), F.array_distinct(_suffixes(F.col("_x"))).alias("ks")),
                         )).alias("_k"))
             .select(*group_cols, "_y", F.col("_k.kind").alias("_kind"), F.explode("_k.ks").alias("_key")))
+    by_length = Window.partitionBy(*group_cols, "_key", "_kind").orderBy(F.length("_y").desc())
+    longest = keys.withColumn("_rank", F.rank().over(by_length)).filter(F.col("_rank") == 1)
     cond = [F.col("m." + g) == F.col("k." + g) for g in group_cols] + [
         F.col("m._x") == F.col("k._key"),
         (F.col("k._kind") == "p") | (word_count(F.col("m._x")) == 1)]
-    hits = (base.alias("m").join(keys.alias("k"), cond, "inner")
-            .select(*[F.col("m." + g).alias(g) for g in group_cols], F.col("m._x").alias("_x"),
-                    F.col("k._y").alias("_y"), F.length("k._y").alias("_len")))
-    # the greatest length first, so that only names of that length are ever collected
-    most = hits.groupBy(*group_cols, "_x").agg(F.max("_len").alias("_most"))
-    top = (hits.join(most, on=[*group_cols, "_x"]).filter(F.col("_len") == F.col("_most"))
-           .groupBy(*group_cols, "_x").agg(F.array_join(F.array_sort(F.collect_set("_y")), " ").alias(out)))
-    return top.withColumnRenamed("_x", name)
+    # at most two kinds of hits per name, each of one length: the longer kind, or both
+    hits = (base.alias("m").join(longest.alias("k"), cond, "inner")
+            .groupBy(*[F.col("m." + g).alias(g) for g in group_cols], F.col("m._x").alias(name))
+            .agg(F.array_sort(F.collect_set("k._y")).alias("_ys")))
+    top = F.filter("_ys", lambda y: F.length(y) == F.array_max(F.transform("_ys", F.length)))
+    return hits.select(*group_cols, name, F.array_join(top, " ").alias(out))
 
 
 def apply_aliases(df: DataFrame, aliases: DataFrame, value="value", category=None,
@@ -118,19 +123,35 @@ def _substring_index(directory: DataFrame) -> DataFrame:
                     F.explode(F.array_distinct(F.flatten(F.transform(words, subs)))).alias("s")))
 
 
-def _first_hits(names: DataFrame, index: DataFrame, name: str, holds) -> DataFrame:
-    """(name, r): smallest index rows per name, to be reduced once more by the caller.
-    One-word names meet the smallest row of each key, found before the join, so a short
-    word held by most of the directory is one row; two-word names probe with their
-    longer word and ``holds(r, other)`` tests the other one on the row."""
-    one = (names.filter(F.col("_w2").isNull()).select(name, F.col("_w1").alias("s"))
-           .join(index.groupBy("s").agg(F.min("r").alias("r")), on="s"))
-    first_longer = F.length("_w1") >= F.length("_w2")
-    two = (names.filter(F.col("_w2").isNotNull())
-           .select(name, F.when(first_longer, F.col("_w1")).otherwise(F.col("_w2")).alias("s"),
-                   F.when(first_longer, F.col("_w2")).otherwise(F.col("_w1")).alias("_other"))
-           .join(index, on="s").filter(holds(F.col("r"), F.col("_other"))))
-    return one.select(name, "r").unionByName(two.select(name, "r"))
+def _first_hits(names: DataFrame, index: DataFrame, holds, slot: int = POSTING_SLOT) -> DataFrame:
+    """(w1, w2, r): the smallest index row that holds the words, per distinct pair of words.
+
+    Only the postings (index rows) of words that occur in ``names`` are kept, and
+    counted. One word takes the first row of its posting. Two words probe with the
+    rarer one and ``holds(r, other)`` tests the other on the row; a posting longer than
+    ``slot`` is dealt to slots and the pair sent to each, so no task holds it, and the
+    first row is found again by an aggregation with partial results."""
+    pairs = names.select("_w1", "_w2").filter(F.col("_w1").isNotNull()).distinct()
+    words = (pairs.select(F.explode(F.array("_w1", "_w2")).alias("s")).filter(F.col("s").isNotNull()).distinct())
+    ensure_checkpoint_dir(index.sparkSession)
+    postings = index.join(sized_broadcast(words), on="s").checkpoint(eager=True)
+    stats = postings.groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.min("r").alias("r")).checkpoint(eager=True)
+    one = (pairs.filter(F.col("_w2").isNull()).join(stats, F.col("_w1") == F.col("s")).select("_w1", "_w2", "r"))
+    n1, n2 = (stats.select(F.col("s").alias(w), F.col("n").alias("n" + w)) for w in ("_w1", "_w2"))
+    # the rarer word, of two equally rare ones the longer
+    first_rarer = F.struct(F.col("n_w1"), -F.length("_w1")) <= F.struct(F.col("n_w2"), -F.length("_w2"))
+    two = (pairs.join(sized_broadcast(n1), on="_w1").join(sized_broadcast(n2), on="_w2")
+           .select("_w1", "_w2", F.when(first_rarer, F.col("_w1")).otherwise(F.col("_w2")).alias("s"),
+                   F.when(first_rarer, F.col("_w2")).otherwise(F.col("_w1")).alias("_other"),
+                   F.least("n_w1", "n_w2").alias("_n")))
+    slots = F.ceil(F.col("_n") / slot)
+    sent = two.withColumn("_slot", F.explode(F.sequence(F.lit(0).cast("bigint"), slots - 1))).drop("_n")
+    hot = stats.filter(F.col("n") > slot).select("s", F.ceil(F.col("n") / slot).alias("_slots"))
+    dealt = (postings.join(sized_broadcast(hot), on="s", how="left")
+             .withColumn("_slot", F.coalesce(F.pmod(F.xxhash64("r"), F.col("_slots")), F.lit(0).cast("bigint"))).drop("_slots"))
+    two = (sent.join(dealt, on=["s", "_slot"]).filter(holds(F.col("r"), F.col("_other")))
+           .groupBy("_w1", "_w2").agg(F.min("r").alias("r")))
+    return one.unionByName(two)
 
 
 def resolve_names(names: DataFrame, directory: DataFrame, known_addresses: DataFrame, name="value") -> DataFrame:
@@ -147,20 +168,19 @@ def resolve_names(names: DataFrame, directory: DataFrame, known_addresses: DataF
          .select(name, plain.alias("_plain"),
                  F.lower(F.try_element_at(words, F.lit(1))).alias("_w1"),
                  F.lower(F.try_element_at(words, F.lit(2))).alias("_w2")))
-    t1 = _first_hits(n, _substring_index(directory), name, lambda r, w: F.contains(F.lower(r["user_name"]), w))
+    t1 = _first_hits(n, _substring_index(directory), lambda r, w: F.contains(F.lower(r["user_name"]), w))
     tokens = F.array_distinct(F.transform(name_tokens(F.col("address")), lambda t: F.lower(t)))
     parts = (known_addresses.filter(F.col("address").isNotNull())
              .select(F.struct("address", tokens.alias("tokens")).alias("r"), F.explode(tokens).alias("s")))
-    t2 = _first_hits(n, parts, name, lambda r, w: F.array_contains(r["tokens"], w))
-    # the smallest hit of both tiers by one aggregation on the name
+    t2 = _first_hits(n, parts, lambda r, w: F.array_contains(r["tokens"], w))
+    # the first rows of both tiers per pair of words, by one aggregation
     row, none = "struct<ord:{},sub_id:string,user_name:string>", F.lit(None)
     row = row.format(directory.schema["ord"].dataType.simpleString())
-    r = (n.select(name, "_plain", none.cast(row).alias("_t1"), none.cast("string").alias("_t2_addr"))
-         .unionByName(t1.select(name, none.cast("string").alias("_plain"), F.col("r").cast(row).alias("_t1"),
-                                none.cast("string").alias("_t2_addr")))
-         .unionByName(t2.select(name, none.cast("string").alias("_plain"), none.cast(row).alias("_t1"),
-                                F.col("r.address").alias("_t2_addr")))
-         .groupBy(name).agg(F.max("_plain").alias("_plain"), F.min("_t1").alias("_t1"), F.min("_t2_addr").alias("_t2_addr"))
+    found = (t1.select("_w1", "_w2", F.col("r").cast(row).alias("_t1"), none.cast("string").alias("_t2_addr"))
+             .unionByName(t2.select("_w1", "_w2", none.cast(row).alias("_t1"), F.col("r.address").alias("_t2_addr")))
+             .groupBy("_w1", "_w2").agg(F.min("_t1").alias("_t1"), F.min("_t2_addr").alias("_t2_addr")))
+    found = found.select(F.col("_w1").alias("_f1"), F.col("_w2").alias("_f2"), "_t1", "_t2_addr")
+    r = (n.join(found, (F.col("_w1") == F.col("_f1")) & F.col("_w2").eqNullSafe(F.col("_f2")), "left")
          .select(name, "_plain", F.col("_t1.sub_id").alias("_t1_id"), F.col("_t1.user_name").alias("_t1_name"), "_t2_addr"))
     t2_name = title_case(F.array_join(name_tokens(F.col("_t2_addr")), " "))
     return r.select(

@@ -9,7 +9,7 @@ as small structs; the token array itself is never copied per row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kenning.functions.arrays import label_mails
@@ -132,34 +132,76 @@ def match(docs: DataFrame, gazetteer: DataFrame, id_col="doc_id", text_col="text
                                "value")
 
 
+def _choose_spans(batches):
+    """The sweep of ``longest_spans`` over Arrow batches sorted by (id, start, longest
+    first, priority, category): the rows that stay. Imports what it needs, so it travels
+    to the executors by itself."""
+    import numpy as np
+    import pyarrow as pa
+
+    def clusters(b, last_id=None, reach=None):
+        """Which rows start a cluster (no earlier span of the document reaches over
+        them), and how far the last document's spans reach."""
+        start = b.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+        end = start + b.column(2).to_numpy(zero_copy_only=False)
+        code = b.column(0).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        new_doc = np.concatenate(([reach is None or b.column(0)[0].as_py() != last_id], code[1:] != code[:-1]))
+        far = max(int(end.max()), reach or 0) + 1
+        shift = np.cumsum(new_doc) * far
+        before = -1 if new_doc[0] else reach
+        upto = np.maximum.accumulate(np.maximum(end + shift, before))
+        return start + shift >= np.concatenate(([before], upto[:-1])), int(upto[-1] - shift[-1])
+
+    def chosen(parts):
+        t = pa.Table.from_batches(parts).combine_chunks()
+        b = t.to_batches(max_chunksize=t.num_rows)[0]
+        first = np.flatnonzero(clusters(b)[0])
+        size = np.diff(np.append(first, b.num_rows))
+        keep = np.zeros(b.num_rows, bool)
+        keep[first[size == 1]] = True
+        start, length = b.column(1).to_pylist(), b.column(2).to_pylist()
+        for s, n in zip(first[size > 1].tolist(), size[size > 1].tolist()):
+            taken = set()
+            for i in sorted(range(s, s + n), key=lambda i: -length[i]):
+                at, to = start[i], start[i] + length[i]
+                # kept spans are at least as long, so one that overlaps holds an end of this one
+                if at not in taken and to - 1 not in taken:
+                    taken.update(range(at, to))
+                    keep[i] = True
+        return b.filter(pa.array(keep))
+
+    held, last_id, reach = [], None, None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        new, reach = clusters(b, last_id, reach)
+        last_id = b.column(0)[b.num_rows - 1].as_py()
+        last = int(np.flatnonzero(new)[-1]) if new.any() else None
+        if last is None:
+            held.append(b)
+            continue
+        ready = held + ([b.slice(0, last)] if last else [])
+        held = [b.slice(last)]
+        if ready:
+            yield chosen(ready)
+    if held:
+        yield chosen(held)
+
+
 def longest_spans(matches: DataFrame, id_col="doc_id", complete_in_row: bool = False) -> DataFrame:
     """NER-6: keep the longest matches that do not overlap, the earliest on a
     tie; one span found under two categories keeps the lower ``priority``.
 
-    A document's matches are first cut into clusters where no span reaches over (a
-    running maximum of span ends), so choices in one cluster do not touch another.
-    Per cluster: spans sorted by (-length, start, priority, category), then a
-    left-to-right ``aggregate`` keeps a span if it overlaps none kept so far. The
-    work grows with the document and the square of its clusters, not of the document;
-    the clusters need no shuffle beyond the one by document."""
-    by_start = Window.partitionBy(id_col).orderBy("start")
-    end = F.col("start") + F.col("n_tokens")
-    reach = F.max(end).over(by_start.rowsBetween(Window.unboundedPreceding, -1))
-    m = matches.withColumn("_new", F.coalesce(F.col("start") >= reach, F.lit(True)).cast("bigint"))
-    m = m.withColumn("_cluster", F.sum("_new").over(by_start.rowsBetween(Window.unboundedPreceding, 0)))
-    s = F.struct((-F.col("n_tokens")).alias("neg_len"), "start", "priority", "category", "n_tokens",
-                 "canonical", "value")
-    g = m.groupBy(id_col, "_cluster").agg(F.array_sort(F.collect_list(s)).alias("_s"))
-    empty = F.filter(F.col("_s"), lambda x: F.lit(False))
-
-    def step(acc, x):
-        hit = F.exists(acc, lambda a: (a["start"] < x["start"] + x["n_tokens"]) &
-                       (x["start"] < a["start"] + a["n_tokens"]))
-        return F.when(hit, acc).otherwise(F.concat(acc, F.array(x)))
-
-    kept = F.aggregate(F.col("_s"), empty, step)
-    spans = (g.select(id_col, F.explode(kept).alias("k"))
-             .select(id_col, "k.start", "k.n_tokens", "k.category", "k.priority", "k.canonical", "k.value"))
+    A document's matches are sorted by start and swept once (one shuffle by document).
+    Where no span reaches over, a new cluster begins; a cluster of one span stays as it
+    is, in others spans are taken longest first if both their ends are free. A choice
+    depends on all choices before it, which no built-in function can carry from row to
+    row, so the sweep is a small Arrow function; its work is linear in the matches and
+    their tokens, its memory one Arrow batch or one cluster."""
+    cols = [id_col, "start", "n_tokens", "category", "priority", "canonical", "value"]
+    rows = (matches.select(*cols).repartition(id_col)
+            .sortWithinPartitions(id_col, "start", F.desc("n_tokens"), "priority", "category", "canonical", "value"))
+    spans = rows.mapInArrow(_choose_spans, rows.schema)
     if complete_in_row:
         # ARR-10 within each message over the kept spans of all categories: the
         # prefix/suffix-key equi-join grouped by message (linear in the text,

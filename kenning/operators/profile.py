@@ -72,25 +72,36 @@ def rank_within(df: DataFrame, keys, order, out: str = "rank", partitions: int |
 
 
 def rank_values(profile: DataFrame, user="user_id", category="category", value="value",
-                freq="frequency", skew_safe: bool = True) -> DataFrame:
+                freq="frequency", skew_safe: bool = True, at_most: int | None = None) -> DataFrame:
     """WN-1 + STR-14: rank of each value within (user, category) by count, value
     ascending on ties, and the ``TAG_<category>_<rank>`` key.
 
     ``skew_safe`` (default) ranks with ``rank_within`` so a user with a huge
     number of distinct values (say, every address of a mailing-list mailbox) is
-    spread over many tasks; otherwise a window per (user, category)."""
+    spread over many tasks; otherwise a window per (user, category). ``at_most`` keeps
+    the ranks up to it."""
     order = [F.col(freq).desc(), F.col(value).asc()]
     if skew_safe:
         ranked = rank_within(profile, [user, category], order)
+        if at_most is not None:
+            ranked = ranked.filter(F.col("rank") <= at_most)
     else:
         w = Window.partitionBy(user, category).orderBy(*order)
-        ranked = profile.withColumn("rank", F.row_number().over(w).cast("bigint"))
+        ranked = profile.withColumn("rank", F.row_number().over(w))
+        if at_most is not None:
+            ranked = ranked.filter(F.col("rank") <= at_most)
+        ranked = ranked.withColumn("rank", F.col("rank").cast("bigint"))
     return ranked.withColumn("sk", rank_key(F.col(category), F.col("rank")))
 
 
-def top_k(profile: DataFrame, k: int, **kw) -> DataFrame:
-    """SO-3: the k best-ranked values per (user, category)."""
-    return rank_values(profile, **kw).filter(F.col("rank") <= k)
+def top_k(profile: DataFrame, k: int, user="user_id", category="category", value="value", freq="frequency") -> DataFrame:
+    """SO-3: the k best-ranked values per (user, category).
+
+    The planner puts the limit below the shuffle as well (``WindowGroupLimit``), so a task
+    sends at most k rows of a group, however many it has. Above the k up to which it
+    does that, the exact ranks of ``rank_within`` are cut instead."""
+    limit = int(profile.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    return rank_values(profile, user, category, value, freq, skew_safe=k > limit, at_most=k)
 
 
 def explode_participants(messages: DataFrame, msg="message_id", sender="sender",
