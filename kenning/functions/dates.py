@@ -9,51 +9,121 @@ from pyspark.sql import functions as F
 
 from kenning import config
 
-__all__ = ["DATE_FORMATS", "parse_any_date", "parse_date_strict", "format_out", "shift_after", "days_since", "date_clean", "now_string"]
-
-# Formats tried in order by parse_any_date (DT-1); the original used a
-# free-form parser, this is the listed set that replaces it. Each format comes
-# with a cheap shape test, so a value is only handed to the parsers whose
-# shape it has (a failed parse is far more expensive than a regex test).
-DATE_FORMATS = (
-    (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?[+-]\d{2}:\d{2}$", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"),
-    (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?Z$", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]'Z'"),
-    (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?$", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"),
-    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?$", "yyyy-MM-dd HH:mm:ss[.SSSSSS]"),
-    (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
-    (r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}:\d{2}$", "MM/dd/yyyy HH:mm:ss"),
-    (r"^\d{2}/\d{2}/\d{4}$", "MM/dd/yyyy"),
-    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
-    (r"^\d{1,2} [A-Za-z]{4,9} \d{4}$", "d MMMM yyyy"),
-    (r"^\d{1,2} [A-Za-z]{3} \d{4} \d{2}:\d{2}:\d{2} [+-]\d{4}$", "d MMM yyyy HH:mm:ss xx"),
-    (r"^\d{1,2} [A-Za-z]{3} \d{4} \d{2}:\d{2}:\d{2}$", "d MMM yyyy HH:mm:ss"),
-    (r"^[A-Za-z]{4,9} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
-    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}$", "yyyy-MM-dd HH:mm"),
-    (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?[+-]\d{4}$", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]xx"),
-    (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
-    (r"^\d{4}/\d{2}/\d{2}$", "yyyy/MM/dd"),
-)
-
-WEEKDAY = r"^(Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*,?\s+"
+__all__ = ["parse_any_date", "parse_date_strict", "format_out", "shift_after", "days_since", "date_clean", "now_string"]
+
+# Fixed values of the date grammar. Months are known by their names and every shortening
+# of at least three letters; zones are those of mail headers (minutes ahead of UTC).
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+ZONES = {"z": 0, "ut": 0, "utc": 0, "gmt": 0, "est": -300, "edt": -240, "cst": -360, "cdt": -300, "mst": -420, "mdt": -360,
+         "pst": -480, "pdt": -420, "bst": 60, "cet": 60, "cest": 120}
+# Two-digit years below this one are of this century.
+CENTURY = 69
+_OFFSET = r"[+-]\d{2}(?::?\d{2})?(?!\d)"
+# hour:minute[:second[.fraction]] [am/pm] [zone], or an hour with am/pm
+TIME = (r"(?i)(?<![\d:.-])(\d{1,2})(?::(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?(?![\d:])\s*(?:([ap])\.?m\b\.?)?|\s*([ap])\.?m\b\.?)"
+        r"(?:\s*((?:(?:utc|gmt)\s*)?" + _OFFSET + "|(?:" + "|".join(sorted(ZONES, key=len, reverse=True)) + r")\b))?")
+# words that say nothing about the date: weekdays, "at", the T before a time, ordinal endings
+FILLER = (r"(?i)\b(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?\b\.?|\b(?:at|on|of|the)\b"
+          r"|(?<=\d)(?:st|nd|rd|th)\b|(?<=\d)T(?=\s|$)")
 
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def parse_any_date(c, formats=DATE_FORMATS) -> Column:
-    """First format that parses; null when none does (the tolerant form).
-
-    A weekday in front (mail headers) is dropped and a zone name GMT or UTC at
-    the end read as +0000, before the formats are tried."""
-    v = F.regexp_replace(F.trim(_c(c)), WEEKDAY, "")
-    v = F.regexp_replace(v, r"\s*(GMT|UTC)$", " +0000")
-    return F.coalesce(*[F.when(v.rlike(shape), F.try_to_timestamp(v, F.lit(f))) for shape, f in formats])
-
-
-def parse_date_strict(c, formats=DATE_FORMATS) -> Column:
-    """The strict form: a value that no format reads is an error; null stays null."""
-    parsed = parse_any_date(c, formats)
+def _int(c) -> Column:
+    return c.try_cast("int")
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _clock(v: Column) -> Column:
+    """The fields of the time in ``v`` as texts: hour, minute, second, fraction, half, zone;
+    one empty text without a time."""
+    return F.split(F.regexp_replace(F.regexp_extract(v, TIME, 0), TIME, "$1|$2|$3|$4|$5$6|$7"), r"\|")
+
+
+def _time(part: Column) -> tuple[Column, Column, Column, Column]:
+    """(hour, minute, second, minutes ahead of UTC), midnight UTC without a time; null for
+    what is no time (25:00, 13 pm)."""
+    def field(i):
+        return F.get(part, F.lit(i))
+
+    none = F.size(part) == 1
+    half, hour = F.lower(field(4)), _int(field(0))
+    hour = (F.when(none, 0).when(half == "", F.when(hour < 24, hour))
+            .when(hour.between(1, 12), hour % 12 + F.when(half == "p", 12).otherwise(0)))
+
+    def sixty(i):
+        return F.when(none | (field(i) == ""), 0).otherwise(F.when(_int(field(i)) < 60, _int(field(i))))
+
+    fraction = F.when(none, "").otherwise(F.substring(field(3), 1, 6))
+    second = F.concat_ws(".", sixty(2).cast("string"), F.nullif(fraction, F.lit(""))).try_cast("decimal(8,6)")
+    second = F.when(sixty(2).isNotNull(), second)
+    zone = F.when(none, "").otherwise(F.lower(field(5)))
+    sign = F.when(F.contains(zone, F.lit("-")), -1).otherwise(1)
+    digits = F.regexp_replace(zone, "[^0-9]", "")
+    ahead = sign * (F.coalesce(_int(F.substring(digits, 1, 2)), F.lit(0)) * 60 + F.coalesce(_int(F.substring(digits, 3, 2)), F.lit(0)))
+    names = F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair])
+    return hour, sixty(1), second, F.when(digits == "", F.coalesce(F.try_element_at(names, zone), F.lit(0))).otherwise(ahead)
+
+
+def _date(v: Column, numbers: Column, words: Column) -> tuple[Column, Column, Column]:
+    """(year, month, day) of three parts in any usual order: a month word or number, a
+    day, a year of four or two digits; null unless all three are there and nothing else."""
+    def number(i):
+        return F.get(numbers, F.lit(i))
+
+    word = F.lower(F.get(words, F.lit(0)))
+    month_word = F.coalesce(*[F.when((F.length(word) >= 3) & (F.startswith(F.lit(m), word) | (word == m[:4])), F.lit(i + 1))
+                              for i, m in enumerate(MONTHS)])
+    spelt = (F.size(words) == 1) & (F.size(numbers) == 2)
+    digits = (F.size(words) == 0) & (F.size(numbers) == 3)
+    clean = ~v.rlike(r"[^\p{L}\d\s,./-]")
+    year_first = F.length(number(0)) == 4
+    year = F.when(year_first, number(0)).when(spelt, number(1)).otherwise(number(2))
+    a = F.when(year_first, number(1)).otherwise(number(0))
+    b = F.when(year_first, number(2)).otherwise(number(1))
+    # month before day, unless only the other order is possible
+    swap = (_int(a) > 12) & (_int(b) <= 12)
+    year = F.when(F.length(year) == 4, _int(year)).when(
+        F.length(year) == 2, _int(year) + F.when(_int(year) < CENTURY, 2000).otherwise(1900))
+    month = F.when(spelt, month_word).when(swap, _int(b)).otherwise(_int(a))
+    day = F.when(spelt, _int(a)).when(swap, _int(a)).otherwise(_int(b))
+    return F.when(clean & (spelt | digits), year), month, day
+
+
+def parse_any_date(c) -> Column:
+    """DT-1, the tolerant form: a value is read by a grammar, not by whole formats. A time
+    with its zone and am/pm is taken out wherever it stands; comments in brackets,
+    weekdays and filler words go; what is left must be a year, a month and a day, in
+    numbers or with a month word, whatever separates them. Digits alone are read as
+    ``yyyyMMdd[HHmm[ss]]``. Of two numbers that could both be the month the first is.
+    Null when a part is missing, left over or no real date."""
+    v = F.regexp_replace(F.trim(_c(c)), r"\s*\([^()]*\)$", "")
+    v = F.regexp_replace(v, r"^(\d{4})(\d{2})(\d{2})(?:[T ]?(\d{2})(\d{2})(\d{2})?)?(?=$|[Z+-])", "$1-$2-$3 $4:$5:$6")
+    v = F.regexp_replace(v, r" :?:$|:(?=$|[Z+-])", "")
+
+    def read(p):
+        hour, minute, second, ahead = _time(p["time"])
+        year, month, day = _date(p["rest"], p["numbers"], p["words"])
+        return F.timestamp_add("MINUTE", -ahead, F.try_make_timestamp(year, month, day, hour, minute, second))
+
+    def parts(v):
+        rest = F.regexp_replace(F.regexp_replace(v, TIME, " "), FILLER, " ")
+        return _let(F.struct(_clock(v).alias("time"), rest.alias("rest")), lambda p: _let(F.struct(
+            p["time"].alias("time"), p["rest"].alias("rest"), F.regexp_extract_all(p["rest"], F.lit(r"\d+"), F.lit(0)).alias("numbers"),
+            F.regexp_extract_all(p["rest"], F.lit(r"\p{L}+"), F.lit(0)).alias("words")), read))
+
+    return _let(v, parts)
+
+
+def parse_date_strict(c) -> Column:
+    """The strict form: a value that is no date is an error; null stays null."""
+    parsed = parse_any_date(c)
     return F.when(_c(c).isNotNull() & parsed.isNull(),
                   F.raise_error(F.concat(F.lit("no date format reads: "), _c(c))).cast("timestamp")).otherwise(parsed)
 
@@ -63,9 +133,9 @@ def format_out(ts) -> Column:
     return F.date_format(_c(ts), config.OUT_TS_FORMAT)
 
 
-def date_clean(c, formats=DATE_FORMATS) -> Column:
-    """DT-1: parse any listed format and write the output format."""
-    return format_out(parse_any_date(c, formats))
+def date_clean(c) -> Column:
+    """DT-1: parse any date and write the output format."""
+    return format_out(parse_any_date(c))
 
 
 def shift_after(comment_ts, received_ts) -> Column:

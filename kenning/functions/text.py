@@ -10,7 +10,7 @@ from kenning import config
 __all__ = [
     "WS_CLASS", "TOKEN_PATTERN", "ws_split", "clean_content", "strip_brackets", "lower_clean_body",
     "build_content", "rtrim_list", "name_tokens", "user_tag", "id_type", "slash_paren", "title_case",
-    "extract_mails", "parse_list_literal", "is_iso8601", "rank_key", "append_mentions",
+    "extract_mails", "parse_list_literal", "is_malformed_literal", "is_iso8601", "rank_key", "append_mentions",
     "starts_with_any", "tokenize",
 ]
 
@@ -106,11 +106,48 @@ def extract_mails(c, pattern: str = config.MAIL_PATTERN_WIDE) -> Column:
     return F.array_distinct(F.regexp_extract_all(_c(c), F.lit(pattern), 0))
 
 
+# One element of a Python list literal: a quoted string with escapes, a number, a name.
+_ITEM = r"""(?:'(?:[^'\\\n]|\\.)*+'|"(?:[^"\\\n]|\\.)*+"|[+-]?\d+(?:\.\d*)?(?:[eE][+-]?\d+)?|None|True|False)"""
+_ITEMS = rf"(?:{_ITEM}\s*+(?:,\s*+{_ITEM}\s*+)*+"
+# a list, or a tuple: of one element only with its comma
+LIST_LITERAL = rf"(?s)^\s*+(?:\[\s*+{_ITEMS}(?:,\s*+)?)?\]|\(\s*+\)|\(\s*+{_ITEM}\s*+,\s*+\)|\(\s*+{_ITEM}\s*+,\s*+{_ITEMS}(?:,\s*+)?)\))\s*+$"
+# Escapes of one letter in a quoted string.
+_ESCAPES = {"n": "\n", "t": "\t", "r": "\r", "a": "\a", "b": "\b", "f": "\f", "v": "\v"}
+
+
+def _unescape(piece) -> Column:
+    """One escape sequence, or a stretch without any, as it is meant."""
+    second = F.substring(piece, 2, 1)
+    code = F.conv(F.substring(piece, 3, 8), 16, 10).try_cast("int")
+    out = F.when(second.isin("x", "u", "U") & (F.length(piece) > 2), F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    for letter, meant in _ESCAPES.items():
+        out = out.when(second == letter, F.lit(meant))
+    out = out.when(second == "\n", F.lit("")).when(second.isin("\\", "'", '"'), second).otherwise(piece)
+    return F.when(F.startswith(piece, F.lit("\\")), out).otherwise(piece)
+
+
+def _item_value(item) -> Column:
+    inner = F.substring(item, F.lit(2), F.length(item) - 2)
+    pieces = F.regexp_extract_all(inner, F.lit(r"(?s)[^\\]+|\\x[0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|\\U[0-9a-fA-F]{8}|\\."), F.lit(0))
+    quoted = F.when(F.contains(inner, F.lit("\\")), F.array_join(F.transform(pieces, _unescape), "")).otherwise(inner)
+    return F.when(item.rlike("""^['"]"""), quoted).when(item != "None", item)
+
+
 def parse_list_literal(c) -> Column:
-    """STR-12: a Python list literal of strings (single or double quotes) to array<string>.
+    """STR-12: a Python list or tuple literal of strings to array<string>.
+
+    Read as Python does: single or double quotes, escapes, a comma at the end; ``None`` is
+    a null element, numbers and truth values keep their spelling. A cell that is anything
+    else (text after the bracket, an open quote, names, a lone value) is null; count them
+    with ``relational.malformed_literals``."""
+    v = _c(c)
+    items = F.regexp_extract_all(v, F.lit("(?s)" + _ITEM), F.lit(0))
+    return F.when(v.rlike(LIST_LITERAL), F.transform(items, _item_value))
+
 
-    Malformed cells become null (the caller counts them)."""
-    return F.from_json(_c(c), "array<string>", {"allowSingleQuotes": "true", "mode": "PERMISSIVE"})
+def is_malformed_literal(c) -> Column:
+    """STR-12: a cell that holds something, but no list literal."""
+    return _c(c).isNotNull() & ~_c(c).rlike(LIST_LITERAL)
 
 
 def is_iso8601(c) -> Column:

@@ -70,14 +70,13 @@ def run_interests(spark: SparkSession, a) -> None:
 
 def run_records(spark: SparkSession, a) -> None:
     from kenning.plans import chat, mail, teams
-    msgs = R.read_message_table(spark, a.messages)
     people = _people(spark, a)
     if a.job == "mail":
-        out = mail.mail_conversations(msgs, people)
-    elif a.job == "chat":
-        out = chat.chat_messages(msgs, R.read_companion(spark, a.companion), people)
+        out = mail.mail_conversations(R.read_message_table(spark, a.messages), people)
     else:
-        out = teams.team_conversations(msgs, R.read_companion(spark, a.companion), people, page_size=a.page_size)
+        msgs, companion = R.read_aligned(spark, a.messages, a.companion)
+        out = (chat.chat_messages(msgs, companion, people) if a.job == "chat"
+               else teams.team_conversations(msgs, companion, people, page_size=a.page_size))
     W.write_json(out, a.out, a.max_records)
 
 
@@ -106,7 +105,7 @@ def parser() -> argparse.ArgumentParser:
         r.add_argument("--overlay")
         r.add_argument("--out", required=True)
         r.add_argument("--max-records", dest="max_records", type=int)
-        r.add_argument("--page-size", dest="page_size", type=int)
+        r.add_argument("--page-size", dest="page_size", type=int, default=10_000, help="replies in one record")
     return p
 
 

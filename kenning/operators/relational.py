@@ -3,9 +3,11 @@ AG-10, JN-1, JN-4, FLT-1..5, MAP-1..3)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kenning.functions.text import is_malformed_literal
+
 
 def first_per_group(df: DataFrame, key, order, cols=None, out="first") -> DataFrame:
     """WN-2: the first row of each group by ``order`` (file order stands in as row_seq).
@@ -111,6 +113,11 @@ def null_counts(df: DataFrame, cols) -> DataFrame:
                   *[F.count_if(F.col(c).isNull()).alias("null_" + c) for c in cols])
 
 
+def malformed_literals(df: DataFrame, cols) -> DataFrame:
+    """STR-12: cells that hold something but no list literal, per column, one row."""
+    return df.agg(*[F.count_if(is_malformed_literal(c)).alias("malformed_" + c) for c in cols])
+
+
 def dictionary(df: DataFrame, key, value, order) -> DataFrame:
     """MAP-1: ``dict(zip(keys, values))``: one row per key, the last by ``order`` wins."""
     return df.groupBy(key).agg(F.max_by(F.col(value), F.col(order)).alias(value))
@@ -121,3 +128,24 @@ def overlay(old: DataFrame, new: DataFrame, key, value) -> DataFrame:
     j = old.select(key, F.col(value).alias("_old")).join(new.select(key, F.col(value).alias("_new")), key, "full_outer")
     return j.select(key, F.coalesce("_new", "_old").alias(value),
                     F.when(F.col("_new").isNotNull(), "new").otherwise("old").alias("origin"))
+
+
+def number_rows(df: DataFrame, place: str, out: str) -> DataFrame:
+    """The position (0, 1, ...) of each row over all files of a reader, as ``out``.
+
+    ``place`` is a struct of file, block of the file and a row number that grows by one
+    within a block (``read_csv_renamed(order=...)``). Rows are counted per block; a
+    table with one row per block, which is what a task reads, gives each block the rows
+    before it by a running sum, and a row adds its place in the block. No row moves but
+    for the join with that table, and the row numbers are written first, so every later
+    stage and every re-run sees the same ones."""
+    from kenning.operators.joins import sized_broadcast
+    from kenning.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    block = [F.col(place)["_file"].alias("_file"), F.col(place)["_block"].alias("_block")]
+    rows = df.select("*", *block, F.col(place)["_row"].alias("_row")).drop(place).checkpoint(eager=True)
+    blocks = rows.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    start = blocks.select("_file", "_block", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_add"))
+    return (rows.join(sized_broadcast(start), on=["_file", "_block"])
+            .withColumn(out, F.col("_row") + F.col("_add")).drop("_file", "_block", "_row", "_add"))

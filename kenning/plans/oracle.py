@@ -509,7 +509,12 @@ ORACLE["team_conversations"] = _team_sql()
 _DATE_FORMS_SQL = " ".join(
     f"SELECT '{name}' AS source, o_orderkey AS k1, 0 AS k2, strftime(o_orderdate, '{form}') AS raw, "
     f"strftime(date_trunc('{unit}', o_orderdate), '%Y-%m-%dT%H:%M:%SZ') AS clean FROM orders UNION ALL"
-    for name, form, unit in (("header", "%a, %d %b %Y %H:%M:%S +0000", "second"), ("long", "%-d %B %Y", "day"),
+    for name, form, unit in (("space_offset", "%Y-%m-%d %H:%M:%S+00:00", "second"), ("slashes", "%-m/%-d/%Y", "day"),
+                             ("half_day", "%-m/%-d/%Y %-I:%M %p", "minute"), ("day_first", "%-d %B %Y %H:%M", "minute"),
+                             ("no_comma", "%b %-d %Y", "day"), ("to_the_minute", "%Y-%m-%dT%H:%M", "minute"),
+                             ("dashes", "%d-%b-%Y", "day"), ("digits", "%Y%m%d", "day"), ("c_time", "%a %b %d %H:%M:%S %Y", "second"),
+                             ("comment", "%a, %-d %b %Y %H:%M:%S +0000 (UTC)", "second"), ("dots", "%Y.%m.%d", "day"),
+                             ("header", "%a, %d %b %Y %H:%M:%S +0000", "second"), ("long", "%-d %B %Y", "day"),
                              ("american", "%B %-d, %Y", "day"), ("minutes", "%Y-%m-%d %H:%M", "minute"),
                              ("offset", "%Y-%m-%dT%H:%M:%S+0000", "second"))) + " "
 ORACLE["date_clean"] = (
@@ -517,8 +522,20 @@ ORACLE["date_clean"] = (
     "FROM orders UNION ALL SELECT 'lineitem', l_orderkey, l_linenumber, strftime(l_shipdate, '%d %b %Y') FROM lineitem "
     "UNION ALL SELECT 'priority', o_orderkey, 0, o_orderpriority FROM orders) "
     + _DATE_FORMS_SQL +
+    "SELECT 'zone', o_orderkey, 0, strftime(o_orderdate, '%-d %b %Y %H:%M:%S EST'), "
+    "strftime(date_trunc('second', o_orderdate) + INTERVAL 5 HOUR, '%Y-%m-%dT%H:%M:%SZ') FROM orders UNION ALL "
+    "SELECT 'left_over', o_orderkey, 0, strftime(o_orderdate, '%Y-%m-%d or so'), NULL FROM orders UNION ALL "
     "SELECT source, k1, k2, raw, strftime(try_strptime(raw, ['%Y-%m-%d %H:%M:%S', '%d %b %Y']), '%Y-%m-%dT%H:%M:%SZ') "
     "AS clean FROM raw")
+# the cells are written from these values, so what they must read as is known
+ORACLE["list_literals"] = (
+    "WITH o AS (SELECT o_orderkey, o_orderpriority AS a, 'it''s ' || o_orderstatus AS b FROM orders) "
+    "SELECT o_orderkey, unnest(['double', 'escaped', 'none', 'comma', 'tuple', 'empty', 'numbers', 'junk', 'open', 'names', 'lone', 'blank', "
+    "'null']) AS form, unnest([a || '|' || b, a || '|' || b, '-|' || a, a, a || '|A' || chr(9), '', '1|-2.5', NULL, NULL, NULL, NULL, NULL, "
+    "NULL]) AS items FROM o")
+ORACLE["malformed_literals"] = (
+    "SELECT 0::BIGINT AS malformed_double, 0::BIGINT AS malformed_tuple, count(*) AS malformed_junk, count(*) AS malformed_open, "
+    "count(*) AS malformed_names, count(*) AS malformed_lone, count(*) AS malformed_blank, 0::BIGINT AS malformed_null FROM orders")
 ORACLE["date_shift"] = (
     "WITH f AS (SELECT user_id, min(ts) AS received FROM events GROUP BY 1) "
     "SELECT e.event_id, strftime(e.ts + to_days(CAST(floor((epoch_us(f.received) - epoch_us(e.ts)) / 86400000000.0) "

@@ -18,7 +18,7 @@ from kenning import config
 from kenning.functions.arrays import recipients_merge, without_sender
 from kenning.functions.dates import date_clean, format_out, shift_after
 from kenning.functions.text import (append_mentions, clean_content, extract_mails, is_iso8601, lower_clean_body,
-                                    name_tokens, strip_brackets, title_case, user_tag)
+                                    name_tokens, parse_list_literal, strip_brackets, title_case, user_tag)
 from kenning.operators import directory as dirops
 from kenning.operators import extract as ext
 from kenning.operators import gazetteer as gz
@@ -560,7 +560,10 @@ def q_date_clean(spark, sf):
                                   F.date_format("l_shipdate", "dd MMM yyyy").alias("raw")))
            .unionByName(o.select(F.lit("priority").alias("source"), F.col("o_orderkey").alias("k1"),
                                  F.lit(0).cast("int").alias("k2"), F.col("o_orderpriority").alias("raw"))))
-    forms = {"header": "EEE, dd MMM yyyy HH:mm:ss '+0000'", "long": "d MMMM yyyy", "american": "MMMM d, yyyy", "minutes": "yyyy-MM-dd HH:mm",
+    forms = {"space_offset": "yyyy-MM-dd HH:mm:ss'+00:00'", "slashes": "M/d/yyyy", "half_day": "M/d/yyyy h:mm a", "day_first": "d MMMM yyyy HH:mm",
+             "no_comma": "MMM d yyyy", "to_the_minute": "yyyy-MM-dd'T'HH:mm", "dashes": "dd-MMM-yyyy", "digits": "yyyyMMdd",
+             "c_time": "EEE MMM dd HH:mm:ss yyyy", "comment": "EEE, d MMM yyyy HH:mm:ss '+0000 (UTC)'", "zone": "d MMM yyyy HH:mm:ss 'EST'",
+             "dots": "yyyy.MM.dd", "left_over": "yyyy-MM-dd 'or so'", "header": "EEE, dd MMM yyyy HH:mm:ss '+0000'", "long": "d MMMM yyyy", "american": "MMMM d, yyyy", "minutes": "yyyy-MM-dd HH:mm",
              "offset": "yyyy-MM-dd'T'HH:mm:ss'+0000'"}
     for name, form in forms.items():
         raw = raw.unionByName(o.select(F.lit(name).alias("source"), F.col("o_orderkey").alias("k1"), F.lit(0).cast("int").alias("k2"),
@@ -568,6 +571,38 @@ def q_date_clean(spark, sf):
     return raw.withColumn("clean", date_clean(F.col("raw")))
 
 
+def _list_cells(spark, sf):
+    """Cells of several forms written from two values of an order: well-formed lists and
+    tuples, and what is none."""
+    a, b = F.col("o_orderpriority"), F.concat(F.lit("it's "), F.col("o_orderstatus"))
+    forms = {"double": F.concat(F.lit("['"), a, F.lit("', \""), b, F.lit("\"]")),
+             "escaped": F.concat(F.lit("['"), a, F.lit("', '"), F.replace(b, F.lit("'"), F.lit("\\'")), F.lit("']")),
+             "none": F.concat(F.lit("[None, '"), a, F.lit("']")),
+             "comma": F.concat(F.lit("[ '"), a, F.lit("' , ]")),
+             "tuple": F.concat(F.lit("('"), a, F.lit("', '\\x41\\t')")),
+             "empty": F.lit("[]"), "numbers": F.lit("(1, -2.5,)"),
+             "junk": F.concat(F.lit("['"), a, F.lit("'] junk")), "open": F.concat(F.lit("['"), a),
+             "names": F.concat(F.lit("["), a, F.lit("]")), "lone": F.concat(F.lit("('"), a, F.lit("')")), "blank": F.lit("")}
+    cells = F.array(*[F.struct(F.lit(n).alias("form"), c.alias("cell")) for n, c in forms.items()],
+                    F.struct(F.lit("null").alias("form"), F.lit(None).cast("string").alias("cell")))
+    return table(spark, sf, "orders").select("o_orderkey", F.explode(cells).alias("c")).select("o_orderkey", "c.form", "c.cell")
+
+
+@query("list_literals")
+def q_list_literals(spark, sf):
+    """STR-12 on every form of cell."""
+    items = F.transform(parse_list_literal("cell"), lambda x: F.coalesce(x, F.lit("-")))
+    return _list_cells(spark, sf).select("o_orderkey", "form", F.array_join(items, "|").alias("items"))
+
+
+@query("malformed_literals")
+def q_malformed_literals(spark, sf):
+    """STR-12: how many cells of each form are no list."""
+    cells = _list_cells(spark, sf)
+    wide = cells.groupBy("o_orderkey").pivot("form", ["double", "tuple", "junk", "open", "names", "lone", "blank", "null"]).agg(F.first("cell"))
+    return rel.malformed_literals(wide, [c for c in wide.columns if c != "o_orderkey"])
+
+
 @query("date_shift")
 def q_date_shift(spark, sf):
     """DT-2 on events: each event (the comment) is moved to fall within a day

@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kenning import schemas
+from kenning.operators.relational import number_rows
 
-__all__ = ["read_csv_renamed", "read_message_table", "read_companion", "align_rows", "read_user_ids",
+__all__ = ["read_csv_renamed", "read_message_table", "read_companion", "read_aligned", "align_rows", "read_user_ids",
            "read_json_dict", "read_conversations_a", "read_conversations_b", "parse_conversations_a",
            "parse_conversations_b", "read_directory", "read_profile_state",
            "nested_profile_to_rows", "people_directory"]
@@ -33,19 +34,45 @@ def read_csv_renamed(spark: SparkSession, path: str, columns: dict, longs=(), or
     return out
 
 
+def _numbered(spark: SparkSession, path: str, columns: dict, longs) -> tuple[DataFrame, bool]:
+    """The table with its own ``row_seq``, or with the rows' positions over all files;
+    and which of the two it is."""
+    df = read_csv_renamed(spark, path, columns, longs=longs, order="_place")
+    if "row_seq" in df.columns:
+        return df.drop("_place"), False
+    return number_rows(df, "_place", "row_seq"), True
+
+
 def read_message_table(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-1: the F4 message table; ``row_seq`` carries the file order."""
-    return read_csv_renamed(spark, path, schemas.MESSAGE_TABLE_COLUMNS, longs=("row_seq", "conversationId"))
+    """SRC-1: the F4 message table; ``row_seq`` carries the file order (the column of
+    that name, else the position of the row over all files)."""
+    return _numbered(spark, path, schemas.MESSAGE_TABLE_COLUMNS, ("row_seq", "conversationId"))[0]
 
 
 def read_companion(spark: SparkSession, path: str) -> DataFrame:
-    """F5 companion table (row-aligned with F4 through ``row_seq``)."""
-    return read_csv_renamed(spark, path, schemas.COMPANION_COLUMNS, longs=("row_seq",))
+    """F5 companion table (row-aligned with F4 through ``row_seq``, see there)."""
+    return _numbered(spark, path, schemas.COMPANION_COLUMNS, ("row_seq",))[0]
+
+
+def read_aligned(spark: SparkSession, messages: str, companion: str) -> tuple[DataFrame, DataFrame]:
+    """SRC-2: the message table and its companion with row numbers that agree. Where
+    either has none, both are numbered by position, and tables of different lengths are
+    an error: a shift by one row would put every date on the wrong message."""
+    (m, by_place), (c, c_by_place) = (_numbered(spark, p, cols, longs) for p, cols, longs in (
+        (messages, schemas.MESSAGE_TABLE_COLUMNS, ("row_seq", "conversationId")), (companion, schemas.COMPANION_COLUMNS, ("row_seq",))))
+    if not (by_place or c_by_place):
+        return m, c
+    if by_place != c_by_place:
+        raise ValueError("only one of the two tables has row numbers")
+    n, n_c = m.count(), c.count()
+    if n != n_c:
+        raise ValueError(f"the companion has {n_c} rows, the message table {n}")
+    return m, c
 
 
 def align_rows(main: DataFrame, companion: DataFrame, key="row_seq") -> DataFrame:
-    """SRC-2: take the companion's columns for the same row: an equi-join on the
-    row number both files carry (no positional zip across partitions)."""
+    """SRC-2: take the companion's columns for the same row: an equi-join on the row
+    number both have (see ``read_aligned``)."""
     return main.join(companion, on=key, how="left")
 
 
