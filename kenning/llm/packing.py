@@ -1,29 +1,34 @@
 """Order-preserving packing of token streams into windows of at most 1024.
 
 Texts become ids (byte-level BPE, the file is a parameter) followed by id 0. The
-documents of a block (one Arrow batch, in table order) form a stream; dynamic
-programming chooses where to cut it. Candidate cuts are document ends, sentence
-ends and, inside long sentences, every ``FORCED``-th token; a window costs its
-padding, a cut costs nothing at a document end, little at a sentence end and more
-inside a sentence (truncation). With p the prefix length, the cost of a window
-from j to i is dp[j] + width - (p[i] - p[j]), so the best j is the minimum of
-dp[j] + p[j] over a sliding range: a monotone queue, linear in the cuts. Windows
-whose length is a power of two carry no padding; a window that would need much
-padding (the end of a block) is split into such lengths when that is cheaper.
-
-Rows stay in their input split and order: no shuffle; a block's windows are final
-when the block ends, so memory is bounded by a batch. ``sequence_id`` is the
-split's number times 2^33 plus a running number, the same in any re-run of a task.
+documents of a block (consecutive documents of about ``BLOCK_TOKENS`` ids, in table
+order) form a stream; dynamic programming chooses where to cut it. Every position is a
+candidate: a cut costs nothing at a document end, ``SENTENCE_CUT`` at a sentence end and
+``FORCED_CUT`` inside a sentence (truncation); a window costs its padding to the width,
+or nothing if its length is a power of two. ``window_costs`` finds the least total.
+
+With c the cost of a cut, the cheapest way to a cut at i is
+c[i] + min(min over j of dp[j] + width - (i - j), min over k of dp[i - 2^k]).
+The first minimum is the front of a monotone queue over dp[j] + j. A window that would
+need more padding than cuts into powers of two would cost is never best, so that queue
+holds a range of some 240 positions that lie at least ``width - 240`` back; half a
+window of positions is therefore settled at once, their queue fronts by running minima
+from both ends. The small powers reach back into the same half and are relaxed until
+nothing changes. The work is linear in the ids, and the result the true minimum.
+
+Rows stay in their input split and order: no shuffle. Memory is some 40 bytes an id of
+a block; a block ends with the document that fills it, so a very long text is a block
+of its own. ``sequence_id`` is the split's number times 2^33 plus a running number, the
+same in any re-run of a task.
 
 Defined results: a null or empty text is the single id 0; repeated rows are each
-packed; null ids are carried; an empty table gives no pieces; other columns are
-ignored.
+packed; null ids are carried; of equally cheap cuts the one that leaves the longest last
+window is taken; an empty table gives no pieces; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import json
-from collections import deque
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -32,7 +37,7 @@ from pyspark.sql import functions as F
 WIDTH = 1024
 SENTENCE_CUT = 2
 FORCED_CUT = 24
-FORCED = 48
+BLOCK_TOKENS = 1 << 19
 
 
 class ByteTokenizer:
@@ -76,63 +81,77 @@ def padding(length: int, width: int = WIDTH) -> int:
     return 0 if length & (length - 1) == 0 else width - length
 
 
-def choose_cuts(cuts: list[int], costs: list[int], width: int = WIDTH) -> list[int]:
-    """Ends of the windows of a stream. ``cuts``: ascending candidate ends, the last
-    one the end of the stream, no gap over ``width``; ``costs``: per candidate."""
-    p, cost = [0, *cuts], [0, *costs]
-    n = len(p)
-    dp, back = [0] * n, [0] * n
-    queue: deque = deque([(0, 0)])  # (dp[j] + p[j], j), ascending in both
-    pop, push, left = queue.pop, queue.append, queue.popleft
-    for i in range(1, n):
-        at = p[i]
-        low = at - width
-        while p[queue[0][1]] < low:
-            left()
-        v, j = queue[0]
-        d = v - at + width + cost[i]
-        dp[i], back[i] = d, j
-        v = d + at
-        while queue and queue[-1][0] >= v:
-            pop()
-        push((v, i))
-    out, i = [], n - 1
-    while i:
-        out.append(p[i])
-        i = back[i]
-    return out[::-1]
+def cut_costs(lengths: np.ndarray, is_end: np.ndarray) -> np.ndarray:
+    """Per position of the stream (0 to its length) what a cut there costs; ``is_end``
+    marks the ids after which a sentence ends."""
+    cost = np.full(int(lengths.sum()) + 1, FORCED_CUT, np.int64)
+    cost[np.flatnonzero(is_end) + 1] = SENTENCE_CUT
+    cost[np.cumsum(lengths)] = 0
+    return cost
+
+
+def _shortest_padded(width: int) -> int:
+    """No window shorter than this is best padded: powers of two cost less."""
+    return max(1, width - FORCED_CUT * width.bit_length())
+
+
+def _running_min(a: np.ndarray, size: int) -> np.ndarray:
+    """The minimum of each ``size`` neighbours: the front of a monotone queue at every
+    step, from minima running forwards and backwards between every size-th place."""
+    n = len(a) - size + 1
+    whole = np.append(a, np.full(-len(a) % size, a.max(initial=0))).reshape(-1, size)
+    ahead = np.minimum.accumulate(whole, axis=1).ravel()
+    behind = np.minimum.accumulate(whole[:, ::-1], axis=1)[:, ::-1].ravel()
+    return np.minimum(behind[:n], ahead[size - 1:size - 1 + n])
+
+
+def window_costs(cost: np.ndarray, width: int = WIDTH) -> np.ndarray:
+    """The least cost of cutting the stream up to each position that ends in a cut there."""
+    n, least = len(cost), _shortest_padded(width)
+    step = max(1, min(width // 2, least))
+    powers = [1 << k for k in range(width.bit_length()) if 1 << k <= width]
+    far = np.iinfo(np.int64).max // 4
+    dp = np.full(width + n, far)  # position i is at width + i: nothing lies before the stream
+    dp[width] = 0
+    place = np.arange(len(dp))
+    for s in range(1, n, step):
+        e = min(s + step, n)
+        at, c = place[width + s:width + e], cost[s:e]
+        back = slice(s, width + e - least)  # windows of least to width ids
+        best = _running_min(dp[back] + place[back], width - least + 1) + width - at
+        for p in powers:
+            if p >= e - s:
+                np.minimum(best, dp[at - p], out=best)
+        now = dp[width + s:width + e]
+        now[:] = np.minimum(best + c, far)
+        near = [p for p in reversed(powers) if p < e - s]
+        while near:
+            before = now.copy()
+            for p in near:
+                np.minimum(now, dp[width + s - p:width + e - p] + c, out=now)
+            if (before == now).all():
+                break
+    return dp[width:]
 
 
 def windows(lengths: np.ndarray, is_end: np.ndarray, width: int = WIDTH) -> list[int]:
-    """Window ends for documents of the given token counts; ``is_end`` marks the
-    tokens of the stream after which a sentence ends."""
-    total = int(lengths.sum())
-    if total == 0:
+    """Window ends for documents of the given token counts."""
+    if not lengths.sum():
         return []
-    cost = np.full(total + 1, -1, np.int32)
-    cost[np.flatnonzero(is_end) + 1] = SENTENCE_CUT
-    cost[np.cumsum(lengths)] = 0
-    cost[0] = 0
-    at = np.flatnonzero(cost >= 0)
-    gap = np.diff(at)
-    step = min(FORCED, width)
-    for k in np.flatnonzero(gap > step).tolist():
-        cost[at[k] + step:at[k + 1]:step] = FORCED_CUT
-    at = np.flatnonzero(cost >= 0)[1:]
-    ends = choose_cuts(at.tolist(), cost[at].tolist(), width)
-    out, start = [], 0
-    for end in ends:
-        length = end - start
-        # powers of two need no padding: use them where that beats padding
-        if padding(length, width) > FORCED_CUT * (length.bit_count() - 1):
-            for bit in range(length.bit_length() - 1, -1, -1):
-                if length >> bit & 1:
-                    start += 1 << bit
-                    out.append(start)
-        else:
-            out.append(end)
-        start = end
-    return out
+    cost = cut_costs(lengths, is_end)
+    dp = window_costs(cost, width)
+    least = _shortest_padded(width)
+    powers = [1 << k for k in range(width.bit_length() - 1, -1, -1)]
+    out, i = [], len(cost) - 1
+    while i:
+        out.append(i)
+        want = dp[i] - cost[i]
+        full = [p for p in powers if p <= min(i, width) and dp[i - p] == want]
+        low = max(0, i - width)
+        j = np.arange(low, max(low, i - least + 1))
+        padded = j[dp[j] + width - i + j == want]
+        i = min([i - p for p in full[:1]] + padded[:1].tolist())
+    return out[::-1]
 
 
 def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
@@ -150,11 +169,10 @@ def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str =
         tok = ByteTokenizer(tokenizer)
         sequence = TaskContext.get().partitionId() << 33
         names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
-        for b in batches:
-            docs = [tok.ids(t or "") for t in b.column(1).to_pylist()]
+        def packed(held):
+            nonlocal sequence
+            ids, docs = pa.chunked_array([i for i, _ in held]).combine_chunks(), [d for _, ds in held for d in ds]
             lengths = np.array([len(d) for d in docs], np.int64)
-            if not len(docs):
-                continue
             stream = np.concatenate(docs)
             ends = windows(lengths, tok.ends[stream], width)
             doc_end = np.cumsum(lengths)
@@ -165,13 +183,30 @@ def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str =
             win_start = np.concatenate(([0], ends[:-1]))[win]
             raw = stream.astype("<u4")
             pieces = [raw[s:e] for s, e in zip(begin.tolist(), edges.tolist())]
-            cols = [b.column(0).take(pa.array(doc)), pa.array(begin - (doc_end - lengths)[doc]), pa.array(edges - begin),
+            cols = [ids.take(pa.array(doc)), pa.array(begin - (doc_end - lengths)[doc]), pa.array(edges - begin),
                     pa.array([zlib.crc32(x.tobytes()) for x in pieces], pa.int64()), pa.array(lengths[doc]),
                     pa.array(sequence + win), pa.array(begin - win_start)]
             if with_ids:
                 cols.append(pa.array([x.astype(np.int32) for x in pieces], pa.list_(pa.int32())))
             sequence += len(ends)
-            yield pa.RecordBatch.from_arrays(cols, names)
+            return pa.RecordBatch.from_arrays(cols, names)
+
+        held, size = [], 0  # (ids, tokens) of consecutive documents
+        for b in batches:
+            texts, at = b.column(1).to_pylist(), 0
+            while at < len(texts):
+                to, docs = at, []
+                while to < len(texts) and size < BLOCK_TOKENS:
+                    docs.append(tok.ids(texts[to] or ""))
+                    size += len(docs[-1])
+                    to += 1
+                held.append((b.column(0).slice(at, to - at), docs))
+                at = to
+                if size >= BLOCK_TOKENS:
+                    yield packed(held)
+                    held, size = [], 0
+        if held:
+            yield packed(held)
 
     schema = (f"id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
               + ", ids array<int>" * with_ids)

@@ -84,20 +84,50 @@ def test_packing_round_trip(docs):
     assert sum(map(packing.padding, lengths)) <= 0.03 * sum(lengths) + 64
 
 
-@pytest.mark.parametrize("seed", range(5))
-def test_cuts_are_optimal(seed):
+@pytest.mark.parametrize("seed", range(40))
+def test_cuts_are_optimal(seed, monkeypatch):
+    """The padding and cut costs of the windows are the least of all ways to cut."""
     rng = np.random.default_rng(seed)
-    cuts = np.cumsum(rng.integers(1, 12, 60)).tolist()
-    costs = rng.integers(0, 9, 60).tolist()
-    costs[-1] = 0
-    width = 20
-    best = {0: 0}
-    for c, k in zip(cuts, costs):
-        best[c] = min(best[s] + width - (c - s) for s in best if 0 < c - s <= width) + k
-    got = packing.choose_cuts(cuts, costs, width)
-    assert got[-1] == cuts[-1]
-    cost = dict(zip(cuts, costs))
-    assert sum(width - (e - s) + cost[e] for s, e in zip([0, *got], got)) == best[cuts[-1]]
+    width = int(rng.choice([1, 4, 8, 16, 20, 64, 100]))
+    monkeypatch.setattr(packing, "FORCED_CUT", int(rng.choice([1, 3, 24])))
+    lengths = rng.integers(1, 40, rng.integers(1, 12))
+    is_end = rng.random(lengths.sum()) < rng.choice([0, 0.05, 0.3])
+    cost = packing.cut_costs(lengths, is_end).tolist()
+    best = [0]
+    for i in range(1, len(cost)):
+        best.append(cost[i] + min(best[i - n] + packing.padding(n, width) for n in range(1, min(width, i) + 1)))
+    assert packing.window_costs(np.array(cost), width).tolist() == best
+    ends = packing.windows(lengths, is_end, width)
+    assert sum(packing.padding(e - s, width) + cost[e] for s, e in zip([0, *ends], ends)) == best[-1]
+
+
+@pytest.mark.parametrize("tokens, sizes", [(1536, [1024, 512]), (2048, [1024, 1024]), (1024, [1024]), (3 * 1024 + 256, [1024] * 3 + [256])])
+def test_one_sentence_without_padding(tokens, sizes):
+    ends = packing.windows(np.array([tokens]), np.zeros(tokens, bool))
+    assert sorted(np.diff([0, *ends]).tolist(), reverse=True) == sizes
+
+
+def test_very_long_text_and_small_blocks(lspark, monkeypatch):
+    """A text of 120,000 ids; blocks that end in the middle of a batch."""
+    rows = [(i, f"word{i} and some more. " * (i % 7)) for i in range(300)] + [(999, "pad " * 120_000)]
+    df = lspark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    for block in (packing.BLOCK_TOKENS, 3000):
+        monkeypatch.setattr(packing, "BLOCK_TOKENS", block)
+        got = packing.pack(df, tokenizer_path("byte_bpe_50k.json")).collect()
+        held = {}
+        for r in got:
+            held.setdefault(r.doc_id, []).append((r.start, r.length, r.doc_tokens))
+        assert set(held) == {i for i, _ in rows}
+        for parts in held.values():
+            at = 0
+            for start, length, total in sorted(parts):
+                assert start == at and total == parts[0][2]
+                at += length
+            assert at == parts[0][2]
+        sizes = {}
+        for r in got:
+            sizes[r.sequence_id] = sizes.get(r.sequence_id, 0) + r.length
+        assert max(sizes.values()) <= 1024 and sum(map(packing.padding, sizes.values())) <= 0.01 * sum(sizes.values()) + 200
 
 
 def test_windows_cover_everything():
@@ -107,23 +137,6 @@ def test_windows_cover_everything():
     assert packing.windows(np.zeros(0, np.int64), np.zeros(0, bool)) == []
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_every_sentence_end_is_a_candidate(seed, monkeypatch):
-    """The cuts of a text of short sentences are the minimum over all their ends."""
-    rng = np.random.default_rng(seed)
-    sizes = rng.integers(2, 9, 1200)
-    is_end = np.zeros(sizes.sum(), bool)
-    is_end[np.cumsum(sizes) - 1] = True
-    cost = {int(e): packing.SENTENCE_CUT for e in np.cumsum(sizes)} | {700: 0, len(is_end): 0}
-    least = {0: 0}
-    for e in sorted(cost):
-        least[e] = min(least[j] + 1024 - (e - j) + cost[e] for j in least if 0 < e - j <= 1024)
-    chosen, choose = [], packing.choose_cuts  # before windows are split into powers of two
-    monkeypatch.setattr(packing, "choose_cuts", lambda *a: chosen.extend(choose(*a)) or chosen)
-    packing.windows(np.array([700, len(is_end) - 700]), is_end)
-    assert sum(1024 - (e - s) + cost[e] for s, e in zip([0, *chosen], chosen)) == least[len(is_end)]
-
-
 def test_second_sentence_end_of_a_stretch():
     """Only a cut at 1,020 makes two windows of 2,044 tokens."""
     is_end = np.zeros(2044, bool)
