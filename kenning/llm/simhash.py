@@ -4,16 +4,21 @@ Fingerprints are made in one pass over the texts (Arrow batches, vectorised bit
 counts). Rows with equal fingerprints form a class; everything after that works
 on distinct fingerprints, so groups of copies cost one row.
 
-Each distinct fingerprint carries its Hamming distances to ``PIVOTS`` reference
-fingerprints, packed eight to a bigint. By the triangle inequality two
-fingerprints within k bits differ by at most k in every coordinate of that
-table: pairs with a larger difference in any coordinate are discarded, the
-survivors verified by XOR and bit count. Pairs meet by equi-join: with at most
-two differing bits, two of the four 16-bit blocks are equal, so each fingerprint
-is filed under its six pairs of blocks (32 key bits). All three conditions are
-inside the join, so only true links leave it, and a fingerprint has at most
-2,080 neighbours within two bits: links grow linearly with distinct
-fingerprints however large a group of near copies is.
+Each distinct fingerprint has a row in a table of its Hamming distances to reference
+fingerprints: the empty one, sixteen that set four neighbouring bits each, and
+``PIVOTS`` spread over the cube. Flipping a bit changes a distance by one, so two
+fingerprints within k bits differ by at most k in every coordinate of the table.
+
+Candidates come from the table too. The distances to the empty reference and to one of
+four bits tell how many of those bits are set, d(x, 0) + 4 - d(x, M) = 2 |x & M|, and at
+most k of these sixteen counts change within k bits. They are dealt to six groups, so
+6 - k groups are equal as a whole: a fingerprint is filed under each choice of that many
+groups (15 keys for two bits, some 22 bits of the counts each), and pairs meet by an
+equi-join on a key. Pairs that differ by more than k in any coordinate are discarded,
+the survivors verified by XOR and bit count; all three are conditions of the join, so
+only true links leave it. A fingerprint has at most 2,080 neighbours within two bits:
+links grow linearly with distinct fingerprints however large a group of near copies is.
+Distinct fingerprints that share a key do meet; adaptive execution splits such a key.
 
 Defined results: null, empty and blank texts have fingerprint zero and link like
 any other; a null id sorts after all others (a component of null ids only has a
@@ -33,8 +38,9 @@ from kenning.llm.common import scratch, signed, text_bytes, without
 from kenning.llm.components import connected_components
 
 SEED = 42
-BLOCKS = 4
 MAX_BITS = 2
+# The sixteen references of four bits in groups, by the number of their bits.
+GROUPS = ((0, 1, 2), (3, 4, 5), (6, 7, 8), (9, 10, 11), (12, 13), (14, 15))
 # Shingles hashed at a time: bounds the memory of a very long text.
 CHUNK = 1 << 16
 PIVOTS = 16
@@ -83,15 +89,19 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, th bigint, fp bigint")
 
 
-def _block(fp: Column, i: int) -> Column:
-    return F.shiftrightunsigned(fp, 16 * i).bitwiseAND(F.lit(0xFFFF).cast("bigint"))
+def bit_counts(fp: Column) -> Column:
+    """Set bits of each four bits of ``fp``, as sixteen fields of four bits: half the
+    difference of the distances to the empty reference and to each one of four bits."""
+    ones, twos = (F.lit(m).cast("bigint") for m in (0x5555555555555555, 0x3333333333333333))
+    low, high = fp.bitwiseAND(ones), F.shiftrightunsigned(fp, 1).bitwiseAND(ones)
+    # two bits added by logic, so that no sum reaches the sign
+    pair = low.bitwiseXOR(high).bitwiseOR(F.shiftleft(low.bitwiseAND(high), 1))
+    return pair.bitwiseAND(twos) + F.shiftrightunsigned(pair, 2).bitwiseAND(twos)
 
 
-def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """Pairs (a, b), a < b, of distinct fingerprints (column ``fp``) that differ in at
-    most ``max_bits`` bits (0 to 2: what four blocks can guarantee)."""
-    if not 0 <= max_bits < BLOCKS - 1:
-        raise ValueError("max_bits must be 0, 1 or 2")
+def distance_table(fps: DataFrame) -> DataFrame:
+    """(fp, counts, p0, p1): the coordinates of each fingerprint, the distances to the
+    ``PIVOTS`` references packed eight to a bigint."""
     fp = F.col("fp")
     tables = []
     refs = [signed(p) for p in pivot_fingerprints()]
@@ -101,17 +111,39 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             d = F.bit_count(fp.bitwiseXOR(F.lit(r).cast("bigint"))).cast("bigint")
             packed = packed.bitwiseOR(F.shiftleft(d, 8 * j))
         tables.append(packed.alias(f"p{at // 8}"))
+    return fps.select("fp", bit_counts(fp).alias("counts"), *tables)
+
+
+def candidates(table: DataFrame, max_bits: int = MAX_BITS) -> tuple[DataFrame, Column, Column]:
+    """Pairs (sides a and b) that share a key; the condition that no coordinate of the
+    table differs by more than ``max_bits``; the condition that the pair is a link."""
+    if not 0 <= max_bits < len(GROUPS):
+        raise ValueError(f"max_bits must be from 0 to {len(GROUPS) - 1}")
     keys = []
-    for c, (i, j) in enumerate(combinations(range(BLOCKS), 2)):
-        keys.append(F.shiftleft(F.lit(c).cast("bigint"), 32).bitwiseOR(F.shiftleft(_block(fp, i), 16)).bitwiseOR(_block(fp, j)))
-    filed = fps.select("fp", *tables).select("fp", *[f"p{t}" for t in range(len(tables))], F.explode(F.array(*keys)).alias("key"))
+    for n, chosen in enumerate(combinations(GROUPS, len(GROUPS) - max_bits)):
+        mask = sum(15 << 4 * i for g in chosen for i in g)
+        keys.append(F.struct(F.lit(n).alias("choice"), F.col("counts").bitwiseAND(F.lit(signed(mask)).cast("bigint")).alias("equal")))
+    filed = table.select("*", F.explode(F.array(*keys)).alias("key")).select(*table.columns, "key.choice", "key.equal")
     a, b = filed.alias("a"), filed.alias("b")
-    cond = (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp"))
+    met = a.join(b, (F.col("a.choice") == F.col("b.choice")) & (F.col("a.equal") == F.col("b.equal")) & (F.col("a.fp") < F.col("b.fp")))
+
+    def differ(name, shift, mask):
+        at = [F.shiftrightunsigned(F.col(f"{side}.{name}"), shift).bitwiseAND(F.lit(mask).cast("bigint")) for side in "ab"]
+        return F.abs(at[0] - at[1])
+
+    near = F.lit(True)
     for k in range(PIVOTS):
-        dist = [F.shiftrightunsigned(F.col(f"{s}.p{k // 8}"), 8 * (k % 8)).bitwiseAND(F.lit(127).cast("bigint")) for s in "ab"]
-        cond = cond & (F.abs(dist[0] - dist[1]) <= max_bits)
-    cond = cond & (F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= max_bits)
-    return a.join(b, cond).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
+        near = near & (differ(f"p{k // 8}", 8 * (k % 8), 127) <= max_bits)
+    for i in range(16):
+        near = near & (differ("counts", 4 * i, 15) <= max_bits)
+    return met, near, F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= max_bits
+
+
+def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """Pairs (a, b), a < b, of distinct fingerprints (column ``fp``) that differ in at
+    most ``max_bits`` bits; a pair may come more than once."""
+    met, near, link = candidates(distance_table(fps), max_bits)
+    return met.where(near).where(link).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
 
 
 def _components(fps: DataFrame, max_bits: int) -> DataFrame:
