@@ -1,7 +1,10 @@
 """Embedding groups against all pairs in double precision; recall at the threshold."""
 
 import numpy as np
-from kenning.llm.embedding import block_edges, cells, embedding_groups, links, probe_sets
+import pytest
+from pyspark.sql import functions as F
+
+from kenning.llm.embedding import Forest, block_edges, candidates, embedding_groups, links
 
 
 def brute(rows, threshold=0.9):
@@ -57,25 +60,41 @@ def test_given_table(lspark):
     assert order(map(tuple, embedding_groups(df).collect())) == order(brute(rows))
 
 
-def test_recall_at_the_threshold():
-    """Pairs of exactly cosine 0.9 (no real pair is harder): at least 99.5 of 100 meet."""
-    rng = np.random.default_rng(1)
-    x = rng.standard_normal((4000, 64))
+@pytest.mark.parametrize("dim", [2, 7, 64, 128, 384, 768])
+def test_candidates_hold_every_link(dim):
+    """Pairs of exactly the threshold are candidates in every dimension, and blocks leave
+    few others: shares add up to the whole."""
+    rng = np.random.default_rng(dim)
+    x, z = rng.standard_normal((2, 1500, dim))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    z = rng.standard_normal((4000, 64))
     z -= (z * x).sum(1, keepdims=True) * x
-    z /= np.linalg.norm(z, axis=1, keepdims=True)
-    y = 0.9 * x + np.sqrt(1 - 0.81) * z
-    (hx, lx), (hy, ly) = cells(x), cells(y)
-    n = hx.shape[1]
-    met = (lx.reshape(4000, n, -1) == hy[:, :, None]).any(2) | (ly.reshape(4000, n, -1) == hx[:, :, None]).any(2)
-    assert met.any(1).mean() > 0.995
-
-
-def test_probe_sets_are_distinct_and_start_at_home():
-    sets = probe_sets(21, 64)
-    assert sets[0] == [] and len({tuple(s) for s in sets}) == 64
-    assert block_edges(64) == [(0, 21), (21, 43), (43, 64)] and block_edges(2) == [(0, 1), (1, 2)]
+    y = 0.9 * x + np.sqrt(1 - 0.81) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    found = [set(zip(a.tolist(), b.tolist())) for a, b in candidates(x, y, 0.9, False)]
+    assert all((i, i) in set().union(*found) for i in range(len(x)))
+    assert sum(e - s for s, e in block_edges(dim)) == dim
+    if dim >= 64:
+        assert sum(map(len, found)) < 1500 + 0.001 * 1500 ** 2
+
+
+def test_forest_connects_what_links_connect():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        i, j = rng.integers(0, 40, (2, 60))
+        i, j = i[i != j], j[i != j]
+        pairs = np.array(sorted({(min(a, b), max(a, b)) for a, b in zip(i.tolist(), j.tolist())}))
+        times = rng.integers(1, 5, 40)
+        f = Forest(40)
+        for part in np.array_split(pairs, 3):
+            f.add(part[:, 0], part[:, 1], times)
+        weight = np.zeros(40, int)
+        root = list(range(40))
+        for a, b in pairs.tolist():
+            weight[a] += times[b]
+            weight[b] += times[a]
+            low, high = sorted((root[a], root[b]))
+            root = [low if r == high else r for r in root]
+        assert f.weight.tolist() == weight.tolist() and f.root.tolist() == root
+        assert len(f.edges) == 40 - len(set(root)) and {(min(e), max(e)) for e in f.edges} <= set(map(tuple, pairs.tolist()))
 
 
 def test_empty(lspark):
@@ -96,7 +115,19 @@ def test_no_link_is_lost_in_any_dimension(lspark):
             rows += [(node, x.tolist()), (node + 1, (cos * x + np.sqrt(1 - cos * cos) * z / np.linalg.norm(z)).tolist())]
             want |= {(node, node + 1)} if k % 4 else set()
             node += 2
-    df = lspark.createDataFrame(rows, "node bigint, vec array<double>")
+    df = lspark.createDataFrame(rows, "node bigint, vec array<double>").withColumn("n", F.lit(1).cast("bigint"))
     for tile_rows in (4096, 100):
-        found = [tuple(r) for r in links(df, 0.9, tile_rows=tile_rows).collect()]
-        assert len(found) == len(want) and set(found) == want
+        found = links(df, 0.9, tile_rows=tile_rows).collect()
+        assert sorted((min(r.a, r.b), max(r.a, r.b)) for r in found if r.b is not None) == sorted(want)
+        assert sorted((r.a, r.m) for r in found if r.b is None) == sorted((x, 1) for p in want for x in p)
+
+
+def test_a_hot_group_gives_a_forest(lspark):
+    """1,000 vectors that all link: as many rows as vectors, not as links."""
+    rng = np.random.default_rng(9)
+    rows = [(i, (np.ones(64) + 0.05 * rng.standard_normal(64)).tolist()) for i in range(1000)]
+    df = lspark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = embedding_groups(df).collect()
+    assert {(r.n_links, r.component_id) for r in got} == {(999, 0)} and sum(r.kept for r in got) == 1
+    classes = df.select(F.col("vec_id").alias("node"), F.col("embedding").alias("vec"), F.lit(1).cast("bigint").alias("n"))
+    assert links(classes, 0.9, tile_rows=300).count() <= 2 * 4 * 2 * 1000
