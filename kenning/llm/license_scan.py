@@ -1,23 +1,32 @@
-"""License scan: an inverted index of the templates' words, windows, local alignment.
-
-The templates (a small table, a parameter) are indexed by word; the index is bounded by
-the templates and travels with the task. An occurrence needs at least ``LEAST`` of a
-template's words, so it can lack only few of its distinct words, and a local alignment
-never spans twice the template's words. A text is scanned in the one pass that reads
-it: a template is tried where a window of the text of four times its length (in steps of
-twice) holds enough of its distinct words; no place with an occurrence fails that. There
-it is aligned with the whole window (match +1, mismatch, insertion and deletion -1), and
-the matched share of the template and the span in the text are reported if at least
-``LEAST`` of the template's words match; the words before, between and after the spans
-found are aligned again, so notices that follow each other are each found.
+"""License scan: winnowed fingerprints in an inverted index, then banded alignment.
+
+Templates (a parameter of any size; the index travels with the task) are indexed by
+fingerprints: hashes of ``GRAM`` words of which winnowing keeps the least of every
+``WINNOW`` neighbours, in templates and texts alike, so that a shared run of
+GRAM + WINNOW - 1 = 4 words shares a fingerprint. An occurrence that differs from its
+template by at most a fifth of the template's words (replaced, left out or added) has
+such a run. Templates of up to ``SHORT`` words have runs too short for that; all their
+words are indexed instead, and a window of the text is a candidate if it holds as many
+of their distinct words as an occurrence must.
+
+Hits of one template are chained by diagonal (place in the text less place in the
+template): hits whose diagonals lie within a quarter of the template of each other are
+one candidate. It is dropped if the part of the text around it has too few of the
+template's words, each counted as often as both have it; else template and text are
+aligned in the band of its diagonals, a quarter of the template wider on both sides
+(match +1, mismatch, insertion and deletion -1). The matched share of the template and
+the span in the text are reported if at least ``LEAST`` of the template's words match;
+the words before, between and after the spans found are aligned again, so notices that
+follow each other are each found.
 
 Words are runs of letters, digits and inner dots or hyphens, in lower case (ASCII).
 Where several templates match one span, all are reported; of overlapping spans of
-the same template the best is.
+the same template the best is, of equally good ones the first.
 
 Defined results: a null, empty or unrelated text has no rows; a text that states a
 license twice has two rows; rows that repeat are each scanned; an empty table or an
-empty template list gives no rows; other columns are ignored.
+empty template list gives no rows; other columns are ignored. A very long text is
+scanned whole, with some 50 bytes a word in its task.
 """
 
 from __future__ import annotations
@@ -32,7 +41,11 @@ from pyspark.sql import functions as F
 from kenning.llm.common import text_bytes
 
 LEAST = 0.8
-MAX_TEMPLATE_WORDS = 20_000
+SHORT = 64
+GRAM = 3
+WINNOW = 2
+# A template's words must fit the packed alignment.
+MAX_WORDS = 1 << 20
 _WORD = re.compile(rb"[a-z0-9\x80-\xff]+(?:[.-][a-z0-9\x80-\xff]+)*")
 
 # Short public license notices and the opening terms of common licenses.
@@ -67,30 +80,82 @@ def words_of(text: bytes) -> list[bytes]:
     return _WORD.findall(text.lower())
 
 
+def _fingerprints(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, place) of the winnowed grams; grams with an unknown word (code 0) have none."""
+    n = len(codes) - GRAM + 1
+    if n < 1:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    h, known = np.zeros(n, np.uint64), np.ones(n, bool)
+    for k in range(GRAM):
+        part = codes[k:k + n]
+        known &= part != 0
+        h = (h ^ part) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    h[~known] = np.iinfo(np.uint64).max
+    wide = np.lib.stride_tricks.sliding_window_view(h, min(WINNOW, n))
+    place = np.unique(wide.argmin(axis=1) + np.arange(len(wide)))
+    place = place[known[place]]
+    return h[place], place
+
+
 class Index:
-    """Word codes, template words and the inverted index of their words."""
+    """Word codes, template words, the inverted index of the short templates' words and
+    that of the long templates' fingerprints."""
 
     def __init__(self, templates: dict[str, str]):
         self.names = list(templates)
         words = [words_of(t.encode()) for t in templates.values()]
-        if sum(map(len, words)) > MAX_TEMPLATE_WORDS:
-            raise ValueError(f"the templates have over {MAX_TEMPLATE_WORDS} words; they must fit every task")
+        if any(len(ws) >= MAX_WORDS for ws in words):
+            raise ValueError(f"a template has {MAX_WORDS} words or more")
         self.code = {w: i for i, w in enumerate(dict.fromkeys(w for ws in words for w in ws), 1)}
         self.codes = [np.array([self.code[w] for w in ws], np.uint64) for ws in words]
-        self.places = [[] for _ in range(len(self.code) + 1)]  # per code the templates with that word
+        self.places: dict[int, list[int]] = defaultdict(list)  # per code the short templates with that word
         self.need = []  # distinct words that an occurrence of each template has at least
+        hashes, owner, place = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for t, codes in enumerate(self.codes):
             own = sorted(set(codes.tolist()))
-            for c in own:
-                self.places[c].append(t)
             self.need.append(len(own) - sum(1 for k in range(len(codes)) if k >= LEAST * len(codes)))
+            if len(codes) <= SHORT:
+                for c in own:
+                    self.places[c].append(t)
+            else:
+                h, at = _fingerprints(codes)
+                hashes.append(h)
+                owner.append(np.full(len(h), t))
+                place.append(at)
+        self.hashes, self.owner, self.place = map(np.concatenate, (hashes, owner, place))
+        order = np.argsort(self.hashes, kind="stable")
+        self.hashes, self.owner, self.place = self.hashes[order], self.owner[order], self.place[order]
+
+    def chains(self, codes: np.ndarray):
+        """(template, start, end, lowest and highest diagonal from start) of the
+        candidates of the long templates."""
+        if not len(self.hashes):
+            return
+        h, at = _fingerprints(codes)
+        first, last = np.searchsorted(self.hashes, h), np.searchsorted(self.hashes, h, "right")
+        n = last - first
+        hit = np.repeat(first - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+        template, diagonal = self.owner[hit], np.repeat(at, n) - self.place[hit]
+        order = np.lexsort((diagonal, template))
+        template, diagonal = template[order], diagonal[order]
+        for t in np.unique(template).tolist():
+            own, size = diagonal[np.searchsorted(template, t):np.searchsorted(template, t, "right")], len(self.codes[t])
+            band = size // 4 + 1
+            want = np.bincount(self.codes[t].astype(np.int64))
+            for part in np.split(own, np.flatnonzero(np.diff(own) > band) + 1):
+                low, high = int(part[0]) - band, int(part[-1]) + band
+                start, end = max(0, low), min(len(codes), high + size)
+                held = np.bincount(codes[start:end].astype(np.int64), minlength=len(want))[:len(want)]
+                if np.minimum(held, want)[1:].sum() >= LEAST * size:
+                    yield t, start, end, low - start, high - start
 
     def regions(self, codes: np.ndarray):
         """(template, start, end) of the parts of the text, apart from each other, that
-        hold all occurrences."""
+        hold all occurrences of the short templates."""
         seen: dict[int, int] = defaultdict(int)
         for c in np.unique(codes).tolist():
-            for t in self.places[c]:
+            for t in self.places.get(c, ()):
                 seen[t] += 1
         for t, n in seen.items():
             if n < self.need[t]:
@@ -99,8 +164,8 @@ class Index:
             at = np.flatnonzero(np.isin(codes, self.codes[t]))
             block, word = at // step, codes[at].astype(np.int64)
             # window k is the blocks k - 1 and k
-            found = np.unique(np.concatenate([block, block + 1]) * len(self.places) + np.concatenate([word, word]))
-            window, n = np.unique(found // len(self.places), return_counts=True)
+            found = np.unique(np.concatenate([block, block + 1]) * (len(self.code) + 1) + np.concatenate([word, word]))
+            window, n = np.unique(found // (len(self.code) + 1), return_counts=True)
             spans: list[list[int]] = []
             for k in window[n >= self.need[t]].tolist():
                 if spans and (k - 1) * step <= spans[-1][1]:
@@ -118,43 +183,60 @@ class Index:
         out = []
         for t, start, end in self.regions(codes):
             out += [(t, start + s, start + e, m) for s, e, m in occurrences(self.codes[t], codes[start:end])]
+        long: dict[int, list] = defaultdict(list)
+        for t, start, end, low, high in self.chains(codes):
+            long[t] += [(start + s, start + e, m) for s, e, m in occurrences(self.codes[t], codes[start:end], low, high)]
+        for t, spans in long.items():  # bands of neighbouring chains overlap
+            kept: list[tuple[int, int, int]] = []
+            for s, e, m in sorted(set(spans), key=lambda x: (-x[2], x[0])):
+                if all(e <= k[0] or k[1] <= s for k in kept):
+                    kept.append((s, e, m))
+            out += [(t, *k) for k in kept]
         return sorted(out, key=lambda x: (x[1], x[0]))
 
 
 # An alignment as one number: score, matched words, and the fewer words of the text the larger.
-_SCORE, _MATCH, _FRESH = 1 << 32, 1 << 17, (1 << 17) - 1
+_SCORE, _MATCH, _FRESH = 1 << 42, 1 << 21, (1 << 21) - 1
 
 
-def best_ends(template: np.ndarray, text: np.ndarray) -> np.ndarray:
+def best_ends(template: np.ndarray, text: np.ndarray, low: int | None = None, high: int | None = None) -> np.ndarray:
     """Per word of the text the best alignment (as one number) of a part of the template
     with a part of the text that ends there in a match: match +1, anything else -1,
-    never below zero."""
+    never below zero; only diagonals (text less template) from ``low`` to ``high``."""
     n = len(text)
+    low, high = -len(template) if low is None else low, n if high is None else high
     best = np.zeros(n, np.int64)
     slope = np.arange(n, dtype=np.int64) * (_SCORE + 1)
     above = np.full(n + 1, _FRESH, np.int64)  # at j + 1: ends at word j
-    for a in template:
-        same = text == a
-        row = above[:-1] + np.where(same, _SCORE + _MATCH - 1, -_SCORE - 1)
-        np.maximum(best, row, out=best, where=same)
-        np.maximum(row, above[1:] - _SCORE, out=row)
-        row = np.maximum.accumulate(row + slope) - slope  # words of the text that are inserted
-        above[1:] = np.where(row < _SCORE, _FRESH, row)
+    for i, a in enumerate(template):
+        s, e = max(0, i + low), min(n, i + high + 1)
+        if s >= e:
+            continue
+        same = text[s:e] == a
+        row = above[s:e] + np.where(same, _SCORE + _MATCH - 1, -_SCORE - 1)
+        part = best[s:e]
+        np.maximum(part, row, out=part, where=same)
+        np.maximum(row, above[s + 1:e + 1] - _SCORE, out=row)
+        row = np.maximum.accumulate(row + slope[s:e]) - slope[s:e]  # words of the text that are inserted
+        above[s + 1:e + 1] = np.where(row < _SCORE, _FRESH, row)
+        above[s] = _FRESH  # left of the band
     return best
 
 
-def occurrences(template: np.ndarray, text: np.ndarray) -> list[tuple[int, int, int]]:
+def occurrences(template: np.ndarray, text: np.ndarray, low: int | None = None,
+                high: int | None = None) -> list[tuple[int, int, int]]:
     """(start, end, matched words) of the spans with at least ``LEAST`` of the template's
     words matched, best first, none overlapping: what lies before, between and after
     the spans found is aligned again until nothing more is found. A span must score
     better than any part of it; words that only make up for a gap do not belong to it."""
     least = LEAST * len(template)
+    band = (-len(template) if low is None else low, len(text) if high is None else high)
     out, parts = [], [(0, len(text))]
     while parts:
         low, high = parts.pop()
         if high - low < least:
             continue
-        best = best_ends(template, text[low:high])
+        best = best_ends(template, text[low:high], band[0] - low, band[1] - low)
         matched = best % _SCORE // _MATCH
         at = np.flatnonzero((matched >= least) & (matched > 0))
         free, found = np.ones(high - low, bool), []
@@ -172,30 +254,6 @@ def occurrences(template: np.ndarray, text: np.ndarray) -> list[tuple[int, int,
     return sorted(out)
 
 
-def align(template: list[int], text: list[int], low: int, high: int) -> tuple[int, int, int] | None:
-    """(matched words, start, end in ``text``) of the best alignment of a part of the
-    template with a part of the text whose diagonals (text minus template position)
-    lie in low..high: match +1, anything else -1, never below zero."""
-    best, where = 0, None
-    above: dict[int, tuple[int, int, int]] = {}  # text position -> (score, matches, start)
-    for i, a in enumerate(template):
-        row: dict[int, tuple[int, int, int]] = {}
-        for j in range(max(0, i + low), min(len(text), i + high + 1)):
-            s, m, b = above.get(j - 1, (0, 0, j))
-            if s <= 0:
-                s, m, b = 0, 0, j
-            cell = (s + 1, m + 1, b) if a == text[j] else (s - 1, m, b)
-            for side in (above.get(j), row.get(j - 1)):
-                if side and side[0] - 1 > cell[0]:
-                    cell = (side[0] - 1, side[1], side[2])
-            if cell[0] > 0:
-                row[j] = cell
-                if cell[0] > best:
-                    best, where = cell[0], (cell[1], cell[2], j + 1)
-        above = row
-    return where
-
-
 def license_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  templates: dict[str, str] | None = None) -> DataFrame:
     """One row per occurrence: id, ``license``, ``first_word``, ``end_word`` (span in words of

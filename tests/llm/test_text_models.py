@@ -225,6 +225,30 @@ def test_license_scan_finds_spans(lspark, empty):
     assert license_scan.license_scan(df, templates={}).count() == 0
 
 
+def align(template: list[int], text: list[int], low: int, high: int) -> tuple[int, int, int] | None:
+    """(matched words, start, end in ``text``) of the best alignment of a part of the
+    template with a part of the text whose diagonals (text minus template position)
+    lie in low..high: match +1, anything else -1, never below zero."""
+    best, where = 0, None
+    above: dict[int, tuple[int, int, int]] = {}  # text position -> (score, matches, start)
+    for i, a in enumerate(template):
+        row: dict[int, tuple[int, int, int]] = {}
+        for j in range(max(0, i + low), min(len(text), i + high + 1)):
+            s, m, b = above.get(j - 1, (0, 0, j))
+            if s <= 0:
+                s, m, b = 0, 0, j
+            cell = (s + 1, m + 1, b) if a == text[j] else (s - 1, m, b)
+            for side in (above.get(j), row.get(j - 1)):
+                if side and side[0] - 1 > cell[0]:
+                    cell = (side[0] - 1, side[1], side[2])
+            if cell[0] > 0:
+                row[j] = cell
+                if cell[0] > best:
+                    best, where = cell[0], (cell[1], cell[2], j + 1)
+        above = row
+    return where
+
+
 def test_license_scan_against_full_alignment(lspark):
     """Every document of the given table: the index misses no template that an
     alignment over the whole text finds."""
@@ -236,13 +260,13 @@ def test_license_scan_against_full_alignment(lspark):
         got = {x[0] for x in index.scan(t.encode())}
         for k, template in enumerate(index.codes):
             if set(template.tolist()) <= set(codes):
-                best = license_scan.align(template.tolist(), codes, -len(template), len(codes))
+                best = align(template.tolist(), codes, -len(template), len(codes))
                 assert not best or best[0] < len(template) or k in got
 
 
 def all_spans(template, codes):
     """Spans by full alignment of the whole text, again before and after each."""
-    best = license_scan.align(template, codes, -len(template), len(codes))
+    best = align(template, codes, -len(template), len(codes))
     if not best or best[0] < license_scan.LEAST * len(template):
         return []
     m, s, e = best
@@ -284,7 +308,7 @@ def test_license_scan_finds_what_full_alignment_finds():
             texts.append([x for w in words for x in ([w] if rng.random() > 0.15 else [b"zz"]) + [b"zz"] * int(rng.random() < 0.25)])
         for text in texts:
             codes = [index.code.get(w, 0) for w in text]
-            want = license_scan.align(index.codes[k].tolist(), codes, -len(words), len(codes))
+            want = align(index.codes[k].tolist(), codes, -len(words), len(codes))
             if want[0] >= license_scan.LEAST * len(words):
                 seen += 1
                 got = [x for x in index.scan(b"x y " * 7 + b" ".join(text) + b" x y") if x[0] == k]
@@ -299,6 +323,54 @@ def test_license_scan_one_wrong_word(text, name):
     assert name in [index.names[x[0]] for x in index.scan(text.encode())]
 
 
+def long_templates(count=8, words=3000, vocabulary=900):
+    """Full-length templates of one vocabulary, sharing stretches with each other."""
+    rng = np.random.default_rng(11)
+    shared = [f"t{x}" for x in rng.zipf(1.3, 400) % vocabulary]
+    return {f"long{k}": " ".join(["t%d" % x for x in rng.zipf(1.3, words - 400) % vocabulary][:words // 2] + shared
+                                 + ["t%d" % x for x in rng.zipf(1.3, words) % vocabulary][:words - 400 - words // 2]) for k in range(count)}
+
+
+def changed(words, share, rng, other):
+    out = []
+    for w in words:
+        x = rng.random()
+        out += [] if x < share / 3 else [other(), w] if x < 2 * share / 3 else [other()] if x < share else [w]
+    return out
+
+
+def test_full_length_templates():
+    """Licences of 3,000 words, verbatim, changed and twice, among words of their own kind."""
+    templates = long_templates()
+    index, rng = license_scan.Index(templates), np.random.default_rng(4)
+    noise = lambda: "t%d" % (rng.zipf(1.3) % 900)
+    for k, name in enumerate(index.names):
+        words = templates[name].split()
+        near = changed(words, 0.12, rng, noise)
+        text = [noise() for _ in range(700)] + words + [noise() for _ in range(50)] + near + [noise() for _ in range(300)]
+        got = [x[1:] for x in index.scan(" ".join(text).encode()) if x[0] == k]
+        assert len(got) == 2 and got[0] == (700, 3700, 3000)
+        s, e, matched = got[1]
+        assert abs(s - 3750) < 30 and abs(e - 3750 - len(near)) < 30 and 0.8 * 3000 <= matched < 3000
+        codes = np.array([index.code.get(w.encode(), 0) for w in near], np.uint64)
+        banded = license_scan.best_ends(index.codes[k], codes, -800, 800)
+        assert (banded.max() == license_scan.best_ends(index.codes[k], codes).max())
+    # words of the same kind without a licence: nothing is aligned
+    text = " ".join(noise() for _ in range(8000)).encode()
+    codes = np.array([index.code.get(w, 0) for w in license_scan.words_of(text)], np.uint64)
+    assert index.scan(text) == [] and sum(1 for _ in index.chains(codes)) <= len(templates)
+
+
+def test_a_fifth_of_a_long_template_may_differ():
+    """Every fifth word wrong leaves runs of four: still found."""
+    templates = long_templates(3, 500)
+    index = license_scan.Index(templates)
+    for k, name in enumerate(index.names):
+        words = templates[name].split()
+        text = " ".join("zz" if i % 5 == 4 else w for i, w in enumerate(words))
+        assert [x for x in index.scan(f"a b {text} c d".encode()) if x[0] == k and x[3] >= 400]
+
+
 # HTML -----------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="<p>no</p>";</script></head><body>
