@@ -104,17 +104,84 @@ def ngrams(docs: DataFrame, id_col: str, text_col: str, max_n: int, firsts: Data
             .filter(F.col("g").isNotNull()).select(id_col, "start", "g.*"))
 
 
+def repeat_matches(docs: DataFrame, rules: DataFrame, id_col: str, text_col: str, max_n: int) -> DataFrame:
+    """NER-4: matches of the expanded ``rules`` with ``runs``, the longest at each place.
+
+    Equal neighbouring tokens of a text are collapsed into islands (token, start, how
+    often), inside one array per document; phrases then meet n-grams of islands by
+    equality of the collapsed tokens, as plain phrases meet plain n-grams. A word that may
+    repeat takes its whole island if that is long enough; of the others the islands
+    inside a match must have the exact length, and the outer two at least that, of which
+    the nearest tokens count."""
+    t = F.regexp_extract_all(F.col(text_col), F.lit(TOKEN_WS_PATTERN), 2)
+    w = F.regexp_extract_all(F.col(text_col), F.lit(TOKEN_WS_PATTERN), 1)
+    d = (docs.select(F.col(id_col), t.alias("_t"), w.alias("_w")).filter(F.size("_t") > 0)
+         .withColumn("_low", F.transform("_t", F.lower)))
+    firsts = F.filter(F.sequence(F.lit(1), F.size("_t")),
+                      lambda i: (i == 1) | (F.element_at("_low", i) != F.element_at("_low", F.greatest(i - 1, F.lit(1)))))
+    d = d.withColumn("_at", firsts)
+
+    def island(i, k):
+        run = F.coalesce(F.get("_at", k + 1), F.size("_t") + 1) - i
+        return F.struct(F.element_at("_low", i).alias("tok"), i.alias("start"), run.alias("run"),
+                        F.transform(F.sequence(i, i + run - 1), lambda j: F.struct(
+                            F.element_at("_w", j).alias("w"), F.element_at("_t", j).alias("t"))).alias("parts"))
+
+    d = d.select(id_col, F.transform("_at", island).alias("_is"))
+    shifted = [(F.col("_is") if k == 0 else F.slice("_is", k + 1, F.size("_is"))).alias(f"i{k}") for k in range(max_n)]
+    z = d.select(id_col, F.explode(F.arrays_zip(*shifted)).alias("_z"))
+    keys = rules.select(F.array_join(F.transform("runs", lambda x: F.lower(x["tok"])), " ").alias("key"), F.col("runs").alias("want"),
+                        "category", "canonical", "priority", "case_sensitive").distinct()
+    starts = keys.select(F.lower(F.col("want")[0]["tok"]).alias("_first")).distinct()
+    z = z.join(starts, F.col("_z.i0.tok") == F.col("_first")).drop("_first")
+    grams = []
+    for n in range(1, max_n + 1):
+        parts = [F.col(f"_z.i{k}") for k in range(n)]
+        grams.append(F.when(parts[-1].isNotNull(), F.struct(
+            F.concat_ws(" ", *[p["tok"] for p in parts]).alias("key"), F.array(*parts).alias("got"))))
+    g = z.select(id_col, F.explode(F.array(*grams)).alias("g")).filter(F.col("g").isNotNull()).select(id_col, "g.*")
+    j = g.join(keys, on="key")
+    last = F.size("want") - 1
+    pairs = F.zip_with("got", F.transform("want", lambda x, k: F.struct(
+        x["tok"].alias("tok"), x["n"].alias("n"), x["several"].alias("several"),
+        ((k == 0) | (k == last)).alias("outer"), (k == 0).alias("head"))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    fits = F.forall("_p", lambda p: F.when(p["b"]["several"] | p["b"]["outer"], p["a"]["run"] >= p["b"]["n"])
+                    .otherwise(p["a"]["run"] == p["b"]["n"]))
+    j = j.withColumn("_p", pairs).filter(fits)
+
+    def used(p):
+        n, run = p["b"]["n"], p["a"]["run"]
+        whole = F.when(p["b"]["several"], run).otherwise(n)
+        return F.transform(F.slice(p["a"]["parts"], F.when(p["b"]["head"], run - whole + 1).otherwise(F.lit(1)), whole),
+                           lambda x: F.struct(x["w"].alias("w"), x["t"].alias("t"), p["b"]["tok"].alias("tok")))
+
+    j = j.withColumn("_u", F.flatten(F.transform("_p", used)))
+    head = F.col("_p")[0]
+    start = head["a"]["start"] + F.when(head["b"]["several"], 0).otherwise(head["a"]["run"] - head["b"]["n"])
+    ok = ~F.col("case_sensitive") | F.forall("_u", lambda x: x["t"] == x["tok"])
+    value = F.array_join(F.transform("_u", lambda x, k: F.concat(F.when(k == 0, F.lit("")).otherwise(x["w"]), x["t"])), "")
+    return (j.filter(ok).select(id_col, start.cast("bigint").alias("start"), F.size("_u").alias("n_tokens"), "category", "canonical",
+                                "priority", value.alias("value")).distinct())
+
+
 def match(docs: DataFrame, gazetteer: DataFrame, id_col="doc_id", text_col="text",
           broadcast_rows: int = 500_000) -> DataFrame:
     """NER-5 + NER-7: every dictionary match (overlaps included), each once.
 
     The expanded dictionary is broadcast when its row count is proven small
     (else it is joined by shuffle); the n-gram stream is never shuffled for
-    the match itself."""
+    the match itself. Rules with a word that may repeat go through ``repeat_matches``."""
     gx = expand(gazetteer)
     # one small job on the dictionary: the longest phrase and the row count
     # that bounds both join sides below (keys <= 2 rows per phrase, firsts <= 1)
-    stats = gx.agg(F.max("n_tokens").alias("n"), F.count(F.lit(1)).alias("rows")).first()
+    plain_rule = F.col("runs").isNull()
+    stats = gx.agg(F.max(F.when(plain_rule, F.col("n_tokens"))).alias("n"), F.count(F.lit(1)).alias("rows"),
+                   F.max(F.size("runs")).alias("runs"), F.count_if(plain_rule).alias("plain")).first()
+    more = (repeat_matches(docs, gx.filter(F.col("runs").isNotNull()), id_col, text_col, stats["runs"])
+            if stats["plain"] < stats["rows"] else None)
+    if more is not None and not stats["plain"]:
+        return more
+    gx = gx.filter(plain_rule).drop("runs")
     max_n = stats["n"] or 1
     small = 2 * stats["rows"] <= broadcast_rows
     keys, firsts = _one_row_per_hit(match_keys(gx)), _first_tokens(gx)
@@ -128,8 +195,8 @@ def match(docs: DataFrame, gazetteer: DataFrame, id_col="doc_id", text_col="text
                       .alias("p"))
     j = probes.join(keys, (F.col("p.kind") == F.col("kind")) & (F.col("p.key") == F.col("key")))
     ok = (~F.col("case_sensitive")) | F.array_contains("exacts", F.col("exact"))
-    return j.filter(ok).select(id_col, "start", F.col("n").alias("n_tokens"), "category", "canonical", "priority",
-                               "value")
+    found = j.filter(ok).select(id_col, "start", F.col("n").alias("n_tokens"), "category", "canonical", "priority", "value")
+    return found if more is None else found.unionByName(more)
 
 
 def _choose_spans(batches):

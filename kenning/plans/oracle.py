@@ -298,6 +298,24 @@ def _gaz_rows():
 
 ORACLE["gazetteer_matches"] = f"WITH {matches_sql(_gaz_rows())} SELECT * FROM mt"
 
+# islands of equal words by window functions; rules as (words in order, which may repeat)
+ORACLE["gazetteer_repeats"] = (
+    "WITH d AS (SELECT p_partkey AS doc_id, string_split('the ' || repeat(CASE WHEN p_partkey % 5 = 0 THEN 'PART ' ELSE 'part ' END, "
+    "p_partkey % 20 + 1) || CASE WHEN p_partkey % 3 = 0 THEN 'was ' ELSE 'is ' END || p_type || ' ' || repeat('Steel ', p_partkey % 4) "
+    "|| 'and part', ' ') AS ws FROM part), "
+    "w AS (SELECT doc_id, ws, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM d), "
+    "e AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM (SELECT *, CASE WHEN lower(word) = lower(lag(word) OVER "
+    "(PARTITION BY doc_id ORDER BY i)) THEN 0 ELSE 1 END AS new FROM w)), "
+    "s AS (SELECT doc_id, ws, g, lower(any_value(word)) AS word, bool_and(word = 'PART') AS upper_case, min(i) AS start, count(*) AS run "
+    "FROM e GROUP BY doc_id, ws, g), "
+    "p AS (SELECT *, lead(word) OVER (PARTITION BY doc_id ORDER BY g) AS after FROM s), "
+    "m AS (SELECT doc_id, ws, start, run AS n, 'SIZE' AS category, 'part' AS canonical, 1 AS priority FROM p WHERE word = 'part' "
+    "UNION ALL SELECT doc_id, ws, start, run + 1, 'SIZE', 'part is', 2 FROM p WHERE word = 'part' AND after IN ('is', 'was') "
+    "UNION ALL SELECT doc_id, ws, start, run + 1, 'TYPE', '{steel|brass}+ and', 3 FROM p WHERE word IN ('steel', 'brass') AND after = 'and' "
+    "UNION ALL SELECT doc_id, ws, start, run + 1, 'EXACT', '{part}+ is', 4 FROM p WHERE word = 'part' AND upper_case AND after = 'is' "
+    "UNION ALL SELECT doc_id, ws, start, run + 1, 'TWO', 'two parts', 5 FROM p WHERE word = 'part' AND run >= 2 AND after = 'is') "
+    "SELECT doc_id, start, n::INTEGER AS n_tokens, category, canonical, priority, array_to_string(ws[start:start + n - 1], ' ') AS value FROM m")
+
 # spans in order of choice, folded left to right: one is kept if it overlaps none kept so far
 ORACLE["longest_spans"] = (
     f"WITH {matches_sql(_gaz_rows())}, "

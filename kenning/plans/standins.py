@@ -318,6 +318,27 @@ def q_gazetteer_matches(spark, sf):
     return ext.match(text_table(spark, sf, "documents"), standin_gazetteer(spark))
 
 
+# One-or-more rules on the text of ``_repeated_words``.
+REPEAT_RULES = (("SIZE", "{part}+", "part", False, False, 1), ("SIZE", "{part}+ {is|was}", "part is", False, False, 2),
+                ("TYPE", "{Steel|brass}+ and", None, False, False, 3), ("EXACT", "{PART}+ is", None, True, False, 4),
+                ("TWO", "part {part}+ is", "two parts", False, False, 5))
+
+
+def _repeated_words(spark, sf):
+    """Parts described with a word that comes one to twenty times in a row."""
+    k = F.col("p_partkey")
+    word = F.when(k % 5 == 0, "PART ").otherwise("part ")
+    return table(spark, sf, "part").select(k.alias("doc_id"), F.concat(
+        F.lit("the "), F.repeat(word, (k % 20 + 1).cast("int")), F.when(k % 3 == 0, "was ").otherwise("is "), F.col("p_type"), F.lit(" "),
+        F.repeat(F.lit("Steel "), (k % 4).cast("int")), F.lit("and part")).alias("text"))
+
+
+@query("gazetteer_repeats")
+def q_gazetteer_repeats(spark, sf):
+    """NER-4: words that may repeat."""
+    return ext.match(_repeated_words(spark, sf), gz.from_rows(spark, REPEAT_RULES))
+
+
 @query("longest_spans")
 def q_longest_spans(spark, sf):
     return ext.entities(text_table(spark, sf, "documents"), standin_gazetteer(spark))

@@ -5,7 +5,9 @@ job on each micro-batch and writes the merged profile as a new state version.
 The stream checkpoint records which files were taken; the state's pointers record
 which batches of which stream were applied, so a re-run of a batch after a failure
 (or a replay) is skipped instead of being counted twice. No custom state store is needed:
-the state is an ordinary Parquet table.
+the state is an ordinary Parquet table in buckets by a hash of the user. A batch reads and
+writes the buckets of its users only; a merge never looks beyond a user, so the other
+buckets stay the files that they were.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from kenning import config
 from kenning.plans import interests
-from kenning.sinks.writers import applied, current_state_path, write_state
+from kenning.sinks.writers import STATE_BUCKETS, applied, bucket_of, current_state_path, read_buckets, state_buckets, write_buckets
 from kenning.sources.readers import parse_conversations_a, parse_conversations_b
 
 STATE_COLUMNS = ("user_id", "category", "value", "frequency", "decay_frequency")
@@ -33,18 +35,30 @@ def merge_batch(spark: SparkSession, text: DataFrame, epoch: int, gazetteer: Dat
     if applied(spark, state_root, source):
         return                                           # already applied: replay is harmless
     msgs = parse_conversations_a(text) if shape == "a" else parse_conversations_b(text, cfg.lower_addresses)
-    cur = current_state_path(spark, state_root)
+    cur, n = current_state_path(spark, state_root), state_buckets(spark, state_root)
+    if cur and not n:                                    # a state that a batch job wrote whole: laid out now
+        n, touched = STATE_BUCKETS, range(STATE_BUCKETS)
+        stored = spark.read.parquet(cur)
+    else:
+        n = n or STATE_BUCKETS
+        touched = _touched(msgs, cfg, n)
+        stored = read_buckets(spark, state_root, touched)
     version = f"{stream or 'batch'}-{epoch:08d}"
     if cfg.re_age:                                       # state kept per mail day (Q21 option)
-        stored_by_day = spark.read.parquet(cur).select(*BY_DAY_COLUMNS) if cur else None
-        out = interests.run(spark, msgs, gazetteer, directory, cfg, aliases=aliases, stored_by_day=stored_by_day)
-        write_state(spark, out["by_day"].select(*BY_DAY_COLUMNS).withColumn("batch_id", F.lit(version)),
-                    state_root, version, source)
-        return
-    stored = spark.read.parquet(cur).select(*STATE_COLUMNS) if cur else None
-    out = interests.run(spark, msgs, gazetteer, directory, cfg, aliases=aliases, stored=stored)
-    write_state(spark, out["profile"].select(*STATE_COLUMNS).withColumn("batch_id", F.lit(version)),
-                state_root, version, source)
+        out = interests.run(spark, msgs, gazetteer, directory, cfg, aliases=aliases,
+                            stored_by_day=stored and stored.select(*BY_DAY_COLUMNS))["by_day"].select(*BY_DAY_COLUMNS)
+    else:
+        out = interests.run(spark, msgs, gazetteer, directory, cfg, aliases=aliases,
+                            stored=stored and stored.select(*STATE_COLUMNS))["profile"].select(*STATE_COLUMNS)
+    write_buckets(spark, out.withColumn("batch_id", F.lit(version)), state_root, version, source, touched, n)
+
+
+def _touched(msgs: DataFrame, cfg: config.TenantConfig, n: int) -> list[int]:
+    """Buckets of everyone who wrote or got a message of the batch: at most ``n`` numbers."""
+    m = interests.prepare_messages(msgs, cfg).select("from_email", "to", "cc")
+    who = F.explode(F.concat(F.array("from_email"), *[F.coalesce(F.col(c), F.array().cast("array<string>")) for c in ("to", "cc")]))
+    users = m.select(who.alias("user_id")).where("user_id is not null")
+    return [r[0] for r in users.select(bucket_of("user_id", n).alias("b")).distinct().collect()]
 
 
 def run_available(spark: SparkSession, inbox: str, gazetteer: DataFrame, directory: DataFrame,
