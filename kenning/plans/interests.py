@@ -159,7 +159,8 @@ def run(spark: SparkSession, messages: DataFrame, gazetteer: DataFrame, director
     ensure_checkpoint_dir(spark)
     merged = merged.checkpoint(eager=True)
     known = batch["known"].checkpoint(eager=True)
-    enriched = enrich(merged.drop("origin"), directory, known)
+    # read by the weights and by every sink: resolved and ranked once
+    enriched = enrich(merged.drop("origin"), directory, known).checkpoint(eager=True)
     weights = scoring.interest_weights(enriched, people_category=config.PEOPLE, categories=cfg.weight_categories)
     return {"profile": merged, "by_day": by_day, "enriched": enriched, "weights": weights,
             "annotated": batch["annotated"]}
