@@ -1,7 +1,7 @@
 """BPE encoding and decoding with a minimal acyclic transducer as lexicon.
 
 The most frequent words of the corpus (runs without white space, counted over all
-texts) are compiled into a minimal acyclic automaton: common prefixes and common suffixes share states, and
+texts; of equally frequent ones all or none) are compiled into a minimal acyclic automaton: common prefixes and common suffixes share states, and
 numbers on the arcs add up to a word's place in an id table. The bytes are written
 to an unnamed file in each worker and memory-mapped. A word found in it yields its
 ids; any other is normalised, split by the file's pattern and merged exactly, by the
@@ -11,7 +11,8 @@ driver; it only decides which words are looked up instead of merged.
 Tokens cross no white space, so a text is split there first, and the result of each
 recent piece is remembered by its worker.
 
-Defined results: a null or empty text has no ids; special tokens spelt out in a
+Defined results: a null or empty text has no ids; a very long text is held whole by its
+task, with its ids; special tokens spelt out in a
 text become their ids, as the file says; rows that repeat are each returned; an
 empty table gives an empty result; other columns are ignored.
 """
@@ -27,6 +28,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kenning.llm.common import scratch
+
 WORDS = 50_000
 CACHE = 200_000
 NO_RANK = 1 << 30
@@ -265,14 +268,31 @@ class Encoder:
         return sum(n), " ".join(ids), " ".join(decoded)
 
 
-def build_lexicon(df: DataFrame, tokenizer: str, text_col: str = "text", words: int = WORDS) -> bytes:
-    """The transducer of the ``words`` most frequent words (runs without white space)
-    of all texts of ``df``, counted with map-side sums."""
+def frequent_words(df: DataFrame, text_col: str = "text", words: int = WORDS) -> DataFrame:
+    """(word, n) of the words that occur at least f times, twice at least, f the least for
+    which they are at most ``words``. Frequencies are counted first, in some 2,000
+    classes of about equal frequency, so no task sorts or holds the candidates: the cut
+    is one filter."""
     word = F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), "[ \n]")).alias("word")
-    top = df.select(word).groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(words)
+    # exact up to 1,024, then sixteen classes for each doubling
+    level = F.when(F.col("n") < 1024, F.col("n")).otherwise((F.log2("n") * 16).cast("bigint") + 864)
+    counted = scratch(df.select(word).groupBy("word").agg(F.count("*").alias("n")).where("n > 1 and word <> ''")
+                      .withColumn("level", level), "words")
+    cut, held = None, 0
+    for r in counted.groupBy("level").agg(F.count("*").alias("k")).orderBy(F.desc("level")).toLocalIterator():
+        held += r.k
+        if held > words:
+            break
+        cut = r.level
+    return counted.where(F.col("level") >= cut if cut is not None else F.lit(False)).select("word", "n")
+
+
+def build_lexicon(df: DataFrame, tokenizer: str, text_col: str = "text", words: int = WORDS) -> bytes:
+    """The transducer of the most frequent words (runs without white space) of all texts
+    of ``df``, counted with map-side sums; at most ``words``, see ``frequent_words``."""
     bpe, entries = WordBpe(tokenizer), {}
-    for r in top.toLocalIterator():  # at most ``words`` words
-        if r.word and bpe.pieces(r.word) == [r.word] and not bpe.cut.search(r.word):
+    for r in frequent_words(df, text_col, words).toLocalIterator():  # at most ``words`` words
+        if bpe.pieces(r.word) == [r.word] and not bpe.cut.search(r.word):
             entries[r.word.encode()] = bpe.piece_ids(r.word)
     return build_transducer(entries)
 

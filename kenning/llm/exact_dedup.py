@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from kenning.llm.common import BLANKS, bitmap, flag_by_bitmap, scratch
 
 PREFIX = 256
+# Tasks that share the rows of one group of equal texts.
+SPREAD = 16
 
 
 def normalized(text: Column) -> Column:
@@ -76,7 +78,10 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     order = F.struct((-F.col("n_cp")).alias("o"), F.col("id").isNull().alias("z"), F.col("id").alias("i"))
     groups = same.groupBy("full").agg(F.sum("m").alias("group_size"), F.min(order).alias("best"))
     first = F.col("id").eqNullSafe(F.col("best.i")) & (F.col("n_cp") == -F.col("best.o"))
-    grouped = (same.join(groups, "full")
+    # a group may hold a third of all rows: they are dealt to SPREAD tasks, its one row to each
+    part = F.pmod(F.hash("id", "n_cp"), F.lit(SPREAD))
+    groups = groups.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    grouped = (same.withColumn("part", part).join(groups, ["full", "part"])
                .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("m"))))
                .select("id", F.col("best.i").alias("keep_id"), "group_size",
                        (first & (F.col("copy") == 1)).alias("kept"), *extra))

@@ -56,6 +56,64 @@ def test_training_bound_holdout_and_odd_rows(lspark, docs, empty):
     assert quality.train(docs, labels.where("quality = 1")).score(b"x", quality._Words()) > 0.5
 
 
+def plain_model(rows, epochs):
+    """Feature hashing and follow-the-regularised-leader, one weight at a time."""
+    import math
+    import re
+
+    import xxhash
+
+    def vector(text):
+        h = [xxhash.xxh3_64_intdigest(t) for w in text.split() for t in re.findall(rb"[A-Za-z0-9\x80-\xff]+|[^A-Za-z0-9\x80-\xff]+", w)]
+        pairs = []
+        for a, b in zip(h, h[1:]):
+            x = (a * 0x9E3779B97F4A7C15 & (1 << 64) - 1) ^ b
+            pairs.append(x ^ x >> 31)
+        count = {}
+        for x in h + pairs:
+            slot = (x >> 7) % (quality.SLOTS - 1) + 1
+            count[slot] = count.get(slot, 0) + 1
+        size = math.sqrt(sum(math.log1p(c) ** 2 for c in count.values()))
+        return {s: math.log1p(c) / size for s, c in count.items()}
+
+    z, n = {}, {}
+
+    def weight(i):
+        a, rate = z.get(i, 0.0), (quality.BETA + math.sqrt(n.get(i, 0.0))) / quality.ALPHA
+        if i == 0:
+            return -a / rate
+        return 0.0 if abs(a) <= quality.L1 else -(a - math.copysign(quality.L1, a)) / (rate + quality.L2)
+
+    def score(text):
+        x = vector(text) | {0: 1.0}
+        return 1 / (1 + math.exp(-sum(weight(i) * v for i, v in x.items())))
+
+    for _ in range(epochs):
+        for y, text in rows:
+            x = vector(text) | {0: 1.0}
+            w = {i: weight(i) for i in x}
+            p = 1 / (1 + math.exp(-sum(w[i] * v for i, v in x.items())))
+            for i, v in x.items():
+                g = (p - y) * v
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / quality.ALPHA * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    return score
+
+
+def test_classifier_against_plain_loops(lspark):
+    sf = "/root/testdata/sf0.001"
+    docs = lspark.read.parquet(f"{sf}/documents.parquet").where("length(text) < 3000")
+    labels = quality.not_held_out(lspark.read.parquet(f"{sf}/labels.parquet"))
+    from pyspark.sql import functions as F
+    rows = [(r.quality, (r.text or "").encode()) for r in docs.join(labels.where("quality in (0, 1)"), "doc_id")
+            .withColumn("h", F.xxhash64("doc_id")).orderBy("h").collect()]
+    assert len({y for y, _ in rows}) == 2
+    want = plain_model(rows, quality.EPOCHS)
+    got = quality.score(docs, quality.train(docs, labels)).collect()
+    texts = dict(plain(docs))
+    assert all(abs(r.score - want(texts[r.doc_id].encode())) < 1e-4 for r in got)
+
+
 # packing --------------------------------------------------------------------
 
 def test_packing_round_trip(docs):
@@ -200,6 +258,13 @@ def test_transducer_is_minimal_and_exact():
     assert bpe.Transducer(bpe.build_transducer({})).get(b"a") is None
 
 
+def test_frequent_words_are_cut_at_a_frequency(lspark):
+    text = " ".join(w for n, w in enumerate(["the", "of", "and", "a", "b", "c", "once"]) for _ in range([5000, 1500, 40, 7, 7, 7, 1][n]))
+    df = lspark.createDataFrame([(text,), (None,), ("",)], "text string")
+    for words, want in ((10, {"the", "of", "and", "a", "b", "c"}), (5, {"the", "of", "and"}), (2, {"the", "of"}), (0, set())):
+        assert {r.word for r in bpe.frequent_words(df, words=words).collect()} == want
+
+
 def test_bpe_empty(empty):
     assert bpe.encode_decode(empty, tokenizer_path("word_bpe_49k.json")).count() == 0
 
