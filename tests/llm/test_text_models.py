@@ -482,3 +482,82 @@ def test_one_long_section_does_not_drop_the_rest(n, head, tail):
         order = parts[1:k + 1] + parts[:1] + parts[k + 1:]
         got = main_text(f"<body>{menu}{head}{''.join(order)}{tail}{menu}</body>").split("\n")
         assert [x for x in got if x != LONG.strip()] == want and got.count(LONG.strip()) == n
+
+
+@pytest.mark.parametrize("inner", ['<p class="social">Social movements rose in 1848.</p>', '<div class="promotion-rules">Rules of promotion.</div>',
+                                   '<p class="related">Related species live on islands.</p>', '<h2 class="banner">The banner</h2>'])
+def test_class_words_drop_nothing_of_an_article(inner):
+    page = f"<body><nav><a href=/>x</a></nav><article><h1>T</h1><p>{LONG}</p>{inner}<p>{LONG}</p></article></body>"
+    import re
+    assert main_text(page).split("\n") == ["T", LONG.strip(), re.sub("<[^>]*>", "", inner), LONG.strip()]
+
+
+@pytest.mark.parametrize("name", ["promo", "promo-box", "social share", "subscribe", "newsletter-signup", "ad", "cookie-notice", "comments", "related"])
+def test_boilerplate_classes_are_left_out(name):
+    page = f'<body><article><p>{LONG}</p><div class="{name}"><p>Buy this, now, it is good.</p></div></article></body>'
+    assert main_text(page) == LONG.strip()
+
+
+def test_closing_line_beside_the_article():
+    page = f"<body><article><p>{LONG}</p></article><p>Short closing line.</p><p>&copy; 2024 We.</p><p><a href=/>Home.</a></p></body>"
+    assert main_text(page) == LONG.strip() + "\nShort closing line."
+
+
+def test_equal_containers_and_a_very_long_page():
+    one = f"<div><p>{LONG}</p></div>"
+    assert main_text(f"<body><ul><li><a href=/>m</a></ul>{one}{one}</body>") == (LONG.strip() + "\n") * 1 + LONG.strip()
+    assert main_text(f"<body><article>{f'<p>{LONG}</p>' * 20000}</article></body>").count("\n") == 19999
+
+
+@pytest.mark.parametrize("page", ["<div>" * 60000 + "deep", "<div>" * 40000 + "</span>" * 40000 + "x", "<div>x" * 40000,
+                                  "<b><i>" * 30000 + "<p>x", "<div><p>a" * 30000, "<li><div>" * 30000 + "x"])
+def test_work_is_linear_in_the_depth(page):
+    import time
+    t = time.time()
+    assert main_text(page)
+    assert time.time() - t < 10
+
+
+def plain_article(page):
+    """The article's text by the standard library's parser: blocks end at block tags."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.depth, self.words, self.out = 0, [], []
+
+        def flush(self):
+            text = " ".join("".join(self.words).split())
+            self.words = []
+            if text:
+                self.out.append(text)
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "article":
+                self.depth += 1
+            elif tag == "br":
+                self.words.append(" ")
+            elif tag not in ("a", "b", "i", "em", "strong", "span", "img"):
+                self.flush()
+
+        def handle_endtag(self, tag):
+            if tag == "article":
+                self.flush()
+                self.depth -= 1
+            elif tag not in ("a", "b", "i", "em", "strong", "span"):
+                self.flush()
+
+        def handle_data(self, data):
+            if self.depth:
+                self.words.append(data)
+    r = Reader()
+    r.feed(page or "")
+    return "\n".join(r.out)
+
+
+def test_whole_pages_table_against_the_standard_parser(lspark):
+    df = lspark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {r.page_id: r.text for r in extract_main_text(df).collect()}
+    want = {r.page_id: plain_article(r.html) for r in df.collect()}
+    assert got == want
