@@ -591,3 +591,29 @@ ORACLE["pseudo_ids"] = (
     "FROM (SELECT DISTINCT c_mktsegment FROM customer WHERE c_mktsegment IS NOT NULL)) "
     "SELECT c_custkey, CAST(c_custkey AS VARCHAR) || substr(sha256('id|' || CAST(c_custkey AS VARCHAR)), 1, 8) AS pseudo_id, "
     "c_mktsegment, team_name, substr(sha256('team|' || team_name), 1, 12) AS team_id FROM customer LEFT JOIN seg USING (c_mktsegment)")
+
+# ---------------------------------------------------------------- readers, writers and functions of the jobs
+_CONV = ("CAST(conv_id AS VARCHAR) AS conversation_id, CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS message_id")
+ORACLE["conversation_files_a"] = (
+    f"SELECT {_CONV}, CASE WHEN turn > 0 THEN role ELSE 'NA' END AS subject, text AS body, role || '@chat.example' AS from_email, "
+    "'all@chat.example,' || role || '@chat.example' AS \"to\", 0 AS n_cc FROM conversations")
+ORACLE["conversation_files_b"] = (
+    f"SELECT {_CONV}, 's' AS subject, text AS body, lower(role) || '@chat.example' AS from_email, "
+    "'all@chat.example,' || lower(role) || '@chat.example' AS \"to\", 0 AS n_cc FROM conversations")
+ORACLE["json_dictionaries"] = "SELECT form, c_name AS key, c_mktsegment AS value FROM customer, (VALUES ('object'), ('lines')) f(form)"
+ORACLE["profile_files"] = f"WITH {MENTIONS}, {COUNTS} SELECT * FROM c WHERE value IS NOT NULL"
+ORACLE["state_versions"] = f"WITH {MENTIONS}, {COUNTS} SELECT * FROM c"
+ORACLE["json_and_csv_files"] = (
+    "SELECT form, o_orderkey, o_orderpriority, o_orderstatus || '|it''s, \"so\"' AS tags FROM orders, (VALUES ('json'), ('csv')) f(form)")
+ORACLE["pieces"] = (
+    "SELECT count(*) AS n, min(c_custkey) AS first, max(c_custkey) AS last FROM "
+    "(SELECT c_custkey, (row_number() OVER (ORDER BY c_custkey) - 1) // 700 AS piece FROM customer) GROUP BY piece")
+ORACLE["content_text"] = (
+    "SELECT p_partkey, concat_ws(' ', CASE WHEN p_partkey % 3 > 0 THEN p_brand END, p_name, p_brand || '   ' || p_type) AS content, "
+    "p_brand || ', ' || p_type AS trimmed, p_name || '/' || p_type || ')' AS slashed FROM part")
+ORACLE["logistic"] = "SELECT c_custkey, round(1.0 / (1.0 + exp(-c_acctbal / 1000.0)), 6) AS p FROM customer"
+ORACLE["profiled_users"] = (
+    "WITH e AS (SELECT DISTINCT user_id FROM (SELECT source || '@docs.example' AS user_id FROM documents UNION ALL "
+    f"SELECT unnest(regexp_extract_all(text, '{MP}', 0)) FROM documents) WHERE user_id IS NOT NULL) "
+    "SELECT user_id, (ends_with(user_id, '@docs.example') OR length(user_id) % 3 = 0) AND length(user_id) > 20 AS profiled FROM e")
+ORACLE["first_orders"] = "SELECT o_orderkey, o_orderdate, o_custkey FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 100"

@@ -9,6 +9,7 @@ Every query reads whole tables; parameters are the operator's own.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +18,9 @@ from pyspark.sql import functions as F
 from kenning import config
 from kenning.functions.arrays import recipients_merge, without_sender
 from kenning.functions.dates import date_clean, format_out, shift_after
-from kenning.functions.text import (append_mentions, clean_content, extract_mails, is_iso8601, lower_clean_body,
-                                    name_tokens, parse_list_literal, strip_brackets, title_case, user_tag)
+from kenning.functions.mathx import sigmoid
+from kenning.functions.text import (append_mentions, build_content, clean_content, extract_mails, is_iso8601, lower_clean_body,
+                                    name_tokens, parse_list_literal, rtrim_list, slash_paren, strip_brackets, title_case, user_tag)
 from kenning.operators import directory as dirops
 from kenning.operators import extract as ext
 from kenning.operators import gazetteer as gz
@@ -26,6 +28,10 @@ from kenning.operators import profile as prof
 from kenning.operators import relational as rel
 from kenning.operators import scoring, state, synth
 from kenning.operators.joins import sized_broadcast
+from kenning.session import scratch_path
+from kenning.sinks import writers
+from kenning.sources.readers import (nested_profile_to_rows, read_conversations_a, read_conversations_b, read_json_dict,
+                                     read_profile_state)
 from kenning.plans.tables import event_mentions, messages, messages_with_neighbors, table, text_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -703,6 +709,142 @@ def q_pseudo_ids(spark, sf):
                     F.substring(F.sha2(F.concat(F.lit("team|"), F.col("team_name")), 256), 1, 12).alias("team_id")))
 
 
+# ---------------------------------------------------------------- readers, writers and functions of the jobs
+
+def _written(spark, df, name: str, write):
+    """``df`` written by ``write(path)`` below the shared checkpoint folder; the path."""
+    path = scratch_path(spark, f"kenning-{name}-{uuid.uuid4().hex}")
+    write(df, path)
+    return path
+
+
+@query("conversation_files_a")
+def q_conversation_files_a(spark, sf):
+    """SRC-5, SRC-7: conversations written as JSON lines of shape A and read again."""
+    c = messages(spark, sf)
+    address = F.concat("sender", F.lit("@chat.example"))
+    message = F.struct("conversation_id", F.col("message_id").alias("id"), F.when(F.col("turn") > 0, F.col("sender")).alias("subject"), "body",
+                       address.alias("from_email"), F.array(F.lit("all@chat.example"), address).alias("to_recipients"),
+                       F.array().cast("array<string>").alias("cc_recipients"))
+    lines = (c.withColumn("m", message).groupBy("conversation_id").agg(F.sort_array(F.collect_list(F.struct("turn", "m"))).alias("ms"))
+             .select(F.to_json(F.create_map("conversation_id", F.transform("ms", lambda x: x["m"]))).alias("value")))
+    path = _written(spark, lines, "shape-a", lambda df, p: df.write.text(p))
+    r = read_conversations_a(spark, path)
+    return r.select("conversation_id", "message_id", "subject", "body", "from_email", F.array_join("to", ",").alias("to"),
+                    F.size("cc").alias("n_cc"))
+
+
+@query("conversation_files_b")
+def q_conversation_files_b(spark, sf):
+    """SRC-6, ARR-7: the same in shape B: sender and recipients as objects, addresses lowered."""
+    c = messages(spark, sf)
+    address = F.concat(F.upper("sender"), F.lit("@Chat.Example"))
+
+    def person(email):
+        return F.struct(email.alias("email"), F.lit("x").alias("user_id"), F.col("sender").alias("user_display_name"))
+
+    message = F.struct("conversation_id", F.col("message_id").alias("id"), F.lit("s").alias("subject"), "body", person(address).alias("from"),
+                       F.array(person(F.lit("All@chat.example")), person(address)).alias("recipients"))
+    lines = c.select(F.to_json(F.array(message)).alias("value"))
+    path = _written(spark, lines, "shape-b", lambda df, p: df.write.text(p))
+    return read_conversations_b(spark, path).select("conversation_id", "message_id", "subject", "body", "from_email",
+                                                    F.array_join("to", ",").alias("to"), F.size("cc").alias("n_cc"))
+
+
+@query("json_dictionaries")
+def q_json_dictionaries(spark, sf):
+    """SRC-4: customers' segments as JSON objects, one file for each segment, and as lines of
+    key and value."""
+    c = table(spark, sf, "customer").select(F.col("c_name").alias("key"), F.col("c_mktsegment").alias("value"))
+    objects = (c.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(32))).groupBy("part")
+               .agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("m"))
+               .select("part", F.to_json("m").alias("text")))
+    as_object = _written(spark, objects, "object", lambda df, p: df.write.partitionBy("part").text(p))
+    as_lines = _written(spark, c, "lines", lambda df, p: df.write.json(p))
+    return (read_json_dict(spark, as_object + "/*").select(F.lit("object").alias("form"), "*")
+            .unionByName(read_json_dict(spark, as_lines, lines=True).select(F.lit("lines").alias("form"), "*")))
+
+
+@query("profile_files")
+def q_profile_files(spark, sf):
+    """SRC-9: a nested JSON profile read to rows."""
+    counts = prof.mention_counts(event_mentions(spark, sf)).filter(F.col("value").isNotNull())
+    nested = (counts.groupBy("user_id", "category").agg(F.map_from_entries(F.collect_list(F.struct("value", "frequency"))).alias("v"))
+              .groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("category", "v"))).alias("c"))
+              .select(F.to_json(F.create_map("user_id", "c")).alias("value")))
+    path = _written(spark, nested, "nested", lambda df, p: df.write.text(p))
+    return nested_profile_to_rows(spark, path)
+
+
+@query("state_versions")
+def q_state_versions(spark, sf):
+    """SNK-3, SRC-9: the profile as two state versions, the newest read again."""
+    p = prof.mention_counts(event_mentions(spark, sf)).withColumns({"decay_frequency": F.col("frequency"), "batch_id": F.lit("b")})
+    root = scratch_path(spark, f"kenning-state-{uuid.uuid4().hex}")
+    writers.write_state(spark, p.filter("category = 'view'"), root, "1")
+    writers.write_state(spark, p, root, "2")
+    return read_profile_state(spark, writers.current_state_path(spark, root)).select("user_id", "category", "value", "frequency")
+
+
+@query("json_and_csv_files")
+def q_json_and_csv_files(spark, sf):
+    """SNK-1, SNK-5: orders as JSON lines and as CSV with a list column, read again."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", F.array(F.col("o_orderstatus"), F.lit("it's, \"so\"")).alias("tags"))
+    as_json = _written(spark, o, "json", lambda df, p: writers.write_json(df, p))
+    as_csv = _written(spark, o, "csv", lambda df, p: writers.write_csv(df, p))
+    j = spark.read.schema(o.schema).json(as_json)
+    c = spark.read.option("header", True).option("escape", '\\').schema("o_orderkey bigint, o_orderpriority string, tags string").csv(as_csv)
+    c = c.withColumn("tags", F.from_json("tags", "array<string>"))
+    both = j.select(F.lit("json").alias("form"), "*").unionByName(c.select(F.lit("csv").alias("form"), "*"))
+    return both.withColumn("tags", F.array_join("tags", "|"))
+
+
+@query("pieces")
+def q_pieces(spark, sf):
+    """SNK-6: customers in files of 700 rows; rows per file, in order."""
+    path = scratch_path(spark, f"kenning-pieces-{uuid.uuid4().hex}")
+    writers.write_pieces(table(spark, sf, "customer").select("c_custkey"), path, 700, ["c_custkey"])
+    r = spark.read.schema("c_custkey bigint").json(path).select("c_custkey", F.col("_metadata.file_name").alias("f"))
+    return r.groupBy("f").agg(F.count("*").alias("n"), F.min("c_custkey").alias("first"), F.max("c_custkey").alias("last")).drop("f")
+
+
+@query("content_text")
+def q_content_text(spark, sf):
+    """STR-4, STR-5, STR-9: subject, body and recipients as one text; trimmed lists; ' (' as '/'."""
+    p = table(spark, sf, "part")
+    names = F.array(F.concat("p_brand", F.lit("  ")), F.col("p_type"))
+    size = F.concat("p_name", F.lit(" ("), F.col("p_type"), F.lit(")"))
+    return p.select("p_partkey", build_content(F.when(F.col("p_partkey") % 3 > 0, F.col("p_brand")), F.col("p_name"), names).alias("content"),
+                    rtrim_list(names).alias("trimmed"), slash_paren(size).alias("slashed"))
+
+
+@query("logistic")
+def q_logistic(spark, sf):
+    """MA-8 on account balances."""
+    return table(spark, sf, "customer").select("c_custkey", F.round(sigmoid(F.col("c_acctbal") / 1000.0), 6).alias("p"))
+
+
+@query("profiled_users")
+def q_profiled_users(spark, sf):
+    """AG-12, FLT-6, FLT-9: all participants of the documents as mails; those of the own
+    domain or the directory are profiled."""
+    from kenning.plans import interests
+    d = text_table(spark, sf, "documents")
+    m = d.select("doc_id", F.concat("source", F.lit("@docs.example")).alias("sender"), extract_mails(F.col("text")).alias("to"),
+                 F.array().cast("array<string>").alias("cc"))
+    everyone = prof.explode_participants(m, msg="doc_id").select("user_id").distinct()
+    directory = everyone.filter(F.length("user_id") % 3 == 0).select(F.col("user_id").alias("email_id"))
+    cfg = config.TenantConfig(domains=("@docs.example",), min_address_len=20)
+    kept = interests.profile_users(everyone, directory, cfg).select("user_id", F.lit(True).alias("profiled"))
+    return everyone.join(kept, "user_id", "left").fillna({"profiled": False})
+
+
+@query("first_orders")
+def q_first_orders(spark, sf):
+    """SO-2: the first 100 orders by date and key."""
+    return rel.first_rows(table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_custkey"), 100, "o_orderdate", "o_orderkey")
+
+
 # ---------------------------------------------------------------- the whole interest job on documents
 
 def _document_dates(spark, sf, d):
