@@ -44,14 +44,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Folders of scratch tables that are still there, oldest first.
+_TABLES: list[str] = []
+
+
 def scratch(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written once below ``spark.checkpoint.dir`` and read back.
 
-    Cuts the lineage with files every executor can read; they are deleted when
-    the driver ends."""
+    Cuts the lineage with files every executor can read; they are deleted by
+    ``forget``, or when the driver ends."""
     spark = df.sparkSession
     path = scratch_path(spark, f"kenning-{tag}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    _TABLES.append(path)
     try:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(p)
@@ -60,6 +65,22 @@ def scratch(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def known_tables() -> set[str]:
+    """The scratch tables there are now, for ``forget``."""
+    return set(_TABLES)
+
+
+def forget(spark: SparkSession, paths) -> None:
+    """Delete scratch tables that no frame in use reads any more."""
+    for path in [p for p in _TABLES if p in paths]:
+        try:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+        except AttributeError:  # a session without a JVM gateway: the files stay
+            pass
+        _TABLES.remove(path)
+
+
 def bitmap(keys: DataFrame, key: str) -> DataFrame:
     """The bounded bitmap of the bigint column ``key``: at most ``BITMAP_BUCKETS``
     rows (``bm_bucket``, ``bm_bits``), nulls ignored."""
