@@ -2,11 +2,12 @@
 
 Quality classifier, exact dedup, SimHash near-dedup, substring dedup, packing. Every
 stage is written as Parquet below ``spark.checkpoint.dir`` and read again, so each
-works on all its predecessor kept and a lost executor repeats one stage at most.
+works on all its predecessor kept and a lost executor repeats one stage at most; the
+tables of a stage are deleted when the next one is written, so they do not pile up.
 
 Defined results: null and empty texts are kept by the classifier if the model's bias
 is positive, are one group for both dedups, and become the single id 0; an empty
-table passes through; extra columns of ``documents`` are carried to the last stage,
+table passes through; a very long text is held whole by one task at a time; extra columns of ``documents`` are carried to the last stage,
 which returns pieces.
 """
 
@@ -20,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 from kenning.llm import exact_dedup, packing, quality, simhash, substring  # noqa: E402
-from kenning.llm.common import ready, scratch, table  # noqa: E402
+from kenning.llm.common import forget, known_tables, ready, scratch, table  # noqa: E402
 from kenning.llm.queries import tokenizer_path  # noqa: E402
 
 
@@ -64,6 +65,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(ready(spark), sf_dir, "documents")
+    last: set[str] = set()
     for name, stage in STAGES[:-1]:
-        docs = scratch(stage(spark, docs, sf_dir), name)
+        before = known_tables()
+        out = stage(spark, docs, sf_dir)
+        helpers = known_tables() - before
+        docs = scratch(out, name)
+        # the stage is written: what it read and made on the way is not needed any more
+        forget(spark, helpers | last)
+        last = known_tables() - before
     return STAGES[-1][1](spark, docs, sf_dir)
