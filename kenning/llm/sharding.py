@@ -8,9 +8,10 @@ of the content. Rows equal in key and content cannot be told apart by bits:
 they go to overflow pages of the last bucket, each within the limit. A bucket
 that holds a single row over the limit stays as it is (``oversize``).
 
-The sizes of all buckets of a round come from one aggregation of (prefix, bytes)
-rows with map-side sums, rolled up to every shorter prefix; texts are never
-shuffled, only ids and sizes.
+The first round counts cells of a few more bits than the expected depth, some sixteen a
+shard, by one aggregation with map-side sums, and rolls them up to every shorter prefix;
+only the rows of cells that are still too large go to a next round of more bits. Texts
+are never shuffled, only ids and sizes; a very long text is one row of its size.
 
 Defined results: a null or empty content has 0 bytes; null keys share a hash and
 are told apart by content; repeated rows are each placed; an empty table gives
@@ -28,8 +29,9 @@ from kenning.llm.common import scratch
 
 KEY_BITS = 60
 ALL_BITS = 120
-# Extra bits a round looks at beyond the expected depth.
-ROUND_BITS = 12
+# Extra bits the first round looks at beyond the expected depth; every further round, for
+# the buckets that are still too large alone, looks at twice as many as the last.
+ROUND_BITS = 4
 
 
 def _bits(value: Column) -> Column:
@@ -44,7 +46,7 @@ def _leaves(cells: DataFrame, lo: int, hi: int, max_bytes: int) -> DataFrame:
     levels = (cells.select("cell", "bytes", "n", F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias("depth"))
               .groupBy("depth", F.expr("substring(cell, 1, depth)").alias("prefix"))
               .agg(F.sum("bytes").alias("shard_bytes"), F.sum("n").alias("shard_rows")))
-    fits = levels.where((F.col("shard_bytes") <= max_bytes) | (F.col("shard_rows") == 1))
+    fits = scratch(levels.where((F.col("shard_bytes") <= max_bytes) | (F.col("shard_rows") == 1)), "shard-fits")
     parents = fits.select((F.col("depth") + 1).alias("depth"), F.col("prefix").alias("parent"))
     return (fits.withColumn("parent", F.expr("substring(prefix, 1, depth - 1)"))
             .join(parents, ["depth", "parent"], "left_anti").drop("parent"))
@@ -62,7 +64,7 @@ def extendible_shards(df: DataFrame, max_bytes: int, key_col: str = "doc_id", te
         F.concat(_bits(F.coalesce(F.col(key_col).cast("string"), F.lit(""))), _bits(text)).alias("bits")), "shard-rows")
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
     hi = min(ALL_BITS, max(0, math.ceil(math.log2(max(1, total / max_bytes)))) + ROUND_BITS)
-    lo, pending, done = 0, rows, []
+    lo, pending, done, step = 0, rows, [], ROUND_BITS
     while True:
         cells = scratch(pending.groupBy(F.expr(f"substring(bits, 1, {hi})").alias("cell"))
                         .agg(F.sum("n_bytes").alias("bytes"), F.count("*").alias("n")), "shard-cells")
@@ -82,7 +84,8 @@ def extendible_shards(df: DataFrame, max_bytes: int, key_col: str = "doc_id", te
         if hi == ALL_BITS:
             done.append(_overflow(pending, max_bytes))
             break
-        lo, hi = hi + 1, min(ALL_BITS, hi + ROUND_BITS)
+        step *= 2
+        lo, hi = hi + 1, min(ALL_BITS, hi + step)
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
