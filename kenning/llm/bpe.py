@@ -61,7 +61,9 @@ class WordBpe:
     def words(self, piece: str) -> list[str]:
         """Words of a piece without white space. Lower case is taken character by
         character (no special final sigma)."""
-        return self.pattern.findall(unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower())
+        if not piece.isascii():
+            piece = unicodedata.normalize("NFC", piece).replace("Σ", "σ")
+        return self.pattern.findall(piece.lower())
 
     def pieces(self, text: str) -> list[str]:
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # white space to str.split only
@@ -205,36 +207,47 @@ class Transducer:
             at += 4 * n
         self.first, self.final, self.target, self.skip, self.start, self.ids = arrays
         self.labels = at
+        self.read: dict[int, dict[int, tuple[int, int]]] = {}  # states met so far; at most all of the lexicon
+
+    def arcs(self, state: int) -> dict[int, tuple[int, int]]:
+        """Label -> (target, words skipped) of a state, read from the map once."""
+        s, e = self.first[state], self.first[state + 1]
+        out = self.read[state] = dict(zip(self.map[self.labels + s:self.labels + e], zip(self.target[s:e], self.skip[s:e])))
+        return out
 
     def get(self, word: bytes) -> list[int] | None:
-        state, place = self.root, 0
-        find, first, base = self.map.find, self.first, self.labels
+        state, place, known = self.root, 0, self.read.get
         for c in word:
-            at = find(bytes((c,)), base + first[state], base + first[state + 1])
-            if at < 0:
+            hit = (known(state) or self.arcs(state)).get(c)
+            if hit is None:
                 return None
-            place += self.skip[at - base]
-            state = self.target[at - base]
+            state = hit[0]
+            place += hit[1]
         if not self.final[state]:
             return None
         return self.ids[self.start[place]:self.start[place + 1]].tolist()
 
 
 class _Pieces(dict):
-    """Piece -> (count, ids as text, decoded text), filled on demand; two generations
-    of at most ``CACHE`` pieces, so the common ones survive."""
+    """Piece -> (count, ids as text, decoded text), filled on demand. Words of the lexicon
+    stay; of the others two generations of at most ``CACHE``, so the common ones survive."""
 
     def __init__(self, encoder):
         super().__init__()
-        self.encoder, self.old = encoder, {}
+        self.encoder, self.old, self.lexicon = encoder, {}, {}
 
     def __missing__(self, piece):
         told = self.old.get(piece)
         if told is None:
-            told = self.encoder.told(self.encoder.piece_ids(piece))
-        if len(self) >= CACHE:
+            ids = self.encoder.lexicon.get(piece.encode())
+            if ids is not None:
+                told = self[piece] = self.lexicon[piece] = self.encoder.told(ids)
+                return told
+            told = self.encoder.told(self.encoder.bpe.piece_ids(piece))
+        if len(self) - len(self.lexicon) >= CACHE:
             self.old = dict(self)
             self.clear()
+            self.update(self.lexicon)
         self[piece] = told
         return told
 
@@ -246,10 +259,6 @@ class Encoder:
         self.bpe, self.lexicon = WordBpe(path), Transducer(lexicon)
         self.cache = _Pieces(self)
 
-    def piece_ids(self, piece: str) -> list[int]:
-        ids = self.lexicon.get(piece.encode())
-        return self.bpe.piece_ids(piece) if ids is None else ids
-
     def told(self, ids):
         return len(ids), " ".join(map(self.bpe.id_text.__getitem__, ids)), " ".join(map(self.bpe.tokens.__getitem__, ids))
 
@@ -261,10 +270,14 @@ class Encoder:
                 out.append(self.told([special]))
             else:
                 out += map(self.cache.__getitem__, self.bpe.pieces(part))
-        out = [x for x in out if x[0]]
         if not out:
             return 0, "", ""
         n, ids, decoded = zip(*out)
+        if 0 in n:  # pieces without a word
+            out = [x for x in out if x[0]]
+            if not out:
+                return 0, "", ""
+            n, ids, decoded = zip(*out)
         return sum(n), " ".join(ids), " ".join(decoded)
 
 
