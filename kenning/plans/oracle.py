@@ -71,7 +71,8 @@ def _mm(x, lo, hi, low=0.0):
     return std if low == 0.0 else f"({std} * CAST({1.0 - low!r} AS DOUBLE) + CAST({low!r} AS DOUBLE))"
 
 
-def weights_sql(rows_cte: str, people: str, categories) -> str:
+def weights_sql(rows_cte: str, people: str, categories,
+                columns: str = "user_id, category, value, frequency, decay_frequency, entityName, userName") -> str:
     cats = ", ".join(f"'{c}'" for c in categories)
     named = f"(category = '{people}' AND userName IS NOT NULL)"
     return (
@@ -90,7 +91,7 @@ def weights_sql(rows_cte: str, people: str, categories) -> str:
         f"w AS (SELECT b.*, CAST(1.2 AS DOUBLE) * {_mm('s_', 's_lo', 's_hi', 0.1)} + {_mm('t_', 't_lo', 't_hi', 0.1)} AS w_, "
         f"CAST(1.2 AS DOUBLE) * {_mm('ds_', 'ds_lo', 'ds_hi', 0.1)} + {_mm('dt_', 'dt_lo', 'dt_hi', 0.1)} AS dw_ FROM b, s1), "
         "s2 AS (SELECT min(w_) AS w_lo, max(w_) AS w_hi, min(dw_) AS dw_lo, max(dw_) AS dw_hi FROM w) "
-        "SELECT user_id, category, value, frequency, decay_frequency, entityName, userName, lookup_freq, "
+        f"SELECT {columns}, lookup_freq, "
         f"lookup_decay_freq, round({_mm('w_', 'w_lo', 'w_hi')}, 3) AS weight, "
         f"round({_mm('dw_', 'dw_lo', 'dw_hi')}, 3) AS d_weight FROM w, s2")
 
@@ -272,12 +273,12 @@ def gazetteer_sql(rows):
             "priority FROM gk WHERE versioned AND n = 1)")
 
 
-def matches_sql(rows, max_n=3):
+def matches_sql(rows, max_n=3, docs="documents"):
     grams = ", ".join(f"({i})" for i in range(1, max_n + 1))
     return (
         f"{gazetteer_sql(rows)}, "
         f"d AS (SELECT doc_id, regexp_extract_all(text, '{TWP}', 2) AS t, regexp_extract_all(text, '{TWP}', 1) AS w "
-        "FROM documents), "
+        f"FROM {docs}), "
         "p AS (SELECT doc_id, t, w, unnest(generate_series(1, len(t))) AS i FROM d WHERE len(t) > 0), "
         "g AS (SELECT doc_id, i AS start, n, array_to_string(t[i:i+n-1], ' ') AS exact, "
         "array_to_string(list_transform(generate_series(i, i+n-1), lambda j: CASE WHEN j > i THEN w[j] ELSE '' END || t[j]), '') AS value, "
@@ -317,14 +318,15 @@ ORACLE["gazetteer_repeats"] = (
     "SELECT doc_id, start, n::INTEGER AS n_tokens, category, canonical, priority, array_to_string(ws[start:start + n - 1], ' ') AS value FROM m")
 
 # spans in order of choice, folded left to right: one is kept if it overlaps none kept so far
-ORACLE["longest_spans"] = (
-    f"WITH {matches_sql(_gaz_rows())}, "
+SPANS = (
     "s AS (SELECT doc_id, list([{start: start, n_tokens: n_tokens, category: category, priority: priority, "
     "canonical: canonical, value: value}] ORDER BY n_tokens DESC, start, priority, category, canonical, value) AS spans "
     "FROM mt GROUP BY doc_id), "
-    "k AS (SELECT doc_id, unnest(list_reduce(spans, lambda kept, x: CASE WHEN len(list_filter(kept, lambda a: "
-    "a.start < x[1].start + x[1].n_tokens AND x[1].start < a.start + a.n_tokens)) > 0 THEN kept ELSE kept || x END)) AS k FROM s) "
-    "SELECT doc_id, k.start, k.n_tokens, k.category, k.priority, k.canonical, k.value FROM k")
+    "chosen AS (SELECT doc_id, unnest(list_reduce(spans, lambda kept, x: CASE WHEN len(list_filter(kept, lambda a: "
+    "a.start < x[1].start + x[1].n_tokens AND x[1].start < a.start + a.n_tokens)) > 0 THEN kept ELSE kept || x END)) AS k FROM s)")
+ORACLE["longest_spans"] = (
+    f"WITH {matches_sql(_gaz_rows())}, {SPANS} "
+    "SELECT doc_id, k.start, k.n_tokens, k.category, k.priority, k.canonical, k.value FROM chosen")
 
 ORACLE["self_mention_filter"] = (
     "WITH r AS (SELECT doc_id, regexp_extract_all(lower(text), '\\p{L}+', 0) AS words, "
@@ -370,7 +372,9 @@ NAMES = (
     "dir AS (SELECT 'SUB' || CAST(p_partkey AS VARCHAR) AS sub_id, p_type || ' ' || p_brand AS user_name, p_partkey AS ord "
     "FROM part), "
     "known AS (SELECT DISTINCT replace(p_name, ' ', '.') || '@' || lower(replace(p_brand, '#', '')) || '.example.com' "
-    "AS address FROM part), "
+    "AS address FROM part)")
+# names(value), dir(sub_id, user_name, ord), known(address) -> res(value, name_id, name_display)
+RESOLVED = (
     f"kp AS (SELECT address, list_distinct(list_transform({words_sql(chr(114) + 'eplace(split_part(address, ' + _q('@') + ', 1), ' + _q('.') + ', ' + _q(' ') + ')')}, lambda t: lower(t))) AS parts FROM known), "
     f"n0 AS (SELECT value, replace(split_part(value, '@', 1), '.', ' ') AS plain FROM names), "
     f"n AS (SELECT value, plain, lower({words_sql('plain')}[1]) AS w1, lower({words_sql('plain')}[2]) AS w2 FROM n0), "
@@ -383,8 +387,8 @@ NAMES = (
     f"CASE WHEN t1n.sub_id IS NOT NULL THEN {TITLE.format(x='t1n.user_name')} "
     f"WHEN t2.address IS NOT NULL THEN {TITLE.format(x='array_to_string(' + words_sql(chr(114) + 'eplace(split_part(t2.address, ' + _q('@') + ', 1), ' + _q('.') + ', ' + _q(' ') + ')') + ', ' + _q(' ') + ')')} END AS name_display "
     "FROM n LEFT JOIN t1n USING (value) LEFT JOIN t2 USING (value))")
-ORACLE["name_to_id"] = f"WITH {NAMES} SELECT value, name_id FROM res"
-ORACLE["name_to_display"] = f"WITH {NAMES} SELECT value, name_display FROM res"
+ORACLE["name_to_id"] = f"WITH {NAMES}, {RESOLVED} SELECT value, name_id FROM res"
+ORACLE["name_to_display"] = f"WITH {NAMES}, {RESOLVED} SELECT value, name_display FROM res"
 
 MAILRES = (
     f"{TEXTS}, {MAILS}, mails AS (SELECT DISTINCT value FROM mx), "
@@ -617,3 +621,87 @@ ORACLE["profiled_users"] = (
     f"SELECT unnest(regexp_extract_all(text, '{MP}', 0)) FROM documents) WHERE user_id IS NOT NULL) "
     "SELECT user_id, (ends_with(user_id, '@docs.example') OR length(user_id) % 3 = 0) AND length(user_id) > 20 AS profiled FROM e")
 ORACLE["first_orders"] = "SELECT o_orderkey, o_orderdate, o_custkey FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 100"
+
+
+# ---------------------------------------------------------------- the whole interest job on documents
+def crc32_sql(x):
+    """CRC-32 of an ASCII string, byte by byte and bit by bit."""
+    bit = "CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"
+    chars = f"list_transform(string_split({x}, ''), lambda ch: CAST(ord(ch) AS BIGINT))"
+    return (f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {chars}), "
+            f"lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: {bit})), 4294967295)")
+
+
+def completed_sql(src, group, out):
+    """CTE ``out`` (group, value, done): each name of ``src`` as the longest names of its
+    group that start with it, or, if it is one word, end with it."""
+    return (f"{out} AS (SELECT {group}, value, string_agg(y, ' ' ORDER BY y) AS done FROM (SELECT DISTINCT a.{group}, a.value, b.value AS y "
+            f"FROM {src} a JOIN {src} b ON a.{group} = b.{group} AND (starts_with(b.value, a.value) OR (len({words_sql('a.value')}) = 1 "
+            f"AND ends_with(b.value, a.value))) QUALIFY length(b.value) = max(length(b.value)) OVER (PARTITION BY a.{group}, a.value)) GROUP BY ALL)")
+
+
+def _words_of_address(x):
+    return words_sql(f"replace(split_part({x}, '@', 1), '.', ' ')")
+
+
+_AGED = decay_sql("frequency", "date_diff('day', day, DATE '2001-08-03')", config.DECAY_SCHEDULES["v3"])
+_SAID = f"array_to_string({_words_of_address('m.value')}, ' ')"
+_MAIL_ROW = "length(m.value) > 3 AND d.sub_id IS NOT NULL"
+ORACLE["document_interests"] = (
+    # dates and the directory
+    "WITH latest AS (SELECT o_custkey, CAST(max(o_orderdate) AS DATE) AS latest FROM orders GROUP BY 1), "
+    f"src AS (SELECT source, {crc32_sql('source')} % 4 AS pick, try_cast(regexp_extract(source, '(\\d+)$', 1) AS BIGINT) + 1 AS o_custkey "
+    "FROM (SELECT DISTINCT source FROM documents)), "
+    f"texts AS (SELECT doc_id, lang, text, source, source || '@docs.example' AS sender, {distinct_sql(f'regexp_extract_all(text, {_q(MP)}, 0)')} "
+    "AS rcpt, pick, latest - CAST(CASE WHEN doc_id % 3 = 0 THEN doc_id % 400 ELSE 0 END AS INTEGER) AS sent "
+    "FROM documents LEFT JOIN src USING (source) LEFT JOIN latest ON latest.o_custkey = src.o_custkey AND pick <> 1), "
+    "dir AS (SELECT CAST(doc_id AS VARCHAR) AS sub_id, coalesce(rcpt[1], CASE WHEN pick <> 0 THEN sender END) AS email_id, "
+    "array_to_string(regexp_extract_all(text, '\\p{L}+', 0)[1:3], ' ') AS user_name, doc_id AS ord FROM texts "
+    "WHERE doc_id IN (SELECT c_custkey FROM customer) AND coalesce(rcpt[1], CASE WHEN pick <> 0 THEN sender END) IS NOT NULL), "
+    "first_dir AS (SELECT email_id, arg_min(sub_id, ord) AS sub_id, arg_min(user_name, ord) AS user_name FROM dir GROUP BY 1), "
+    # messages and their entities
+    "msgs AS (SELECT doc_id, sender, rcpt, CASE WHEN doc_id % 13 <> 0 THEN sent END AS day, "
+    f"regexp_replace(array_to_string(list_filter({split_sql(f'concat_ws({_q(chr(32))}, lang, text, array_to_string(rcpt, {_q(chr(32))}))')}, "
+    f"lambda w: NOT list_contains({STOPS_SQL}, lower(w))), ' '), 'http[^ ]+', '', 'g') AS text FROM texts), "
+    f"{matches_sql(_gaz_rows(), docs='msgs')}, {SPANS}, "
+    "spans AS (SELECT doc_id, k.category AS category, k.value AS value FROM chosen), "
+    "span_names AS (SELECT DISTINCT doc_id, value FROM spans), "
+    f"{completed_sql('span_names', 'doc_id', 'span_done')}, "
+    "parts AS (SELECT DISTINCT doc_id, u AS user_id, day FROM msgs, "
+    "unnest(list_filter(list_concat([sender], coalesce(rcpt, [])), lambda x: x IS NOT NULL)) t(u)), "
+    "known AS (SELECT DISTINCT user_id AS address FROM parts), "
+    f"written AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, {_q(MP)}, 0)) AS value FROM msgs), "
+    "ents AS (SELECT doc_id, coalesce(done, value) AS value, category FROM spans LEFT JOIN span_done USING (doc_id, value) "
+    "UNION ALL SELECT doc_id, value, 'EMAIL' FROM written WHERE value IN (SELECT address FROM known)), "
+    # mentions of each profiled user, counted and aged
+    "users AS (SELECT * FROM parts WHERE (ends_with(user_id, '@docs.example') OR user_id IN (SELECT email_id FROM dir)) AND length(user_id) > 3), "
+    f"said AS (SELECT user_id, category, rtrim(lower(value)) AS value, list_transform({_words_of_address('user_id')}, "
+    "lambda t: rtrim(lower(t))) AS own FROM users JOIN ents USING (doc_id)), "
+    "mentions AS (SELECT user_id, category, value FROM said WHERE len(list_filter(own, lambda y: starts_with(value, y))) = 0), "
+    "people AS (SELECT DISTINCT user_id, value FROM mentions WHERE category = 'PEOPLE'), "
+    f"{completed_sql('people', 'user_id', 'people_done')}, "
+    "counts AS (SELECT user_id, category, CASE WHEN category = 'PEOPLE' THEN coalesce(done, value) ELSE value END AS value, "
+    "count(*) AS frequency FROM mentions LEFT JOIN people_done USING (user_id, value) GROUP BY ALL), "
+    "days AS (SELECT user_id, day FROM (SELECT user_id, day, count(*) AS n FROM users WHERE day IS NOT NULL GROUP BY ALL) "
+    "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC, day) = 1), "
+    f"aged AS (SELECT counts.*, CASE WHEN day IS NULL THEN frequency ELSE {_AGED} END AS decay_frequency "
+    "FROM counts LEFT JOIN days USING (user_id)), "
+    "ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY user_id, category ORDER BY frequency DESC, value) AS BIGINT) AS rank FROM aged), "
+    "keyed AS (SELECT user_id, category, replace(value, ' (', '/') AS value, frequency, decay_frequency, rank, "
+    "replace(printf('TAG_%s_%04d', category, rank), ' (', '/') AS sk FROM ranked), "
+    # names and addresses
+    f"names AS (SELECT DISTINCT value FROM keyed WHERE category = 'PEOPLE'), {RESOLVED}, "
+    f"mres AS (SELECT m.value, CASE WHEN {_MAIL_ROW} THEN d.sub_id ELSE m.value END AS mail_id, CASE WHEN {_MAIL_ROW} "
+    f"THEN {TITLE.format(x='d.user_name')} WHEN known.address IS NOT NULL THEN {TITLE.format(x=_SAID)} END AS mail_display "
+    "FROM (SELECT DISTINCT value FROM keyed WHERE category = 'EMAIL') m LEFT JOIN first_dir d ON d.email_id = m.value "
+    "LEFT JOIN known ON known.address = m.value), "
+    "found AS (SELECT 'PEOPLE' AS category, value, name_id AS alt, name_display AS avatar FROM res "
+    "UNION ALL SELECT 'EMAIL', value, mail_id, mail_display FROM mres), "
+    "rows_ AS (SELECT user_id AS email_id, CASE category WHEN 'COMPONENTS' THEN 'TOPICS' WHEN 'EMAIL' THEN 'PEOPLE' ELSE category END AS category, "
+    "value, frequency, decay_frequency, rank, sk, CASE category WHEN 'PEOPLE' THEN 'Mention' WHEN 'EMAIL' THEN 'Mail' END AS entityLabel, "
+    f"'USER_' || alt AS nameToId, coalesce(avatar, {TITLE.format(x='value')}) AS entityName, "
+    f"'USER_' || coalesce(first_dir.sub_id, user_id) AS sub_id, {TITLE.format(x='first_dir.user_name')} AS userName, "
+    f"CASE WHEN first_dir.sub_id IS NULL THEN '{config.ID_TYPE_EMAIL}' ELSE '{config.ID_TYPE_DIRECTORY}' END AS id_type "
+    "FROM keyed LEFT JOIN found USING (category, value) LEFT JOIN first_dir ON first_dir.email_id = user_id), "
+    + weights_sql("rows_", "PEOPLE", ("TOPICS", "PEOPLE", "TEAMS", "PROG_SCRIPT_LANG"),
+                  "email_id, category, value, frequency, decay_frequency, rank, sk, entityLabel, nameToId, entityName, sub_id, userName, id_type"))

@@ -879,8 +879,7 @@ def _document_directory(spark, sf, d):
 def q_document_interests(spark, sf):
     """P-4 end to end: each document is a mail from its source (``<source>@docs.example``)
     to the addresses found in its text, dated by orders; customers are the directory.
-    Without a readable date counts stay unaged (tenant-B rule).
-    Rows-only check: the steps have SQL of their own, the whole job has none."""
+    Without a readable date counts stay unaged (tenant-B rule)."""
     from kenning.plans import interests
     d = text_table(spark, sf, "documents")
     msgs = _document_dates(spark, sf, d).select(

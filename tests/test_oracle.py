@@ -20,9 +20,8 @@ def test_query_matches_oracle(spark, con, name):
     assert info["ok"], info
 
 
-def test_every_query_has_oracle_or_is_rows_only():
-    rows_only = set(E.queries()) - set(E.oracle_sql()) - set(E._llm()[0])
-    assert rows_only == {"document_interests"}
+def test_every_query_has_oracle():
+    assert set(E.queries()) - set(E.oracle_sql()) - set(E._llm()[0]) == set()
 
 
 def test_entry_smoke(spark):
