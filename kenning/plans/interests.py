@@ -140,12 +140,15 @@ def run(spark: SparkSession, messages: DataFrame, gazetteer: DataFrame, director
     With ``cfg.re_age`` the state is kept per mail day (``by_day``; pass the
     stored one as ``stored_by_day``) and all counts are aged again at
     ``cfg.as_of``; otherwise stored aged counts are added as they are."""
+    # read by the choice of users, the name search, the addresses and the final join: a
+    # directory file is parsed by one task, so once
+    ensure_checkpoint_dir(spark)
+    directory = directory.checkpoint(eager=True)
     batch = new_profile(messages, gazetteer, directory, cfg, aliases)
     prof_new = batch["profile"]
     by_day = None
     if cfg.re_age:
         by_day = batch["by_day"] if stored_by_day is None else state.merge_by_day(stored_by_day, batch["by_day"])
-        ensure_checkpoint_dir(spark)
         by_day = by_day.checkpoint(eager=True)
         merged = state.reage(by_day, cfg.decay, cfg.as_of, cfg.null_day_keeps_count).withColumn("origin", F.lit("re-aged"))
     elif stored is not None:
@@ -156,7 +159,6 @@ def run(spark: SparkSession, messages: DataFrame, gazetteer: DataFrame, director
     # The merged profile is the new state: materialize it once (shared
     # checkpoint folder), so resolution and weights read it instead of
     # re-deriving entities in every branch, and a lost executor re-reads it.
-    ensure_checkpoint_dir(spark)
     merged = merged.checkpoint(eager=True)
     known = batch["known"].checkpoint(eager=True)
     # read by the weights and by every sink: resolved and ranked once
