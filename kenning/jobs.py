@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from kenning import config
 from kenning.session import build_session, prepare
 from kenning.functions.text import rtrim_list
+from kenning.operators.relational import REPLY_PAGE
 from kenning.sinks import writers as W
 from kenning.sources import readers as R
 
@@ -105,7 +106,7 @@ def parser() -> argparse.ArgumentParser:
         r.add_argument("--overlay")
         r.add_argument("--out", required=True)
         r.add_argument("--max-records", dest="max_records", type=int)
-        r.add_argument("--page-size", dest="page_size", type=int, default=10_000, help="replies in one record")
+        r.add_argument("--page-size", dest="page_size", type=int, default=REPLY_PAGE, help="replies in one record")
     return p
 
 

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from kenning.functions.text import is_malformed_literal
 
+# Replies in one record: a longer conversation has one record for each page of so many.
+REPLY_PAGE = 10_000
+
 
 def first_per_group(df: DataFrame, key, order, cols=None, out="first") -> DataFrame:
     """WN-2: the first row of each group by ``order`` (file order stands in as row_seq).
@@ -35,15 +38,15 @@ def replies(df: DataFrame, key, order) -> DataFrame:
 
 
 def nest_replies(first: DataFrame, reply_rows: DataFrame, key, order, fields, out="replies",
-                 page_size: int | None = None) -> DataFrame:
+                 page_size: int | None = REPLY_PAGE) -> DataFrame:
     """AG-10 + PRJ-7: replies as an array of structs sorted by ``order`` under
     their conversation; conversations without replies get an empty array.
 
-    By default one record per conversation, as the original writes it. With
-    ``page_size`` a conversation's replies are cut into consecutive pages of at
-    most that many (exact order from a skew-safe rank), one record per
-    (conversation, ``page``): every reply is kept and no record, nor the task
-    building it, grows with the size of a hot conversation."""
+    A conversation's replies are cut into consecutive pages of at most ``page_size``
+    (exact order from a skew-safe rank), one record per (conversation, ``page``): every
+    reply is kept and no record, nor the task building it, grows with the size of a hot
+    conversation. Shorter conversations are one record, as the original writes them;
+    ``None`` makes one record of any conversation, without the column ``page``."""
     r = reply_rows
     gkeys = [key]
     if page_size:

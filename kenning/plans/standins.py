@@ -27,6 +27,7 @@ from kenning.operators import gazetteer as gz
 from kenning.operators import profile as prof
 from kenning.operators import relational as rel
 from kenning.operators import scoring, state, synth
+from kenning.operators.relational import REPLY_PAGE
 from kenning.operators.joins import sized_broadcast
 from kenning.session import scratch_path
 from kenning.sinks import writers
@@ -162,10 +163,6 @@ def q_replies_only(spark, sf):
         "conversation_id", "turn", "sender", "body")
 
 
-# Replies in one record: a longer conversation has one record for each page of so many.
-REPLY_PAGE = 10_000
-
-
 @query("nested_replies")
 def q_nested_replies(spark, sf):
     m = messages(spark, sf)

@@ -11,7 +11,7 @@ from kenning.functions.arrays import first_item
 from kenning.functions.text import append_mentions, parse_list_literal
 from kenning.operators import synth
 from kenning.operators.directory import insert_ids, lists_with_directory
-from kenning.operators.relational import nest_replies
+from kenning.operators.relational import REPLY_PAGE, nest_replies
 from kenning.plans.chat import shifted_comment_dates
 from kenning.sources.readers import align_rows
 
@@ -30,7 +30,7 @@ def _mentions(names, *row):
 
 def team_conversations(msgs: DataFrame, companion: DataFrame, people: DataFrame,
                        team_names=config.TEAM_NAMES, channel_names=config.CHANNEL_NAMES,
-                       page_size: int | None = None) -> DataFrame:
+                       page_size: int | None = REPLY_PAGE) -> DataFrame:
     """``page_size``: split very long reply lists into pages (see ``nest_replies``)."""
     m = shifted_comment_dates(align_rows(msgs, companion))
     m = m.withColumn("component", F.coalesce(F.col("component"), F.lit("nan")))

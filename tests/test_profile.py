@@ -129,6 +129,21 @@ def test_nest_replies_pages_keep_every_reply(spark):
     assert got == [("c1", 0, ["r2", "r3"]), ("c1", 1, ["r4", "r5"]), ("c1", 2, ["r6", "r7"]), ("c2", 0, [])]
 
 
+def test_nest_replies_pages_by_default(spark):
+    """A hot conversation is cut without being asked; ``None`` makes one record of it."""
+    m = spark.range(1, 2 * rel.REPLY_PAGE + 12).select(F.lit("c1").alias("conv"), F.col("id").alias("seq"))
+    first, reps = rel.first_per_group(m, "conv", "seq", ["seq"]), rel.replies(m, "conv", "seq")
+
+    def pages(**kw):
+        n = rel.nest_replies(first, reps, "conv", "seq", [F.col("seq").alias("at")], **kw)
+        return sorted((r.n, r.lo, r.hi) for r in n.select(
+            F.size("replies").alias("n"), F.array_min("replies.at").alias("lo"), F.array_max("replies.at").alias("hi")).collect())
+
+    last = 2 * rel.REPLY_PAGE + 11
+    assert pages() == [(10, last - 9, last), (rel.REPLY_PAGE, 2, rel.REPLY_PAGE + 1), (rel.REPLY_PAGE, rel.REPLY_PAGE + 2, last - 10)]
+    assert pages(page_size=None) == [(last - 1, 2, last)]
+
+
 def test_reage_by_day(spark):
     from kenning.functions.mathx import aged_count  # noqa: F401
     a = spark.createDataFrame([("u", "T", "gpu", dt.date(2024, 1, 10), 3)],
