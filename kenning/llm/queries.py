@@ -124,6 +124,16 @@ word AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM
 kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
 SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)""",
+    # all pairs; of the ids that a vector reaches through larger ones the smallest is its component's
+    "op8_embedding_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+ WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+ ON a.vec_id <> b.vec_id AND CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) >= 0.9 ELSE false END),
+reach AS (SELECT vec_id AS id, vec_id AS low FROM embeddings UNION SELECT b, low FROM reach JOIN link ON a = id WHERE low < b),
+component AS (SELECT id, min(low) AS low FROM reach GROUP BY id), degree AS (SELECT a AS id, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, low AS component_id, vec_id = low AS kept
+FROM embeddings JOIN component c ON c.id = vec_id LEFT JOIN degree d ON d.id = vec_id""",
     # the same pushes along the edges, each step the sum of what the last one sent
     "op11_url_filter": rf"""
 WITH RECURSIVE rules(verdict, rhost, rpath) AS (VALUES {", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)}),

@@ -54,6 +54,29 @@ def test_groups(lspark):
     assert order(map(tuple, embedding_groups(df).collect())) == order(brute(want))
 
 
+def test_sql_on_linked_vectors():
+    """The given tables have hardly a link: the query's SQL on chains and copies, held against all pairs."""
+    import duckdb
+    import pyarrow as pa
+
+    from kenning.llm.queries import ORACLE
+    rng = np.random.default_rng(1)
+    vecs = []
+    for _ in range(30):
+        v = rng.standard_normal(64)
+        for _ in range(rng.integers(1, 7)):
+            vecs.append(v.astype(np.float32).tolist())
+            v = v + 0.4 * rng.standard_normal(64)  # a chain: its ends are not linked
+    vecs += [vecs[0], None, [], [0.0] * 64, [float("nan")] * 64, [float("inf")] * 64, [None] + [1.0] * 63, [1.0, 0.0], [1.0, 0.01]]
+    ids = rng.permutation(len(vecs)).tolist()
+    embeddings = pa.table({"vec_id": pa.array(ids, pa.int64()), "embedding": pa.array(vecs, pa.list_(pa.float32()))})
+    con = duckdb.connect()
+    con.register("embeddings", embeddings)
+    got = con.execute(f"SELECT vec_id, n_links, component_id, kept FROM ({ORACLE['op8_embedding_dedup']})").fetchall()
+    want = brute(list(zip(ids, vecs)))
+    assert sorted(got) == sorted(want) and sum(r[1] for r in want) > 50 and any(r[1] == 1 and not r[3] for r in want)
+
+
 def test_given_table(lspark):
     df = lspark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
     rows = [(r.vec_id, r.embedding) for r in df.collect()]
