@@ -104,7 +104,7 @@ def ngrams(docs: DataFrame, id_col: str, text_col: str, max_n: int, firsts: Data
             .filter(F.col("g").isNotNull()).select(id_col, "start", "g.*"))
 
 
-def repeat_matches(docs: DataFrame, rules: DataFrame, id_col: str, text_col: str, max_n: int) -> DataFrame:
+def repeat_matches(docs: DataFrame, rules: DataFrame, id_col: str, text_col: str, max_n: int, small: bool = False) -> DataFrame:
     """NER-4: matches of the expanded ``rules`` with ``runs``, the longest at each place.
 
     Equal neighbouring tokens of a text are collapsed into islands (token, start, how
@@ -112,14 +112,19 @@ def repeat_matches(docs: DataFrame, rules: DataFrame, id_col: str, text_col: str
     equality of the collapsed tokens, as plain phrases meet plain n-grams. A word that may
     repeat takes its whole island if that is long enough; of the others the islands
     inside a match must have the exact length, and the outer two at least that, of which
-    the nearest tokens count."""
+    the nearest tokens count.
+
+    ``small``: the rules are few enough to be sent to every task. The texts never are,
+    whatever size the planner guesses for them, and a word that most texts hold then
+    stays in the tasks that read it."""
     t = F.regexp_extract_all(F.col(text_col), F.lit(TOKEN_WS_PATTERN), 2)
     w = F.regexp_extract_all(F.col(text_col), F.lit(TOKEN_WS_PATTERN), 1)
-    d = (docs.select(F.col(id_col), t.alias("_t"), w.alias("_w")).filter(F.size("_t") > 0)
+    d = (docs.select(F.col(id_col), t.alias("_t"), w.alias("_w"))
          .withColumn("_low", F.transform("_t", F.lower)))
     firsts = F.filter(F.sequence(F.lit(1), F.size("_t")),
                       lambda i: (i == 1) | (F.element_at("_low", i) != F.element_at("_low", F.greatest(i - 1, F.lit(1)))))
-    d = d.withColumn("_at", firsts)
+    # no filter on the tokens: it would be moved to the read, before the texts are spread
+    d = d.withColumn("_at", F.when(F.size("_t") > 0, firsts).otherwise(F.array().cast("array<int>")))
 
     def island(i, k):
         run = F.coalesce(F.get("_at", k + 1), F.size("_t") + 1) - i
@@ -133,6 +138,7 @@ def repeat_matches(docs: DataFrame, rules: DataFrame, id_col: str, text_col: str
     keys = rules.select(F.array_join(F.transform("runs", lambda x: F.lower(x["tok"])), " ").alias("key"), F.col("runs").alias("want"),
                         "category", "canonical", "priority", "case_sensitive").distinct()
     starts = keys.select(F.lower(F.col("want")[0]["tok"]).alias("_first")).distinct()
+    keys, starts = (F.broadcast(r) if small else r.hint("merge") for r in (keys, starts))
     z = z.join(starts, F.col("_z.i0.tok") == F.col("_first")).drop("_first")
     grams = []
     for n in range(1, max_n + 1):
@@ -177,13 +183,13 @@ def match(docs: DataFrame, gazetteer: DataFrame, id_col="doc_id", text_col="text
     plain_rule = F.col("runs").isNull()
     stats = gx.agg(F.max(F.when(plain_rule, F.col("n_tokens"))).alias("n"), F.count(F.lit(1)).alias("rows"),
                    F.max(F.size("runs")).alias("runs"), F.count_if(plain_rule).alias("plain")).first()
-    more = (repeat_matches(docs, gx.filter(F.col("runs").isNotNull()), id_col, text_col, stats["runs"])
+    small = 2 * stats["rows"] <= broadcast_rows
+    more = (repeat_matches(docs, gx.filter(F.col("runs").isNotNull()), id_col, text_col, stats["runs"], small)
             if stats["plain"] < stats["rows"] else None)
     if more is not None and not stats["plain"]:
         return more
     gx = gx.filter(plain_rule).drop("runs")
     max_n = stats["n"] or 1
-    small = 2 * stats["rows"] <= broadcast_rows
     keys, firsts = _one_row_per_hit(match_keys(gx)), _first_tokens(gx)
     if small:
         keys, firsts = F.broadcast(keys), F.broadcast(firsts)

@@ -28,7 +28,7 @@ from kenning.operators import profile as prof
 from kenning.operators import relational as rel
 from kenning.operators import scoring, state, synth
 from kenning.operators.relational import REPLY_PAGE
-from kenning.operators.joins import sized_broadcast
+from kenning.operators.joins import sized_broadcast, spread
 from kenning.session import scratch_path
 from kenning.sinks import writers
 from kenning.sources.readers import (nested_profile_to_rows, read_conversations_a, read_conversations_b, read_json_dict,
@@ -331,7 +331,8 @@ def _repeated_words(spark, sf):
     """Parts described with a word that comes one to twenty times in a row."""
     k = F.col("p_partkey")
     word = F.when(k % 5 == 0, "PART ").otherwise("part ")
-    return table(spark, sf, "part").select(k.alias("doc_id"), F.concat(
+    parts = spread(table(spark, sf, "part").select("p_partkey", "p_type"))
+    return parts.select(k.alias("doc_id"), F.concat(
         F.lit("the "), F.repeat(word, (k % 20 + 1).cast("int")), F.when(k % 3 == 0, "was ").otherwise("is "), F.col("p_type"), F.lit(" "),
         F.repeat(F.lit("Steel "), (k % 4).cast("int")), F.lit("and part")).alias("text"))
 
