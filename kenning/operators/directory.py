@@ -207,36 +207,66 @@ def resolve_mails(mails: DataFrame, directory: DataFrame, known_addresses: DataF
          .when(F.col("_known"), title_case(F.array_join(name_tokens(F.col(mail)), " "))).alias("mail_display"))
 
 
+def _hits(asked: DataFrame, keys, addresses, directory: DataFrame, email: str) -> DataFrame:
+    """(keys, _hit): what the directory knows of the addresses of each row, one struct
+    (address, array of its (user_id, display)) for each known one.
+
+    An address goes out once per row, and only known ones come back. The directory is
+    the hashed side whatever its size is guessed to be, so an address that most rows
+    hold streams through its task and is neither sorted nor held there."""
+    some = F.filter(F.array_distinct(addresses), lambda x: x.isNotNull())
+    known = directory.groupBy(email).agg(F.collect_list(F.struct("user_id", "display")).alias("_who"))
+    return (asked.select(*keys, F.explode(some).alias(email)).join(known.hint("shuffle_hash"), on=email)
+            .select(*keys, F.struct(F.col(email).alias("email"), "_who").alias("_hit")))
+
+
+def _resolved(rows, known, name: str, email: str):
+    """The entries of list ``name`` of all ``rows`` of a key with what is ``known`` of their
+    addresses, by position; null if the list is null in one of the rows."""
+    def entries(x, i):
+        unknown = F.array(F.struct(F.lit(None).cast("string").alias("user_id"), F.lit(None).cast("string").alias("display")))
+        return F.transform(F.coalesce(F.try_element_at(known, x), unknown), lambda who: F.struct(
+            i.alias("_pos"), x.alias(email), who["user_id"].alias("user_id"), who["display"].alias("display")))
+
+    every = F.flatten(F.transform(rows, lambda r: F.flatten(F.transform(F.coalesce(r[name], F.array().cast("array<string>")), entries))))
+    return F.when(~F.exists(rows, lambda r: r[name].isNull()),
+                  F.transform(F.array_sort(every), lambda s: s.dropFields("_pos")))
+
+
 def lists_with_directory(df: DataFrame, key, lists: dict, directory: DataFrame, email="email") -> DataFrame:
     """ARR-4/ARR-5/ARR-6 support: look every element of several list columns up in
     a directory (email, user_id, display) and give back, per ``key``, each list
     as an array of structs (email, user_id, display) in its original order.
 
-    All lists are put into one array of (list, position, entry), exploded once (one
-    read of the input), joined to the directory by equality (shuffle, or broadcast
-    when the planner measures the directory small) and put back together per key; a
+    The addresses of a row meet the directory by equality (``_hits``); the lists
+    themselves are sent once, to their key, where the known addresses are put in; a
     key's work is bounded by its own lists. Unknown addresses keep null fields. A row
     whose lists are all null or empty stays: an empty list comes back empty, a null
     list (or one that could not be parsed) null."""
     keys = [key] if isinstance(key, str) else list(key)
     cols = {name: F.col(c) if isinstance(c, str) else c for name, c in lists.items()}
-
-    def listed(name, c):
-        return F.transform(F.coalesce(c, F.array().cast("array<string>")),
-                           lambda x, i: F.struct(F.lit(name).alias("_list"), i.alias("_pos"), x.alias(email)))
-
-    entries = [listed(name, c) for name, c in cols.items()]
-    e = (df.select(*keys, *[c.isNull().alias("_no_" + name) for name, c in cols.items()],
-                   F.explode_outer(F.concat(*entries)).alias("_e"))
-         .select(*keys, *["_no_" + name for name in cols], "_e.*"))
-    d = directory.select(email, "user_id", "display")
-    j = e.join(d, on=email, how="left")
-    aggs = [F.array_sort(F.collect_list(F.when(F.col("_list") == name, F.struct("_pos", email, "user_id", "display"))))
-            .alias("_" + name) for name in lists]
-    gone = [F.bool_or("_no_" + name).alias("_no_" + name) for name in lists]
-    back = j.groupBy(*keys).agg(*aggs, *gone)
-    return back.select(*keys, *[F.when(~F.col("_no_" + name), F.transform("_" + name, lambda s: s.dropFields("_pos"))).alias(name)
-                                for name in lists])
+    own = df.select(*keys, F.struct(*[c.alias(name) for name, c in cols.items()]).alias("_row"))
+    every = F.concat(*[F.coalesce(F.col("_row")[name], F.array().cast("array<string>")) for name in cols])
+    hits = _hits(own, keys, every, directory, email)
+    back = (own.unionByName(hits, allowMissingColumns=True).repartition(*keys).groupBy(*keys)
+            .agg(F.collect_list("_row").alias("_rows"), F.map_from_entries(F.collect_set("_hit")).alias("_known")))
+    return back.select(*keys, *[_resolved(F.col("_rows"), F.col("_known"), name, email).alias(name) for name in cols])
+
+
+def with_directory_lists(df: DataFrame, key: str, lists: dict, directory: DataFrame, asked: DataFrame, addresses,
+                         email="email") -> DataFrame:
+    """``df`` joined on ``key`` with its ``lists_with_directory``, in less traffic.
+
+    The lists stay in their rows, so rows already dealt by ``key`` are not sent again.
+    ``asked`` has the keys and the column ``addresses`` with every address of the lists: the
+    table that the lists come from, before it was joined with others. Rows of one key
+    share their lists; rows without a key go, as in the join."""
+    back = (_hits(asked, [key], addresses, directory, email).repartition(key).groupBy(key)
+            .agg(F.map_from_entries(F.collect_set("_hit")).alias("_known")))
+    own = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in lists.items()])
+    j = (df.filter(F.col(key).isNotNull()).join(back, on=key, how="left")
+         .withColumn("_rows", F.collect_list(own).over(Window.partitionBy(key))))
+    return j.select(*df.columns, *[_resolved(F.col("_rows"), F.col("_known"), name, email).alias(name) for name in lists])
 
 
 def list_with_directory(df: DataFrame, key, list_col, directory: DataFrame, email="email", out="entries") -> DataFrame:

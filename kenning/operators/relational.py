@@ -65,6 +65,36 @@ def nest_replies(first: DataFrame, reply_rows: DataFrame, key, order, fields, ou
             .drop("_r"))
 
 
+def reply_pages(rows: DataFrame, counts: DataFrame, key, order, page_size: int) -> DataFrame:
+    """(order, ``_pages``): for the rows of groups that need more than one page of
+    ``page_size`` replies, a map from the group to the pages of the row: its own, or all
+    of them for the first row. ``counts`` has the rows ``_n`` of each group. Only those
+    groups are ranked, by their keys alone."""
+    from kenning.operators.joins import sized_broadcast
+    from kenning.operators.profile import rank_within
+    hot = counts.filter(F.col("_n") > page_size + 1)
+    ranked = rank_within(rows.filter(F.col(order).isNotNull()).join(sized_broadcast(hot), on=key), [key], [F.col(order).asc()], out="_rk")
+    size = F.lit(page_size)
+    last = F.floor((F.col("_n") - 2) / size)
+    # equal numbers in one group stay on one page
+    spots = ranked.groupBy(key, order, "_n").agg(F.min("_rk").alias("_rk"))
+    own = F.when(F.col("_rk") == 1, F.sequence(F.lit(0).cast("bigint"), last)).otherwise(F.array(F.floor((F.col("_rk") - 2) / size)))
+    return (spots.withColumn("_own", own).groupBy(order)
+            .agg(F.map_from_entries(F.collect_list(F.struct(key, "_own"))).alias("_pages")))
+
+
+def nest_marked(rows: DataFrame, keys, order, head, fields, whole, out="replies") -> DataFrame:
+    """AG-10 + PRJ-7 on rows that know their place: ``head`` is a struct on the first row of a
+    conversation (of every page of it), null on replies. One grouping by ``keys`` brings head
+    and replies together, so a row is sent once; ``whole(reply, head)`` completes a reply."""
+    keys = list(keys)
+    reply = F.when(F.col(head).isNull(), F.struct(F.col(order).alias("_o"), *fields))
+    g = (rows.select(*keys, F.col(head).alias("_h"), reply.alias("_r")).repartition(*keys).groupBy(*keys)
+         .agg(F.collect_list("_h").alias("_heads"), F.array_sort(F.collect_list("_r")).alias("_rs"))
+         .select(*keys, F.explode("_heads").alias("_h"), "_rs"))
+    return g.select(*keys, "_h.*", F.transform("_rs", lambda r: whole(r, F.col("_h"))).alias(out))
+
+
 def neighbors(df: DataFrame, key, order, value, carry=None) -> DataFrame:
     """``value`` of the previous and next row (order - 1, order + 1) of the same group.
 

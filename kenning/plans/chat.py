@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kenning.functions.arrays import first_item, without_sender
 from kenning.functions.dates import format_out, parse_any_date, shift_after
 from kenning.functions.text import parse_list_literal
-from kenning.operators.directory import insert_ids, lists_with_directory, user_structs
+from kenning.operators.directory import insert_ids, user_structs, with_directory_lists
 from kenning.sources.readers import align_rows
 
 
@@ -28,9 +28,10 @@ def chat_messages(msgs: DataFrame, companion: DataFrame, people: DataFrame) -> D
     perms = parse_list_literal(F.col("_allow_permissions"))
     by = parse_list_literal(F.col("commentBy"))
     m = m.withColumn("_perms", perms).withColumn("_by", by) \
-        .withColumn("_rec", without_sender(perms, first_item(by)))
-    looked = lists_with_directory(m, "row_seq", {"perms": "_perms", "rec": "_rec", "frm": "_by"}, people)
-    j = m.join(looked, on="row_seq")
+        .withColumn("_rec", without_sender(F.col("_perms"), first_item(F.col("_by"))))
+    none = F.array().cast("array<string>")
+    j = with_directory_lists(m, "row_seq", {"perms": "_perms", "rec": "_rec", "frm": "_by"}, people,
+                             msgs, F.concat(F.coalesce(perms, none), F.coalesce(by, none)))
     out = j.select(
         F.col("conversationId").cast("string").alias("conversation_id"), "subject",
         F.col("comment").alias("body"), F.col("commentDate").alias("date"), F.col("id"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kenning.functions.arrays import first_item, recipients_merge
 from kenning.functions.dates import date_clean
 from kenning.functions.text import parse_list_literal
-from kenning.operators.directory import insert_ids, lists_with_directory, user_structs
+from kenning.operators.directory import insert_ids, user_structs, with_directory_lists
 
 
 def mail_conversations(msgs: DataFrame, people: DataFrame, replace: dict | None = None) -> DataFrame:
@@ -34,9 +34,9 @@ def mail_conversations(msgs: DataFrame, people: DataFrame, replace: dict | None
              .agg(F.min_by(F.struct(*cols), F.col("row_seq")).alias("_f"), F.count("commentBy").alias("num_messages"))
              .select("conversationId", "_f.*", "num_messages"))
     first = first.withColumn("_perms", F.array_distinct(parse_list_literal(F.col("_allow_permissions"))))
-    looked = lists_with_directory(first, "conversationId",
-                                  {"perms": "_perms", "rec": "_recipients", "frm": F.array_distinct("_from")}, people)
-    j = first.join(looked, on="conversationId")
+    none = F.array().cast("array<string>")
+    j = with_directory_lists(first, "conversationId", {"perms": "_perms", "rec": "_recipients", "frm": F.array_distinct("_from")},
+                             people, first, F.concat(*[F.coalesce(c, none) for c in ("_perms", "_recipients", "_from")]))
     return j.select(
         F.col("conversationId").cast("string").alias("conversation_id"), "subject",
         F.col("body_content").alias("body"), F.col("receivedDateTime").alias("date"),
