@@ -36,14 +36,32 @@ def _int(c) -> Column:
 
 
 def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once, however often the body names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    """``body(value)`` with the value computed once, however often the body names it: the
+    end of a fold over nothing that starts with the value. (An array of one element that is
+    transformed and taken out again asks for its type, hence the whole body's, in every row.)"""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda held, _: held, body)
 
 
-def _clock(v: Column) -> Column:
-    """The fields of the time in ``v`` as texts: hour, minute, second, fraction, half, zone;
+# Put around the fields of a time that is taken out; a value that has it is no date.
+_MARK = "\x01"
+
+
+def _take_time(v: Column) -> Column:
+    """``v`` cut at its times, with their fields between: rest, fields, rest, ...; the value
+    alone without a time. Only what may hold one (a colon, am or pm) is searched."""
+    may = F.contains(v, F.lit(":")) | v.rlike(r"(?i)[ap]\.?m\b")
+    return F.when(may, F.split(F.regexp_replace(v, TIME, f"{_MARK}$1|$2|$3|$4|$5$6|$7{_MARK}"), _MARK)).otherwise(F.array(v))
+
+
+def _clock(cut: Column) -> Column:
+    """The fields of the first time as texts: hour, minute, second, fraction, half, zone;
     one empty text without a time."""
-    return F.split(F.regexp_replace(F.regexp_extract(v, TIME, 0), TIME, "$1|$2|$3|$4|$5$6|$7"), r"\|")
+    return F.when(F.size(cut) > 1, F.split(F.get(cut, F.lit(1)), r"\|")).otherwise(F.array(F.lit("")))
+
+
+def _rest(cut: Column) -> Column:
+    """What stands around the times, a blank for each of them."""
+    return F.when(F.size(cut) > 1, F.array_join(F.filter(cut, lambda x, i: i % 2 == 0), " ")).otherwise(F.get(cut, F.lit(0)))
 
 
 def _time(part: Column) -> tuple[Column, Column, Column, Column]:
@@ -54,32 +72,40 @@ def _time(part: Column) -> tuple[Column, Column, Column, Column]:
 
     none = F.size(part) == 1
     half, hour = F.lower(field(4)), _int(field(0))
-    hour = (F.when(none, 0).when(half == "", F.when(hour < 24, hour))
+    hour = (F.when(none, 0).when(field(4) == "", F.when(hour < 24, hour))
             .when(hour.between(1, 12), hour % 12 + F.when(half == "p", 12).otherwise(0)))
 
     def sixty(i):
         return F.when(none | (field(i) == ""), 0).otherwise(F.when(_int(field(i)) < 60, _int(field(i))))
 
     fraction = F.when(none, "").otherwise(F.substring(field(3), 1, 6))
-    second = F.concat_ws(".", sixty(2).cast("string"), F.nullif(fraction, F.lit(""))).try_cast("decimal(8,6)")
-    second = F.when(sixty(2).isNotNull(), second)
-    zone = F.when(none, "").otherwise(F.lower(field(5)))
+    second = F.when(fraction == "", sixty(2).cast("decimal(8,6)")).otherwise(
+        F.when(sixty(2).isNotNull(), F.concat_ws(".", sixty(2).cast("string"), fraction).try_cast("decimal(8,6)")))
+    zone = F.lower(field(5))
     sign = F.when(F.contains(zone, F.lit("-")), -1).otherwise(1)
     digits = F.regexp_replace(zone, "[^0-9]", "")
     ahead = sign * (F.coalesce(_int(F.substring(digits, 1, 2)), F.lit(0)) * 60 + F.coalesce(_int(F.substring(digits, 3, 2)), F.lit(0)))
     names = F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair])
-    return hour, sixty(1), second, F.when(digits == "", F.coalesce(F.try_element_at(names, zone), F.lit(0))).otherwise(ahead)
+    named = F.when(digits == "", F.coalesce(F.try_element_at(names, zone), F.lit(0))).otherwise(ahead)
+    return hour, sixty(1), second, F.when(none | (field(5) == ""), 0).otherwise(named)
 
 
-def _date(v: Column, numbers: Column, words: Column) -> tuple[Column, Column, Column]:
-    """(year, month, day) of three parts in any usual order: a month word or number, a
-    day, a year of four or two digits; null unless all three are there and nothing else."""
+def _month_of(words: Column) -> Column:
+    """The month that the only word names or shortens to three letters or more, else null."""
+    def month(word):
+        at = F.array_position(F.array(*[F.lit(m[:3]) for m in MONTHS]), F.substring(word, 1, 3)).cast("int")
+        return _let(at, lambda at: F.when(F.startswith(F.get(F.array(*[F.lit(m) for m in MONTHS]), at - 1), word), at))
+
+    return F.when(F.size(words) == 1, _let(F.lower(F.get(words, F.lit(0))), month))
+
+
+def _date(v: Column, numbers: Column, words: Column, month_word: Column, body) -> Column:
+    """``body`` of (year, month, day) of three parts in any usual order: a month word or
+    number, a day, a year of four or two digits; null unless all three are there and nothing
+    else."""
     def number(i):
         return F.get(numbers, F.lit(i))
 
-    word = F.lower(F.get(words, F.lit(0)))
-    month_word = F.coalesce(*[F.when((F.length(word) >= 3) & (F.startswith(F.lit(m), word) | (word == m[:4])), F.lit(i + 1))
-                              for i, m in enumerate(MONTHS)])
     spelt = (F.size(words) == 1) & (F.size(numbers) == 2)
     digits = (F.size(words) == 0) & (F.size(numbers) == 3)
     clean = ~v.rlike(r"[^\p{L}\d\s,./-]")
@@ -87,13 +113,18 @@ def _date(v: Column, numbers: Column, words: Column) -> tuple[Column, Column, Co
     year = F.when(year_first, number(0)).when(spelt, number(1)).otherwise(number(2))
     a = F.when(year_first, number(1)).otherwise(number(0))
     b = F.when(year_first, number(2)).otherwise(number(1))
-    # month before day, unless only the other order is possible
-    swap = (_int(a) > 12) & (_int(b) <= 12)
-    year = F.when(F.length(year) == 4, _int(year)).when(
-        F.length(year) == 2, _int(year) + F.when(_int(year) < CENTURY, 2000).otherwise(1900))
-    month = F.when(spelt, month_word).when(swap, _int(b)).otherwise(_int(a))
-    day = F.when(spelt, _int(a)).when(swap, _int(a)).otherwise(_int(b))
-    return F.when(clean & (spelt | digits), year), month, day
+
+    def whole(p):
+        # month before day, unless only the other order is possible
+        swap = (p["a"] > 12) & (p["b"] <= 12)
+        year = F.when(p["digits"] == 4, p["year"]).when(
+            p["digits"] == 2, p["year"] + F.when(p["year"] < CENTURY, 2000).otherwise(1900))
+        month = F.when(p["spelt"], month_word).when(swap, p["b"]).otherwise(p["a"])
+        day = F.when(p["spelt"], p["a"]).when(swap, p["a"]).otherwise(p["b"])
+        return body(year, month, day)
+
+    fields = F.struct(spelt.alias("spelt"), _int(year).alias("year"), F.length(year).alias("digits"), _int(a).alias("a"), _int(b).alias("b"))
+    return _let(F.when((spelt | digits) & clean, fields), whole)
 
 
 def parse_any_date(c) -> Column:
@@ -103,22 +134,37 @@ def parse_any_date(c) -> Column:
     numbers or with a month word, whatever separates them. Digits alone are read as
     ``yyyyMMdd[HHmm[ss]]``. Of two numbers that could both be the month the first is.
     Null when a part is missing, left over or no real date."""
-    v = F.regexp_replace(F.trim(_c(c)), r"\s*\([^()]*\)$", "")
-    v = F.regexp_replace(v, r"^(\d{4})(\d{2})(\d{2})(?:[T ]?(\d{2})(\d{2})(\d{2})?)?(?=$|[Z+-])", "$1-$2-$3 $4:$5:$6")
-    v = F.regexp_replace(v, r" :?:$|:(?=$|[Z+-])", "")
+    def where(test, pattern, new):
+        """The pattern replaced where a cheap ``test`` says that it may be found."""
+        return lambda v: F.when(test(v), F.regexp_replace(v, pattern, new)).otherwise(v)
+
+    v = _let(F.trim(_c(c)), where(lambda v: F.contains(v, F.lit(")")), r"\s*\([^()]*\)$", ""))
+    v = _let(v, where(lambda v: F.substring(v, 5, 1).between("0", "9"),
+                      r"^(\d{4})(\d{2})(\d{2})(?:[T ]?(\d{2})(\d{2})(\d{2})?)?(?=$|[Z+-])", "$1-$2-$3 $4:$5:$6"))
+    v = _let(v, where(lambda v: F.contains(v, F.lit(":")), r" :?:$|:(?=$|[Z+-])", ""))
+    v = _let(v, lambda v: F.when(~F.contains(v, F.lit(_MARK)), v))
+
+    def worded(time, rest):
+        """The words of the rest, and the month if that is the only one."""
+        words = F.regexp_extract_all(rest, F.lit(r"\p{L}+"), F.lit(0))
+        return _let(words, lambda w: F.struct(time.alias("time"), rest.alias("rest"), w.alias("words"), _month_of(w).alias("month")))
+
+    def without_filler(p):
+        # nothing is filler where no words are, or a month alone
+        return F.when((F.size(p["words"]) == 0) | p["month"].isNotNull(), p).otherwise(
+            _let(F.regexp_replace(p["rest"], FILLER, " "), lambda rest: worded(p["time"], rest)))
 
     def read(p):
         hour, minute, second, ahead = _time(p["time"])
-        year, month, day = _date(p["rest"], p["numbers"], p["words"])
-        return F.timestamp_add("MINUTE", -ahead, F.try_make_timestamp(year, month, day, hour, minute, second))
+        numbers = F.regexp_extract_all(p["rest"], F.lit(r"\d+"), F.lit(0))
+        return _let(numbers, lambda n: _date(p["rest"], n, p["words"], p["month"], lambda year, month, day: F.timestamp_add(
+            "MINUTE", -ahead, F.try_make_timestamp(year, month, day, hour, minute, second))))
 
-    def parts(v):
-        rest = F.regexp_replace(F.regexp_replace(v, TIME, " "), FILLER, " ")
-        return _let(F.struct(_clock(v).alias("time"), rest.alias("rest")), lambda p: _let(F.struct(
-            p["time"].alias("time"), p["rest"].alias("rest"), F.regexp_extract_all(p["rest"], F.lit(r"\d+"), F.lit(0)).alias("numbers"),
-            F.regexp_extract_all(p["rest"], F.lit(r"\p{L}+"), F.lit(0)).alias("words")), read))
+    def parts(cut):
+        return _let(F.struct(_clock(cut).alias("time"), _rest(cut).alias("rest")),
+                    lambda p: _let(_let(worded(p["time"], p["rest"]), without_filler), read))
 
-    return _let(v, parts)
+    return _let(_let(v, _take_time), parts)
 
 
 def parse_date_strict(c) -> Column:

@@ -576,23 +576,21 @@ def q_team_conversations(spark, sf):
 
 @query("date_clean")
 def q_date_clean(spark, sf):
-    o = table(spark, sf, "orders")
-    li = table(spark, sf, "lineitem")
-    raw = (o.select(F.lit("orders").alias("source"), F.col("o_orderkey").alias("k1"), F.lit(0).cast("int").alias("k2"),
-                    F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("raw"))
-           .unionByName(li.select(F.lit("lineitem").alias("source"), F.col("l_orderkey").alias("k1"),
-                                  F.col("l_linenumber").alias("k2"),
-                                  F.date_format("l_shipdate", "dd MMM yyyy").alias("raw")))
-           .unionByName(o.select(F.lit("priority").alias("source"), F.col("o_orderkey").alias("k1"),
-                                 F.lit(0).cast("int").alias("k2"), F.col("o_orderpriority").alias("raw"))))
+    o = spread(table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority"))
+    li = spread(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate"))
     forms = {"space_offset": "yyyy-MM-dd HH:mm:ss'+00:00'", "slashes": "M/d/yyyy", "half_day": "M/d/yyyy h:mm a", "day_first": "d MMMM yyyy HH:mm",
              "no_comma": "MMM d yyyy", "to_the_minute": "yyyy-MM-dd'T'HH:mm", "dashes": "dd-MMM-yyyy", "digits": "yyyyMMdd",
              "c_time": "EEE MMM dd HH:mm:ss yyyy", "comment": "EEE, d MMM yyyy HH:mm:ss '+0000 (UTC)'", "zone": "d MMM yyyy HH:mm:ss 'EST'",
              "dots": "yyyy.MM.dd", "left_over": "yyyy-MM-dd 'or so'", "header": "EEE, dd MMM yyyy HH:mm:ss '+0000'", "long": "d MMMM yyyy", "american": "MMMM d, yyyy", "minutes": "yyyy-MM-dd HH:mm",
              "offset": "yyyy-MM-dd'T'HH:mm:ss'+0000'"}
-    for name, form in forms.items():
-        raw = raw.unionByName(o.select(F.lit(name).alias("source"), F.col("o_orderkey").alias("k1"), F.lit(0).cast("int").alias("k2"),
-                                       F.date_format("o_orderdate", form).alias("raw")))
+    written = {"orders": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), "priority": F.col("o_orderpriority")}
+    written |= {name: F.date_format("o_orderdate", form) for name, form in forms.items()}
+    # the table is read once, each row written in every form
+    cells = F.array(*[F.struct(F.lit(name).alias("source"), F.col("o_orderkey").alias("k1"), F.lit(0).cast("int").alias("k2"),
+                               c.alias("raw")) for name, c in written.items()])
+    raw = o.select(F.inline(cells)).unionByName(li.select(
+        F.lit("lineitem").alias("source"), F.col("l_orderkey").alias("k1"), F.col("l_linenumber").alias("k2"),
+        F.date_format("l_shipdate", "dd MMM yyyy").alias("raw")))
     return raw.withColumn("clean", date_clean(F.col("raw")))
 
 
